@@ -117,7 +117,8 @@ FROM lineitem
 view("purchase_order", """
 SELECT CAST(l.l_orderkey AS VARCHAR) AS order_number, l.l_suppkey AS partner_code, s.s_name AS supplier_name,
        CAST(l.l_orderkey % 5 AS VARCHAR) AS nature_code, CAST(l.l_shipdate AS DATE) AS invoice_date,
-       CAST(l.l_extendedprice AS DECIMAL(18,2)) AS product_amount
+       CAST(l.l_extendedprice AS DECIMAL(18,2)) AS product_amount,
+       CASE WHEN l.l_orderkey % 41 = 0 THEN l.l_shipdate END AS excluded_at
 FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 WHERE l.l_returnflag = 'R'
 """)
@@ -126,7 +127,8 @@ view("import_order", """
 SELECT CAST(l.l_orderkey AS VARCHAR) AS import_number, s.s_name AS supplier_name,
        CAST(l.l_shipdate AS DATE) AS order_date,
        CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_brl,
-       CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.2 AS DECIMAL(18,2)) AS total_usd
+       CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.2 AS DECIMAL(18,2)) AS total_usd,
+       CASE WHEN l.l_orderkey % 41 = 0 THEN l.l_shipdate END AS excluded_at
 FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 WHERE l.l_returnflag = 'A'
 """)

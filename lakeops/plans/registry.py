@@ -30,4 +30,5 @@ def load_all() -> None:
     """Import every plan module (they register on import)."""
     from lakeops.plans import (  # noqa: F401
         commercial_q,
+        sales_q,
     )

@@ -189,6 +189,7 @@ class DriverTables:
             _mod_str(F.col("l_orderkey"), 5).alias("nature_code"),
             F.col("l_shipdate").cast("date").alias("invoice_date"),
             money(F.col("l_extendedprice")).alias("product_amount"),
+            F.when(F.col("l_orderkey") % 41 == 0, F.col("l_shipdate")).alias("excluded_at"),
         )
 
     @cached_property
@@ -202,6 +203,7 @@ class DriverTables:
             F.col("l_shipdate").cast("date").alias("order_date"),
             brl.alias("total_brl"),
             money(brl * dec("0.2")).alias("total_usd"),
+            F.when(F.col("l_orderkey") % 41 == 0, F.col("l_shipdate")).alias("excluded_at"),
         )
 
     def _titles(self) -> DataFrame:
