@@ -8,7 +8,7 @@ driver's base tables.
 from __future__ import annotations
 
 from lakeops import params as P
-from lakeops.sources.driver import account_rows
+from lakeops.sources.driver import PRICE_PARAM_CHANNELS, PRICE_PARAM_MONTHS, account_rows
 
 
 def _q(s: str) -> str:
@@ -208,6 +208,25 @@ SELECT o_orderkey AS quote_number, o_custkey AS partner_code,
 FROM orders
 """)
 
+_ch = ", ".join(_lit(c) for c in PRICE_PARAM_CHANNELS)
+_ms = ", ".join(f"DATE '{m}'" for m in PRICE_PARAM_MONTHS)
+view("price_params", f"""
+SELECT CAST(p_partkey AS VARCHAR) AS item_code, c.canal, m.mes,
+       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_retailprice * 0.5 END AS custo_peca,
+       CASE WHEN p_partkey % 2 = 0 THEN CAST(3.0 AS DOUBLE) END AS pct_ads,
+       CAST(5.0 AS DOUBLE) AS pct_comissao, CAST(2.0 AS DOUBLE) AS pct_irpj_csll,
+       CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(1.2 AS DOUBLE) END AS pct_irpj,
+       CAST(0.9 AS DOUBLE) AS pct_csll, CAST(0.65 AS DOUBLE) AS pct_pis, CAST(3.0 AS DOUBLE) AS pct_cofins,
+       CAST(4.0 AS DOUBLE) AS pct_credito_icms_ipi,
+       CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(3.5 AS DOUBLE) END AS pct_credito_icms,
+       CAST(1.0 AS DOUBLE) AS pct_credito_ipi,
+       CAST((p_partkey % 10) * 1.5 AS DOUBLE) AS mao_obra_unit,
+       CAST(2.5 AS DOUBLE) AS pct_custo_fixo,
+       CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CAST(1.5 AS DOUBLE) END AS pct_outras
+FROM part, (SELECT unnest([{_ch}]) AS canal) c, (SELECT unnest([{_ms}]) AS mes) m
+WHERE p_partkey % 4 <> 3
+""")
+
 view("crm_users", values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]))
 
 

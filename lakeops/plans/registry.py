@@ -31,4 +31,5 @@ def load_all() -> None:
     from lakeops.plans import (  # noqa: F401
         commercial_q,
         sales_q,
+        price_q,
     )

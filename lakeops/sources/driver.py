@@ -333,12 +333,45 @@ class DriverTables:
             money(F.col("o_totalprice")).alias("total_amount"),
         )
 
+    @cached_property
+    def price_params(self) -> DataFrame:
+        """Cost/percentage parameters per item x channel x month (rule-built from ``part``)."""
+        p = self.raw("part").where(F.col("p_partkey") % 4 != 3)
+        k = F.col("p_partkey")
+        nul = F.lit(None).cast("double")
+        return p.select(
+            k.cast("string").alias("item_code"),
+            F.explode(F.array(*[F.lit(c) for c in PRICE_PARAM_CHANNELS])).alias("canal"),
+            F.col("p_retailprice"), k,
+        ).select(
+            "item_code", "canal",
+            F.explode(F.array(*[F.lit(m).cast("date") for m in PRICE_PARAM_MONTHS])).alias("mes"),
+            F.when(k % 5 == 0, nul).otherwise(F.col("p_retailprice") * 0.5).alias("custo_peca"),
+            F.when(k % 2 == 0, F.lit(3.0)).otherwise(nul).alias("pct_ads"),
+            F.lit(5.0).alias("pct_comissao"),
+            F.lit(2.0).alias("pct_irpj_csll"),
+            F.when(k % 3 == 0, nul).otherwise(F.lit(1.2)).alias("pct_irpj"),
+            F.lit(0.9).alias("pct_csll"),
+            F.lit(0.65).alias("pct_pis"),
+            F.lit(3.0).alias("pct_cofins"),
+            F.lit(4.0).alias("pct_credito_icms_ipi"),
+            F.when(k % 7 == 0, nul).otherwise(F.lit(3.5)).alias("pct_credito_icms"),
+            F.lit(1.0).alias("pct_credito_ipi"),
+            ((k % 10) * 1.5).alias("mao_obra_unit"),
+            F.lit(2.5).alias("pct_custo_fixo"),
+            F.when(k % 6 == 0, nul).otherwise(F.lit(1.5)).alias("pct_outras"),
+        )
+
     @cached_property
     def crm_users(self) -> DataFrame:
         rows = [(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)]
         return P.table(self.spark, rows, "user_id bigint, user_name string, salesperson_name string")
 
 
+PRICE_PARAM_CHANNELS = ["Distribuidor/Interno", "Mercado Livre", "Amazon"]
+PRICE_PARAM_MONTHS = ["2001-06-01", "2001-07-01"]
+
+
 def account_rows():
     """Chart of accounts for the driver's 15 financial item codes (rule-built)."""
     groups = [g for g, _ in P.PNL_ORDER]
