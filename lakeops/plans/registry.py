@@ -32,4 +32,5 @@ def load_all() -> None:
         commercial_q,
         sales_q,
         price_q,
+        finance_q,
     )
