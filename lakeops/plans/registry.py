@@ -33,4 +33,5 @@ def load_all() -> None:
         sales_q,
         price_q,
         finance_q,
+        cdc_q,
     )
