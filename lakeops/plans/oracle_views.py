@@ -8,7 +8,7 @@ driver's base tables.
 from __future__ import annotations
 
 from lakeops import params as P
-from lakeops.sources.driver import PRICE_PARAM_CHANNELS, PRICE_PARAM_MONTHS, account_rows
+from lakeops.sources.driver import FRESH_THRESHOLDS, PRICE_PARAM_CHANNELS, PRICE_PARAM_MONTHS, account_rows
 
 
 def _q(s: str) -> str:
@@ -227,6 +227,19 @@ FROM part, (SELECT unnest([{_ch}]) AS canal) c, (SELECT unnest([{_ms}]) AS mes)
 WHERE p_partkey % 4 <> 3
 """)
 
+view("runs", """
+SELECT CAST(event_id AS VARCHAR) AS run_id, 'src' || CAST(user_id % 4 AS VARCHAR) AS source, event_type AS entity,
+       CASE WHEN event_id % 10 = 0 THEN 'error' WHEN event_id % 10 = 1 THEN 'skipped' ELSE 'ok' END AS status,
+       event_id % 1000 AS rows_extracted,
+       CASE WHEN event_id % 10 > 1 THEN event_id % 1000 ELSE 0 END AS rows_loaded,
+       CASE WHEN event_id % 10 > 1 THEN ts - INTERVAL 1 HOUR END AS max_event_at,
+       ts AS started_at, value AS seconds,
+       CASE WHEN event_id % 3 = 0 THEN 'full' ELSE 'incremental' END AS mode,
+       CASE WHEN event_id % 10 = 0 THEN 'timeout ' || CAST(event_id AS VARCHAR) END AS error
+FROM events
+""")
+view("fresh_thresholds", values(FRESH_THRESHOLDS, ["source", "threshold_minutes"]))
+
 view("crm_users", values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]))
 
 

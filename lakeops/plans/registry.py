@@ -34,4 +34,5 @@ def load_all() -> None:
         price_q,
         finance_q,
         cdc_q,
+        platform_q,
     )

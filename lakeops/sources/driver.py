@@ -362,12 +362,37 @@ class DriverTables:
             F.when(k % 6 == 0, nul).otherwise(F.lit(1.5)).alias("pct_outras"),
         )
 
+    @cached_property
+    def runs(self) -> DataFrame:
+        """Ingestion run log (one run per event): status, rows, max event time, duration, mode."""
+        e = self.raw("events")
+        i = F.col("event_id")
+        status = F.when(i % 10 == 0, "error").when(i % 10 == 1, "skipped").otherwise("ok")
+        return e.select(
+            i.cast("string").alias("run_id"),
+            F.concat(F.lit("src"), _mod_str(F.col("user_id"), 4)).alias("source"),
+            F.col("event_type").alias("entity"),
+            status.alias("status"),
+            (i % 1000).alias("rows_extracted"),
+            F.when(status == "ok", i % 1000).otherwise(F.lit(0).cast("bigint")).alias("rows_loaded"),
+            F.when(status == "ok", F.col("ts") - hours(F.lit(1))).alias("max_event_at"),
+            F.col("ts").alias("started_at"),
+            F.col("value").alias("seconds"),
+            F.when(i % 3 == 0, "full").otherwise("incremental").alias("mode"),
+            F.when(status == "error", F.concat(F.lit("timeout "), i.cast("string"))).alias("error"),
+        )
+
+    @cached_property
+    def fresh_thresholds(self) -> DataFrame:
+        return P.table(self.spark, FRESH_THRESHOLDS, "source string, threshold_minutes int")
+
     @cached_property
     def crm_users(self) -> DataFrame:
         rows = [(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)]
         return P.table(self.spark, rows, "user_id bigint, user_name string, salesperson_name string")
 
 
+FRESH_THRESHOLDS = [("src0", 60), ("src1", 120), ("src2", 1440), ("src3", 30)]
 PRICE_PARAM_CHANNELS = ["Distribuidor/Interno", "Mercado Livre", "Amazon"]
 PRICE_PARAM_MONTHS = ["2001-06-01", "2001-07-01"]
 
