@@ -240,6 +240,15 @@ FROM events
 """)
 view("fresh_thresholds", values(FRESH_THRESHOLDS, ["source", "threshold_minutes"]))
 
+view("orgs", """
+SELECT user_id AS org_id,
+       CASE WHEN user_id % 3 = 0 THEN 'Customer#' || lpad(CAST(user_id * 7 AS VARCHAR), 9, '0')
+            WHEN user_id % 3 = 1 THEN 'Custmer#' || lpad(CAST(user_id * 7 AS VARCHAR), 9, '0')
+            ELSE 'Org ' || CAST(user_id AS VARCHAR) END AS org_name,
+       CASE WHEN user_id % 4 = 0 THEN lpad(CAST(user_id * 7 + 1 AS VARCHAR), 14, '0') END AS cnpj
+FROM (SELECT DISTINCT user_id FROM events)
+""")
+
 view("crm_users", values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]))
 
 

@@ -35,4 +35,5 @@ def load_all() -> None:
         finance_q,
         cdc_q,
         platform_q,
+        crm_q,
     )

@@ -386,6 +386,17 @@ class DriverTables:
     def fresh_thresholds(self) -> DataFrame:
         return P.table(self.spark, FRESH_THRESHOLDS, "source string, threshold_minutes int")
 
+    @cached_property
+    def orgs(self) -> DataFrame:
+        """CRM organisations (one per event user): exact, misspelt or unrelated names; some with a tax id."""
+        u = F.col("user_id")
+        code = F.lpad((u * 7).cast("string"), 9, "0")
+        name = (F.when(u % 3 == 0, F.concat(F.lit("Customer#"), code)).when(u % 3 == 1, F.concat(F.lit("Custmer#"), code))
+                .otherwise(F.concat(F.lit("Org "), u.cast("string"))))
+        cnpj = F.when(u % 4 == 0, F.lpad((u * 7 + 1).cast("string"), 14, "0"))
+        return self.raw("events").select("user_id").distinct().select(u.alias("org_id"), name.alias("org_name"),
+                                                                      cnpj.alias("cnpj"))
+
     @cached_property
     def crm_users(self) -> DataFrame:
         rows = [(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)]
