@@ -249,6 +249,31 @@ SELECT user_id AS org_id,
 FROM (SELECT DISTINCT user_id FROM events)
 """)
 
+view("production", """
+SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS prod_order_number, CAST(l_shipdate AS DATE) AS order_date,
+       CAST(l_linenumber % 4 AS INTEGER) AS prod_status, CAST(l_quantity AS DECIMAL(18,4)) AS planned_qty,
+       CAST(CAST(l_quantity AS DECIMAL(18,4)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS actual_qty,
+       CAST(l_partkey AS VARCHAR) AS item_code
+FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'N'
+""")
+view("components", """
+SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS prod_order_number, CAST(l_partkey AS VARCHAR) AS item_code,
+       CAST(l_quantity AS DECIMAL(18,4)) AS quantity FROM lineitem WHERE l_returnflag = 'R'
+""")
+view("stock", """
+SELECT CAST(p_partkey AS VARCHAR) AS item_code, CAST(p_size - 25 AS DECIMAL(18,4)) AS general_balance,
+       DATE '2001-08-01' AS snapshot_date FROM part
+""")
+view("movements", """
+SELECT CAST(l_partkey AS VARCHAR) AS item_code, CAST(l_shipdate AS DATE) AS movement_date,
+       CASE WHEN l_returnflag = 'R' THEN 'E' ELSE 'S' END AS operation_type, CAST(l_quantity AS DECIMAL(18,4)) AS quantity
+FROM lineitem
+""")
+view("serials", """
+SELECT CAST(l_partkey AS VARCHAR) AS item_code, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS serial_number,
+       l_orderkey % 100 AS batch_number, CASE WHEN l_linestatus = 'O' THEN 'X' END AS is_in_use FROM lineitem
+""")
+
 view("crm_users", values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]))
 
 
@@ -269,6 +294,8 @@ def with_views(sql: str, *names: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0].strip()})" for n in order)
     body = sql.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

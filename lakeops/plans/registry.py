@@ -36,4 +36,5 @@ def load_all() -> None:
         cdc_q,
         platform_q,
         crm_q,
+        ops_q,
     )

@@ -397,6 +397,67 @@ class DriverTables:
         return self.raw("events").select("user_id").distinct().select(u.alias("org_id"), name.alias("org_name"),
                                                                       cnpj.alias("cnpj"))
 
+    # -- operations ---------------------------------------------------------------
+    @cached_property
+    def production(self) -> DataFrame:
+        li = self.raw("lineitem").where((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N"))
+        qty = F.col("l_quantity").cast("decimal(18,4)")
+        return li.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("prod_order_number"),
+            F.col("l_shipdate").cast("date").alias("order_date"),
+            (F.col("l_linenumber") % 4).cast("int").alias("prod_status"),
+            qty.alias("planned_qty"),
+            (qty * (dec("1") - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)").alias("actual_qty"),
+            F.col("l_partkey").cast("string").alias("item_code"),
+        )
+
+    @cached_property
+    def components(self) -> DataFrame:
+        li = self.raw("lineitem").where(F.col("l_returnflag") == "R")
+        return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("prod_order_number"),
+                         F.col("l_partkey").cast("string").alias("item_code"),
+                         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"))
+
+    @cached_property
+    def stock(self) -> DataFrame:
+        p = self.raw("part")
+        return p.select(F.col("p_partkey").cast("string").alias("item_code"),
+                        (F.col("p_size") - 25).cast("decimal(18,4)").alias("general_balance"),
+                        F.lit(SALES_REF).cast("date").alias("snapshot_date"))
+
+    @cached_property
+    def movements(self) -> DataFrame:
+        li = self.raw("lineitem")
+        return li.select(F.col("l_partkey").cast("string").alias("item_code"),
+                         F.col("l_shipdate").cast("date").alias("movement_date"),
+                         F.when(F.col("l_returnflag") == "R", "E").otherwise("S").alias("operation_type"),
+                         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"))
+
+    @cached_property
+    def serials(self) -> DataFrame:
+        li = self.raw("lineitem")
+        return li.select(F.col("l_partkey").cast("string").alias("item_code"),
+                         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+                         .alias("serial_number"),
+                         (F.col("l_orderkey") % 100).alias("batch_number"),
+                         F.when(F.col("l_linestatus") == "O", F.lit("X")).alias("is_in_use"))
+
+    @cached_property
+    def chats(self) -> DataFrame:
+        """Raw chat documents (JSON payload) built from events."""
+        e = self.raw("events")
+        i = F.col("event_id")
+        reply = F.when(i % 7 != 0, F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (i % 120 - 10).cast("int")))
+        payload = F.to_json(F.struct(
+            F.col("ts").alias("createdAtUTC"),
+            F.struct(F.when(F.col("user_id") % 2 == 0, "SAC").otherwise("Comercial").alias("name")).alias("sector"),
+            F.struct(F.when(i % 2 == 0, "WhatsApp").otherwise("Email").alias("name")).alias("channel"),
+            (i % 5 == 0).alias("open"),
+            F.struct(F.col("ts").alias("eventAtUTC")).alias("firstContactMessage"),
+            F.struct(reply.alias("eventAtUTC")).alias("firstMemberReplyMessage"),
+        ))
+        return e.select(i.cast("string").alias("chat_id"), payload.alias("payload_json"))
+
     @cached_property
     def crm_users(self) -> DataFrame:
         rows = [(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)]
