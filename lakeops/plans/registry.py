@@ -37,4 +37,5 @@ def load_all() -> None:
         platform_q,
         crm_q,
         ops_q,
+        targets_q,
     )
