@@ -43,31 +43,35 @@ def ratio(a: Column, b: Column) -> Column:
         F.lit(100.0) * (F.lit(1.0) - F.levenshtein(a, b).cast("double") / m.cast("double")))
 
 
-def _grams(names: DataFrame, side: str) -> DataFrame:
+def _grams(names: DataFrame, side: str, q: int = Q) -> DataFrame:
     """(side, name, gram, occ) for every q-gram occurrence of every distinct name."""
     n = F.col("name")
     g = names.select(F.lit(side).alias("side"), "name", "budget",
-                     F.explode(F.transform(F.sequence(F.lit(1), F.length(n) - Q + 1), lambda i: F.substring(n, i, Q)))
+                     F.explode(F.transform(F.sequence(F.lit(1), F.length(n) - q + 1), lambda i: F.substring(n, i, q)))
                      .alias("gram"))
     w = Window.partitionBy("side", "name", "gram").orderBy("gram")
     return g.withColumn("occ", F.row_number().over(w))
 
 
-def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (lname, rname) pairs that may reach ``threshold`` (complete for the ratio above)."""
+def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float, q: int = Q) -> DataFrame:
+    """Distinct (lname, rname) pairs that may reach ``threshold`` (complete for the ratio above).
+
+    Completeness needs a positive count bound, L - q + 1 - k*q >= 1: q = 3 holds for
+    thresholds around 88 and names of 15+ characters; q = 1 holds for any threshold > 50.
+    """
     t = threshold / 100.0
 
     def prep(df):
         L = F.length("name")
         budget = F.floor((F.lit(1.0 - t) * L) / F.lit(t)).cast("int")
-        return df.select("name").distinct().where(L >= Q).withColumn("budget", budget)
+        return df.select("name").distinct().where(L >= q).withColumn("budget", budget)
 
-    lg, rg = _grams(prep(left_names), "L"), _grams(prep(right_names), "R")
+    lg, rg = _grams(prep(left_names), "L", q), _grams(prep(right_names), "R", q)
     allg = lg.unionByName(rg)
     freq = allg.groupBy("gram", "occ").agg(F.count("*").alias("f"))
     ranked = allg.join(freq, ["gram", "occ"])
     w = Window.partitionBy("side", "name").orderBy("f", "gram", "occ")
-    pref = ranked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("budget") * Q + 1)
+    pref = ranked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("budget") * q + 1)
     lp = pref.where(F.col("side") == "L").select(F.col("name").alias("lname"), "gram", "occ")
     rp = pref.where(F.col("side") == "R").select(F.col("name").alias("rname"), "gram", "occ")
     return lp.join(rp, ["gram", "occ"]).select("lname", "rname").distinct()

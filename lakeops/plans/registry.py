@@ -38,4 +38,5 @@ def load_all() -> None:
         crm_q,
         ops_q,
         targets_q,
+        qa_q,
     )
