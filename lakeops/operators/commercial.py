@@ -184,3 +184,89 @@ def classify_channel(group_col="salesperson_group_code") -> Column:
 def price_channel(code_col="channel_code") -> Column:
     """A-COM-18 / A-PRC-1 marketplace sub-channel by channel code."""
     return P.case_lookup(F.upper(F.trim(C.col(code_col))), P.PRICE_CHANNEL, P.PRICE_CHANNEL_DEFAULT)
+
+
+def name_key(c) -> Column:
+    """Name matching key: accents folded, only [A-Za-z0-9 ] kept, upper case."""
+    return F.upper(F.regexp_replace(C.strip_accents(F.coalesce(C.col(c), F.lit(""))), "[^A-Za-z0-9 ]", ""))
+
+
+def dominant(df: DataFrame, key: str, cat: str, val: str) -> DataFrame:
+    """WIN-2: the category with the largest summed value per key (ties -> smallest category)."""
+    g = df.groupBy(key, cat).agg(F.sum(val).alias("_v"))
+    return g.groupBy(key).agg(F.min(F.struct((-F.col("_v")).alias("nv"), F.col(cat).alias("c"))).alias("_b")).select(
+        key, F.col("_b.c").alias(cat))
+
+
+def hybrid_rfv_base(orders: DataFrame, natures: DataFrame, partners: DataFrame, portfolio: DataFrame, ref: str, *,
+                    groups=("FA", "FR", "PC"), new_family=P.NEW_CLIENT_FAMILY, new_owner: str = P.NEW_CLIENT_OWNER,
+                    months: int = 12) -> DataFrame:
+    """JON-3 / A-COM-2 (hybrid form): owner and family by portfolio code, else by normalised name,
+    else NOVOS_<family of the client's dominant group> with the new-client owner; clients outside the
+    portfolio are kept only for the given groups."""
+    pf = portfolio.where(F.col("is_active"))
+    cc = one_per_key_min(pf.select("partner_code", "rfv_familia", "salesperson_name"), "partner_code",
+                         ["rfv_familia", "salesperson_name"])
+    cn = (pf.withColumn("nome_norm", name_key("partner_name")).where(F.col("nome_norm") != "")
+          .groupBy("nome_norm").agg(F.min(F.struct("rfv_familia", "salesperson_name")).alias("_n"))
+          .select("nome_norm", F.col("_n.rfv_familia").alias("cn_fam"), F.col("_n.salesperson_name").alias("cn_sp")))
+    b = rolling_window(billed_orders(orders, natures), "invoice_date", ref, months)
+    v = b.join(partners.select("partner_code", F.col("partner_name").alias("partner_name_erp")), "partner_code", "left")
+    v = v.withColumn("nome_norm", name_key("partner_name_erp")).withColumn(
+        "pkey", F.coalesce(F.col("partner_name_erp"), F.col("partner_code").cast("string")))
+    gd = dominant(v.where(F.col("salesperson_group_code").isin(*groups)), "pkey", "salesperson_group_code", "product_amount")
+    gd = gd.select("pkey", F.col("salesperson_group_code").alias("dom_grp"))
+    j = (v.join(cc.select("partner_code", F.col("rfv_familia").alias("cc_fam"), F.col("salesperson_name").alias("cc_sp")),
+                "partner_code", "left")
+         .join(cn, "nome_norm", "left").join(gd, "pkey", "left"))
+    j = j.where(F.col("cc_fam").isNotNull() | F.col("cn_fam").isNotNull() | F.col("salesperson_group_code").isin(*groups))
+    fam = F.coalesce("cc_fam", "cn_fam", P.case_lookup(F.col("dom_grp"), new_family))
+    sp = F.coalesce("cc_sp", "cn_sp", F.lit(new_owner))
+    sales = j.select("order_number", "invoice_date", "partner_code", "product_amount", F.col("pkey").alias("partner_name"),
+                     fam.alias("rfv_familia"), sp.alias("rfv_salesperson"))
+    return rfv_base(sales, ref)
+
+
+def one_per_key_min(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    rest = [c for c in df.columns if c != key]
+    s = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("_row"))
+    return df.groupBy(key).agg(F.min(s).alias("_b")).select(key, "_b._row.*")
+
+
+def months_in(df: DataFrame, col: str, ref_month: str) -> DataFrame:
+    """FLT-3: rows whose month is the reference month, the previous one or the same month last year."""
+    m0 = F.lit(ref_month).cast("date")
+    return df.where(F.trunc(F.col(col), "month").isin(m0, F.add_months(m0, -1), F.add_months(m0, -12)))
+
+
+def exclude_prefixes(df: DataFrame, col: str, prefixes) -> DataFrame:
+    """FLT-5: drop rows whose ``col`` starts with any prefix (case-insensitive), NULL kept."""
+    cond = F.lit(False)
+    for p in prefixes:
+        cond = cond | F.upper(F.col(col)).startswith(p.upper())
+    return df.where(~F.coalesce(cond, F.lit(False)))
+
+
+def search(df: DataFrame, term: str, cols) -> DataFrame:
+    """FLT-5: case-insensitive contains over several columns."""
+    cond = F.lit(False)
+    for c in cols:
+        cond = cond | F.coalesce(F.col(c).cast("string").ilike(f"%{term}%"), F.lit(False))
+    return df.where(cond)
+
+
+def portfolio_label(portfolio: DataFrame) -> DataFrame:
+    """A-COM-16: display label per portfolio (family / owner)."""
+    return portfolio.select("rfv_familia", "salesperson_name").distinct().withColumn(
+        "label", F.concat_ws(" · ", F.col("rfv_familia"), F.col("salesperson_name")))
+
+
+def portfolio_revenue(orders: DataFrame, natures: DataFrame, portfolio: DataFrame, ref: str) -> DataFrame:
+    """A-COM-16: exact billed revenue (canonical filter, rolling year) of each portfolio owner's codes."""
+    b = rolling_window(billed_orders(orders, natures), "invoice_date", ref, 12).select("partner_code", "order_number",
+                                                                                       "product_amount")
+    pf = portfolio.where(F.col("is_active")).select("partner_code", "rfv_familia", "salesperson_name")
+    j = b.join(pf, "partner_code")
+    return j.groupBy("rfv_familia", "salesperson_name").agg(
+        F.countDistinct("partner_code").alias("codes"), F.countDistinct("order_number").alias("orders"),
+        C.money_sum("product_amount").alias("revenue"))

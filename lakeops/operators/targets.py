@@ -201,3 +201,19 @@ def revenue_matrix(sales: DataFrame, years: list[int], ref: str) -> DataFrame:
                    (F.try_divide(F.col("cumulative").cast("double") - F.col("_pc").cast("double"), F.col("_pc").cast("double")) * F.lit(100.0)).alias("yoy_cum_pct"))
     return out.select("year", "month", *[F.when(future, F.lit(None)).otherwise(F.col(c)).alias(c)
                                          for c in ["revenue", "cumulative", "yoy_month_pct", "yoy_cum_pct"]])
+
+
+def rank_day(won: DataFrame, targets: DataFrame, bdays: DataFrame) -> DataFrame:
+    """A-COM-29: strict daily ranking (won today vs target / business days) and carry-over ranking
+    (month-to-date vs the pro-rata target), NULLs last; one row per person after aggregation."""
+    b = bdays.select("total", "elapsed").limit(1)
+    j = won.join(targets.select("user_id", "target"), "user_id").crossJoin(F.broadcast(b))
+    t = F.col("target").cast("double")
+    day_t = F.try_divide(t, F.col("total").cast("double"))
+    expected = day_t * F.col("elapsed").cast("double")
+    j = j.withColumn("pct_day", F.try_divide(F.col("won_day").cast("double") * F.lit(100.0), day_t)) \
+         .withColumn("pct_carry", F.try_divide(F.col("won_month").cast("double") * F.lit(100.0), expected))
+    w1 = Window.orderBy(F.col("pct_day").desc_nulls_last(), F.col("won_day").desc(), F.col("user_id"))
+    w2 = Window.orderBy(F.col("pct_carry").desc_nulls_last(), F.col("won_month").desc(), F.col("user_id"))
+    return j.select("user_id", "target", "won_day", "won_month", "pct_day", "pct_carry").withColumn(
+        "rank_day", F.row_number().over(w1)).withColumn("rank_carry", F.row_number().over(w2))

@@ -39,4 +39,5 @@ def load_all() -> None:
         ops_q,
         targets_q,
         qa_q,
+        extra_q,
     )
