@@ -53,28 +53,70 @@ def _grams(names: DataFrame, side: str, q: int = Q) -> DataFrame:
     return g.withColumn("occ", F.row_number().over(w))
 
 
-def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float, q: int = Q) -> DataFrame:
-    """Distinct (lname, rname) pairs that may reach ``threshold`` (complete for the ratio above).
+def edit_budget(length: Column, threshold: float) -> Column:
+    """Largest edit distance a partner may have: floor((100 - t) * L / t), in exact integer arithmetic."""
+    ts = int(round(threshold * 1000))
+    return F.floor((F.lit(100000 - ts) * length) / F.lit(ts)).cast("int")
 
-    Completeness needs a positive count bound, L - q + 1 - k*q >= 1: q = 3 holds for
-    thresholds around 88 and names of 15+ characters; q = 1 holds for any threshold > 50.
-    """
-    t = threshold / 100.0
 
-    def prep(df):
-        L = F.length("name")
-        budget = F.floor((F.lit(1.0 - t) * L) / F.lit(t)).cast("int")
-        return df.select("name").distinct().where(L >= q).withColumn("budget", budget)
+def _deletion_variants(name: Column, budget: Column) -> Column:
+    """All strings obtained by deleting up to ``budget`` (<= 2) characters."""
+    one = F.expr("transform(sequence(1, length(name)), i -> concat(substr(name, 1, i - 1), substr(name, i + 1)))")
+    two = F.expr("flatten(transform(sequence(1, length(name) - 1), i -> transform(sequence(i + 1, length(name)), "
+                 "j -> concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1)))))")
+    empty = F.array().cast("array<string>")
+    L = F.length(name)
+    return F.array_distinct(F.concat(F.array(name), F.when((budget >= 1) & (L >= 1), one).otherwise(empty),
+                                     F.when((budget >= 2) & (L >= 2), two).otherwise(empty)))
 
-    lg, rg = _grams(prep(left_names), "L", q), _grams(prep(right_names), "R", q)
+
+def _prefix_candidates(lp: DataFrame, rp: DataFrame, q: int) -> DataFrame:
+    lg, rg = _grams(lp, "L", q), _grams(rp, "R", q)
     allg = lg.unionByName(rg)
     freq = allg.groupBy("gram", "occ").agg(F.count("*").alias("f"))
     ranked = allg.join(freq, ["gram", "occ"])
     w = Window.partitionBy("side", "name").orderBy("f", "gram", "occ")
     pref = ranked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("budget") * q + 1)
-    lp = pref.where(F.col("side") == "L").select(F.col("name").alias("lname"), "gram", "occ")
-    rp = pref.where(F.col("side") == "R").select(F.col("name").alias("rname"), "gram", "occ")
-    return lp.join(rp, ["gram", "occ"]).select("lname", "rname").distinct()
+    lq = pref.where(F.col("side") == "L").select(F.col("name").alias("lname"), "gram", "occ")
+    rq = pref.where(F.col("side") == "R").select(F.col("name").alias("rname"), "gram", "occ")
+    return lq.join(rq, ["gram", "occ"]).select("lname", "rname")
+
+
+def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float, q: int = Q,
+                     deletion_max: int = 2) -> DataFrame:
+    """Distinct (lname, rname) pairs that may reach ``threshold`` (complete for the ratio above).
+
+    Two exact generators, chosen by each name's edit budget k (see module doc):
+
+    * k <= ``deletion_max``: symmetric deletion neighbourhoods — strings within k
+      edits share a string reachable by <= k deletions from both; joined on that string;
+    * longer names: q-gram prefix filtering (needs L - q + 1 - k*q >= 1: q = 3 holds
+      near 88 for 15+ characters, q = 1 for any threshold > 50).
+
+    A pair whose longer member has k > ``deletion_max`` has both members at least
+    ceil(t * L_K) long (L_K: first length with that budget), so the prefix side
+    covers every such name; the two sets overlap and every pair is generated.
+    """
+    t = threshold / 100.0
+
+    def prep(df):
+        L = F.length("name")
+        return df.select("name").distinct().where(L >= 1).withColumn("budget", edit_budget(L, threshold))
+
+    lp, rp = prep(left_names), prep(right_names)
+    ts = int(round(threshold * 1000))
+    k1 = deletion_max + 1
+    L_K = -(-k1 * ts // (100000 - ts)) if ts < 100000 else 10 ** 9  # ceil((K+1) t / (100 - t))
+    p_min = max(q, -(-ts * L_K // 100000))  # ceil(t * L_K)
+    ld = lp.where(F.col("budget") <= deletion_max)
+    rd = rp.where(F.col("budget") <= deletion_max)
+    lv = ld.select(F.col("name").alias("lname"), F.explode(_deletion_variants(F.col("name"), F.col("budget"))).alias("v"))
+    rv = rd.select(F.col("name").alias("rname"), F.explode(_deletion_variants(F.col("name"), F.col("budget"))).alias("v"))
+    by_deletion = lv.join(rv, "v").select("lname", "rname")
+    lpp = lp.where(F.length("name") >= p_min)
+    rpp = rp.where(F.length("name") >= p_min)
+    by_prefix = _prefix_candidates(lpp, rpp, q)
+    return by_deletion.unionByName(by_prefix).distinct()
 
 
 def best_fuzzy(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
@@ -112,14 +154,15 @@ def resolve_entities(left: DataFrame, right: DataFrame, *, left_id="partner_code
     best = best_fuzzy(ok_l.select("name"), ok_r.select("name"), threshold)
     # every right entity carrying the best name is a partner; keep the smallest id (deterministic)
     rmin = ok_r.groupBy(F.col("name").alias("rname")).agg(F.min(F.struct("rid", "rname_raw")).alias("r"))
-    fz = (ok_l.join(best, ok_l.name == best.lname).join(rmin, "rname")
-          .select("lid", "lname_raw", F.col("r.rid").alias("rid"), F.col("r.rname_raw").alias("rname_raw"),
-                  F.lit("name_fuzzy").alias("match_type"), F.col("score").alias("match_score")))
-    matched = tax.unionByName(fz)
-    un = L.join(matched.select("lid").distinct(), "lid", "left_anti").select(
-        "lid", "lname_raw", F.lit(None).cast(R.schema["rid"].dataType).alias("rid"), F.lit(None).cast("string").alias("rname_raw"),
-        F.lit("unmatched").alias("match_type"), F.lit(None).cast("double").alias("match_score"))
-    out = matched.unionByName(un)
+    hit = best.join(rmin, "rname").select(F.col("lname").alias("name"), F.col("r.rid").alias("f_rid"),
+                                          F.col("r.rname_raw").alias("f_rname"), F.col("score").alias("f_score"))
+    # one left join yields both the fuzzy matches and the unmatched rows (the fuzzy plan runs once)
+    rj = rest.join(hit, (rest.name == hit.name) & (F.length(rest.name) >= min_len), "left")
+    found = F.col("f_rid").isNotNull()
+    rest_out = rj.select("lid", "lname_raw", F.col("f_rid").alias("rid"), F.col("f_rname").alias("rname_raw"),
+                         F.when(found, "name_fuzzy").otherwise("unmatched").alias("match_type"),
+                         F.when(found, F.col("f_score")).alias("match_score"))
+    out = tax.unionByName(rest_out)
     return out.select(F.col("lid").alias(left_id), F.col("lname_raw").alias(left_name), F.col("rid").alias(right_id),
                       F.col("rname_raw").alias(right_name), "match_type", "match_score")
 
