@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lakeops import params as P
 from lakeops.functions import columns as C
+from lakeops.session import cut_lineage
 
 Q = 3
 
@@ -70,6 +71,24 @@ def _deletion_variants(name: Column, budget: Column) -> Column:
                                      F.when((budget >= 2) & (L >= 2), two).otherwise(empty)))
 
 
+def deletion_variants(names: DataFrame) -> DataFrame:
+    """(name, v) for every string v reachable from ``name`` by deleting up to ``budget`` (<= 2) characters.
+
+    Positions are produced with ``explode(sequence(...))`` so the string slicing
+    itself is plain ``substr``/``concat`` inside whole-stage codegen.
+    """
+    n = names.select("name", "budget", F.length("name").alias("_L"))
+    v0 = n.select("name", F.col("name").alias("v"))
+    d1 = n.where((F.col("budget") >= 1) & (F.col("_L") >= 1)).select(
+        "name", "budget", "_L", F.explode(F.sequence(F.lit(1), F.col("_L"))).alias("i"))
+    v1 = d1.select("name", F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1))").alias("v"))
+    d2 = d1.where((F.col("budget") >= 2) & (F.col("i") < F.col("_L"))).select(
+        "name", "i", F.explode(F.sequence(F.col("i") + 1, F.col("_L"))).alias("j"))
+    v2 = d2.select("name", F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1))")
+                   .alias("v"))
+    return v0.unionByName(v1).unionByName(v2).distinct()
+
+
 def _prefix_candidates(lp: DataFrame, rp: DataFrame, q: int) -> DataFrame:
     lg, rg = _grams(lp, "L", q), _grams(rp, "R", q)
     allg = lg.unionByName(rg)
@@ -110,13 +129,23 @@ def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: f
     p_min = max(q, -(-ts * L_K // 100000))  # ceil(t * L_K)
     ld = lp.where(F.col("budget") <= deletion_max)
     rd = rp.where(F.col("budget") <= deletion_max)
-    lv = ld.select(F.col("name").alias("lname"), F.explode(_deletion_variants(F.col("name"), F.col("budget"))).alias("v"))
-    rv = rd.select(F.col("name").alias("rname"), F.explode(_deletion_variants(F.col("name"), F.col("budget"))).alias("v"))
+    lv = deletion_variants(ld).select(F.col("name").alias("lname"), "v")
+    rv = deletion_variants(rd).select(F.col("name").alias("rname"), "v")
     by_deletion = lv.join(rv, "v").select("lname", "rname")
     lpp = lp.where(F.length("name") >= p_min)
     rpp = rp.where(F.length("name") >= p_min)
-    by_prefix = _prefix_candidates(lpp, rpp, q)
-    return by_deletion.unionByName(by_prefix).distinct()
+    # 1-row probes: an empty side means that generator cannot produce a pair, so it is not planned
+    parts = []
+    if not (ld.isEmpty() or rd.isEmpty()):
+        parts.append(by_deletion)
+    if not (lpp.isEmpty() or rpp.isEmpty()):
+        parts.append(_prefix_candidates(lpp, rpp, q))
+    if not parts:
+        return lp.sparkSession.createDataFrame([], "lname string, rname string")
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out.distinct()
 
 
 def best_fuzzy(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
@@ -139,16 +168,19 @@ def resolve_entities(left: DataFrame, right: DataFrame, *, left_id="partner_code
     2. fuzzy name >= ``threshold`` on names of >= ``min_len`` characters, for left rows without a tax match;
     3. the rest as 'unmatched'.
     """
-    L = left.select(F.col(left_id).alias("lid"), F.col(left_name).alias("lname_raw"),
-                    C.digits_only(F.col(left_tax)).alias("ltax"))
-    R = right.select(F.col(right_id).alias("rid"), F.col(right_name).alias("rname_raw"),
-                     C.digits_only(F.col(right_tax)).alias("rtax"))
+    # The two inputs feed four branches (tax, fuzzy left/right, unmatched); cut lineage once into the
+    # shared checkpoint folder so each branch reads the materialised rows instead of re-running the
+    # source joins (reliable checkpoint: survives executor loss).
+    L = cut_lineage(left.select(F.col(left_id).alias("lid"), F.col(left_name).alias("lname_raw"),
+                                C.digits_only(F.col(left_tax)).alias("ltax")).withColumn("name", match_key("lname_raw")))
+    R = cut_lineage(right.select(F.col(right_id).alias("rid"), F.col(right_name).alias("rname_raw"),
+                                 C.digits_only(F.col(right_tax)).alias("rtax")).withColumn("name", match_key("rname_raw")))
     lt = L.where(F.length("ltax") == tax_len)
     rt = R.where(F.length("rtax") >= crm_tax_min)
-    tax = lt.join(rt, lt.ltax == rt.rtax).select("lid", "lname_raw", "rid", "rname_raw",
+    tax = lt.drop("name").join(rt.drop("name"), lt.ltax == rt.rtax).select("lid", "lname_raw", "rid", "rname_raw",
                                                    F.lit("cnpj_exact").alias("match_type"), F.lit(100.0).alias("match_score"))
-    rest = L.join(tax.select("lid").distinct(), "lid", "left_anti").withColumn("name", match_key("lname_raw"))
-    Rn = R.withColumn("name", match_key("rname_raw"))
+    rest = L.join(tax.select("lid").distinct(), "lid", "left_anti")
+    Rn = R
     ok_l = rest.where(F.length("name") >= min_len)
     ok_r = Rn.where(F.length("name") >= min_len)
     best = best_fuzzy(ok_l.select("name"), ok_r.select("name"), threshold)
