@@ -237,3 +237,22 @@ def cash_flow(settled_silver: DataFrame) -> DataFrame:
     m = m.withColumn("balance", C.money(F.col("inflow") - F.col("outflow")))
     w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)  # one row per month
     return m.withColumn("cumulative", C.money(F.sum("balance").over(w)))
+
+
+def pnl_lines(settled_silver: DataFrame, open_silver: DataFrame) -> DataFrame:
+    """A-FIN-4 + A-FIN-5 in one pass: every title yields its cash and its accrual line (``explode``),
+    so each title source is scanned and enriched once for both regimes."""
+    null_dec = F.lit(None).cast("decimal(18,2)")
+    base = ["title_number", "order_number", "settlement_type", "partner_code", "partner_name", "company_code",
+            "financial_item_code", "subgroup", "group_name", "account_sign", "installment_pct", "document_amount"]
+
+    def lines(df, status, cash_date, cash_amount, acc_amount, net):
+        reg = F.explode(F.array(
+            F.struct(F.lit("CAIXA").alias("regime"), F.col(cash_date).alias("dre_date"), cash_amount.alias("effective_amount")),
+            F.struct(F.lit("COMPETENCIA").alias("regime"), F.col("issue_date").alias("dre_date"), acc_amount.alias("effective_amount"))))
+        return df.select(F.lit(status).alias("status"), *base, net.alias("net_amount"), reg.alias("r")).select(
+            "status", "r.regime", "r.dre_date", *base, "r.effective_amount", "net_amount")
+
+    r = lines(settled_silver, "REALIZADO", "payment_date", F.col("paid_amount"), F.col("document_amount"), null_dec)
+    o = lines(open_silver, "REALIZAR", "due_date", null_dec, null_dec, F.col("net_amount"))
+    return r.unionByName(o).select(*PNL_COLS)

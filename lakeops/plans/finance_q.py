@@ -104,8 +104,7 @@ def _open(T):
 
 
 def _monthly(T):
-    s, o = _settled(T), _open(T)
-    return FI.pnl_monthly(FI.pnl_cash(s, o).unionByName(FI.pnl_accrual(s, o)))
+    return FI.pnl_monthly(FI.pnl_lines(_settled(T), _open(T)))
 
 
 def _gold(T):
