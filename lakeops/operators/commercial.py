@@ -39,10 +39,22 @@ def billed_orders(orders: DataFrame, natures: DataFrame, *, exclude_channels=tup
     return df.where(cond)
 
 
+PARTITION_COL = "ym"
+
+
 def rolling_window(df: DataFrame, date_col: str, ref, months: int = 12) -> DataFrame:
-    """FLT-2: ``date_col`` from the first day of the month ``months`` before ``ref`` up to ``ref``."""
+    """FLT-2: ``date_col`` from the first day of the month ``months`` before ``ref`` up to ``ref``.
+
+    On a month-partitioned table (``ym`` = yyyy-MM of ``date_col``) the same window is also
+    stated on the partition column, so whole months outside it are never listed or read.
+    """
     d = F.col(date_col)
-    return df.where((d >= C.lookback_start(ref, months)) & (d <= F.lit(ref).cast("date")))
+    start, end = C.lookback_start(ref, months), F.lit(ref).cast("date")
+    out = df.where((d >= start) & (d <= end))
+    if PARTITION_COL in df.columns:
+        p = F.col(PARTITION_COL)
+        out = out.where((p >= F.date_format(start, "yyyy-MM")) & (p <= F.date_format(end, "yyyy-MM")))
+    return out
 
 
 def silver_sales(orders: DataFrame, natures: DataFrame, group_family: DataFrame, portfolio: DataFrame, ref=None, *,
