@@ -247,7 +247,7 @@ def q_alert_detail(spark, sf):
 WITH c AS ({C360_SQL}),
 g AS (SELECT rfv_salesperson, COUNT(DISTINCT partner_name) AS clients,
              COUNT(DISTINCT CASE WHEN segment_num IN (1, 2) THEN partner_name END) AS clients_top,
-             CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue, SUM(deals_open) AS deals_open,
+             CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue, CAST(SUM(deals_open) AS BIGINT) AS deals_open,
              CAST(SUM(open_value) AS DECIMAL(18,2)) AS open_value FROM c GROUP BY 1),
 cs AS (SELECT u.salesperson_name AS rfv_salesperson, COUNT(*) AS calls,
               COUNT(CASE WHEN k.ai_sentiment = 'positive' THEN 1 END) AS pos

@@ -185,8 +185,8 @@ j AS (SELECT w.user_id, t.target, w.won_day, w.won_month,
              CAST(w.won_month AS DOUBLE) * 100.0
                / NULLIF(CAST(t.target AS DOUBLE) / NULLIF(CAST(b.total AS DOUBLE), 0) * CAST(b.elapsed AS DOUBLE), 0) AS pct_carry
       FROM w JOIN t ON t.user_id = w.user_id, b)
-SELECT *, row_number() OVER (ORDER BY pct_day DESC NULLS LAST, won_day DESC, user_id) AS rank_day,
-          row_number() OVER (ORDER BY pct_carry DESC NULLS LAST, won_month DESC, user_id) AS rank_carry FROM j""", "deals"))
+SELECT *, CAST(row_number() OVER (ORDER BY pct_day DESC NULLS LAST, won_day DESC, user_id) AS INTEGER) AS rank_day,
+          CAST(row_number() OVER (ORDER BY pct_carry DESC NULLS LAST, won_month DESC, user_id) AS INTEGER) AS rank_carry FROM j""", "deals"))
 def q_rank_day(spark, sf):
     T = _T(spark, sf)
     won = TG.won_by_owner(T.deals, T.crm_users, "2024-01-01", "2024-01-15").drop("user_name")

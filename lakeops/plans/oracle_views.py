@@ -180,8 +180,9 @@ SELECT event_id AS deal_id, user_id AS org_id, 'ORG ' || CAST(user_id AS VARCHAR
 FROM events
 """)
 
-view("stages", values([(1, "Prospecção", 1), (2, "Contato", 2), (3, "Proposta", 3), (4, "Negociação", 4), (5, "Fechamento", 5)],
-                      ["stage_id", "stage_name", "order_nr"]))
+view("stages", "SELECT CAST(stage_id AS BIGINT) AS stage_id, stage_name, CAST(order_nr AS INTEGER) AS order_nr FROM ("
+     + values([(1, "Prospecção", 1), (2, "Contato", 2), (3, "Proposta", 3), (4, "Negociação", 4), (5, "Fechamento", 5)],
+              ["stage_id", "stage_name", "order_nr"]) + ") s")
 
 view("activities", """
 SELECT event_id AS activity_id, user_id % 11 AS user_id, event_type AS type, (event_id % 4 <> 0) AS done,
@@ -274,7 +275,8 @@ SELECT CAST(l_partkey AS VARCHAR) AS item_code, CAST(l_orderkey AS VARCHAR) || '
        l_orderkey % 100 AS batch_number, CASE WHEN l_linestatus = 'O' THEN 'X' END AS is_in_use FROM lineitem
 """)
 
-view("crm_users", values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]))
+view("crm_users", "SELECT CAST(user_id AS BIGINT) AS user_id, user_name, salesperson_name FROM ("
+     + values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]) + ") u")
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -302,7 +302,7 @@ def q_hash_key(spark, sf):
 @register("envelope_events", """
 SELECT 'run-1' AS run_id, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at, 'events' AS source, 'analytics' AS domain,
        CAST(event_id AS VARCHAR) AS record_id, ts AS record_event_at,
-       json_object('event_id', event_id, 'event_type', event_type, 'props', props) AS payload_json
+       CAST(json_object('event_id', event_id, 'event_type', event_type, 'props', props) AS VARCHAR) AS payload_json
 FROM events""")
 def q_envelope(spark, sf):
     e = _T(spark, sf).raw("events").select("event_id", "event_type", "props", "user_id", "ts")

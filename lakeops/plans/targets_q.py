@@ -83,7 +83,7 @@ def q_tva(spark, sf):
     return _tva(_T(spark, sf))
 
 
-@register("rank_month", with_views(f"""SELECT *, row_number() OVER (ORDER BY pct DESC NULLS LAST, realised DESC, view_key) AS position
+@register("rank_month", with_views(f"""SELECT *, CAST(row_number() OVER (ORDER BY pct DESC NULLS LAST, realised DESC, view_key) AS INTEGER) AS position
 FROM ({TVA_SQL}) x""", "sales_order", "nature"))
 def q_rank_month(spark, sf):
     return TG.rank_month(_tva(_T(spark, sf)))
