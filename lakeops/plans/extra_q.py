@@ -195,3 +195,13 @@ def q_rank_day(spark, sf):
         F.col("month") == F.lit("2024-01-01").cast("date"))
     bd = TG.business_days(months, spark.createDataFrame([("2024-01-01",)], "holiday string"), "2024-01-15")
     return TG.rank_day(won, tg, bd)
+
+
+@register("most_frequent_event", """
+SELECT user_id, event_type FROM (
+  SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type DESC) AS k
+  FROM (SELECT user_id, event_type, COUNT(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2)) WHERE k = 1""")
+def q_most_frequent(spark, sf):
+    from lakeops.operators.entity import most_frequent
+
+    return most_frequent(_T(spark, sf).raw("events"), "user_id", "event_type")
