@@ -135,6 +135,6 @@ for i, f, q in M:
             missing.append((i, name))
     lines.append(f"| {i} | `{f}` | {q} |")
 lines += ["", "2.I scalar functions: all are native Columns (`lakeops/functions/columns.py`, `params.case_lookup/bands`).",
-          "2.L: no UDF anywhere; the only Python in a task is none (all operators are JVM-side expressions).", ""]
+          "2.L: no Python UDF anywhere; every operator is a JVM-side expression or DataFrame operation.", ""]
 open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "COVERAGE.md"), "w").write("\n".join(lines))
 print("ids", len(M), "missing names", missing)
