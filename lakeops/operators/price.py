@@ -75,8 +75,8 @@ def _pct(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0.0))
 
 
-def margin_columns(facts_cols=None) -> list[Column]:
-    """Margin formula (fixed operation order) over facts + parameter columns."""
+def margin_exprs() -> dict[str, Column]:
+    """Margin formula (fixed operation order) over facts + parameter columns, by output name."""
     fat, qty, icms, ipi = _d("revenue"), _d("quantity"), _d("icms"), _d("ipi")
     unit = F.coalesce(_d("cost_erp"), F.col("custo_peca"), F.lit(0.0))
     parts = unit * qty
@@ -93,12 +93,16 @@ def margin_columns(facts_cols=None) -> list[Column]:
             + fat * irpj / F.lit(100.0) + fat * _pct("pct_csll") / F.lit(100.0))
     total = parts + labour + inv_tax + ads + com + oth + fix + ptax
     margin = fat - total
-    return [
-        unit.alias("unit_cost"), parts.alias("parts_cost"), labour.alias("labour"), inv_tax.alias("invoice_tax"),
-        (ads + com + oth + fix).alias("expenses"), ptax.alias("profit_taxes"), total.alias("total_cost"),
-        margin.alias("margin"), F.when(fat != 0, margin / fat * F.lit(100.0)).alias("margin_pct"),
-        F.col("custo_peca").isNotNull().alias("manual_cost"), F.col("cost_erp").isNotNull().alias("erp_cost_locked"),
-    ]
+    return {
+        "unit_cost": unit, "parts_cost": parts, "labour": labour, "invoice_tax": inv_tax,
+        "expenses": ads + com + oth + fix, "profit_taxes": ptax, "total_cost": total,
+        "margin": margin, "margin_pct": F.when(fat != 0, margin / fat * F.lit(100.0)),
+        "manual_cost": F.col("custo_peca").isNotNull(), "erp_cost_locked": F.col("cost_erp").isNotNull(),
+    }
+
+
+def margin_columns() -> list[Column]:
+    return [c.alias(n) for n, c in margin_exprs().items()]
 
 
 def price_margin(facts: DataFrame, params: DataFrame, keys=("item_code", "channel", "month")) -> DataFrame:
@@ -120,15 +124,21 @@ def price_totals(margins: DataFrame) -> DataFrame:
 
 
 def margin_with_overrides(facts: DataFrame, params: DataFrame, overrides: DataFrame) -> DataFrame:
-    """A-PRC-5: margin under overriding parameters (override wins, else current) next to the current margin."""
-    keys = ["item_code", "canal", "mes"]
-    ov = overrides.select(*keys, *[F.col(c).alias(f"_ov_{c}") for c in PARAM_COLS])
-    merged = params.join(ov, keys, "full_outer").select(
-        *keys, *[F.coalesce(F.col(f"_ov_{c}"), F.col(c)).alias(c) for c in PARAM_COLS])
-    cur = price_margin(facts, params).select("item_code", "channel", "month", F.col("margin").alias("margin_current"))
-    sim = price_margin(facts, merged)
-    return sim.join(cur, ["item_code", "channel", "month"]).withColumn(
-        "margin_delta", F.col("margin") - F.col("margin_current"))
+    """A-PRC-5: margin under overriding parameters (override wins, else current) next to the current margin.
+
+    One pass over the facts: they are joined to the current parameters and to the overrides once, and
+    both margins are computed from the same rows.
+    """
+    keys = ["item_code", "channel", "month"]
+    pr = params.select(F.col("canal").alias("channel"), F.col("mes").alias("month"), "item_code", *PARAM_COLS)
+    ov = overrides.select(F.col("canal").alias("channel"), F.col("mes").alias("month"), "item_code",
+                          *[F.col(c).alias(f"_ov_{c}") for c in PARAM_COLS])
+    j = facts.join(pr, keys, "left").join(ov, keys, "left")
+    j = j.select("*", margin_exprs()["margin"].alias("margin_current"))
+    sim = j.select(*facts.columns, "margin_current",
+                   *[F.coalesce(F.col(f"_ov_{c}"), F.col(c)).alias(c) for c in PARAM_COLS])
+    out = sim.select(*facts.columns, "margin_current", *margin_columns())
+    return out.withColumn("margin_delta", F.col("margin") - F.col("margin_current"))
 
 
 def price_months(facts: DataFrame) -> DataFrame:
