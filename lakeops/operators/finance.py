@@ -75,18 +75,29 @@ TITLE_COLS = ["title_number", "order_number", "settlement_type", "partner_code",
               "financial_item_code", "installment_pct"]
 
 
-def titles_settled(settled: DataFrame, accounts: DataFrame, partners: DataFrame) -> DataFrame:
-    """A-FIN-2: settled titles with installment share and account mapping."""
+def _with_share(t: DataFrame, with_share: bool) -> DataFrame:
+    if with_share:
+        return share_of(t, "document_amount", "order_number", "installment_pct")
+    return t.withColumn("installment_pct", F.lit(None).cast("double"))
+
+
+def titles_settled(settled: DataFrame, accounts: DataFrame, partners: DataFrame, with_share: bool = True) -> DataFrame:
+    """A-FIN-2: settled titles with installment share and account mapping.
+
+    ``with_share=False`` skips the per-order share (an aggregate joined back) for consumers that
+    only sum amounts, such as the monthly P&L.
+    """
     t = _live(settled).where(F.col("payment_date").isNotNull())
-    t = share_of(t, "document_amount", "order_number", "installment_pct")
+    t = _with_share(t, with_share)
     t = t.withColumn("net_amount", F.lit(None).cast("decimal(18,2)"))
     return _enrich_titles(t.select(*TITLE_COLS), accounts, partners)
 
 
-def titles_open(payable: DataFrame, receivable: DataFrame, accounts: DataFrame, partners: DataFrame) -> DataFrame:
+def titles_open(payable: DataFrame, receivable: DataFrame, accounts: DataFrame, partners: DataFrame,
+                with_share: bool = True) -> DataFrame:
     """A-FIN-3: open titles, payables (type E) UNION ALL receivables (type D, no bank)."""
     def prep(df, kind, keep_bank):
-        t = share_of(_live(df), "document_amount", "order_number", "installment_pct")
+        t = _with_share(_live(df), with_share)
         return t.select(
             "title_number", "order_number", F.lit(kind).alias("settlement_type"), "partner_code", "company_code",
             (F.col("bank_code") if keep_bank else F.lit(None).cast("bigint")).alias("bank_code"),

@@ -104,7 +104,10 @@ def _open(T):
 
 
 def _monthly(T):
-    return FI.pnl_monthly(FI.pnl_lines(_settled(T), _open(T)))
+    # the monthly summary only sums amounts: no installment share needed
+    s = FI.titles_settled(T.settled_title, T.accounts, T.partner, with_share=False)
+    o = FI.titles_open(T.payable, T.receivable, T.accounts, T.partner, with_share=False)
+    return FI.pnl_monthly(FI.pnl_lines(s, o))
 
 
 def _gold(T):
