@@ -72,20 +72,22 @@ def _deletion_variants(name: Column, budget: Column) -> Column:
 
 
 def deletion_variants(names: DataFrame) -> DataFrame:
-    """(name, v) for every string v reachable from ``name`` by deleting up to ``budget`` (<= 2) characters.
+    """(nid, vh) for every string reachable from ``name`` by deleting up to ``budget`` (<= 2) characters.
 
-    Positions are produced with ``explode(sequence(...))`` so the string slicing
-    itself is plain ``substr``/``concat`` inside whole-stage codegen.
+    Names and variants travel as 64-bit hashes (``nid`` = xxhash64(name), ``vh`` = xxhash64(variant)):
+    the shuffles carry two longs per row.  A hash collision can only *add* candidate pairs, and every
+    candidate is verified with the exact ratio, so the blocking stays complete.  Positions come from
+    ``explode(sequence(...))`` so the slicing is plain ``substr``/``concat`` inside whole-stage codegen.
     """
-    n = names.select("name", "budget", F.length("name").alias("_L"))
-    v0 = n.select("name", F.col("name").alias("v"))
+    n = names.select("name", "budget", F.length("name").alias("_L"), F.xxhash64("name").alias("nid"))
+    v0 = n.select("nid", F.xxhash64("name").alias("vh"))
     d1 = n.where((F.col("budget") >= 1) & (F.col("_L") >= 1)).select(
-        "name", "budget", "_L", F.explode(F.sequence(F.lit(1), F.col("_L"))).alias("i"))
-    v1 = d1.select("name", F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1))").alias("v"))
+        "name", "nid", "budget", "_L", F.explode(F.sequence(F.lit(1), F.col("_L"))).alias("i"))
+    v1 = d1.select("nid", F.xxhash64(F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1))")).alias("vh"))
     d2 = d1.where((F.col("budget") >= 2) & (F.col("i") < F.col("_L"))).select(
-        "name", "i", F.explode(F.sequence(F.col("i") + 1, F.col("_L"))).alias("j"))
-    v2 = d2.select("name", F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1))")
-                   .alias("v"))
+        "name", "nid", "i", F.explode(F.sequence(F.col("i") + 1, F.col("_L"))).alias("j"))
+    v2 = d2.select("nid", F.xxhash64(F.expr(
+        "concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1))")).alias("vh"))
     return v0.unionByName(v1).unionByName(v2).distinct()
 
 
@@ -129,9 +131,12 @@ def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: f
     p_min = max(q, -(-ts * L_K // 100000))  # ceil(t * L_K)
     ld = lp.where(F.col("budget") <= deletion_max)
     rd = rp.where(F.col("budget") <= deletion_max)
-    lv = deletion_variants(ld).select(F.col("name").alias("lname"), "v")
-    rv = deletion_variants(rd).select(F.col("name").alias("rname"), "v")
-    by_deletion = lv.join(rv, "v").select("lname", "rname")
+    lv = deletion_variants(ld).select(F.col("nid").alias("lid_"), "vh")
+    rv = deletion_variants(rd).select(F.col("nid").alias("rid_"), "vh")
+    pairs = lv.join(rv, "vh").select("lid_", "rid_").distinct()
+    lnames = ld.select(F.xxhash64("name").alias("lid_"), F.col("name").alias("lname"))
+    rnames = rd.select(F.xxhash64("name").alias("rid_"), F.col("name").alias("rname"))
+    by_deletion = pairs.join(lnames, "lid_").join(rnames, "rid_").select("lname", "rname")
     lpp = lp.where(F.length("name") >= p_min)
     rpp = rp.where(F.length("name") >= p_min)
     # 1-row probes: an empty side means that generator cannot produce a pair, so it is not planned
