@@ -156,8 +156,8 @@ al AS (SELECT rfv_familia, {", ".join(f"COUNT(CASE WHEN priority = {p} THEN 1 EN
 SELECT g.*, {", ".join(f"COALESCE(al.alerts_p{p}, 0) AS alerts_p{p}" for p in range(1, 6))}
 FROM g LEFT JOIN al ON al.rfv_familia = g.rfv_familia""", *C360_VIEWS))
 def q_exec_summary(spark, sf):
-    T = _T(spark, sf)
-    return qa.executive_summary(_c360(T), _alerts(T))
+    c = _c360(_T(spark, sf))  # one 360 (and one entity-resolution pass) feeds both inputs
+    return qa.executive_summary(c, crm.alerts(c))
 
 
 # -- QLT ----------------------------------------------------------------------------------
