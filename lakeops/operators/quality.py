@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from lakeops import params as P
 from lakeops.functions import columns as C
 from lakeops.operators import entity as ER
+from lakeops.session import cut_lineage
 
 MARKER = "?"
 
@@ -65,9 +66,10 @@ def match_cities(df: DataFrame, ref: DataFrame, city: str = "city", state: str =
     length [+ state]) followed by a filter, never a cross product.  Output adds
     ``city_fixed`` and ``match_how``.
     """
-    r = ref.select(F.upper(F.col("city_name")).alias("rc"), F.upper(F.col("state_code")).alias("rs")).distinct()
-    v = df.select(F.upper(F.trim(F.col(city))).alias("v"), F.upper(F.col(state)).alias("s")).distinct().where(
-        F.col("v").isNotNull() & (F.col("v") != ""))
+    # the distinct values and the reference list feed five stages: materialise each once (reliable checkpoint)
+    r = cut_lineage(ref.select(F.upper(F.col("city_name")).alias("rc"), F.upper(F.col("state_code")).alias("rs")).distinct())
+    v = cut_lineage(df.select(F.upper(F.trim(F.col(city))).alias("v"), F.upper(F.col(state)).alias("s")).distinct().where(
+        F.col("v").isNotNull() & (F.col("v") != "")))
     # exact
     ex_s = v.join(r, (v.v == r.rc) & (v.s == r.rs)).select("v", "s", F.col("rc").alias("fixed"), F.lit(1).alias("stage"))
     ex_n = v.join(r, v.v == r.rc).select("v", "s", F.col("rc").alias("fixed"), F.lit(2).alias("stage"))
