@@ -36,12 +36,12 @@ def _layers(T):
     o = o.withColumn("scope", seg_fam).where(F.col("scope").isNotNull())
 
     def wide(df, scope_col, amount, order, client):
-        per = df.groupBy(F.col(scope_col).alias("scope")).agg(F.sum(amount).cast("double").alias("revenue"),
-                                                              F.countDistinct(order).cast("double").alias("orders"),
-                                                              F.countDistinct(client).cast("double").alias("clients"))
-        tot = df.agg(F.sum(amount).cast("double").alias("revenue"), F.countDistinct(order).cast("double").alias("orders"),
-                     F.countDistinct(client).cast("double").alias("clients")).withColumn("scope", F.lit("TOTAL"))
-        u = per.unionByName(tot).withColumn("ref_date", F.lit(QA_DATE).cast("date"))
+        # per scope and TOTAL in one aggregation (ROLLUP): each layer is scanned once
+        r = df.rollup(F.col(scope_col).alias("scope")).agg(
+            F.sum(amount).cast("double").alias("revenue"), F.countDistinct(order).cast("double").alias("orders"),
+            F.countDistinct(client).cast("double").alias("clients"), F.grouping_id().alias("_g"))
+        u = r.select(F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("scope")).alias("scope"),
+                     "revenue", "orders", "clients").withColumn("ref_date", F.lit(QA_DATE).cast("date"))
         return qa.metrics_long(u, ["ref_date", "scope"], ["revenue", "orders", "clients"])
 
     declared = wide(o.withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)")), "scope", "amt", "o_orderkey", "o_custkey")
