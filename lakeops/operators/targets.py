@@ -50,9 +50,10 @@ def target_vs_actual(sales: DataFrame, targets: DataFrame, month: str) -> DataFr
     """A-COM-28: per view (GERAL and each channel): realised, target, % and gap for the month."""
     m = F.lit(month).cast("date")
     s = sales.where(F.col("month") == m)
-    per = s.groupBy(F.col("channel").alias("view_key")).agg(C.money_sum("product_amount").alias("realised"))
-    tot = s.agg(C.money_sum("product_amount").alias("realised")).select(F.lit("GERAL").alias("view_key"), "realised")
-    real = per.unionByName(tot)
+    # per channel and the overall view in one aggregation (ROLLUP): one scan
+    r = s.rollup(F.col("channel").alias("view_key")).agg(C.money_sum("product_amount").alias("realised"),
+                                                          F.grouping_id().alias("_g"))
+    real = r.select(F.when(F.col("_g") == 1, F.lit("GERAL")).otherwise(F.col("view_key")).alias("view_key"), "realised")
     t = targets.where(F.col("month") == m).select("view_key", "target")
     j = t.join(real, "view_key", "full_outer")
     r = F.coalesce("realised", F.lit(0))

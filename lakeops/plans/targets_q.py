@@ -36,9 +36,10 @@ def _ds(T):
 def _targets(T):
     """Monthly targets of 2001 per view: last year's same-month revenue + 10 %."""
     ds = _ds(T).where(F.year("invoice_date") == 2000)
-    per = ds.groupBy("month", F.col("channel").alias("view_key")).agg(F.sum("product_amount").alias("r"))
-    tot = ds.groupBy("month").agg(F.sum("product_amount").alias("r")).withColumn("view_key", F.lit("GERAL"))
-    u = per.unionByName(tot)
+    r = ds.rollup("month", F.col("channel").alias("view_key")).agg(F.sum("product_amount").alias("r"),
+                                                                    F.grouping_id().alias("_g"))
+    u = r.where(F.col("_g") != 3).select(
+        "month", F.when(F.col("_g") == 1, F.lit("GERAL")).otherwise(F.col("view_key")).alias("view_key"), "r")
     return u.select(F.add_months("month", 12).alias("month"), "view_key", money(F.col("r") * dec("1.10")).alias("target"))
 
 
