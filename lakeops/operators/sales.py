@@ -193,9 +193,10 @@ def purchases_kpis(purchases: DataFrame, imports: DataFrame, sales: DataFrame, n
            .where(_since_months("invoice_date", ref, 12) & F.col("excluded_at").isNull())
            .agg(F.count("*").alias("dom_orders"), C.money_sum0("product_amount").alias("dom_value")))
     imp = imports.where(F.col("excluded_at").isNull())
-    by_sup = imp.groupBy("supplier_name").agg(F.sum("total_brl").alias("v"))
+    # one pass over imports: per-supplier sums, then the total and the top supplier from that small result
+    by_sup = imp.groupBy("supplier_name").agg(F.sum("total_brl").alias("v"), F.sum("total_usd").alias("u"))
     top = by_sup.agg(F.max_by(F.struct("v", "supplier_name"), F.struct("v", "supplier_name")).alias("t"))
-    imp_tot = imp.agg(C.money_sum0("total_brl").alias("import_brl"), C.money_sum0("total_usd").alias("import_usd"))
+    imp_tot = by_sup.agg(C.money_sum0("v").alias("import_brl"), C.money_sum0("u").alias("import_usd"))
     ven = (sales.join(fin, "nature_code").where(_since_months("invoice_date", ref, 12))
            .agg(C.money_sum0("product_amount").alias("sales_value")))
     one = dom.crossJoin(imp_tot).crossJoin(top).crossJoin(ven)  # four 1-row aggregates
