@@ -140,7 +140,7 @@ def alert_detail(alert_rows: DataFrame, alert_type: str) -> DataFrame:
         C.money_sum("revenue").alias("revenue"))
 
 
-def pipeline_health(deals: DataFrame, stages: DataFrame, now: str) -> DataFrame:
+def deal_stage_health(deals: DataFrame, stages: DataFrame, now: str) -> DataFrame:
     """A-COM-11: by stage x status: deals, value, mean value, mean days in stage, most frequent lost reason."""
     d = live_deals(deals)
     days = F.datediff(_now(now).cast("date"), F.col("stage_change_time").cast("date"))

@@ -176,7 +176,7 @@ def abc_kpis(ranking: DataFrame, top_share: float = P.ABC_TOP_SHARE) -> DataFram
     return r.agg(
         C.money_sum("revenue").alias("top_revenue"),
         C.count_if(F.col("abc_class") == "A").alias("class_a"),
-        C.pct(F.sum(F.when(F.col("position") <= F.col("_k"), F.col("revenue"))), F.sum("revenue")).alias("top20_share_pct"),
+        C.pct(F.sum(F.when(F.col("position") <= F.col("_k"), F.col("revenue"))), F.sum("revenue")).alias("top_share_pct"),
     )
 
 

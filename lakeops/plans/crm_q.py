@@ -262,7 +262,7 @@ def q_salesperson_panel(spark, sf):
     return crm.salesperson_panel(_c360(T), T.calls, T.crm_users)
 
 
-@register("pipeline_health", with_views(f"""
+@register("deal_stage_health", with_views(f"""
 WITH d AS ({LIVE}),
 a AS (SELECT stage_id, status, COUNT(*) AS deals, CAST(SUM(value) AS DECIMAL(18,2)) AS value,
              CAST(SUM(value) AS DOUBLE) / NULLIF(CAST(COUNT(value) AS DOUBLE), 0) AS mean_value,
@@ -274,9 +274,9 @@ t AS (SELECT stage_id, status, lost_reason AS top_lost_reason FROM (
       WHERE k = 1)
 SELECT a.*, t.top_lost_reason, s.stage_name FROM a LEFT JOIN t ON t.stage_id = a.stage_id AND t.status = a.status
 LEFT JOIN stages s ON s.stage_id = a.stage_id""", "deals", "stages"))
-def q_pipeline_health(spark, sf):
+def q_deal_stage_health(spark, sf):
     T = _T(spark, sf)
-    return crm.pipeline_health(T.deals, T.stages, NOW)
+    return crm.deal_stage_health(T.deals, T.stages, NOW)
 
 
 @register("funnel_status", with_views(f"""

@@ -153,7 +153,7 @@ def q_abc_ranking(spark, sf):
 @register("abc_kpis", with_views(f"""WITH rk AS ({_ABC_SQL}),
 n AS (SELECT greatest(1, floor(COUNT(*) * 0.2)) AS k FROM rk)
 SELECT CAST(SUM(revenue) AS DECIMAL(18,2)) AS top_revenue, COUNT(CASE WHEN abc_class = 'A' THEN 1 END) AS class_a,
-       {_pct('SUM(CASE WHEN position <= (SELECT k FROM n) THEN revenue END)', 'SUM(revenue)')} AS top20_share_pct FROM rk""",
+       {_pct('SUM(CASE WHEN position <= (SELECT k FROM n) THEN revenue END)', 'SUM(revenue)')} AS top_share_pct FROM rk""",
                                  "sales_order", "nature", "partner"))
 def q_abc_kpis(spark, sf):
     return SA.abc_kpis(_abc(DriverTables(spark, sf)))

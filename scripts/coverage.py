@@ -54,7 +54,7 @@ M = [
     ("JON-13", "operators.sales.quote_cycle", "quote_cycle"), ("JON-14", "operators.cdc.archive_changed", "archive_changed_orders"),
     ("AGG-1", "functions.columns.count_if / sum_if", "sales_month_kpis, deal_metrics"), ("AGG-2", "functions.columns.count_distinct_if", "salesperson_panel"),
     ("AGG-3", "array_join(array_sort(collect_set))", "rfv_base, alert_detail_off_radar"),
-    ("AGG-4", "exact mode (pipeline_health); functions.aggregations.approx_top_value", "pipeline_health"),
+    ("AGG-4", "exact mode (deal_stage_health); functions.aggregations.approx_top_value", "deal_stage_health"),
     ("AGG-5", "percentile_approx sketch", "quote_cycle, first_reply"), ("AGG-6", "functions.columns.safe_div / pct", "sales_by_channel"),
     ("AGG-7", "functions.columns.value_at_max", "abc_ranking"), ("AGG-8", "min/max for determinism", "attach_portfolio"),
     ("AGG-9", "where after agg", "activities_by_type"), ("AGG-10", "weighted mean", "mean_term, rfv_summary"),
@@ -80,7 +80,7 @@ M = [
     ("A-COM-3", "commercial.rfv_score", "rfv_score"), ("A-COM-4", "commercial.rfv_summary", "rfv_summary, rfv_summary_36m"),
     ("A-COM-5", "commercial.rfv_history", "rfv_history"), ("A-COM-6", "crm.customer_360", "customer_360"),
     ("A-COM-7", "crm.deal_metrics", "deal_metrics"), ("A-COM-8", "crm.alerts", "alerts"), ("A-COM-9", "crm.salesperson_panel", "salesperson_panel"),
-    ("A-COM-10", "crm.call_stats", "call_stats"), ("A-COM-11", "crm.pipeline_health", "pipeline_health"), ("A-COM-12", "crm.alert_digest", "alert_digest"),
+    ("A-COM-10", "crm.call_stats", "call_stats"), ("A-COM-11", "crm.deal_stage_health", "deal_stage_health"), ("A-COM-12", "crm.alert_digest", "alert_digest"),
     ("A-COM-13", "crm.alert_detail", "alert_detail_off_radar"),
     ("A-COM-14", "crm.rfv_kpis / rfv_cells / rfv_segments / rfv_owner_panel", "rfv_kpis, rfv_cells, rfv_segments, rfv_owner_panel"),
     ("A-COM-15", "crm.rfv_clients, rfv_periods, rfv_portfolios", "rfv_clients_at_risk, rfv_periods, rfv_portfolios"),
