@@ -28,3 +28,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = rules.fit(docs, table(spark, sf_dir, "labels"))
     return rules.apply_rules(docs, learned).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@register
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import secrets as S
+
+    found = S.find_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *(S.count_of(spans, k).alias(f"n_{k}") for k in S.KINDS),
+        F.sha2(S.span_list(spans, S.KINDS[:3]), 256).alias("base_sha256"), S.span_list(spans).alias("spans"))
