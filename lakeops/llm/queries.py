@@ -32,10 +32,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lakeops.llm import secrets as S
+    from lakeops.llm import secret_scan as S
 
     found = S.find_secrets(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
     return found.select(
         "doc_id", *(S.count_of(spans, k).alias(f"n_{k}") for k in S.KINDS),
         F.sha2(S.span_list(spans, S.KINDS[:3]), 256).alias("base_sha256"), S.span_list(spans).alias("spans"))
+
+
+@register
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import fingerprints
+
+    return fingerprints.edit_report(table(spark, sf_dir, "documents"))
