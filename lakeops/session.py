@@ -7,6 +7,7 @@ settings that are unset, so a cluster's own values always win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,10 @@ DEFAULTS = {
 }
 
 
+# scratch folders of local sessions, by application
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakeops") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -38,16 +43,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value is used as is.  Only when it is unset (local tests) a
-    scratch folder is created and registered.
+    The cluster's value is used as is.  Only a local session (tests) may do without: it gets a scratch
+    folder, once per application.  On a cluster a missing setting is an error, as a folder of the
+    driver's machine would be lost to the executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(sc.applicationId)
     if not d:
-        d = tempfile.mkdtemp(prefix="lakeops-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        d = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="lakeops-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 
