@@ -46,3 +46,25 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeops.llm import fingerprints
 
     return fingerprints.edit_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lakeops.llm import token_file
+    from lakeops.llm.staging import shared_path
+
+    path = shared_path(spark, "tokens")
+    token_file.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_file.document_report(spark, path)
+
+
+@register
+def op9_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lakeops.llm import piece_bpe
+
+    coded = piece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
