@@ -68,3 +68,12 @@ def op9_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     coded = piece_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~F.coalesce(langid.held_out(F.col("doc_id")), F.lit(True))))
+    return langid.predict(docs, model).select("doc_id", F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
