@@ -77,3 +77,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(~F.coalesce(langid.held_out(F.col("doc_id")), F.lit(True))))
     return langid.predict(docs, model).select("doc_id", F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@register
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import ngram_join
+
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
