@@ -84,3 +84,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeops.llm import ngram_join
 
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import substring_dedup
+
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
