@@ -26,13 +26,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.spans import SpanCoder, gather
+from lakeops.llm.spans import SpanCoder, gather, kept_in_worker
 from lakeops.llm.words import chunks, text_buffers
 
 SPACE = "▁"
 SHORT = 40  # symbols; longer segments use a heap
 GROUP = 4_000  # segments merged together
-CHUNK = 1 << 22  # bytes of text coded at a time
+CHUNK = 1 << 21  # bytes of text coded at a time
 AGREES, DIFFERS = -1, -2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
@@ -290,7 +290,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     name = model_file(docs.sparkSession, model)
 
     def run(batches):
-        enc = Encoder(SparkFiles.get(name))
+        enc = kept_in_worker(f"pieces {name}", lambda: Encoder(SparkFiles.get(name)))
         for batch in batches:
             for a in range(0, len(batch), slice_rows):
                 rows = batch.slice(a, slice_rows)

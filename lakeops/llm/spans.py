@@ -7,13 +7,16 @@ handed to ``learn`` as bytes.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 import numpy as np
 
 from lakeops.llm.words import MULT, Hasher, mix
 
-MAX_SPANS = 400_000  # distinct spans kept per task
+MAX_SPANS = 800_000  # distinct spans kept by a Python worker
+RECENT = 50_000  # new spans kept apart before they are sorted into the others
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -24,40 +27,82 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 class SpanCoder:
-    """learn(bytes of the new spans, their sizes) -> (flat codes, number of codes of each span)."""
+    """learn(bytes of the new spans, their sizes) -> (flat codes, number of codes of each span).
 
-    def __init__(self, learn: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], dtype=np.int32):
-        self.learn, self.dtype = learn, dtype
-        self.hasher = Hasher()
+    ``lower``: spans that differ in the case of A-Z only have the same codes, but for those that hold ``exact``.
+    """
+
+    def __init__(self, learn: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], dtype=np.int32,
+                 lower: bool = False, exact: bytes = b""):
+        self.learn, self.dtype, self.exact = learn, dtype, exact
+        self.hasher, self.plain = Hasher(lower), Hasher()
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # two sorted tables: the bulk, and the spans of late (small, so that adding to it is cheap)
+        self.tables = [self._table(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
         self.flat = np.zeros(0, self.dtype)
+        self.n_codes = 0
+
+    @staticmethod
+    def _table(keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        return keys[order], starts[order], sizes[order]
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known, start, size) of each key."""
+        known = np.zeros(len(keys), bool)
+        start, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        for have, starts, sizes in self.tables:
+            if len(have):
+                at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+                hit = have[at] == keys
+                known |= hit
+                start[hit], size[hit] = starts[at[hit]], sizes[at[hit]]
+        return known, start, size
+
+    def _add(self, keys: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        starts = self.n_codes + np.cumsum(sizes) - sizes
+        self.flat = np.concatenate([self.flat, flat.astype(self.dtype)])
+        self.n_codes += len(flat)
+        bulk, late = self.tables
+        late = tuple(np.concatenate(x) for x in zip(late, (keys, starts, sizes), strict=True))
+        if len(late[0]) > RECENT:
+            bulk, late = self._table(*(np.concatenate(x) for x in zip(bulk, late, strict=True))), tuple(x[:0] for x in late)
+        self.tables = [bulk, self._table(*late)]
 
     def code(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat codes of all spans in order, number of codes of each span)."""
         if not len(starts):
             return self.flat[:0], np.zeros(0, np.int64)
         h = self.hasher
-        hashes = mix(h.spans(h.prefix(h.table[data], MULT), starts, ends, MULT))
-        keys, first, where = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
+        hashes = h.spans(h.prefix(h.table[data], MULT), starts, ends, MULT)
+        if self.exact:
+            found = data == self.exact[0]
+            for i, c in enumerate(self.exact[1:], 1):
+                found[:-i] &= data[i:] == c
+                found[-i:] = False
+            if found.any():
+                own = np.unique(np.searchsorted(starts, np.flatnonzero(found), "right") - 1)
+                plain = self.plain.prefix(self.plain.table[data], MULT)
+                hashes[own] = self.plain.spans(plain, starts[own], ends[own], MULT) + np.uint64(0x632BE59BD9B4E019)
+        keys, first, where = np.unique(mix(hashes), return_index=True, return_inverse=True)
+        known, start, size = self._find(keys)
         if not known.all():
-            if len(self.keys) + np.count_nonzero(~known) > MAX_SPANS:
+            if sum(len(t[0]) for t in self.tables) + np.count_nonzero(~known) > MAX_SPANS:
                 self._clear()
                 known[:] = False
-            s, n = starts[first[~known]], (ends - starts)[first[~known]]
-            flat, sizes = self.learn(gather(data, s, n), n)
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-            self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat.astype(self.dtype)])
-            self.keys = np.concatenate([self.keys, keys[~known]])
-            order = np.argsort(self.keys, kind="stable")
-            self.keys, self.starts, self.sizes = self.keys[order], self.starts[order], self.sizes[order]
-            at = np.searchsorted(self.keys, keys)
-        sizes = self.sizes[at][where]
-        return gather(self.flat, self.starts[at][where], sizes), sizes
+            at = first[~known]
+            s, n = starts[at], (ends - starts)[at]
+            self._add(keys[~known], *self.learn(gather(data, s, n), n))
+            _, start, size = self._find(keys)
+        size = size[where]
+        return gather(self.flat, start[where], size), size
+
+
+def kept_in_worker(name: str, make: Callable[[], object]):
+    """An object that a Python worker makes once and keeps for all of its tasks (vocabularies, caches)."""
+    store = sys.modules.setdefault("_lakeops_llm_kept", types.ModuleType("_lakeops_llm_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]

@@ -28,12 +28,12 @@ from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.spans import SpanCoder
+from lakeops.llm.spans import SpanCoder, gather, kept_in_worker
 from lakeops.llm.words import Hasher, chunks, text_buffers
 
 MAGIC = b"DAC1"
 SHARD_TOKENS = 1 << 18
-CHUNK = 1 << 22  # bytes of text coded at a time
+CHUNK = 1 << 20  # bytes of text coded at a time
 
 
 # --- directly addressable codes ---------------------------------------------------
@@ -132,33 +132,67 @@ class Shard:
 class WordTokenizer:
     """Ids of whole texts by the tokenizers library, word by word.
 
-    Right for tokenizers that split at white space and drop it; each distinct word goes through the library once
-    while the coder holds it.
+    Right for tokenizers that lower-case, drop white space and split letters from what follows them.  A word is cut
+    before one of ``.,;:!?`` that follows a-z.  Each distinct word goes through the library once while the coder holds
+    it; words of letters alone go many to a call, as their ids part where a token ends a word.
     """
 
+    JOINED = 200  # words of letters in one call
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.coder = SpanCoder(self._learn)
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.coder = SpanCoder(self._learn, lower=True, exact=b"<|")  # special tokens are matched in their own case
         self.words = Hasher()
+        self.letter, self.point = np.zeros(256, bool), np.zeros(256, bool)
+        self.letter[[*range(65, 91), *range(97, 123)]] = True
+        self.point[list(b".,;:!?")] = True
+
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, data: np.ndarray, n_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw, ends = data.tobytes(), np.cumsum(n_bytes).tolist()
         texts = [raw[a:b].decode("utf-8") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.array([len(g) for g in got], np.int64)
-        return np.fromiter((i for g in got for i in g), np.int32, int(sizes.sum())), sizes
+        alpha = [i for i, t in enumerate(texts) if t.isalpha()]
+        other = [i for i, t in enumerate(texts) if not t.isalpha()]
+        parts, sizes, owners = [], [], []
+        groups = [alpha[a : a + self.JOINED] for a in range(0, len(alpha), self.JOINED)]
+        for group, ids in zip(groups, self._each(["\n".join(texts[i] for i in g) for g in groups]), strict=True):
+            ids = np.array(ids, np.int32)
+            cuts = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(cuts) == len(group):
+                parts.append(ids)
+                sizes.append(np.diff(cuts, prepend=0))
+                owners.append(group)
+            else:  # a letter whose lower case is more than letters
+                other += group
+        each = self._each([texts[i] for i in other])
+        parts.append(np.array([x for ids in each for x in ids], np.int32))
+        sizes.append(np.array([len(ids) for ids in each], np.int64))
+        owners.append(other)
+        flat, size, owner = np.concatenate(parts), np.concatenate(sizes).astype(np.int64), np.concatenate([np.array(o, np.int64) for o in owners])
+        order = np.argsort(owner)
+        return gather(flat, (np.cumsum(size) - size)[order], size[order]), size[order]
 
     def encode(self, col: pa.Array):
         """(flat ids, first id of each text and the total) for each chunk of the column, in order."""
         data, offsets = text_buffers(col)
         for a, b in chunks(offsets, CHUNK):
-            d = data[offsets[a] : offsets[b]]
-            w = self.words.words(d, offsets[a : b + 1] - offsets[a])
-            flat, sizes = self.coder.code(d, w.starts, w.ends)
-            yield flat, np.concatenate([[0], np.cumsum(sizes)])[w.offsets]
+            d, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            starts, ends = self.words.bounds(d, o)
+            cut = np.zeros(len(d), bool)
+            cut[1:] = self.point[d[1:]] & self.letter[d[:-1]]
+            cut[starts] = False
+            cut = np.flatnonzero(cut)
+            starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+            flat, sizes = self.coder.code(d, starts, ends)
+            yield flat, np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, o)]
 
 
 def with_end(flat: np.ndarray, firsts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +218,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, chu
     ordered = part.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def shards(batches):
-        tok = WordTokenizer(SparkFiles.get(name))
+        tok = kept_in_worker(f"tokens {name}", lambda: WordTokenizer(SparkFiles.get(name)))
         number, seq, start = TaskContext.get().partitionId(), 0, 0
         ids, flats, sizes, held = [], [], [], 0
 

@@ -96,8 +96,8 @@ class Hasher:
         p = self.prefix(words, MULT_WORDS)
         return (p[k:] - p[:-k]) * self.powers(MULT_WORDS, len(p))[1][:n]
 
-    def words(self, data: np.ndarray, offsets: np.ndarray) -> "Words":
-        """Words of the documents data[offsets[i]:offsets[i+1]]."""
+    def bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end byte of each word of the documents data[offsets[i]:offsets[i+1]]."""
         n = len(data)
         ns = self.nonspace[data]
         st = np.empty(n, bool)
@@ -110,7 +110,10 @@ class Hasher:
         st[heads] = ns[heads]
         tails = heads[1:] - 1 if len(heads) else heads
         en[tails] = ns[tails]
-        starts, ends = np.flatnonzero(st), np.flatnonzero(en) + 1
+        return np.flatnonzero(st), np.flatnonzero(en) + 1
+
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> "Words":
+        starts, ends = self.bounds(data, offsets)
         prefix = self.prefix(self.table[data], MULT)
         hashes = mix(self.spans(prefix, starts, ends, MULT))
         return Words(starts, ends, np.searchsorted(starts, offsets), hashes, prefix)
