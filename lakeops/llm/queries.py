@@ -91,3 +91,20 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeops.llm import substring_dedup
 
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import importance
+
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lakeops.llm import packing
+
+    docs = table(spark, sf_dir, "documents")
+    return packing.best_fit(packing.measured(docs, public_tokenizers.path("word_bpe_49k.json")), docs.count())
