@@ -135,10 +135,13 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, dim:
 def calibrated(model: Model, logits: np.ndarray, y: np.ndarray, min_score: float, max_error: float) -> Model:
     """Temperature of the lowest log loss, and the rejection threshold."""
     best = np.inf
+    # one more document, wrongly told, counts as seen: without it a sample without errors would make every score 1
+    doubt = 1 / (len(y) + 2)
     for t in np.geomspace(0.05, 1000, 121):
-        model_t = Model(model.langs, model.table, model.bias, t)
-        p = model_t.scores(logits)[np.arange(len(y)), y]
-        loss = -np.log(np.maximum(p, 1e-12)).mean()
+        p = np.maximum(Model(model.langs, model.table, model.bias, t).scores(logits), 1e-12)
+        right = p[np.arange(len(y)), y]
+        others = (np.log(p).sum(axis=1) - np.log(right)) / max(1, p.shape[1] - 1)
+        loss = -((1 - doubt) * np.log(right) + doubt * others).mean()
         if loss < best:
             best, model.temperature = loss, float(t)
     p = model.scores(logits)
@@ -180,35 +183,59 @@ def fit(docs: DataFrame, *, sample_docs: int = 4000, id_col: str = "doc_id", tex
     return train([(np.frombuffer(r.buckets, np.uint16).astype(np.int64), np.frombuffer(r.counts, np.uint32).astype(np.float64)) for r in rows], [r.lang for r in rows], **options)
 
 
+class Predictor:
+    """Language, score and rejection of the texts of a column."""
+
+    def __init__(self, model: Model | None):
+        self.model, self.sub = model, Subwords()
+        self.ascii_letter = np.zeros(256, bool)
+        self.ascii_letter[[*range(65, 91), *range(97, 123)]] = True
+
+    def __call__(self, col: pa.Array) -> tuple[list[str], list[float], list[bool]]:
+        model = self.model
+        data, offsets = text_buffers(col)
+        lang, score, rejected = [], [], []
+        for a, b in chunks(offsets, CHUNK):
+            d, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            seen = np.concatenate([[0], np.cumsum(self.ascii_letter[d])])[o]
+            sure = seen[1:] > seen[:-1]
+            p = model.scores(model.logits(self.sub, d, o)) if model else np.zeros((b - a, 1))
+            best, top = p.argmax(axis=1).tolist(), p.max(axis=1).tolist()
+            for i in range(b - a):
+                ok = model is not None and (sure[i] or has_letter(d[o[i] : o[i + 1]].tobytes().decode("utf-8")))
+                lang.append(model.langs[best[i]] if ok else UNKNOWN)
+                score.append(top[i] if ok else 0.0)
+                rejected.append(not ok or top[i] < model.reject_below)
+        return lang, score, rejected
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, rejected) of each row, from its whole text alone."""
     part = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = part.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        sub = Subwords()
-        ascii_letter = np.zeros(256, bool)
-        ascii_letter[[*range(65, 91), *range(97, 123)]] = True
+        predictor = Predictor(model)
         for batch in batches:
-            data, offsets = text_buffers(batch.column("text"))
-            lang, score, rejected = [], [], []
-            for a, b in chunks(offsets, CHUNK):
-                d, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                seen = np.concatenate([[0], np.cumsum(ascii_letter[d])])[o]
-                sure = seen[1:] > seen[:-1]
-                p = model.scores(model.logits(sub, d, o)) if model else np.zeros((b - a, 1))
-                best, top = p.argmax(axis=1).tolist(), p.max(axis=1).tolist()
-                for i in range(b - a):
-                    ok = model is not None and (sure[i] or has_letter(d[o[i] : o[i + 1]].tobytes().decode("utf-8")))
-                    lang.append(model.langs[best[i]] if ok else UNKNOWN)
-                    score.append(top[i] if ok else 0.0)
-                    rejected.append(not ok or top[i] < model.reject_below)
+            lang, score, rejected = predictor(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                                              names=["doc_id", "lang_pred", "score", "rejected"])
 
     return part.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all of their columns, that the model does not reject."""
+
+    def run(batches):
+        predictor = Predictor(model)
+        for batch in batches:
+            rejected = predictor(batch.column(text_col))[2]
+            yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id):
     """Documents that training never sees: crc32 of the id as text leaves 1 when divided by 3."""
     return F.crc32(doc_id.cast("string")) % 3 == 1

@@ -166,12 +166,8 @@ SPANS = "array<struct<kind:string,start:long,end:long,log10_guesses:double>>"
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_log10_guesses: float = 10.0,
-                 words: list[str] | None = None, redact: bool = False) -> DataFrame:
-    """(doc_id, spans[, text]) for each input row, spans ordered by start and kind.
-
-    ``redact`` also returns the text with every stretch covered by spans replaced by ``[kind]`` of its
-    first span (overlapping and touching spans are one stretch); a null text stays null.
-    """
+                 words: list[str] | None = None) -> DataFrame:
+    """(doc_id, spans) for each input row, spans ordered by start and kind."""
     part = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = part.schema["doc_id"].dataType.simpleString()
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("log10_guesses", pa.float64())])
@@ -179,16 +175,26 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def scan(batches):
         scanner = Scanner(min_log10_guesses, words)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [scanner(t or "") for t in texts]
-            cols = [batch.column("doc_id"), pa.array([[dict(zip(("kind", "start", "end", "log10_guesses"), s, strict=True)) for s in f] for f in found], pa.list_(item))]
-            names = ["doc_id", "spans"]
-            if redact:
-                cols.append(pa.array([masked(t, f) if f else t for t, f in zip(texts, found, strict=True)], pa.string()))
-                names.append("text")
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return part.mapInArrow(scan, f"doc_id {kind}, spans {SPANS}" + ", text string" * redact)
+            found = [[dict(zip(("kind", "start", "end", "log10_guesses"), s, strict=True)) for s in scanner(t or "")] for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(item))], names=["doc_id", "spans"])
+
+    return part.mapInArrow(scan, f"doc_id {kind}, spans {SPANS}")
+
+
+def redacted(docs: DataFrame, text_col: str = "text", *, min_log10_guesses: float = 10.0, words: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` with all of their columns, each stretch of the text that spans cover replaced by ``[kind]``.
+
+    Overlapping and touching spans are one stretch, named after its first span.  A null text stays null.
+    """
+
+    def scan(batches):
+        scanner = Scanner(min_log10_guesses, words)
+        for batch in batches:
+            texts = [masked(t, found) if t and (found := scanner(t)) else t for t in batch.column(text_col).to_pylist()]
+            at = batch.schema.get_field_index(text_col)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return docs.mapInArrow(scan, docs.schema)
 
 
 def masked(text: str, spans) -> str:

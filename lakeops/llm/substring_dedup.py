@@ -329,11 +329,16 @@ def _removal(batches):
                 names=[*names, "n_words", "n_removed", "kept_text", "kept_sha256"])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_words, n_removed, kept_text, kept_sha256) of each row; kept_text: the kept words, one space between."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, n_words, n_removed, kept_text, kept_sha256) of each row; kept_text: the kept words, one space between.
+
+    ``carry``: other columns to return, as ``carry_0`` and so on.
+    """
     spark = docs.sparkSession
     part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    keyed = part.select("doc_id", "text", F.coalesce("doc_id", F.lit(-1)).alias("doc"), F.xxhash64("text").alias("sha"))
+    extra = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
+    keyed = keyed.withColumns({"doc": F.coalesce("doc_id", F.lit(-1)), "sha": F.xxhash64("text")})
     total = part.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 16
     while blocks < 1 << 14 and total / 80 / blocks > 1_000_000:  # an anchor for some 80 bytes of text
@@ -353,5 +358,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places = found.filter("mask IS NULL").select("c1", "c2", "doc", "sha", "at")
     # a repeated row has the same places twice
     hits = places.join(repeated, ["c1", "c2"]).groupBy("doc", "sha").agg(F.collect_list(F.struct("at", "mask")).alias("hits"))
-    joined = keyed.join(hits, ["doc", "sha"], "left").select("doc_id", "text", "hits")
-    return joined.mapInArrow(_removal, "doc_id long, text string, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    joined = keyed.join(hits, ["doc", "sha"], "left").drop("doc", "sha")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "hits")
+    return joined.mapInArrow(_removal, f"{kinds}, n_words long, n_removed long, kept_text string, kept_sha256 string")
