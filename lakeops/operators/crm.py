@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from lakeops import params as P
 from lakeops.functions import columns as C
 
-# Stage win probability used by the weighted forecast (parameter default, by stage order).
-STAGE_PROBABILITY = [(1, 0.1), (2, 0.25), (3, 0.5), (4, 0.75), (5, 0.9)]
-
-
 def _now(now: str) -> Column:
     return F.lit(now).cast("timestamp_ntz")
 
@@ -127,31 +123,40 @@ def alert_digest(alert_rows: DataFrame) -> DataFrame:
     return d.groupBy("alert_type", "priority").agg(F.count("*").alias("companies"), C.money_sum("revenue").alias("revenue"))
 
 
-def alert_detail(alert_rows: DataFrame, alert_type: str) -> DataFrame:
-    """A-COM-13: per company for one alert type: branch codes, families, owners, segments, CRM presence."""
+def alert_detail(alert_rows: DataFrame, bridge: DataFrame, alert_type: str) -> DataFrame:
+    """A-COM-13: per company for one alert type: branches, families, owners, segments, revenue, open deals and
+    their value, days without a deal, and whether (and as what) the bridge knows the company in the CRM."""
     a = alert_rows.where(F.col("alert_type") == alert_type)
 
-    def lst(c):
-        return F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), ", ")
+    def lst(c, sep=", "):
+        return F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), sep)
 
-    return a.groupBy(C.norm_name("partner_name").alias("company")).agg(
-        lst("partner_code").alias("branches"), lst("rfv_familia").alias("families"), lst("rfv_salesperson").alias("owners"),
-        lst("segment").alias("segments"), F.max(F.col("org_id").isNotNull()).alias("in_crm"),
-        C.money_sum("revenue").alias("revenue"))
+    g = a.groupBy(C.norm_name("partner_name").alias("company")).agg(
+        F.countDistinct("partner_code").alias("branches"), lst("rfv_familia", " + ").alias("families"),
+        lst("rfv_salesperson").alias("owners"), lst("segment").alias("segments"), F.max("revenue").alias("revenue"),
+        F.max("deals_open").alias("deals_open"), F.max("open_value").alias("open_value"),
+        F.min("days_without_deal").alias("days_without_deal"), F.min("message").alias("message"))
+    known = bridge.where(F.col("partner_name").isNotNull()).groupBy(C.norm_name("partner_name").alias("company")).agg(
+        F.max(F.col("org_id").isNotNull()).alias("in_crm"), lst("org_name").alias("crm_names"))
+    return g.join(known, "company", "left").withColumn("in_crm", F.coalesce("in_crm", F.lit(False)))
 
 
 def deal_stage_health(deals: DataFrame, stages: DataFrame, now: str) -> DataFrame:
-    """A-COM-11: by stage x status: deals, value, mean value, mean days in stage, most frequent lost reason."""
+    """A-COM-11: by pipeline x stage x status: deals, value, mean value, mean days in stage, most frequent lost reason.
+
+    The reason is the most frequent value over all deals of the group, none included; of equal counts the larger text.
+    """
     d = live_deals(deals)
+    keys = ["pipeline_id", "stage_id", "status"]
     days = F.datediff(_now(now).cast("date"), F.col("stage_change_time").cast("date"))
-    agg = d.groupBy("stage_id", "status").agg(
+    agg = d.groupBy(*keys).agg(
         F.count("*").alias("deals"), C.money_sum("value").alias("value"),
         C.safe_div(F.sum("value"), F.count("value")).alias("mean_value"), F.avg(days).alias("mean_days_in_stage"))
-    reasons = d.where(F.col("status") == "lost").groupBy("stage_id", "status", "lost_reason").agg(F.count("*").alias("n"))
-    top = reasons.groupBy("stage_id", "status").agg(F.max(F.struct("n", "lost_reason")).alias("t")).select(
-        "stage_id", "status", F.col("t.lost_reason").alias("top_lost_reason"))
-    out = agg.join(top, ["stage_id", "status"], "left")
-    return out.join(F.broadcast(stages.select("stage_id", "stage_name")), "stage_id", "left")
+    reasons = d.groupBy(*keys, "lost_reason").agg(F.count("*").alias("n"))
+    top = reasons.groupBy(*keys).agg(F.max(F.struct("n", "lost_reason")).alias("t")).select(*keys, F.col("t.lost_reason").alias("top_lost_reason"))
+    both = agg.alias("a").join(top.alias("t"), [F.col(f"a.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
+    out = both.select("a.*", "t.top_lost_reason")
+    return out.join(F.broadcast(stages.select("stage_id", "stage_name", "order_nr")), "stage_id")
 
 
 def funnel_status(deals: DataFrame) -> DataFrame:
@@ -159,31 +164,44 @@ def funnel_status(deals: DataFrame) -> DataFrame:
     return live_deals(deals).groupBy("status").agg(F.count("*").alias("deals"), C.money_sum("value").alias("value"))
 
 
-def funnel_kpis(deals: DataFrame, stages: DataFrame, probability=STAGE_PROBABILITY) -> DataFrame:
-    """A-COM-25: win rate of closed deals, mean won cycle (0..365 days), weighted open forecast."""
-    d = live_deals(deals).join(F.broadcast(stages.select("stage_id", "order_nr")), "stage_id", "left")
+def funnel_kpis(deals: DataFrame) -> DataFrame:
+    """A-COM-25: deals by status, won share of all and of closed deals, open and won value, mean cycle of won deals
+    (whole days, 0..365), forecast = open value x won share of closed deals."""
     st = F.col("status")
-    cyc = F.datediff(F.col("won_time").cast("date"), F.col("add_time").cast("date"))
-    prob = P.case_lookup(F.col("order_nr"), probability, 0.0)
-    return d.agg(
-        C.pct(C.count_if(st == "won"), C.count_if(st.isin("won", "lost"))).alias("win_rate_pct"),
-        F.avg(F.when((st == "won") & cyc.between(0, 365), cyc)).alias("mean_cycle_days"),
-        F.round(F.sum(F.when(st == "open", F.col("value").cast("double") * prob)), 4).alias("weighted_forecast"),
-        C.money(F.coalesce(F.sum(F.when(st == "open", F.col("value"))), F.lit(0))).alias("open_value"))
+    days = F.floor(F.expr("timestampdiff(MICROSECOND, add_time, won_time)") / F.lit(86_400_000_000))
+    n = {s: C.count_if(st == s) for s in ("open", "won", "lost")}
+    g = live_deals(deals).agg(
+        F.count("*").alias("deals"), *(c.alias(s) for s, c in n.items()),
+        C.money(F.coalesce(F.sum(F.when(st == "open", F.col("value"))), F.lit(0))).alias("open_value"),
+        C.money(F.coalesce(F.sum(F.when(st == "won", F.col("value"))), F.lit(0))).alias("won_value"),
+        F.avg(F.when((st == "won") & days.between(0, 365), days)).alias("mean_cycle_days"))
+    zero = F.lit(0.0)
+    closed = F.coalesce(C.pct("won", F.col("won") + F.col("lost")), zero)
+    return (g.withColumn("won_pct", F.coalesce(C.pct("won", "deals"), zero)).withColumn("win_rate_pct", closed)
+            .withColumn("forecast", F.round(F.col("open_value").cast("double") * closed / F.lit(100.0), 4)))
+
 
+def funnel_by_stage(deals: DataFrame, stages: DataFrame) -> DataFrame:
+    """A-COM-25: open deals and their value per stage."""
+    d = live_deals(deals).where(F.col("status") == "open").join(F.broadcast(stages.select("stage_id", "stage_name", "order_nr")), "stage_id", "left")
+    return d.groupBy("order_nr", "stage_name").agg(F.count("*").alias("deals"), C.money(F.coalesce(F.sum("value"), F.lit(0))).alias("value"))
 
-def top_owners(deals: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
-    """A-COM-25: top owners by won value (top-n report)."""
-    d = live_deals(deals).where(F.col("status") == "won")
-    g = d.groupBy(F.col("owner_id").alias("user_id")).agg(F.count("*").alias("won"), C.money_sum("value").alias("won_value"))
-    g = g.join(F.broadcast(users.select("user_id", "user_name")), "user_id", "left")
-    return g.orderBy(F.col("won_value").desc(), F.col("user_id")).limit(n)
 
+def top_owners(deals: DataFrame, users: DataFrame, n: int = 10, unnamed: str = "Sem owner") -> DataFrame:
+    """A-COM-25: owners with the highest value over all of their deals (top-n report); unknown owners are one group."""
+    d = live_deals(deals).select("owner_id", "value").join(users.select(F.col("user_id").alias("owner_id"), "user_name"), "owner_id", "left")
+    g = d.groupBy(F.coalesce("user_name", F.lit(unnamed)).alias("user_name")).agg(
+        F.count("*").alias("deals"), C.money(F.coalesce(F.sum("value"), F.lit(0))).alias("value"))
+    return g.orderBy(F.col("value").desc(), F.col("user_name")).limit(n)
 
-def top_open_deals(deals: DataFrame, n: int = 10) -> DataFrame:
-    d = live_deals(deals).where(F.col("status") == "open")
-    return d.select("deal_id", "org_id", "owner_id", "stage_id", "value").orderBy(
-        F.col("value").desc(), F.col("deal_id")).limit(n)
+
+def top_open_deals(deals: DataFrame, stages: DataFrame, users: DataFrame, n: int = 30) -> DataFrame:
+    """A-COM-25: open deals of the highest value with pipeline, stage and owner (top-n report)."""
+    d = live_deals(deals).where(F.col("status") == "open").select(
+        "deal_id", "pipeline_id", "org_name", "stage_id", F.col("owner_id").alias("user_id"), F.coalesce("value", F.lit(0)).alias("value"))
+    top = d.orderBy(F.col("value").desc(), F.col("deal_id")).limit(n)
+    j = top.join(F.broadcast(stages.select("stage_id", "stage_name")), "stage_id", "left").join(users.select("user_id", "user_name"), "user_id", "left")
+    return j.select("deal_id", "pipeline_id", "org_name", "stage_name", "user_name", C.money("value").alias("value"))
 
 
 def stage_stats(deals: DataFrame, stages: DataFrame) -> DataFrame:
@@ -213,24 +231,35 @@ def sector_conversion(deals: DataFrame, stages: DataFrame, month: str, min_order
 
 
 def call_stats(calls: DataFrame) -> DataFrame:
-    """A-COM-10: per user: distinct conversations, total and mean minutes, positive / negative counts."""
-    g = calls.groupBy("user_key").agg(
+    """A-COM-10: per user: distinct conversations, total minutes, mean minutes of a call line, positive / negative lines."""
+    mood = F.lower("ai_sentiment")
+    return calls.groupBy("user_key").agg(
         F.countDistinct("conversation_id").alias("conversations"),
         (F.sum("duration_seconds").cast("double") / F.lit(60.0)).alias("total_minutes"),
-        C.count_if(F.col("ai_sentiment") == "positive").alias("positive"),
-        C.count_if(F.col("ai_sentiment") == "negative").alias("negative"))
-    return g.withColumn("mean_minutes", C.safe_div("total_minutes", "conversations"))
+        (F.avg("duration_seconds") / F.lit(60.0)).alias("mean_minutes"),
+        C.count_if(mood == "positive").alias("positive"), C.count_if(mood == "negative").alias("negative"))
+
 
+def activities_by(activities: DataFrame, start: str, end: str, ref: str, by: str = "type", users: DataFrame | None = None,
+                  exclude_users=()) -> DataFrame:
+    """A-COM-32: activities done in [start, end] (by done date, else due date), and all overdue ones at ``ref``, per ``by``.
 
-def activities_by(activities: DataFrame, start: str, end: str, ref: str, by: str = "type") -> DataFrame:
-    """A-COM-32: activities done (by done date, else due date) and overdue, per ``by`` in [start, end]."""
+    Activities without a user are left out.  ``users`` (user_id, user_name, is_active) keeps those of active users
+    and names them; names that start with one of ``exclude_users`` are left out.
+    """
     when_ = F.coalesce(F.col("marked_as_done_time").cast("date"), F.col("due_date"))
     in_p = when_.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     done = F.coalesce(F.col("done"), F.lit(False))
     overdue = ~done & (F.col("due_date") < F.lit(ref).cast("date"))
-    g = activities.where(in_p).groupBy(by).agg(C.count_if(done).alias("done"), C.count_if(overdue).alias("overdue"),
-                                                F.count("*").alias("total"))
-    return g.where(F.col("total") > 0)
+    a = activities.where(F.col("user_id").isNotNull())
+    keys = [by]
+    if users is not None:
+        u = users.where("is_active").select("user_id", "user_name")
+        for p in exclude_users:
+            u = u.where(~F.upper("user_name").startswith(p.upper()))
+        a, keys = a.join(u, "user_id"), [by, "user_name"] if by != "user_name" else [by]
+    g = a.groupBy(*keys).agg(C.count_if(done & in_p).alias("done"), C.count_if(overdue).alias("overdue"))
+    return g.where((F.col("done") > 0) | (F.col("overdue") > 0))
 
 
 # -- RFV panels (A-COM-14..16) ---------------------------------------------------------

@@ -18,9 +18,12 @@ from lakeops.functions import columns as C
 
 
 def share_of(df: DataFrame, value: str, by: str, out: str = "share", total_name: str | None = None) -> DataFrame:
-    """WIN-1 pro-rata share ``value / SUM(value) per by`` (DOUBLE, NULL when the total is 0)."""
-    tot = df.groupBy(by).agg(F.sum(value).alias("_share_total"))
-    j = df.join(tot, by)
+    """WIN-1 pro-rata share ``value / SUM(value) per by`` (DOUBLE, NULL when the total is 0).
+
+    Rows without a key share the total of all such rows, as a window partitioned by the key would give.
+    """
+    tot = df.groupBy(F.col(by).alias("_share_by")).agg(F.sum(value).alias("_share_total"))
+    j = df.join(tot, df[by].eqNullSafe(tot["_share_by"])).drop("_share_by")
     j = j.withColumn(out, C.safe_div(F.col(value), F.col("_share_total")))
     if total_name:
         return j.withColumnRenamed("_share_total", total_name)
@@ -53,8 +56,8 @@ def allocate_billing(orders: DataFrame, items: DataFrame, natures: DataFrame, pr
         "order_number", "invoice_number", "partner_code", "company_code", "nature_code", "salesperson_code",
         "order_date", "invoice_date", "item_code", "quantity", "line_value",
         C.money(F.col("order_items_total")).alias("order_items_total"), "item_pct",
-        fr.alias("freight_allocated"), ipi.alias("ipi_allocated"), icms.alias("icms_allocated"),
-        (F.col("line_value").cast("double") + fr + ipi).alias("total_item_allocated"),
+        *(F.round(x, 4).alias(n) for x, n in ((fr, "freight_allocated"), (ipi, "ipi_allocated"), (icms, "icms_allocated"))),
+        F.round(F.col("line_value").cast("double") + fr + ipi, 4).alias("total_item_allocated"),
     )
     out = out.join(products.select("item_code", "item_name", "group_code", "family_code"), "item_code", "left")
     return out.join(partners.select("partner_code", "partner_name"), "partner_code", "left")

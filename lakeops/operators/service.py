@@ -8,46 +8,59 @@ from pyspark.sql import functions as F
 from lakeops.functions import columns as C
 
 
+def _hours(now: str):
+    """Whole hours from opening to closing (won or lost); an open ticket runs until ``now``."""
+    return F.expr(f"timestampdiff(HOUR, add_time, coalesce(won_time, lost_time, TIMESTAMP_NTZ '{now}'))")
+
+
+def _month(c: str = "add_time"):
+    return F.trunc(F.col(c).cast("date"), "month").alias("month")
+
+
 def tickets(deals: DataFrame, now: str) -> DataFrame:
-    """A-SAC-1: by month x pipeline x status: tickets and mean resolution hours (still open -> until ``now``)."""
-    t = deals.where(~F.coalesce(F.col("is_deleted"), F.lit(False)))
-    mins = F.expr(f"timestampdiff(MINUTE, add_time, coalesce(won_time, lost_time, TIMESTAMP_NTZ '{now}'))")
-    return t.groupBy(F.trunc(F.col("add_time").cast("date"), "month").alias("month"), "pipeline_id", "status").agg(
-        F.count("*").alias("tickets"), (F.avg(mins) / F.lit(60.0)).alias("mean_hours"))
+    """A-SAC-1: by month of opening x pipeline x status: tickets and mean whole hours (still open -> until ``now``)."""
+    t = deals.where(F.col("add_time").isNotNull())
+    return t.groupBy(_month(), "pipeline_id", F.coalesce("status", F.lit("open")).alias("status")).agg(
+        F.count("*").alias("tickets"), F.avg(_hours(now)).alias("mean_hours"))
 
 
-def resolution_rate(deals: DataFrame) -> DataFrame:
-    """A-SAC-1: closed share per month and the month-weighted mean (AGG-10)."""
-    t = deals.where(~F.coalesce(F.col("is_deleted"), F.lit(False)))
-    m = t.groupBy(F.trunc(F.col("add_time").cast("date"), "month").alias("month")).agg(
-        F.count("*").alias("tickets"), C.count_if(F.col("status") != "open").alias("closed"))
-    return m.withColumn("resolution_pct", C.pct("closed", "tickets"))
+def resolution_rate(deals: DataFrame, now: str) -> DataFrame:
+    """A-SAC-1: per month of opening and over all months (month NULL): tickets, resolved (won), still open,
+    resolved share and mean hours, which weighs each ticket once."""
+    t = deals.where(F.col("add_time").isNotNull()).withColumn("month", _month()).withColumn("_h", _hours(now))
+    st = F.coalesce("status", F.lit("open"))
+    m = t.rollup("month").agg(F.count("*").alias("tickets"), C.count_if(st == "won").alias("resolved"),
+                              C.count_if(~st.isin("won", "lost")).alias("open"), F.avg("_h").alias("mean_hours"))
+    return m.withColumn("resolution_pct", C.pct("resolved", "tickets"))
 
 
-def sla_resolution(deals: DataFrame) -> DataFrame:
-    """A-SAC-2: mean hours to close (won or lost) per close month."""
-    t = deals.where(~F.coalesce(F.col("is_deleted"), F.lit(False)) & (F.col("status") != "open"))
-    close = F.coalesce(F.col("won_time"), F.col("lost_time"))
-    mins = F.expr("timestampdiff(MINUTE, add_time, coalesce(won_time, lost_time))")
-    return t.groupBy(F.trunc(close.cast("date"), "month").alias("month")).agg(
-        F.count("*").alias("closed"), (F.avg(mins) / F.lit(60.0)).alias("mean_hours"))
+def sla_resolution(deals: DataFrame, now: str) -> DataFrame:
+    """A-SAC-2: tickets and mean whole hours per month of opening, open tickets running until ``now``."""
+    t = deals.where(F.col("add_time").isNotNull())
+    return t.groupBy(_month()).agg(F.count("*").alias("tickets"), F.avg(_hours(now)).alias("mean_hours"))
 
 
-def first_reply(chats: DataFrame, json_col: str = "payload_json") -> DataFrame:
-    """A-SAC-2: per month, median minutes from first contact to first member reply, read by JSON path.
+def first_reply(chats: DataFrame, sector: str = "SAC", json_col: str = "payload_json") -> DataFrame:
+    """A-SAC-2: per month, median minutes from first contact to first member reply of one sector, read by JSON path.
 
     Negative gaps are dropped; the median is a sketch (bounded memory per group at any size).
     """
     first = F.get_json_object(json_col, "$.firstContactMessage.eventAtUTC").try_cast("timestamp_ntz")
     reply = F.get_json_object(json_col, "$.firstMemberReplyMessage.eventAtUTC").try_cast("timestamp_ntz")
     created = F.get_json_object(json_col, "$.createdAtUTC").try_cast("timestamp_ntz")
-    df = chats.select(created.alias("created"), first.alias("first"), reply.alias("reply"))
+    of = F.get_json_object(json_col, "$.sector.name")
+    df = chats.where(of == sector).select(created.alias("created"), first.alias("first"), reply.alias("reply"))
     mins = F.expr("timestampdiff(MINUTE, first, reply)")
     df = df.withColumn("minutes", mins).where(F.col("minutes") >= 0)
-    return df.groupBy(F.trunc(F.col("created").cast("date"), "month").alias("month")).agg(
+    return df.groupBy(_month("created")).agg(
         F.count("*").alias("replied"), F.percentile_approx("minutes", 0.5, 100000).cast("bigint").alias("median_minutes"))
 
 
+def first_reply_kpi(monthly: DataFrame) -> DataFrame:
+    """A-SAC-2: median of the monthly medians (the mean of the middle two for an even number of months)."""
+    return monthly.agg(F.percentile("median_minutes", 0.5).alias("median_minutes"), F.count("*").alias("months"))
+
+
 def calls_summary(calls: DataFrame) -> DataFrame:
     """A-SAC-3: calls by month x direction x sentiment: count, minutes, mean minutes."""
     g = calls.groupBy(F.trunc(F.col("call_created").cast("date"), "month").alias("month"), "direction", "ai_sentiment").agg(

@@ -235,12 +235,18 @@ def _lst(c):
 
 
 @register("alert_detail_off_radar", with_views(f"""
-SELECT upper(trim(partner_name)) AS company, {_lst('partner_code')} AS branches, {_lst('rfv_familia')} AS families,
-       {_lst('rfv_salesperson')} AS owners, {_lst('segment')} AS segments, bool_or(org_id IS NOT NULL) AS in_crm,
-       CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue
-FROM ({ALERTS_SQL}) a WHERE alert_type = 'FORA_DO_RADAR_CRM' GROUP BY 1""", *C360_VIEWS))
+WITH g AS (SELECT upper(trim(partner_name)) AS company, COUNT(DISTINCT partner_code) AS branches,
+                  string_agg(DISTINCT rfv_familia, ' + ' ORDER BY rfv_familia) AS families, {_lst('rfv_salesperson')} AS owners,
+                  {_lst('segment')} AS segments, MAX(revenue) AS revenue, MAX(deals_open) AS deals_open, MAX(open_value) AS open_value,
+                  MIN(days_without_deal) AS days_without_deal, MIN(message) AS message
+           FROM ({ALERTS_SQL}) a WHERE alert_type = 'FORA_DO_RADAR_CRM' GROUP BY 1),
+k AS (SELECT upper(trim(p.partner_name)) AS company, TRUE AS in_crm, {_lst('b.org_name')} AS crm_names
+      FROM ({BEST_SQL}) b JOIN partner p ON p.partner_code = b.partner_code WHERE b.org_id IS NOT NULL AND p.partner_name IS NOT NULL GROUP BY 1)
+SELECT g.*, COALESCE(k.in_crm, FALSE) AS in_crm, k.crm_names FROM g LEFT JOIN k ON k.company = g.company""", *C360_VIEWS, "partner"))
 def q_alert_detail(spark, sf):
-    return crm.alert_detail(_alerts(_T(spark, sf)), "FORA_DO_RADAR_CRM")
+    T = _T(spark, sf)
+    best = ER.best_bridge(_bridge(T)).select("partner_code", "org_id", "org_name").join(T.partner.select("partner_code", "partner_name"), "partner_code")
+    return crm.alert_detail(_alerts(T), best, "FORA_DO_RADAR_CRM")
 
 
 @register("salesperson_panel", with_views(f"""
@@ -264,16 +270,17 @@ def q_salesperson_panel(spark, sf):
 
 @register("deal_stage_health", with_views(f"""
 WITH d AS ({LIVE}),
-a AS (SELECT stage_id, status, COUNT(*) AS deals, CAST(SUM(value) AS DECIMAL(18,2)) AS value,
+a AS (SELECT pipeline_id, stage_id, status, COUNT(*) AS deals, CAST(SUM(value) AS DECIMAL(18,2)) AS value,
              CAST(SUM(value) AS DOUBLE) / NULLIF(CAST(COUNT(value) AS DOUBLE), 0) AS mean_value,
              AVG(date_diff('day', CAST(stage_change_time AS DATE), CAST(TIMESTAMP '{NOW}' AS DATE))) AS mean_days_in_stage
-      FROM d GROUP BY 1, 2),
-r AS (SELECT stage_id, status, lost_reason, COUNT(*) AS n FROM d WHERE status = 'lost' GROUP BY 1, 2, 3),
-t AS (SELECT stage_id, status, lost_reason AS top_lost_reason FROM (
-        SELECT *, row_number() OVER (PARTITION BY stage_id, status ORDER BY n DESC, lost_reason DESC NULLS LAST) AS k FROM r)
+      FROM d GROUP BY 1, 2, 3),
+r AS (SELECT pipeline_id, stage_id, status, lost_reason, COUNT(*) AS n FROM d GROUP BY 1, 2, 3, 4),
+t AS (SELECT pipeline_id, stage_id, status, lost_reason AS top_lost_reason FROM (
+        SELECT *, row_number() OVER (PARTITION BY pipeline_id, stage_id, status ORDER BY n DESC, lost_reason DESC NULLS LAST) AS k FROM r)
       WHERE k = 1)
-SELECT a.*, t.top_lost_reason, s.stage_name FROM a LEFT JOIN t ON t.stage_id = a.stage_id AND t.status = a.status
-LEFT JOIN stages s ON s.stage_id = a.stage_id""", "deals", "stages"))
+SELECT a.*, t.top_lost_reason, s.stage_name, s.order_nr FROM a
+JOIN t ON t.pipeline_id = a.pipeline_id AND t.stage_id = a.stage_id AND t.status = a.status
+JOIN stages s ON s.stage_id = a.stage_id""", "deals", "stages"))
 def q_deal_stage_health(spark, sf):
     T = _T(spark, sf)
     return crm.deal_stage_health(T.deals, T.stages, NOW)
@@ -285,36 +292,43 @@ def q_funnel_status(spark, sf):
     return crm.funnel_status(_T(spark, sf).deals)
 
 
-_PROB = "CASE " + " ".join(f"WHEN s.order_nr = {k} THEN CAST({v} AS DOUBLE)" for k, v in crm.STAGE_PROBABILITY) + " ELSE 0.0 END"
-_CYC = "date_diff('day', CAST(d.add_time AS DATE), CAST(d.won_time AS DATE))"
-
-
 @register("funnel_kpis", with_views(f"""
-SELECT CAST(COUNT(CASE WHEN status = 'won' THEN 1 END) AS DOUBLE) * 100.0
-         / NULLIF(CAST(COUNT(CASE WHEN status IN ('won', 'lost') THEN 1 END) AS DOUBLE), 0) AS win_rate_pct,
-       AVG(CASE WHEN status = 'won' AND {_CYC} BETWEEN 0 AND 365 THEN {_CYC} END) AS mean_cycle_days,
-       ROUND(SUM(CASE WHEN status = 'open' THEN CAST(value AS DOUBLE) * {_PROB} END), 4) AS weighted_forecast,
-       CAST(COALESCE(SUM(CASE WHEN status = 'open' THEN value END), 0) AS DECIMAL(18,2)) AS open_value
-FROM ({LIVE}) d LEFT JOIN stages s ON s.stage_id = d.stage_id""", "deals", "stages"))
+WITH d AS (SELECT *, floor((epoch_us(won_time) - epoch_us(add_time)) / 86400000000.0) AS days FROM ({LIVE}) l),
+g AS (SELECT COUNT(*) AS deals, COUNT(*) FILTER (status = 'open') AS open, COUNT(*) FILTER (status = 'won') AS won,
+             COUNT(*) FILTER (status = 'lost') AS lost,
+             CAST(COALESCE(SUM(value) FILTER (status = 'open'), 0) AS DECIMAL(18,2)) AS open_value,
+             CAST(COALESCE(SUM(value) FILTER (status = 'won'), 0) AS DECIMAL(18,2)) AS won_value,
+             AVG(days) FILTER (status = 'won' AND days BETWEEN 0 AND 365) AS mean_cycle_days FROM d),
+p AS (SELECT *, CASE WHEN deals = 0 THEN 0.0 ELSE won * 100.0 / CAST(deals AS DOUBLE) END AS won_pct,
+             CASE WHEN won + lost = 0 THEN 0.0 ELSE won * 100.0 / CAST(won + lost AS DOUBLE) END AS win_rate_pct FROM g)
+SELECT *, ROUND(CAST(open_value AS DOUBLE) * win_rate_pct / 100.0, 4) AS forecast FROM p""", "deals"))
 def q_funnel_kpis(spark, sf):
+    return crm.funnel_kpis(_T(spark, sf).deals)
+
+
+@register("funnel_by_stage", with_views(f"""
+SELECT s.order_nr, s.stage_name, COUNT(*) AS deals, CAST(COALESCE(SUM(value), 0) AS DECIMAL(18,2)) AS value
+FROM ({LIVE}) d LEFT JOIN stages s ON s.stage_id = d.stage_id WHERE status = 'open' GROUP BY 1, 2""", "deals", "stages"))
+def q_funnel_by_stage(spark, sf):
     T = _T(spark, sf)
-    return crm.funnel_kpis(T.deals, T.stages)
+    return crm.funnel_by_stage(T.deals, T.stages)
 
 
 @register("top_owners", with_views(f"""
-SELECT d.owner_id AS user_id, COUNT(*) AS won, CAST(SUM(value) AS DECIMAL(18,2)) AS won_value, u.user_name
-FROM ({LIVE}) d LEFT JOIN crm_users u ON u.user_id = d.owner_id WHERE status = 'won'
-GROUP BY d.owner_id, u.user_name ORDER BY won_value DESC, user_id LIMIT 10""", "deals", "crm_users"))
+SELECT COALESCE(u.user_name, 'Sem owner') AS user_name, COUNT(*) AS deals, CAST(COALESCE(SUM(value), 0) AS DECIMAL(18,2)) AS value
+FROM ({LIVE}) d LEFT JOIN crm_users u ON u.user_id = d.owner_id GROUP BY 1 ORDER BY value DESC, user_name LIMIT 10""", "deals", "crm_users"))
 def q_top_owners(spark, sf):
     T = _T(spark, sf)
     return crm.top_owners(T.deals, T.crm_users)
 
 
 @register("top_open_deals", with_views(f"""
-SELECT deal_id, org_id, owner_id, stage_id, value FROM ({LIVE}) d WHERE status = 'open'
-ORDER BY value DESC, deal_id LIMIT 10""", "deals"))
+SELECT d.deal_id, d.pipeline_id, d.org_name, s.stage_name, u.user_name, CAST(COALESCE(d.value, 0) AS DECIMAL(18,2)) AS value
+FROM ({LIVE}) d LEFT JOIN stages s ON s.stage_id = d.stage_id LEFT JOIN crm_users u ON u.user_id = d.owner_id WHERE d.status = 'open'
+ORDER BY COALESCE(d.value, 0) DESC, d.deal_id LIMIT 30""", "deals", "stages", "crm_users"))
 def q_top_open(spark, sf):
-    return crm.top_open_deals(_T(spark, sf).deals)
+    T = _T(spark, sf)
+    return crm.top_open_deals(T.deals, T.stages, T.crm_users)
 
 
 @register("stage_stats", with_views(f"""
@@ -346,29 +360,31 @@ def q_sector_conv(spark, sf):
 
 @register("call_stats", with_views("""
 SELECT user_key, COUNT(DISTINCT conversation_id) AS conversations, CAST(SUM(duration_seconds) AS DOUBLE) / 60.0 AS total_minutes,
-       COUNT(CASE WHEN ai_sentiment = 'positive' THEN 1 END) AS positive, COUNT(CASE WHEN ai_sentiment = 'negative' THEN 1 END) AS negative,
-       (CAST(SUM(duration_seconds) AS DOUBLE) / 60.0) / NULLIF(CAST(COUNT(DISTINCT conversation_id) AS DOUBLE), 0) AS mean_minutes
+       AVG(duration_seconds) / 60.0 AS mean_minutes,
+       COUNT(*) FILTER (lower(ai_sentiment) = 'positive') AS positive, COUNT(*) FILTER (lower(ai_sentiment) = 'negative') AS negative
 FROM calls GROUP BY user_key""", "calls"))
 def q_call_stats(spark, sf):
     return crm.call_stats(_T(spark, sf).calls)
 
 
-def _act_sql(by):
-    w = "COALESCE(CAST(marked_as_done_time AS DATE), due_date)"
-    done = "COALESCE(done, FALSE)"
-    return f"""SELECT {by}, COUNT(CASE WHEN {done} THEN 1 END) AS done,
-       COUNT(CASE WHEN NOT {done} AND due_date < DATE '2024-01-20' THEN 1 END) AS overdue, COUNT(*) AS total
-FROM activities WHERE {w} BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY {by} HAVING COUNT(*) > 0"""
+def _act_sql(keys, source):
+    day = "COALESCE(CAST(marked_as_done_time AS DATE), due_date)"
+    return f"""SELECT * FROM (
+SELECT {keys}, COUNT(*) FILTER (COALESCE(done, FALSE) AND {day} BETWEEN DATE '2024-01-01' AND DATE '2024-01-31') AS done,
+       COUNT(*) FILTER (NOT COALESCE(done, FALSE) AND due_date < DATE '2024-01-20') AS overdue
+FROM {source} WHERE a.user_id IS NOT NULL GROUP BY ALL) x WHERE done > 0 OR overdue > 0"""
 
 
-@register("activities_by_type", with_views(_act_sql("type"), "activities"))
+@register("activities_by_type", with_views(_act_sql("type", "activities a"), "activities"))
 def q_act_type(spark, sf):
     return crm.activities_by(_T(spark, sf).activities, "2024-01-01", "2024-01-31", "2024-01-20", "type")
 
 
-@register("activities_by_user", with_views(_act_sql("user_id"), "activities"))
+@register("activities_by_user", with_views(_act_sql("a.user_id, u.user_name", "activities a JOIN crm_users u ON u.user_id = a.user_id AND u.is_active"),
+                                           "activities", "crm_users"))
 def q_act_user(spark, sf):
-    return crm.activities_by(_T(spark, sf).activities, "2024-01-01", "2024-01-31", "2024-01-20", "user_id")
+    T = _T(spark, sf)
+    return crm.activities_by(T.activities, "2024-01-01", "2024-01-31", "2024-01-20", "user_id", T.crm_users)
 
 
 # -- RFV panels ----------------------------------------------------------------------------

@@ -28,11 +28,11 @@ it2 AS (SELECT *, SUM(line_value) OVER (PARTITION BY order_number) AS tot, {_sha
 SELECT o.order_number, o.invoice_number, o.partner_code, o.company_code, o.nature_code, o.salesperson_code,
        o.order_date, o.invoice_date, it2.item_code, it2.quantity, it2.line_value,
        CAST(it2.tot AS DECIMAL(18,2)) AS order_items_total, it2.item_pct,
-       CAST(o.freight_amount AS DOUBLE) * it2.item_pct AS freight_allocated,
-       CAST(o.ipi_amount AS DOUBLE) * it2.item_pct AS ipi_allocated,
-       CAST(o.icms_amount AS DOUBLE) * it2.item_pct AS icms_allocated,
-       CAST(it2.line_value AS DOUBLE) + CAST(o.freight_amount AS DOUBLE) * it2.item_pct
-         + CAST(o.ipi_amount AS DOUBLE) * it2.item_pct AS total_item_allocated,
+       ROUND(CAST(o.freight_amount AS DOUBLE) * it2.item_pct, 4) AS freight_allocated,
+       ROUND(CAST(o.ipi_amount AS DOUBLE) * it2.item_pct, 4) AS ipi_allocated,
+       ROUND(CAST(o.icms_amount AS DOUBLE) * it2.item_pct, 4) AS icms_allocated,
+       ROUND(CAST(it2.line_value AS DOUBLE) + CAST(o.freight_amount AS DOUBLE) * it2.item_pct
+         + CAST(o.ipi_amount AS DOUBLE) * it2.item_pct, 4) AS total_item_allocated,
        i.item_name, i.group_code, i.family_code, p.partner_name
 FROM o JOIN it2 ON it2.order_number = o.order_number
 LEFT JOIN item i ON i.item_code = it2.item_code

@@ -133,43 +133,47 @@ def q_serials(spark, sf):
 
 # -- service -----------------------------------------------------------------------------
 
-_LIVE = "SELECT * FROM deals WHERE NOT COALESCE(is_deleted, FALSE)"
-_MIN = "(epoch_us({b}) - epoch_us({a})) // 60000000"
+_HOURS = f"CAST(trunc((epoch_us(COALESCE(won_time, lost_time, TIMESTAMP '{NOW}')) - epoch_us(add_time)) / 3600000000.0) AS BIGINT)"
+_OPENED = "CAST(date_trunc('month', CAST(add_time AS DATE)) AS DATE)"
 
 
 @register("tickets", with_views(f"""
-SELECT CAST(date_trunc('month', CAST(add_time AS DATE)) AS DATE) AS month, pipeline_id, status, COUNT(*) AS tickets,
-       AVG({_MIN.format(a='add_time', b=f"COALESCE(won_time, lost_time, TIMESTAMP '{NOW}')")}) / 60.0 AS mean_hours
-FROM ({_LIVE}) d GROUP BY 1, 2, 3""", "deals"))
+SELECT {_OPENED} AS month, pipeline_id, COALESCE(status, 'open') AS status, COUNT(*) AS tickets, AVG({_HOURS}) AS mean_hours
+FROM deals WHERE add_time IS NOT NULL GROUP BY 1, 2, 3""", "deals"))
 def q_tickets(spark, sf):
     return SV.tickets(_T(spark, sf).deals, NOW)
 
 
 @register("resolution_rate", with_views(f"""
-SELECT CAST(date_trunc('month', CAST(add_time AS DATE)) AS DATE) AS month, COUNT(*) AS tickets,
-       COUNT(CASE WHEN status <> 'open' THEN 1 END) AS closed,
-       CAST(COUNT(CASE WHEN status <> 'open' THEN 1 END) AS DOUBLE) * 100.0 / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) AS resolution_pct
-FROM ({_LIVE}) d GROUP BY 1""", "deals"))
+WITH t AS (SELECT {_OPENED} AS month, COALESCE(status, 'open') AS status, {_HOURS} AS h FROM deals WHERE add_time IS NOT NULL),
+g AS (SELECT month, COUNT(*) AS tickets, COUNT(CASE WHEN status = 'won' THEN 1 END) AS resolved,
+             COUNT(CASE WHEN status NOT IN ('won', 'lost') THEN 1 END) AS open, AVG(h) AS mean_hours FROM t GROUP BY ROLLUP (month))
+SELECT *, CAST(resolved AS DOUBLE) * 100.0 / NULLIF(CAST(tickets AS DOUBLE), 0) AS resolution_pct FROM g""", "deals"))
 def q_resolution_rate(spark, sf):
-    return SV.resolution_rate(_T(spark, sf).deals)
+    return SV.resolution_rate(_T(spark, sf).deals, NOW)
 
 
 @register("sla_resolution", with_views(f"""
-SELECT CAST(date_trunc('month', CAST(COALESCE(won_time, lost_time) AS DATE)) AS DATE) AS month, COUNT(*) AS closed,
-       AVG({_MIN.format(a='add_time', b='COALESCE(won_time, lost_time)')}) / 60.0 AS mean_hours
-FROM ({_LIVE}) d WHERE status <> 'open' GROUP BY 1""", "deals"))
+SELECT {_OPENED} AS month, COUNT(*) AS tickets, AVG({_HOURS}) AS mean_hours FROM deals WHERE add_time IS NOT NULL GROUP BY 1""", "deals"))
 def q_sla(spark, sf):
-    return SV.sla_resolution(_T(spark, sf).deals)
+    return SV.sla_resolution(_T(spark, sf).deals, NOW)
 
 
-@register("first_reply", """
-SELECT CAST(date_trunc('month', CAST(ts AS DATE)) AS DATE) AS month, COUNT(*) AS replied,
+_FIRST_REPLY = """SELECT CAST(date_trunc('month', CAST(ts AS DATE)) AS DATE) AS month, COUNT(*) AS replied,
        CAST(quantile_disc(event_id % 120 - 10, 0.5) AS BIGINT) AS median_minutes
-FROM events WHERE event_id % 7 <> 0 AND event_id % 120 - 10 >= 0 GROUP BY 1""")
+FROM events WHERE event_id % 7 <> 0 AND event_id % 120 - 10 >= 0 AND user_id % 2 = 0 GROUP BY 1"""
+
+
+@register("first_reply", _FIRST_REPLY)
 def q_first_reply(spark, sf):
     return SV.first_reply(_T(spark, sf).chats)
 
 
+@register("first_reply_kpi", f"SELECT CAST(quantile_cont(median_minutes, 0.5) AS DOUBLE) AS median_minutes, COUNT(*) AS months FROM ({_FIRST_REPLY})")
+def q_first_reply_kpi(spark, sf):
+    return SV.first_reply_kpi(SV.first_reply(_T(spark, sf).chats))
+
+
 @register("calls_summary", with_views("""
 SELECT CAST(date_trunc('month', CAST(call_created AS DATE)) AS DATE) AS month, direction, ai_sentiment, COUNT(*) AS calls,
        CAST(SUM(duration_seconds) AS DOUBLE) / 60.0 AS minutes,

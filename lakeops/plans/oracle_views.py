@@ -275,8 +275,8 @@ SELECT CAST(l_partkey AS VARCHAR) AS item_code, CAST(l_orderkey AS VARCHAR) || '
        l_orderkey % 100 AS batch_number, CASE WHEN l_linestatus = 'O' THEN 'X' END AS is_in_use FROM lineitem
 """)
 
-view("crm_users", "SELECT CAST(user_id AS BIGINT) AS user_id, user_name, salesperson_name FROM ("
-     + values([(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)], ["user_id", "user_name", "salesperson_name"]) + ") u")
+view("crm_users", "SELECT CAST(user_id AS BIGINT) AS user_id, user_name, salesperson_name, is_active FROM ("
+     + values([(i, f"USER {i}", f"SELLER {i % 7}", i % 5 != 4) for i in range(11)], ["user_id", "user_name", "salesperson_name", "is_active"]) + ") u")
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -460,8 +460,8 @@ class DriverTables:
 
     @cached_property
     def crm_users(self) -> DataFrame:
-        rows = [(i, f"USER {i}", f"SELLER {i % 7}") for i in range(11)]
-        return P.table(self.spark, rows, "user_id bigint, user_name string, salesperson_name string")
+        rows = [(i, f"USER {i}", f"SELLER {i % 7}", i % 5 != 4) for i in range(11)]
+        return P.table(self.spark, rows, "user_id bigint, user_name string, salesperson_name string, is_active boolean")
 
 
 FRESH_THRESHOLDS = [("src0", 60), ("src1", 120), ("src2", 1440), ("src3", 30)]
