@@ -38,8 +38,9 @@ from lakeops.llm.words import Hasher, mix, shingle_sets, word_chunks
 SHINGLE = 5
 HOT_FROM = 64  # documents that have a shingle, as far as tasks saw it, from which on it is hot
 MAX_HOT = 1 << 18  # longest list of hot shingles (2 MB sent to the tasks)
-FLUSH = 2_000_000  # prefix entries that a task gathers before it writes blocks
-BLOCK = 1_500_000  # expected prefix entries of a block
+FLUSH = 500_000  # prefix entries that a task gathers before it writes blocks
+HELD = 2_000_000  # shingles whose frequency a task counts at a time
+BLOCK = 600_000  # expected prefix entries of a block
 GROUP = 4096  # classes of one side of a hot block
 BROADCAST_ROWS = 1_000_000  # document ids (8 bytes each) that may be sent to all tasks
 END = np.uint64(2**64 - 1)
@@ -96,7 +97,7 @@ def classes(docs: DataFrame, k: int) -> DataFrame:
                     seen.add(c)
                     held.append(s)
                     size += len(s)
-            if size >= 2 * FLUSH:
+            if size >= HELD:
                 s, n = frequent(held)
                 yield rows(1, pa.nulls(len(s), pa.int64()), n, s)
                 held, size, seen = [], 0, set()
