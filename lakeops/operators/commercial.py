@@ -273,12 +273,12 @@ def portfolio_label(portfolio: DataFrame) -> DataFrame:
         "label", F.concat_ws(" · ", F.col("rfv_familia"), F.col("salesperson_name")))
 
 
-def portfolio_revenue(orders: DataFrame, natures: DataFrame, portfolio: DataFrame, ref: str) -> DataFrame:
-    """A-COM-16: exact billed revenue (canonical filter, rolling year) of each portfolio owner's codes."""
-    b = rolling_window(billed_orders(orders, natures), "invoice_date", ref, 12).select("partner_code", "order_number",
-                                                                                       "product_amount")
-    pf = portfolio.where(F.col("is_active")).select("partner_code", "rfv_familia", "salesperson_name")
-    j = b.join(pf, "partner_code")
-    return j.groupBy("rfv_familia", "salesperson_name").agg(
+def portfolio_revenue(orders: DataFrame, natures: DataFrame, partners: DataFrame, ref: str) -> DataFrame:
+    """A-COM-16: exact revenue of each portfolio (the partner's portfolio code) over the rolling year: financial
+    natures, no excluded channel, any order status."""
+    b = rolling_window(billed_orders(orders, natures, statuses=None), "invoice_date", ref, 12).select(
+        "partner_code", "order_number", "product_amount")
+    j = b.join(partners.where(F.col("carteira_code").isNotNull()).select("partner_code", "carteira_code"), "partner_code")
+    return j.groupBy("carteira_code").agg(
         F.countDistinct("partner_code").alias("codes"), F.countDistinct("order_number").alias("orders"),
         C.money_sum("product_amount").alias("revenue"))

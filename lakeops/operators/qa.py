@@ -30,33 +30,34 @@ def qa_status(delta_pct, bands=P.QA_BANDS, fallback=P.QA_FALLBACK):
 
 
 def qa_cascade(declared: DataFrame, source: DataFrame, warehouse: DataFrame, keys=("ref_date", "scope", "metric")) -> DataFrame:
-    """A-QA-1: declared -> source -> warehouse per scope x metric x date: deltas, %, traffic light.
+    """A-QA-1: declared -> source -> warehouse per scope x metric x date.
 
-    Inputs are long (keys..., value). Delta % is relative to the declared value (0 when it is 0).
+    Each step has its difference and its % of the layer before (0 when that is 0); the traffic light goes by the
+    whole way, warehouse against declared.  Inputs are long (keys..., value); a missing value counts as 0.
     """
     keys = list(keys)
     d = declared.select(*keys, F.col("value").alias("declared"))
     s = source.select(*keys, F.col("value").alias("source"))
     w = warehouse.select(*keys, F.col("value").alias("warehouse"))
     j = d.join(s, keys, "full_outer").join(w, keys, "full_outer")
-    dec_ = F.coalesce("declared", F.lit(0.0))
-    wh = F.coalesce("warehouse", F.lit(0.0))
-    dpct = F.when(dec_ == 0, F.lit(0.0)).otherwise((wh - dec_) / dec_ * F.lit(100.0))
-    return j.select(*keys, "declared", "source", "warehouse",
-                    (F.coalesce("source", F.lit(0.0)) - dec_).alias("delta_source"), (wh - dec_).alias("delta_warehouse"),
-                    dpct.alias("delta_pct"), qa_status(dpct).alias("status"))
+    dec_, src, wh = (F.coalesce(c, F.lit(0.0)) for c in ("declared", "source", "warehouse"))
 
+    def step(cur, prev):
+        return F.when(prev == 0, F.lit(0.0)).otherwise((cur - prev) / prev * F.lit(100.0))
 
-def qa_latest_status(qa: DataFrame, order=P.QA_SCOPE_ORDER) -> DataFrame:
-    """A-QA-2: latest date's status per scope (worst metric), in the custom scope order."""
+    total = step(wh, dec_)
+    return j.select(*keys, "declared", "source", "warehouse", (src - dec_).alias("delta_source"), step(src, dec_).alias("source_pct"),
+                    (wh - src).alias("delta_warehouse"), step(wh, src).alias("warehouse_pct"),
+                    total.alias("delta_pct"), qa_status(total).alias("status"))
+
+
+def qa_latest_status(qa: DataFrame, order=P.QA_SCOPE_ORDER, metric: str = "revenue") -> DataFrame:
+    """A-QA-2: latest date's status of the revenue metric per scope, with the custom scope order."""
     from lakeops.operators.crm import latest_snapshot
 
-    last = latest_snapshot(qa, "ref_date")
-    sev = P.case_lookup(F.col("status"), [(P.QA_BANDS[0][1], 1), (P.QA_BANDS[1][1], 2), (P.QA_FALLBACK, 3)], 3)
-    g = last.groupBy("ref_date", "scope").agg(F.max(sev).alias("_sev"), F.max(F.abs("delta_pct")).alias("max_abs_delta_pct"))
-    lbl = P.case_lookup(F.col("_sev"), [(1, P.QA_BANDS[0][1]), (2, P.QA_BANDS[1][1]), (3, P.QA_FALLBACK)], P.QA_FALLBACK)
-    return g.select("ref_date", "scope", lbl.alias("status"), "max_abs_delta_pct",
-                    P.case_lookup(F.col("scope"), [(s, i) for i, s in enumerate(order)], 99).cast("int").alias("scope_order"))
+    last = latest_snapshot(qa, "ref_date").where(F.col("metric") == metric)
+    rank = P.case_lookup(F.col("scope"), [(s, i) for i, s in enumerate(order, 1)], 9).cast("int")
+    return last.select("ref_date", "scope", "status", "delta_pct", rank.alias("scope_order"))
 
 
 def compare_declared(actual: DataFrame, declared: DataFrame, keys: list[str], value: str = "clients",

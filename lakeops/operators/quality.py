@@ -1,12 +1,11 @@
 """Data quality: corrupted-term repair, city matching, state normalisation, reports, profiles,
 the entity transform pipeline and label mapping (QLT-1..8).
 
-Repair works on the *distinct affected values* only (values containing the
-corruption marker), split into positioned tokens, joined to the dictionary
-(an equi-join: the dictionary can be any size) and reassembled per value; the
-result is joined back to the rows.  Reports keep at most N samples per column
-with a two-stage bounded top-N (per hash bucket, then per column), so a
-column with millions of distinct values never sorts in one task.
+Term repair works on the *distinct affected values* only (values that hold the corruption marker).  The
+dictionary can be any size: a value meets only the patterns that share the characters around one of
+its markers (an equi-join on short keys and 64-bit value ids), and the replacements found are folded
+over the value in one projection.  Reports keep at most N samples per column with a two-stage bounded
+top-N (per hash bucket, then per column), so a column with millions of distinct values never sorts in one task.
 """
 
 from __future__ import annotations
@@ -29,73 +28,102 @@ def corrupt(c) -> Column:
     return F.translate(C.col(c), P.ACCENTED, MARKER * len(P.ACCENTED))
 
 
-def build_dictionary(texts: DataFrame, col: str) -> DataFrame:
-    """Dictionary (corrupted token -> original token) from clean texts: the most frequent original per corrupted form."""
-    toks = texts.select(F.explode(F.split(F.col(col), " ")).alias("token")).where(F.col("token").contains(MARKER) == False)  # noqa: E712
+def build_dictionary(texts: DataFrame, col: str, min_length: int = 4) -> DataFrame:
+    """Dictionary (corrupted token -> original token) from clean texts: the most frequent original per corrupted form.
+
+    Tokens shorter than ``min_length`` are left out: as substrings they would fit almost anywhere.
+    """
+    toks = texts.select(F.explode(F.split(F.col(col), " ")).alias("token")).where(
+        (F.col("token").contains(MARKER) == False) & (F.length("token") >= min_length))  # noqa: E712
     acc = toks.where(F.col("token") != corrupt("token")).select(corrupt("token").alias("pattern"), "token")
     cnt = acc.groupBy("pattern", "token").agg(F.count("*").alias("n"))
     best = cnt.groupBy("pattern").agg(F.max(F.struct("n", "token")).alias("b"))
     return best.select("pattern", F.col("b.token").alias("replacement"))
 
 
+def _contexts(c: str, last: str = "size(p) - 2") -> Column:
+    """(left, right) of the markers of a text: up to two characters on each side, as the pieces between markers give them."""
+    left = "right(concat(if(j > 0, concat(right(p[j - 1], 1), '?'), ''), p[j]), 2)"
+    right = "left(concat(p[j + 1], if(j + 2 < size(p), concat('?', left(p[j + 2], 1)), '')), 2)"
+    return F.expr(f"transform(array(split(if(contains({c}, '?'), {c}, '?'), '[?]', -1)), p -> transform(sequence(0, {last}), j -> "
+                  f"struct({left} AS l, {right} AS r)))[0]")
+
+
 def repair_terms(df: DataFrame, col: str, dictionary: DataFrame, out: str | None = None) -> DataFrame:
-    """QLT-1: replace corrupted tokens of ``col`` by the dictionary (pattern -> replacement), affected values only."""
+    """QLT-1: replace every occurrence of the dictionary's patterns in ``col`` (pattern -> replacement), longest pattern
+    first and of equal ones in order of text, as a literal substring; values without the marker stay as they are."""
     out = out or col
-    affected = df.select(F.col(col).alias("_v")).where(F.col("_v").contains(MARKER)).distinct()
-    toks = affected.select("_v", F.posexplode(F.split("_v", " ")).alias("_p", "pattern"))
-    fixed = toks.join(dictionary.select("pattern", "replacement"), "pattern", "left").select(
-        "_v", "_p", F.coalesce("replacement", "pattern").alias("_t"))
-    rebuilt = fixed.groupBy("_v").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_t"))),
-                                                               lambda s: s["_t"]), " ").alias("_fixed"))
-    j = df.join(rebuilt, df[col] == rebuilt["_v"], "left")
-    return j.withColumn(out, F.coalesce(F.col("_fixed"), F.col(col))).drop("_v", "_fixed")
+    pats = dictionary.where(F.col("pattern").contains(MARKER)).select("pattern", "replacement").distinct()
+    # a pattern is found by what surrounds its first marker; one that begins or ends there has a shorter key
+    keyed = pats.withColumn("k", _contexts("pattern", "0")[0]).select("pattern", "replacement", F.col("k.l").alias("l"), F.col("k.r").alias("r"))
+    values = df.select(F.col(col).alias("_v")).where(F.col("_v").contains(MARKER)).distinct().withColumn("_id", F.xxhash64("_v"))
+    around = values.select("_id", F.explode(F.array_distinct(_contexts("_v"))).alias("k"))
+    ends = [F.struct(F.expr(f"right(k.l, {i})").alias("l"), F.expr(f"left(k.r, {j})").alias("r")) for i in range(3) for j in range(3)]
+    keys = around.select("_id", F.explode(F.array_distinct(F.array(*ends))).alias("e")).select("_id", "e.l", "e.r").distinct()
+    found = keys.join(keyed, ["l", "r"]).groupBy("_id").agg(
+        F.collect_set(F.struct((-F.length("pattern")).alias("n"), "pattern", "replacement")).alias("_found"))
+    fold = F.expr("aggregate(array_sort(filter(_found, c -> contains(_v, c.pattern))), _v, (acc, c) -> replace(acc, c.pattern, c.replacement))")
+    fixed = values.join(found, "_id").select("_id", "_v", fold.alias("_fixed"))
+    j = df.join(fixed, (F.xxhash64(df[col]) == fixed["_id"]) & (df[col] == fixed["_v"]), "left")
+    return j.withColumn(out, F.coalesce(F.col("_fixed"), F.col(col))).drop("_id", "_v", "_fixed")
 
 
 # -- QLT-2 city matching ---------------------------------------------------------------
 
-def _min_score(length: Column) -> Column:
-    """Length-adaptive fuzzy minimum: short names need a closer match."""
-    return F.when(length <= 6, F.lit(85.0)).when(length <= 10, F.lit(80.0)).otherwise(F.lit(70.0))
+def _min_score(length: Column, bands=P.CITY_MIN_SCORES, longer: float = P.CITY_MIN_SCORE_LONG) -> Column:
+    """Fuzzy minimum by length: short names tolerate more difference."""
+    out = F.lit(longer)
+    for most, score in reversed(bands):
+        out = F.when(length <= most, F.lit(score)).otherwise(out)
+    return out
 
 
 def match_cities(df: DataFrame, ref: DataFrame, city: str = "city", state: str = "state") -> DataFrame:
-    """QLT-2: repair city names: exact (same state, then national) -> wildcard '?' = one character
-    (state pool first, then national) -> fuzzy with a length-adaptive minimum.
+    """QLT-2: city names against the reference list.
+
+    A name without the marker is kept if the list has it, and is otherwise not matched.  A corrupted name is matched by
+    wildcard ('?' is one character), then by similarity with a minimum that depends on its length; each
+    first within its state, then in the whole list, and each only for names that the step before has left.
+    Of several candidates the most similar wins, of equal ones the first by name.
 
-    Works on distinct (value, state) pairs; every stage is an equi-join (name, or
-    length [+ state]) followed by a filter, never a cross product.  Output adds
-    ``city_fixed`` and ``match_how``.
+    Works on distinct (name, state) pairs.  The wildcard step is an equi-join: each reference name is masked by
+    the distinct marker patterns of its length.  Adds ``city_fixed`` and ``match_how``.
     """
-    # the distinct values and the reference list feed five stages: materialise each once (reliable checkpoint)
+    # the distinct values and the reference list feed all steps: materialise each once (reliable checkpoint)
     r = cut_lineage(ref.select(F.upper(F.col("city_name")).alias("rc"), F.upper(F.col("state_code")).alias("rs")).distinct())
     v = cut_lineage(df.select(F.upper(F.trim(F.col(city))).alias("v"), F.upper(F.col(state)).alias("s")).distinct().where(
         F.col("v").isNotNull() & (F.col("v") != "")))
-    # exact
-    ex_s = v.join(r, (v.v == r.rc) & (v.s == r.rs)).select("v", "s", F.col("rc").alias("fixed"), F.lit(1).alias("stage"))
-    ex_n = v.join(r, v.v == r.rc).select("v", "s", F.col("rc").alias("fixed"), F.lit(2).alias("stage"))
-    # wildcard: same length, LIKE with '_' for '?'
-    w = v.where(F.col("v").contains(MARKER)).withColumn("pat", F.regexp_replace("v", r"\?", "_")).withColumn("L", F.length("v"))
-    rl = r.withColumn("L", F.length("rc"))
-    wc_s = w.join(rl, (w.L == rl.L) & (w.s == rl.rs)).where(F.expr("rc like pat")).select(
-        "v", "s", F.col("rc").alias("fixed"), F.lit(3).alias("stage"))
-    wc_n = w.join(rl, w.L == rl.L).where(F.expr("rc like pat")).select("v", "s", F.col("rc").alias("fixed"), F.lit(4).alias("stage"))
-    # fuzzy (exact candidate generation with single-character prefix filtering)
-    fz_l = v.select(F.col("v").alias("name"))
-    fz_r = r.select(F.col("rc").alias("name"))
-    cand = ER.fuzzy_candidates(fz_l, fz_r, 70.0, q=1)
-    sc = cand.withColumn("score", ER.ratio(F.col("lname"), F.col("rname"))).where(
-        F.col("score") >= _min_score(F.length("lname")))
-    fz = v.join(sc, v.v == sc.lname).select("v", "s", F.col("rname").alias("fixed"), F.lit(5).alias("stage"),
-                                            F.col("score"))
-    allm = (ex_s.withColumn("score", F.lit(100.0)).unionByName(ex_n.withColumn("score", F.lit(100.0)))
-            .unionByName(wc_s.withColumn("score", F.lit(100.0))).unionByName(wc_n.withColumn("score", F.lit(100.0)))
-            .unionByName(fz))
-    best = allm.groupBy("v", "s").agg(F.min(F.struct("stage", (-F.col("score")).alias("ns"), "fixed")).alias("b"))
-    how = P.case_lookup(F.col("b.stage"), [(1, "exact"), (2, "exact_national"), (3, "wildcard"), (4, "wildcard_national"),
-                                           (5, "fuzzy")], None)
-    best = best.select("v", "s", F.col("b.fixed").alias("city_fixed"), how.alias("match_how"))
+    national = r.select("rc").distinct()
+    damaged = v.where(F.col("v").contains(MARKER))
+
+    def best(pairs: DataFrame, how: str) -> DataFrame:
+        scored = pairs.withColumn("score", ER.ratio(F.col("v"), F.col("rc")))
+        top = scored.groupBy("v", "s").agg(F.min(F.struct((-F.col("score")).alias("_n"), F.col("rc").alias("fixed"))).alias("b"))
+        return top.select("v", "s", F.col("b.fixed").alias("city_fixed"), F.lit(how).alias("match_how"))
+
+    def left_by(rows: DataFrame, done: DataFrame) -> DataFrame:
+        d = done.select(F.col("v").alias("_dv"), F.col("s").alias("_ds"))
+        return rows.join(d, (F.col("v") == F.col("_dv")) & F.col("s").eqNullSafe(F.col("_ds")), "left_anti")
+
+    exact = v.where(~F.col("v").contains(MARKER)).join(national, F.col("v") == F.col("rc")).select(
+        "v", "s", F.col("rc").alias("city_fixed"), F.lit("exact").alias("match_how"))
+    mask = F.regexp_replace("v", r"[^?]", "x")
+    masks = damaged.select(mask.alias("mask")).distinct().withColumn("_l", F.length("mask"))
+    masked = r.withColumn("_l", F.length("rc")).join(masks, "_l").withColumn("mv", F.expr(
+        "array_join(transform(sequence(1, _l), i -> if(substr(mask, i, 1) = '?', '?', substr(rc, i, 1))), '')")).select("rc", "rs", "mv")
+    wild_s = best(damaged.join(masked, (F.col("v") == F.col("mv")) & (F.col("s") == F.col("rs"))), "wildcard")
+    rest = left_by(damaged, wild_s)
+    wild_n = best(rest.join(masked.select("rc", "mv").distinct(), F.col("v") == F.col("mv")), "wildcard_national")
+    rest = cut_lineage(left_by(rest, wild_n))
+    # exact candidate generation; single characters keep the lowest minimum complete
+    cand = ER.fuzzy_candidates(rest.select(F.col("v").alias("name")), national.select(F.col("rc").alias("name")),
+                               min(s for _, s in P.CITY_MIN_SCORES), q=1).select(F.col("lname").alias("v"), F.col("rname").alias("rc"))
+    near = cut_lineage(cand.where(ER.ratio(F.col("v"), F.col("rc")) >= _min_score(F.length("v"))))
+    fuzzy_s = best(rest.join(near, "v").join(r.select(F.col("rc"), F.col("rs").alias("s")), ["rc", "s"], "left_semi"), "fuzzy")
+    fuzzy_n = best(left_by(rest, fuzzy_s).join(near, "v"), "fuzzy_national")
+    matched = exact.unionByName(wild_s).unionByName(wild_n).unionByName(fuzzy_s).unionByName(fuzzy_n)
     d = df.withColumn("_v", F.upper(F.trim(F.col(city)))).withColumn("_s", F.upper(F.col(state)))
-    j = d.join(best, (d._v == best.v) & d._s.eqNullSafe(best.s), "left")
+    j = d.join(matched, (d._v == matched.v) & d._s.eqNullSafe(matched.s), "left")
     return j.drop("_v", "_s", "v", "s")
 
 

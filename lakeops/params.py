@@ -131,9 +131,12 @@ QUOTE_AGE_BANDS = [(30, "0-30"), (90, "31-90"), (180, "91-180")]
 QUOTE_AGE_FALLBACK = "180+"
 
 # QA cascade traffic light on |delta %|.
+# City names: least similarity of a fuzzy match up to a length, and beyond the last one.
+CITY_MIN_SCORES = [(6, 70.0), (12, 80.0)]
+CITY_MIN_SCORE_LONG = 85.0
 QA_BANDS = [(1.0, "VERDE"), (3.0, "AMARELO")]
 QA_FALLBACK = "VERMELHO"
-QA_SCOPE_ORDER = ["TOTAL", "HOSPITALAR", "FARMACIAS", "SAC"]
+QA_SCOPE_ORDER = ["GERAL", "HOSPITALAR", "FARMACIAS", "SAC"]
 
 # Freshness: green <= threshold, amber <= 2 x threshold, else red.
 FRESH_GREEN, FRESH_AMBER, FRESH_RED, FRESH_NONE = "green", "amber", "red", "sem leitura"

@@ -153,13 +153,15 @@ def q_portfolio_label(spark, sf):
 
 
 @register("portfolio_revenue", with_views(f"""
-SELECT p.rfv_familia, p.salesperson_name, COUNT(DISTINCT b.partner_code) AS codes, COUNT(DISTINCT b.order_number) AS orders,
-       CAST(SUM(b.product_amount) AS DECIMAL(18,2)) AS revenue
-FROM ({S.billed()} AND o.invoice_date >= {S.lookback_start(REF, 12)} AND o.invoice_date <= DATE '{REF}') b
-JOIN portfolio p ON p.partner_code = b.partner_code AND p.is_active GROUP BY 1, 2""", "sales_order", "nature", "portfolio"))
+SELECT p.carteira_code, COUNT(DISTINCT o.partner_code) AS codes, COUNT(DISTINCT o.order_number) AS orders,
+       CAST(SUM(o.product_amount) AS DECIMAL(18,2)) AS revenue
+FROM sales_order o JOIN nature n ON n.nature_code = o.nature_code AND n.financial_flag <> 'N'
+JOIN partner p ON p.partner_code = o.partner_code AND p.carteira_code IS NOT NULL
+WHERE o.channel_code <> '000054' AND o.invoice_date >= {S.lookback_start(REF, 12)} AND o.invoice_date <= DATE '{REF}' GROUP BY 1""",
+                                         "sales_order", "nature", "partner"))
 def q_portfolio_revenue(spark, sf):
     T = _T(spark, sf)
-    return com.portfolio_revenue(T.sales_order, T.nature, T.portfolio, REF)
+    return com.portfolio_revenue(T.sales_order, T.nature, T.partner, REF)
 
 
 @register("rfv_periods", with_views(f"SELECT DISTINCT ref_date FROM ({_history_sql()}) h", *SALES_VIEWS))

@@ -36,11 +36,11 @@ def _layers(T):
     o = o.withColumn("scope", seg_fam).where(F.col("scope").isNotNull())
 
     def wide(df, scope_col, amount, order, client):
-        # per scope and TOTAL in one aggregation (ROLLUP): each layer is scanned once
+        # per scope and GERAL in one aggregation (ROLLUP): each layer is scanned once
         r = df.rollup(F.col(scope_col).alias("scope")).agg(
             F.sum(amount).cast("double").alias("revenue"), F.countDistinct(order).cast("double").alias("orders"),
             F.countDistinct(client).cast("double").alias("clients"), F.grouping_id().alias("_g"))
-        u = r.select(F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("scope")).alias("scope"),
+        u = r.select(F.when(F.col("_g") == 1, F.lit("GERAL")).otherwise(F.col("scope")).alias("scope"),
                      "revenue", "orders", "clients").withColumn("ref_date", F.lit(QA_DATE).cast("date"))
         return qa.metrics_long(u, ["ref_date", "scope"], ["revenue", "orders", "clients"])
 
@@ -57,7 +57,7 @@ def _wide_sql(src, scope, amount, order, client):
   SELECT {scope} AS scope, CAST(SUM({amount}) AS DOUBLE) AS revenue, CAST(COUNT(DISTINCT {order}) AS DOUBLE) AS orders,
          CAST(COUNT(DISTINCT {client}) AS DOUBLE) AS clients FROM ({src}) x GROUP BY 1
   UNION ALL
-  SELECT 'TOTAL', CAST(SUM({amount}) AS DOUBLE), CAST(COUNT(DISTINCT {order}) AS DOUBLE), CAST(COUNT(DISTINCT {client}) AS DOUBLE)
+  SELECT 'GERAL', CAST(SUM({amount}) AS DOUBLE), CAST(COUNT(DISTINCT {order}) AS DOUBLE), CAST(COUNT(DISTINCT {client}) AS DOUBLE)
   FROM ({src}) x) w,
 LATERAL (SELECT * FROM (VALUES ('revenue', w.revenue), ('orders', w.orders), ('clients', w.clients)) v(metric, value)) m"""
 
@@ -77,11 +77,11 @@ j AS (SELECT COALESCE(dcl.ref_date, src.ref_date, wh.ref_date) AS ref_date, COAL
       FROM dcl FULL OUTER JOIN src ON src.ref_date = dcl.ref_date AND src.scope = dcl.scope AND src.metric = dcl.metric
       FULL OUTER JOIN wh ON wh.ref_date = COALESCE(dcl.ref_date, src.ref_date) AND wh.scope = COALESCE(dcl.scope, src.scope)
                         AND wh.metric = COALESCE(dcl.metric, src.metric)),
-k AS (SELECT *, COALESCE(source, 0.0) - COALESCE(declared, 0.0) AS delta_source,
-             COALESCE(warehouse, 0.0) - COALESCE(declared, 0.0) AS delta_warehouse,
-             CASE WHEN COALESCE(declared, 0.0) = 0 THEN 0.0
-                  ELSE (COALESCE(warehouse, 0.0) - COALESCE(declared, 0.0)) / COALESCE(declared, 0.0) * 100.0 END AS delta_pct FROM j)
-SELECT *, {S.bands('abs(delta_pct)', P.QA_BANDS, P.QA_FALLBACK, '<')} AS status FROM k"""
+z AS (SELECT *, COALESCE(declared, 0.0) AS d, COALESCE(source, 0.0) AS s, COALESCE(warehouse, 0.0) AS w FROM j),
+k AS (SELECT ref_date, scope, metric, declared, source, warehouse, s - d AS delta_source, CASE WHEN d = 0 THEN 0.0 ELSE (s - d) / d * 100.0 END AS source_pct,
+             w - s AS delta_warehouse, CASE WHEN s = 0 THEN 0.0 ELSE (w - s) / s * 100.0 END AS warehouse_pct,
+             CASE WHEN d = 0 THEN 0.0 ELSE (w - d) / d * 100.0 END AS delta_pct FROM z)
+SELECT *, CASE WHEN abs(delta_pct) < 1 THEN 'VERDE' WHEN abs(delta_pct) < 3 THEN 'AMARELO' ELSE 'VERMELHO' END AS status FROM k"""
 
 
 def _qa(T):
@@ -93,13 +93,10 @@ def q_qa(spark, sf):
     return _qa(_T(spark, sf))
 
 
-@register("qa_status", with_views(f"""WITH q AS ({QA_SQL}),
-l AS (SELECT * FROM q WHERE ref_date = (SELECT MAX(ref_date) FROM q)),
-g AS (SELECT ref_date, scope, MAX(CASE status WHEN 'VERDE' THEN 1 WHEN 'AMARELO' THEN 2 ELSE 3 END) AS sev,
-             MAX(abs(delta_pct)) AS max_abs_delta_pct FROM l GROUP BY 1, 2)
-SELECT ref_date, scope, CASE sev WHEN 1 THEN 'VERDE' WHEN 2 THEN 'AMARELO' ELSE 'VERMELHO' END AS status, max_abs_delta_pct,
-       CAST({S.lookup('scope', [(s, i) for i, s in enumerate(P.QA_SCOPE_ORDER)], 99)} AS INTEGER) AS scope_order FROM g""",
-                                  *SALES_VIEWS))
+@register("qa_status", with_views(f"""WITH q AS ({QA_SQL})
+SELECT ref_date, scope, status, delta_pct,
+       CAST(CASE scope WHEN 'GERAL' THEN 1 WHEN 'HOSPITALAR' THEN 2 WHEN 'FARMACIAS' THEN 3 WHEN 'SAC' THEN 4 ELSE 9 END AS INTEGER) AS scope_order
+FROM q WHERE metric = 'revenue' AND ref_date = (SELECT MAX(ref_date) FROM q)""", *SALES_VIEWS))
 def q_qa_status(spark, sf):
     return qa.qa_latest_status(_qa(_T(spark, sf)))
 
@@ -172,12 +169,14 @@ def _corrupt_sql(x):
 DICT_SQL = f"""SELECT pattern, replacement FROM (
   SELECT pattern, token AS replacement, row_number() OVER (PARTITION BY pattern ORDER BY n DESC, token DESC) AS k FROM (
     SELECT {_corrupt_sql('token')} AS pattern, token, COUNT(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS token FROM documents) t
-    WHERE NOT contains(token, '?') AND token <> {_corrupt_sql('token')} GROUP BY 1, 2)) WHERE k = 1"""
+    WHERE NOT contains(token, '?') AND length(token) >= 4 AND token <> {_corrupt_sql('token')} GROUP BY 1, 2)) WHERE k = 1"""
+# every pattern that a value holds, longest first, folded over the value
 REPAIR_SQL = f"""WITH d AS ({DICT_SQL}),
 c AS (SELECT conv_id, turn, {_corrupt_sql('text')} AS text FROM conversations),
 av AS (SELECT DISTINCT text AS v FROM c WHERE contains(text, '?')),
-tk AS (SELECT v, unnest(string_split(v, ' ')) AS pattern, unnest(range(len(string_split(v, ' ')))) AS p FROM av),
-rb AS (SELECT v, string_agg(COALESCE(d.replacement, tk.pattern), ' ' ORDER BY p) AS fixed FROM tk LEFT JOIN d ON d.pattern = tk.pattern GROUP BY v)
+f AS (SELECT v, list({{'p': d.pattern, 'r': d.replacement}} ORDER BY length(d.pattern) DESC, d.pattern) AS found
+      FROM av JOIN d ON contains(av.v, d.pattern) GROUP BY v),
+rb AS (SELECT v, (list_reduce(list_prepend({{'p': '', 'r': v}}, found), lambda a, x: {{'p': '', 'r': replace(a.r, x.p, x.r)}})).r AS fixed FROM f)
 SELECT c.conv_id, c.turn, c.text, COALESCE(rb.fixed, c.text) AS text_repaired FROM c LEFT JOIN rb ON rb.v = c.text"""
 
 
@@ -223,22 +222,21 @@ _CITY_IN = """SELECT p.partner_code,
        WHEN p.partner_code % 5 = 1 THEN substr(p.city, 1, length(p.city) - 1) ELSE p.city END AS city, p.state
 FROM partner p"""
 _RATIO = "100.0 * (1.0 - CAST(levenshtein(v, rc) AS DOUBLE) / CAST(greatest(length(v), length(rc)) AS DOUBLE))"
-_MINS = "CASE WHEN length(v) <= 6 THEN 85.0 WHEN length(v) <= 10 THEN 80.0 ELSE 70.0 END"
+# literal bands, not taken from the parameters: up to 6 letters 70, up to 12 letters 80, longer 85
+_MINS = "CASE WHEN length(v) <= 6 THEN 70.0 WHEN length(v) <= 12 THEN 80.0 ELSE 85.0 END"
 CITY_SQL = f"""WITH inp AS ({_CITY_IN}),
 r AS (SELECT DISTINCT upper(n.n_name) AS rc, upper(g.r_name) AS rs FROM nation n JOIN region g ON n.n_regionkey = g.r_regionkey),
 v AS (SELECT DISTINCT upper(trim(city)) AS v, upper(state) AS s FROM inp WHERE city IS NOT NULL AND trim(city) <> ''),
-m AS (SELECT v, s, rc AS fixed, 1 AS stage, 100.0 AS score FROM v JOIN r ON v.v = r.rc AND v.s = r.rs
-      UNION ALL SELECT v, s, rc, 2, 100.0 FROM v JOIN r ON v.v = r.rc
-      UNION ALL SELECT v, s, rc, 3, 100.0 FROM v JOIN r ON length(v.v) = length(r.rc) AND v.s = r.rs
-                WHERE contains(v.v, '?') AND r.rc LIKE replace(v.v, '?', '_')
-      UNION ALL SELECT v, s, rc, 4, 100.0 FROM v JOIN r ON length(v.v) = length(r.rc)
-                WHERE contains(v.v, '?') AND r.rc LIKE replace(v.v, '?', '_')
-      UNION ALL SELECT v, s, rc, 5, {_RATIO} FROM v, (SELECT DISTINCT rc FROM r) rr WHERE {_RATIO} >= {_MINS}),
+m AS (SELECT v, s, rc AS fixed, 1 AS stage, 100.0 AS score FROM v JOIN r ON v.v = r.rc WHERE NOT contains(v.v, '?')
+      UNION ALL SELECT v, s, rc, CASE WHEN v.s = r.rs THEN 2 ELSE 3 END, {_RATIO} FROM v, r
+                WHERE contains(v.v, '?') AND length(v.v) = length(r.rc) AND r.rc LIKE replace(v.v, '?', '_')
+      UNION ALL SELECT v, s, rc, CASE WHEN v.s = r.rs THEN 4 ELSE 5 END, {_RATIO} FROM v, r
+                WHERE contains(v.v, '?') AND {_RATIO} >= {_MINS}),
 b AS (SELECT v, s, fixed AS city_fixed, stage FROM (
         SELECT *, row_number() OVER (PARTITION BY v, s ORDER BY stage, score DESC, fixed) AS k FROM m) WHERE k = 1)
 SELECT inp.partner_code, inp.city, inp.state, b.city_fixed,
-       CASE b.stage WHEN 1 THEN 'exact' WHEN 2 THEN 'exact_national' WHEN 3 THEN 'wildcard' WHEN 4 THEN 'wildcard_national'
-                    WHEN 5 THEN 'fuzzy' END AS match_how
+       CASE b.stage WHEN 1 THEN 'exact' WHEN 2 THEN 'wildcard' WHEN 3 THEN 'wildcard_national' WHEN 4 THEN 'fuzzy'
+                    WHEN 5 THEN 'fuzzy_national' END AS match_how
 FROM inp LEFT JOIN b ON b.v = upper(trim(inp.city)) AND b.s IS NOT DISTINCT FROM upper(inp.state)"""
 
 
