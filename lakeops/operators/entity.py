@@ -103,6 +103,19 @@ def _prefix_candidates(lp: DataFrame, rp: DataFrame, q: int) -> DataFrame:
     return lq.join(rq, ["gram", "occ"]).select("lname", "rname")
 
 
+def gram_size(threshold: float, shortest: int, largest: int = Q) -> int:
+    """Largest q whose prefix filter is complete for all names of ``shortest`` characters or more.
+
+    A name of L characters has L - q + 1 grams, of which k edits spoil at most k * q: one must be left.
+    """
+    ts = int(round(threshold * 1000))
+    for q in range(largest, 0, -1):
+        # beyond a few hundred characters the slope decides: 1 - q (100 - t) / t
+        if q * (100000 - ts) < ts and all(n - q >= q * ((100000 - ts) * n // ts) for n in range(max(q, shortest), max(q, shortest) + 400)):
+            return q
+    raise ValueError(f"similarity {threshold} is too low for candidate generation: it must be over 50")
+
+
 def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: float, q: int = Q,
                      deletion_max: int = 2) -> DataFrame:
     """Distinct (lname, rname) pairs that may reach ``threshold`` (complete for the ratio above).
@@ -111,8 +124,8 @@ def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: f
 
     * k <= ``deletion_max``: symmetric deletion neighbourhoods — strings within k
       edits share a string reachable by <= k deletions from both; joined on that string;
-    * longer names: q-gram prefix filtering (needs L - q + 1 - k*q >= 1: q = 3 holds
-      near 88 for 15+ characters, q = 1 for any threshold > 50).
+    * longer names: q-gram prefix filtering, with the largest gram up to ``q`` for which it is complete
+      (``gram_size``; thresholds of 50 or less are refused).
 
     A pair whose longer member has k > ``deletion_max`` has both members at least
     ceil(t * L_K) long (L_K: first length with that budget), so the prefix side
@@ -128,7 +141,9 @@ def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: f
     ts = int(round(threshold * 1000))
     k1 = deletion_max + 1
     L_K = -(-k1 * ts // (100000 - ts)) if ts < 100000 else 10 ** 9  # ceil((K+1) t / (100 - t))
-    p_min = max(q, -(-ts * L_K // 100000))  # ceil(t * L_K)
+    p_min = -(-ts * L_K // 100000)  # ceil(t * L_K)
+    q = gram_size(threshold, p_min, q)
+    p_min = max(q, p_min)
     ld = lp.where(F.col("budget") <= deletion_max)
     rd = rp.where(F.col("budget") <= deletion_max)
     lv = deletion_variants(ld).select(F.col("nid").alias("lid_"), "vh")

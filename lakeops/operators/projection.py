@@ -14,8 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions import columns as C
+from lakeops.session import cut_lineage
 
 
 # -- PRJ-1 / PRJ-2 ---------------------------------------------------------------
@@ -61,29 +63,19 @@ def add_audit(df: DataFrame, ts, updated: bool = False) -> DataFrame:
     return out.withColumn("updated_at", F.lit(ts).cast("timestamp_ntz")) if updated else out
 
 
-def add_seq_key(df: DataFrame, name: str, order_by: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """PRJ-6: consecutive 1..N key in ``order_by`` order without a single-partition window.
+def add_seq_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
+    """PRJ-6: consecutive 1..N key in ``order_by`` order without a single-partition window; keys of any sortable type.
 
-    Rows are split into value ranges of the leading (numeric) order column
-    (boundaries from ``approxQuantile``: ``buckets - 1`` numbers on the
-    driver), numbered inside their range, and shifted by the cumulative size
-    of the preceding ranges (a table with one row per range, broadcast).  The
-    range of a row depends only on its values, so recomputation after a lost
-    executor gives the same keys.
+    Rows are dealt into ranges of the whole order (so one value of the first column may span ranges), sorted, and
+    written to the checkpoint folder once with their place in the range; each range's offset is the size of
+    those before it (one row per range).  The numbering is read from what was written, so a lost executor changes no key.
     """
-    order_by = list(order_by)
-    n = buckets or max(2, df.sparkSession.sparkContext.defaultParallelism * 4)
-    first = order_by[0]
-    qs = df.approxQuantile(first, [i / n for i in range(1, n)], 0.001)
-    bounds = sorted(set(q for q in qs if q is not None))
-    bucket = F.lit(0)
-    for b in bounds:
-        bucket = bucket + (F.col(first) > F.lit(b)).cast("int")
-    ranged = df.withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by)))
-    sizes = ranged.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    offs = sizes.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_off"))
-    return local.join(F.broadcast(offs), "_bucket").select(*df.columns, (F.col("_off") + F.col("_rn")).alias(name))
+    place = F.monotonically_increasing_id()
+    ranged = cut_lineage(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+                         .withColumns({"_range": F.shiftright(place, 33), "_place": place.bitwiseAND(F.lit((1 << 33) - 1))}))
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    offs = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_off"))
+    return ranged.join(F.broadcast(offs), "_range").select(*df.columns, (F.col("_off") + F.col("_place") + F.lit(1)).alias(name))
 
 
 NULL_SENTINEL = "\u0000"
@@ -191,22 +183,41 @@ def flatten_custom_fields(df: DataFrame, map_col: str, fields: Sequence[dict]) -
     return df.select(*out)
 
 
+MAIL_HEADERS = {"subject": "subject", "from": "from_addr", "to": "to_addr", "cc": "cc", "bcc": "bcc", "reply-to": "reply_to",
+                "in-reply-to": "in_reply_to", "date": "email_date", "message-id": "email_message_id"}
+
+
+def _attachments(parts: Column, kind: T.DataType) -> Column:
+    """Attachments (a file name and an attachment id) of a list of parts and of all parts below, as deep as the schema goes."""
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+        return F.lit(0)
+    fields = {f.name: f.dataType for f in kind.elementType.fields}
+
+    def of(p: Column) -> Column:
+        own = F.coalesce(p["filename"], F.lit("")) != ""
+        if "body" in fields:
+            own = own & (F.coalesce(p["body"]["attachmentId"], F.lit("")) != "")
+        below = _attachments(p["parts"], fields["parts"]) if "parts" in fields else F.lit(0)
+        return own.cast("int") + below
+
+    return F.coalesce(F.aggregate(F.transform(parts, of), F.lit(0), lambda a, b: a + b), F.lit(0))
+
+
 def flatten_mail(df: DataFrame, headers_col: str = "headers", internal_ms: str = "internal_date",
                  parts_col: str = "parts") -> DataFrame:
-    """PRJ-12: message headers (array of name/value) -> columns, epoch ms -> timestamp, attachment count.
+    """PRJ-12: message headers (array of name/value) -> columns, epoch ms -> timestamp, attachment count and flag.
 
-    Attachments are counted to a fixed depth of nested parts (two levels).
+    Of repeated headers the last counts.  Parts are walked through all levels of the column's schema.
     """
-    hm = F.map_from_entries(F.transform(F.col(headers_col), lambda h: F.struct(F.lower(h["name"]), h["value"])))
-    def att(parts):
-        return F.size(F.filter(parts, lambda p: F.coalesce(p["filename"], F.lit("")) != ""))
-    lvl1 = F.coalesce(att(F.col(parts_col)), F.lit(0))
-    lvl2 = F.coalesce(F.aggregate(F.transform(F.col(parts_col), lambda p: F.coalesce(att(p["parts"]), F.lit(0))),
-                                  F.lit(0), lambda a, b: a + b), F.lit(0))
-    return df.select("*", F.element_at(hm, "from").alias("from_addr"), F.element_at(hm, "to").alias("to_addr"),
-                     F.element_at(hm, "subject").alias("subject"),
+    pairs = F.transform(F.col(headers_col), lambda h: F.struct(F.lower(h["name"]).alias("k"), h["value"].alias("v")))
+
+    def header(name: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda h: h["k"] == name), F.lit(-1))["v"]
+
+    n = _attachments(F.col(parts_col), df.schema[parts_col].dataType)
+    return df.select("*", *(header(h).alias(c) for h, c in MAIL_HEADERS.items()),
                      F.timestamp_millis(F.col(internal_ms).cast("bigint")).alias("sent_at"),
-                     (lvl1 + lvl2).alias("attachments"))
+                     n.alias("attachments"), (n > 0).alias("has_attachments"))
 
 
 def norm_ref(c: str) -> Column:

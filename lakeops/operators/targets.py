@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from lakeops import params as P
 from lakeops.functions import columns as C
+from lakeops.operators import commercial as com
+from lakeops.operators.commercial import PARTITION_COL
 
 # FIXED VALUES: national holidays of the reference year (parameter default; deployments pass their own table).
 HOLIDAYS_2001 = ["2001-01-01", "2001-02-26", "2001-02-27", "2001-04-13", "2001-04-21", "2001-05-01", "2001-06-14",
@@ -67,9 +69,14 @@ def rank_month(tva: DataFrame) -> DataFrame:
     return tva.withColumn("position", F.row_number().over(w))  # one row per view after aggregation
 
 
-def needed_per_day(tva: DataFrame, bdays: DataFrame) -> DataFrame:
+def _days_of(bdays: DataFrame, month: str) -> DataFrame:
+    """The month's row of the business days."""
+    return bdays.where(F.col("month") == F.lit(month).cast("date")).select("total", "elapsed")
+
+
+def needed_per_day(tva: DataFrame, bdays: DataFrame, month: str) -> DataFrame:
     """A-COM-29: expected realised so far and the sale needed per remaining business day."""
-    b = bdays.select("total", "elapsed").limit(1)
+    b = _days_of(bdays, month)
     j = tva.crossJoin(F.broadcast(b))
     exp = F.try_divide(F.col("target").cast("double"), F.col("total").cast("double")) * F.col("elapsed").cast("double")
     need = (F.greatest(F.col("target") - F.col("realised"), F.lit(0)).cast("double")
@@ -169,45 +176,110 @@ def performance_matrix(indicators: DataFrame) -> DataFrame:
     return s.withColumn("quadrant", q)
 
 
-def sales_calendar(sales: DataFrame, holidays: DataFrame, month: str, target: DataFrame) -> DataFrame:
-    """A-COM-35: days of the month on a Sunday-first week grid, daily revenue vs daily target (target / business days)."""
+def _month_range(df: DataFrame, date_col: str, start, end) -> DataFrame:
+    """Rows with start <= date < end, stated on the month partition column too where the table has one."""
+    d = F.col(date_col)
+    out = df.where((d >= start) & (d < end))
+    if PARTITION_COL in df.columns and date_col == "invoice_date":
+        p = F.col(PARTITION_COL)
+        out = out.where((p >= F.date_format(start, "yyyy-MM")) & (p <= F.date_format(F.date_sub(end, 1), "yyyy-MM")))
+    return out
+
+
+def _target_value(target: DataFrame) -> DataFrame:
+    """One row: the target, NULL if there is none or it is not positive."""
+    return target.agg(F.max("target").cast("double").alias("_t")).select(F.when(F.col("_t") > 0, F.col("_t")).alias("_t"))
+
+
+def sales_calendar(orders: DataFrame, natures: DataFrame, holidays: DataFrame, month: str, target: DataFrame) -> DataFrame:
+    """A-COM-35: days of the month on a Sunday-first week grid: sales by order date, the week's total, and whether the
+    day reached the daily target (target / business days, the same for every day; NULL without a target)."""
+    m = F.lit(month).cast("date")
+    sales = _month_range(com.billed_orders(orders, natures, exclude_channels=(), statuses=None, date_col="order_date"), "order_date", m, F.add_months(m, 1))
+    rev = sales.groupBy(F.col("order_date").alias("day")).agg(C.money_sum("product_amount").alias("revenue"))
+    one = target.sparkSession.range(1).select(m.alias("month"))
+    days = with_business_flag(month_days(one), holidays)
+    goal = days.agg(C.count_if(F.col("is_business_day")).cast("double").alias("_bd")).crossJoin(_target_value(target)).select(
+        F.try_divide("_t", "_bd").alias("daily_target"))
+    week = F.floor((F.dayofmonth("day") + F.dayofweek(F.trunc("day", "month")) - 2) / 7).cast("int") + 1
+    out = days.join(rev, "day", "left").crossJoin(F.broadcast(goal)).select(
+        "day", week.alias("week"), (F.dayofweek("day") - 1).alias("weekday"), "is_business_day",
+        C.money(F.coalesce("revenue", F.lit(0))).alias("revenue"), "daily_target")
+    # at most 31 rows
+    out = out.withColumn("week_total", C.money(F.sum("revenue").over(Window.partitionBy("week"))))
+    return out.withColumn("hit", F.col("revenue").cast("double") >= F.col("daily_target"))
+
+
+def sales_calendar_totals(orders: DataFrame, natures: DataFrame, holidays: DataFrame, month: str, target: DataFrame,
+                          ref: str | None = None) -> DataFrame:
+    """A-COM-35: one row for the month: sold (order date) and invoiced, both projected at the pace of the business days so
+    far, the target, its share reached, and what is left in total and per business day after ``ref``.
+
+    Without ``ref`` the month is closed: no target, no days left, and the projections are what was reached.
+    """
     m = F.lit(month).cast("date")
-    months = sales.where(F.col("month") == m).select("month").distinct()
-    days = with_business_flag(month_days(months), holidays)
-    rev = sales.where(F.col("month") == m).groupBy(F.col("invoice_date").alias("day")).agg(
-        C.money_sum("product_amount").alias("revenue"))
-    nb = days.agg(C.count_if(F.col("is_business_day")).alias("_bd")).crossJoin(target.select(F.col("target").alias("_t")).limit(1))
-    j = days.join(rev, "day", "left").crossJoin(F.broadcast(nb))
-    first_wd = F.dayofweek(F.trunc("day", "month"))  # 1 = Sunday
-    week = F.floor((F.dayofmonth("day") + first_wd - 2) / 7).cast("int") + 1
-    daily_t = F.when(F.col("is_business_day"), F.try_divide(F.col("_t").cast("double"), F.col("_bd").cast("double")))
-    out = j.select("day", week.alias("week"), (F.dayofweek("day") - 1).alias("weekday"), "is_business_day",
-                   C.money(F.coalesce("revenue", F.lit(0))).alias("revenue"), daily_t.alias("daily_target"))
-    return out.withColumn("hit", F.col("revenue").cast("double") >= F.coalesce(F.col("daily_target"), F.lit(0.0)))
+    nxt = F.add_months(m, 1)
+
+    def total(date_col):
+        base = com.billed_orders(orders, natures, exclude_channels=(), statuses=None, date_col=date_col)
+        return _month_range(base, date_col, m, nxt).agg(C.money(F.coalesce(F.sum("product_amount"), F.lit(0))).alias("v"))
+
+    one = target.sparkSession.range(1).select(m.alias("month"))
+    days = with_business_flag(month_days(one), holidays)
+    upto = F.lit(ref).cast("date") if ref else F.last_day(m)
+    b = F.col("is_business_day")
+    n = days.agg(C.count_if(b).alias("business_days"), C.count_if(b & (F.col("day") <= upto)).alias("elapsed"))
+    goal = _target_value(target) if ref else target.sparkSession.range(1).select(F.lit(None).cast("double").alias("_t"))
+    j = (total("order_date").withColumnRenamed("v", "sold").crossJoin(total("invoice_date").withColumnRenamed("v", "invoiced"))
+         .crossJoin(n).crossJoin(goal))
+    t = F.coalesce("_t", F.lit(0.0))
+
+    def projected(c):
+        pace = F.col(c).cast("double") / F.col("elapsed") * F.col("business_days")
+        return F.when(F.lit(ref is not None) & (F.col("elapsed") > 0), pace).otherwise(F.col(c).cast("double"))
+
+    left = F.greatest(F.col("business_days") - F.col("elapsed"), F.lit(0)) if ref else F.lit(0).cast("bigint")
+    rest = F.greatest(t - F.col("sold").cast("double"), F.lit(0.0))
+    return j.select("sold", "invoiced", "business_days", "elapsed", t.alias("target"),
+                    F.coalesce(F.try_divide(t, F.col("business_days").cast("double")), F.lit(0.0)).alias("daily_target"),
+                    F.coalesce(F.try_divide(F.col("sold").cast("double"), t), F.lit(0.0)).alias("reached"),
+                    left.alias("days_left"), rest.alias("remaining"), F.coalesce(F.try_divide(rest, left.cast("double")), F.lit(0.0)).alias("remaining_per_day"),
+                    projected("sold").alias("projection"), projected("invoiced").alias("invoiced_projection"))
 
 
 def revenue_matrix(sales: DataFrame, years: list[int], ref: str) -> DataFrame:
-    """A-COM-36: revenue per year x month, cumulative within the year, YoY of month / cumulative; future months masked."""
-    s = sales.where(F.year("invoice_date").isin(*years))
-    g = s.groupBy(F.year("invoice_date").alias("year"), F.month("invoice_date").alias("month")).agg(
-        C.money_sum("product_amount").alias("revenue"))
-    w = Window.partitionBy("year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)  # <= 12 rows per year
-    g = g.withColumn("cumulative", C.money(F.sum("revenue").over(w)))
-    prev = g.select((F.col("year") + 1).alias("year"), "month", F.col("revenue").alias("_py"), F.col("cumulative").alias("_pc"))
-    j = g.join(prev, ["year", "month"], "left")
+    """A-COM-36: all twelve months of each year: revenue, cumulative, change on the year before of the month, the cumulative
+    and the whole year (ratios, NULL where the year before is 0), the year's total, and whether the month lies after ``ref``.
+
+    The year before the first is read too.  A year whose predecessor has no positive month has no monthly changes.
+    """
+    first, last = min(years) - 1, max(years)
+    read = _month_range(sales, "invoice_date", F.lit(f"{first}-01-01").cast("date"), F.lit(f"{last + 1}-01-01").cast("date"))
+    g = read.groupBy(F.year("invoice_date").alias("year"), F.month("invoice_date").alias("month")).agg(C.money_sum("product_amount").alias("r"))
+    spine = sales.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year")).select(
+        "year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+    # 12 rows a year from here on
+    m = spine.join(F.broadcast(g), ["year", "month"], "left").withColumn("revenue", C.money(F.coalesce("r", F.lit(0)))).drop("r")
+    in_year = Window.partitionBy("year")
+    m = m.withColumn("cumulative", C.money(F.sum("revenue").over(in_year.orderBy("month").rowsBetween(Window.unboundedPreceding, 0))))
+    m = m.withColumn("year_total", C.money(F.sum("revenue").over(in_year))).withColumn("_any", F.max(F.col("revenue") > 0).over(in_year))
+    prev = m.select((F.col("year") + 1).alias("year"), "month", F.col("revenue").alias("_r"), F.col("cumulative").alias("_c"),
+                    F.col("year_total").alias("_y"), F.col("_any").alias("has_yoy"))
+    j = m.join(prev, ["year", "month"]).where(F.col("year").isin(*years))
+
+    def yoy(cur, old):
+        return F.try_divide(F.col(cur).cast("double"), F.col(old).cast("double")) - F.lit(1.0)
+
     r = F.lit(ref).cast("date")
-    future = (F.col("year") == F.year(r)) & (F.col("month") > F.month(r))
-    out = j.select("year", "month", "revenue", "cumulative",
-                   (F.try_divide(F.col("revenue").cast("double") - F.col("_py").cast("double"), F.col("_py").cast("double")) * F.lit(100.0)).alias("yoy_month_pct"),
-                   (F.try_divide(F.col("cumulative").cast("double") - F.col("_pc").cast("double"), F.col("_pc").cast("double")) * F.lit(100.0)).alias("yoy_cum_pct"))
-    return out.select("year", "month", *[F.when(future, F.lit(None)).otherwise(F.col(c)).alias(c)
-                                         for c in ["revenue", "cumulative", "yoy_month_pct", "yoy_cum_pct"]])
+    future = (F.col("year") > F.year(r)) | ((F.col("year") == F.year(r)) & (F.col("month") > F.month(r)))
+    return j.select("year", "month", "revenue", "cumulative", "year_total", "has_yoy", F.when(F.col("has_yoy"), yoy("revenue", "_r")).alias("yoy_month"),
+                    F.when(F.col("has_yoy"), yoy("cumulative", "_c")).alias("yoy_cumulative"), yoy("year_total", "_y").alias("yoy_total"), future.alias("future"))
 
 
-def rank_day(won: DataFrame, targets: DataFrame, bdays: DataFrame) -> DataFrame:
+def rank_day(won: DataFrame, targets: DataFrame, bdays: DataFrame, month: str) -> DataFrame:
     """A-COM-29: strict daily ranking (won today vs target / business days) and carry-over ranking
     (month-to-date vs the pro-rata target), NULLs last; one row per person after aggregation."""
-    b = bdays.select("total", "elapsed").limit(1)
+    b = _days_of(bdays, month)
     j = won.join(targets.select("user_id", "target"), "user_id").crossJoin(F.broadcast(b))
     t = F.col("target").cast("double")
     day_t = F.try_divide(t, F.col("total").cast("double"))

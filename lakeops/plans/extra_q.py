@@ -196,7 +196,7 @@ def q_rank_day(spark, sf):
     months = T.deals.select(F.trunc(F.col("add_time").cast("date"), "month").alias("month")).distinct().where(
         F.col("month") == F.lit("2024-01-01").cast("date"))
     bd = TG.business_days(months, spark.createDataFrame([("2024-01-01",)], "holiday string"), "2024-01-15")
-    return TG.rank_day(won, tg, bd)
+    return TG.rank_day(won, tg, bd, "2024-01-01")
 
 
 @register("most_frequent_event", """

@@ -98,7 +98,7 @@ FROM ({TVA_SQL.replace(f"WITH {DS}, ", "WITH ")}) v, b""", "sales_order", "natur
 def q_needed(spark, sf):
     T = _T(spark, sf)
     months = _ds(T).where(F.col("month") == F.lit(MONTH).cast("date")).select("month").distinct()
-    return TG.needed_per_day(_tva(T), TG.business_days(months, _holidays(spark), REF_DAY))
+    return TG.needed_per_day(_tva(T), TG.business_days(months, _holidays(spark), REF_DAY), MONTH)
 
 
 @register("won_by_owner", with_views(f"""
@@ -243,37 +243,66 @@ def q_perf(spark, sf):
     return TG.performance_matrix(_indicators(_T(spark, sf)))
 
 
-@register("sales_calendar", with_views(f"""WITH {DS}, tg AS ({TARGETS_SQL}),
-days AS (SELECT d.day, (dayofweek(d.day) BETWEEN 1 AND 5 AND h.holiday IS NULL) AS is_business_day FROM (
-           SELECT CAST(unnest(generate_series(DATE '{MONTH}', last_day(DATE '{MONTH}'), INTERVAL 1 DAY)) AS DATE) AS day
-           WHERE EXISTS (SELECT 1 FROM ds WHERE month = DATE '{MONTH}')) d
-         LEFT JOIN (SELECT CAST(holiday AS DATE) AS holiday FROM ({HOL_SQL})) h ON h.holiday = d.day),
-rev AS (SELECT invoice_date AS day, CAST(SUM(product_amount) AS DECIMAL(18,2)) AS revenue FROM ds WHERE month = DATE '{MONTH}' GROUP BY 1),
-nb AS (SELECT COUNT(CASE WHEN is_business_day THEN 1 END) AS bd FROM days),
-t AS (SELECT target FROM tg WHERE month = DATE '{MONTH}' AND view_key = 'GERAL'),
-o AS (SELECT days.day, CAST(floor((day(days.day) + dayofweek(date_trunc('month', days.day)) + 1 - 2) / 7) AS INTEGER) + 1 AS week,
-             CAST(dayofweek(days.day) AS INTEGER) AS weekday, days.is_business_day,
-             CAST(COALESCE(rev.revenue, 0) AS DECIMAL(18,2)) AS revenue,
-             CASE WHEN days.is_business_day THEN CAST(t.target AS DOUBLE) / NULLIF(CAST(nb.bd AS DOUBLE), 0) END AS daily_target
+# what the calendar counts: financial natures, by one date or the other
+_FIN = "FROM sales_order o JOIN nature n ON n.nature_code = o.nature_code AND n.financial_flag <> 'N'"
+_IN_MONTH = f">= DATE '{MONTH}' AND o.{{d}} < CAST(DATE '{MONTH}' + INTERVAL 1 MONTH AS DATE)"
+_DAYS_SQL = f"""SELECT d.day, (dayofweek(d.day) BETWEEN 1 AND 5 AND h.holiday IS NULL) AS is_business_day FROM (
+           SELECT CAST(unnest(generate_series(DATE '{MONTH}', last_day(DATE '{MONTH}'), INTERVAL 1 DAY)) AS DATE) AS day) d
+         LEFT JOIN (SELECT CAST(holiday AS DATE) AS holiday FROM ({HOL_SQL})) h ON h.holiday = d.day"""
+_GOAL = f"SELECT CAST(MAX(target) AS DOUBLE) AS t FROM tg WHERE month = DATE '{MONTH}' AND view_key = 'GERAL'"
+
+
+def _month_target(T):
+    return _targets(T).where((F.col("month") == F.lit(MONTH).cast("date")) & (F.col("view_key") == "GERAL"))
+
+
+@register("sales_calendar", with_views(f"""WITH {DS}, tg AS ({TARGETS_SQL}), days AS ({_DAYS_SQL}),
+rev AS (SELECT o.order_date AS day, CAST(SUM(o.product_amount) AS DECIMAL(18,2)) AS revenue {_FIN}
+        WHERE o.order_date {_IN_MONTH.format(d='order_date')} GROUP BY 1),
+nb AS (SELECT CAST(COUNT(*) FILTER (is_business_day) AS DOUBLE) AS bd FROM days), t AS ({_GOAL}),
+o AS (SELECT days.day, CAST(floor((day(days.day) + dayofweek(DATE '{MONTH}') - 1) / 7) AS INTEGER) + 1 AS week,
+             CAST(dayofweek(days.day) AS INTEGER) AS weekday, days.is_business_day, CAST(COALESCE(rev.revenue, 0) AS DECIMAL(18,2)) AS revenue,
+             CASE WHEN t.t > 0 THEN t.t / NULLIF(nb.bd, 0) END AS daily_target
       FROM days LEFT JOIN rev ON rev.day = days.day, nb, t)
-SELECT *, CAST(revenue AS DOUBLE) >= COALESCE(daily_target, 0.0) AS hit FROM o""", "sales_order", "nature"))
+SELECT *, CAST(SUM(revenue) OVER (PARTITION BY week) AS DECIMAL(18,2)) AS week_total, CAST(revenue AS DOUBLE) >= daily_target AS hit FROM o""",
+                                      "sales_order", "nature"))
 def q_sales_calendar(spark, sf):
     T = _T(spark, sf)
-    t = _targets(T).where((F.col("month") == F.lit(MONTH).cast("date")) & (F.col("view_key") == "GERAL"))
-    return TG.sales_calendar(_ds(T), _holidays(spark), MONTH, t)
+    return TG.sales_calendar(T.sales_order, T.nature, _holidays(spark), MONTH, _month_target(T))
+
+
+@register("sales_calendar_totals", with_views(f"""WITH {DS}, tg AS ({TARGETS_SQL}), days AS ({_DAYS_SQL}),
+s AS (SELECT CAST(COALESCE(SUM(o.product_amount), 0) AS DECIMAL(18,2)) AS sold {_FIN} WHERE o.order_date {_IN_MONTH.format(d='order_date')}),
+i AS (SELECT CAST(COALESCE(SUM(o.product_amount), 0) AS DECIMAL(18,2)) AS invoiced {_FIN} WHERE o.invoice_date {_IN_MONTH.format(d='invoice_date')}),
+b AS (SELECT COUNT(*) FILTER (is_business_day) AS business_days, COUNT(*) FILTER (is_business_day AND day <= DATE '{REF_DAY}') AS elapsed FROM days),
+t AS ({_GOAL}),
+j AS (SELECT sold, invoiced, business_days, elapsed, CASE WHEN t.t > 0 THEN t.t ELSE 0.0 END AS target,
+             greatest(business_days - elapsed, 0) AS days_left FROM s, i, b, t),
+k AS (SELECT *, greatest(target - CAST(sold AS DOUBLE), 0.0) AS remaining FROM j)
+SELECT sold, invoiced, business_days, elapsed, target, COALESCE(target / NULLIF(CAST(business_days AS DOUBLE), 0), 0.0) AS daily_target,
+       COALESCE(CAST(sold AS DOUBLE) / NULLIF(target, 0), 0.0) AS reached, days_left, remaining,
+       COALESCE(remaining / NULLIF(CAST(days_left AS DOUBLE), 0), 0.0) AS remaining_per_day,
+       CASE WHEN elapsed > 0 THEN CAST(sold AS DOUBLE) / elapsed * business_days ELSE CAST(sold AS DOUBLE) END AS projection,
+       CASE WHEN elapsed > 0 THEN CAST(invoiced AS DOUBLE) / elapsed * business_days ELSE CAST(invoiced AS DOUBLE) END AS invoiced_projection
+FROM k""", "sales_order", "nature"))
+def q_sales_calendar_totals(spark, sf):
+    T = _T(spark, sf)
+    return TG.sales_calendar_totals(T.sales_order, T.nature, _holidays(spark), MONTH, _month_target(T), REF_DAY)
 
 
 @register("revenue_matrix", with_views(f"""WITH {DS},
-g AS (SELECT year(invoice_date) AS year, month(invoice_date) AS month, CAST(SUM(product_amount) AS DECIMAL(18,2)) AS revenue
-      FROM ds WHERE year(invoice_date) IN (1999, 2000, 2001) GROUP BY 1, 2),
-c AS (SELECT *, CAST(SUM(revenue) OVER (PARTITION BY year ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS cumulative FROM g),
-j AS (SELECT c.*, p.revenue AS py, p.cumulative AS pc FROM c LEFT JOIN c p ON p.year + 1 = c.year AND p.month = c.month),
-k AS (SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, revenue, cumulative,
-             (CAST(revenue AS DOUBLE) - CAST(py AS DOUBLE)) / NULLIF(CAST(py AS DOUBLE), 0) * 100.0 AS yoy_month_pct,
-             (CAST(cumulative AS DOUBLE) - CAST(pc AS DOUBLE)) / NULLIF(CAST(pc AS DOUBLE), 0) * 100.0 AS yoy_cum_pct,
-             (year = 2001 AND month > 8) AS fut FROM j)
-SELECT year, month, CASE WHEN fut THEN NULL ELSE revenue END AS revenue, CASE WHEN fut THEN NULL ELSE cumulative END AS cumulative,
-       CASE WHEN fut THEN NULL ELSE yoy_month_pct END AS yoy_month_pct, CASE WHEN fut THEN NULL ELSE yoy_cum_pct END AS yoy_cum_pct
-FROM k""", "sales_order", "nature"))
+g AS (SELECT year(invoice_date) AS year, month(invoice_date) AS month, SUM(product_amount) AS r FROM ds
+      WHERE invoice_date >= DATE '1998-01-01' AND invoice_date < DATE '2002-01-01' GROUP BY 1, 2),
+m AS (SELECT y.year, mo.month, CAST(COALESCE(g.r, 0) AS DECIMAL(18,2)) AS revenue FROM range(1998, 2002) y(year), range(1, 13) mo(month)
+      LEFT JOIN g ON g.year = y.year AND g.month = mo.month),
+c AS (SELECT *, CAST(SUM(revenue) OVER (PARTITION BY year ORDER BY month ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) AS cumulative,
+             CAST(SUM(revenue) OVER (PARTITION BY year) AS DECIMAL(18,2)) AS year_total, MAX(revenue > 0) OVER (PARTITION BY year) AS some FROM m),
+j AS (SELECT c.*, p.revenue AS pr, p.cumulative AS pc, p.year_total AS py, p.some AS has_yoy FROM c JOIN c p ON p.year + 1 = c.year AND p.month = c.month)
+SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, revenue, cumulative, year_total, has_yoy,
+       CASE WHEN has_yoy THEN CAST(revenue AS DOUBLE) / NULLIF(CAST(pr AS DOUBLE), 0) - 1.0 END AS yoy_month,
+       CASE WHEN has_yoy THEN CAST(cumulative AS DOUBLE) / NULLIF(CAST(pc AS DOUBLE), 0) - 1.0 END AS yoy_cumulative,
+       CAST(year_total AS DOUBLE) / NULLIF(CAST(py AS DOUBLE), 0) - 1.0 AS yoy_total,
+       (year > 2001 OR (year = 2001 AND month > 8)) AS future
+FROM j WHERE year IN (1999, 2000, 2001)""", "sales_order", "nature"))
 def q_revenue_matrix(spark, sf):
     return TG.revenue_matrix(_ds(_T(spark, sf)), [1999, 2000, 2001], SALES_REF)

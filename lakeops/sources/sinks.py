@@ -1,12 +1,12 @@
 """Sinks: full reload, empty guard, append, month-partitioned layout, row-count validation.
 
-Writers never overwrite the path they read from: a reload writes a new version
-directory and returns it, so a failed or partial job leaves the previous
-version intact and a lost executor only re-runs its tasks.
+A reload is written beside the table and swapped in when it is whole, so it may read what it replaces, a failed or
+partial job leaves the table as it was, and a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,8 +23,25 @@ def _ordered(df: DataFrame, schema: dict[str, str] | None) -> DataFrame:
 
 
 def write_full(df: DataFrame, path: str, schema: dict[str, str] | None = None, fmt: str = "parquet") -> str:
-    """SNK-1: truncate-and-load into ``path`` in schema order (missing columns -> typed NULL, extras dropped)."""
-    _ordered(df, schema).write.mode("overwrite").format(fmt).save(path)
+    """SNK-1: truncate-and-load into ``path`` in schema order (missing columns -> typed NULL, extras dropped).
+
+    The new content is written beside ``path`` and takes its place when it is whole, so ``df`` may read ``path``
+    and a failed job leaves the table as it was.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tag = uuid.uuid4().hex
+    new, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{tag}") for kind in ("new", "old"))
+    _ordered(df, schema).write.mode("error").format(fmt).save(str(new))
+    if fs.exists(place):
+        fs.rename(place, old)
+    if not fs.rename(new, place):
+        if fs.exists(old):
+            fs.rename(old, place)
+        raise OSError(f"{new} could not take the place of {path}")
+    fs.delete(old, True)
     return path
 
 
@@ -43,19 +60,17 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, date_col: str, cluster: Sequence[str] = (), mode: str = "overwrite",
-                      dynamic: bool = True, partition_col: str = "month", salt_buckets: int = 16) -> str:
+                      dynamic: bool = True, partition_col: str = "month") -> str:
     """SNK-4: month partitions (``yyyy-MM`` text in ``partition_col``), rows clustered by ``cluster`` inside each file.
 
-    ``dynamic`` overwrite replaces only the months present in ``df`` (CDC-6).
+    ``dynamic`` overwrite replaces only the months present in ``df`` (CDC-6).  The rows are rebalanced by month and
+    cluster: AQE splits what is large over more writers and joins what is small, by the size of the data.
     """
     out = df.withColumn(partition_col, F.date_format(F.col(date_col), "yyyy-MM"))
     pc = partition_col
+    out = out.hint("rebalance", pc, *cluster)
     if cluster:
-        out = out.repartition(pc, *cluster).sortWithinPartitions(*cluster)
-    else:
-        # spread a month over several writers (deterministic salt): a hot month never lands in one task
-        salt = (F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % F.lit(salt_buckets)).alias("_salt")
-        out = out.repartition(pc, salt)
+        out = out.sortWithinPartitions(pc, *cluster)
     w = out.write.mode(mode).partitionBy(pc)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")

@@ -4,17 +4,20 @@ A file stream of delta extracts drives ``foreachBatch``:
 
 1. dedup inside the micro-batch (latest row per key, partial aggregate);
 2. read the current target version, upsert (anti-join + union), write the
-   result to a *new* version directory ``v=<epoch>`` (never the one being read);
-3. stamp the watermark (max event time of the batch) after the write.
-
-Replays are idempotent: an epoch whose version directory already has a
-``_SUCCESS`` marker is skipped, and the checkpoint lives in the shared folder
-named by ``spark.checkpoint.dir``, so a restarted driver resumes where it
-stopped.  ``trigger(availableNow=True)`` processes what has landed and stops.
+   result to a *new* version directory ``v=<number>`` (never the one being read);
+3. stamp the watermark (max event time of the batch) after the write;
+4. mark the batch as done, under the id of its stream and its epoch.
+
+Only a marked batch is skipped when it comes again.  A batch that was cut off before its mark is merged once
+more: an upsert of the same rows changes nothing, and the stamp is not lost.  Epochs start at 0 again with a new
+checkpoint folder; the stream's id differs then, so no batch of another stream is taken for this one.
+Versions are numbered on their own; the last few are kept.  The checkpoint lives in the shared folder named by
+``spark.checkpoint.dir``.  ``trigger(availableNow=True)`` processes what has landed and stops.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,24 +57,45 @@ def read_target(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
 
 
+def _next_version(spark: SparkSession, root: str) -> str:
+    versions = list_versions(spark, root)
+    return f"{root.rstrip('/')}/v={int(versions[-1].split('=')[1]) + 1 if versions else 0:012d}"
+
+
+def _drop_old(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all but the last ``keep`` committed versions."""
+    for name in list_versions(spark, root)[:-keep]:
+        fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{name}")
+        fs.delete(p, True)
+
+
+def _stamp(rows: DataFrame, watermark_col: str, control_path: str, entity: str, epoch: int) -> None:
+    rows.agg(F.max(watermark_col).cast("timestamp_ntz").alias("watermark")).select(
+        F.lit(entity).alias("entity"), F.lit(watermark_col).alias("column"), "watermark",
+        F.lit(epoch).cast("bigint").alias("epoch"), F.current_timestamp().alias("run_time")).write.mode("append").parquet(control_path)
+
+
 def upsert_batch(batch: DataFrame, epoch_id: int, *, root: str, keys: Sequence[str], order_by: Sequence[str],
                  schema: T.StructType, watermark_col: str | None = None, control_path: str | None = None,
-                 entity: str = "entity") -> None:
-    """The ``foreachBatch`` body (also callable directly for a batch run)."""
+                 entity: str = "entity", run_id: str | None = None, keep_versions: int = 3) -> str | None:
+    """The ``foreachBatch`` body (also callable directly for a batch run): the version written, None if the batch is done.
+
+    ``run_id`` and the epoch name the batch; inside a stream the id is that of the query, which its checkpoint keeps.
+    """
     spark = batch.sparkSession
-    version = f"{root.rstrip('/')}/v={epoch_id:012d}"
-    fs, p, jvm = _fs(spark, version)
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
-        return  # replayed epoch, already committed
+    run = run_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or uuid.uuid4().hex
+    fs, mark, _ = _fs(spark, f"{root.rstrip('/')}/_batches/{run}-{epoch_id}")
+    if fs.exists(mark):
+        return None
     delta = cdc.one_per_key(batch.select(*schema.fieldNames()), list(keys), list(order_by))
     target = read_target(spark, root, schema)
-    merged = cdc.upsert(target, delta, list(keys))
-    merged.write.mode("overwrite").parquet(version)
+    version = _next_version(spark, root)
+    cdc.upsert(target, delta, list(keys)).write.mode("overwrite").parquet(version)
     if watermark_col and control_path:
-        stamp = delta.agg(F.max(watermark_col).cast("timestamp_ntz").alias("watermark")).select(
-            F.lit(entity).alias("entity"), F.lit(watermark_col).alias("column"), "watermark",
-            F.lit(epoch_id).cast("bigint").alias("epoch"), F.current_timestamp().alias("run_time"))
-        stamp.write.mode("append").parquet(control_path)
+        _stamp(delta, watermark_col, control_path, entity, epoch_id)
+    fs.mkdirs(mark)
+    _drop_old(spark, root, keep_versions)
+    return version
 
 
 def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType, root: str, keys: Sequence[str],
@@ -113,8 +137,6 @@ def run_entity(spark: SparkSession, extract: DataFrame, *, root: str, keys: Sequ
     from lakeops.sources.readers import read_delta
 
     schema = extract.schema
-    versions = list_versions(spark, root)
-    epoch = int(versions[-1].split("=")[1]) + 1 if versions else 0
     wm = read_control(spark, control_path, entity) if incremental else None
     if incremental and wm is not None:
         import datetime as dt
@@ -128,13 +150,10 @@ def run_entity(spark: SparkSession, extract: DataFrame, *, root: str, keys: Sequ
     if delta.isEmpty():
         return {"entity": entity, "status": "skipped", "mode": mode, "version": None}
     if mode == "full":
-        version = f"{root.rstrip('/')}/v={epoch:012d}"
+        version = _next_version(spark, root)
         cdc.one_per_key(delta, list(keys), list(order_by)).write.mode("overwrite").parquet(version)
-        stamp = delta.agg(F.max(watermark_col).cast("timestamp_ntz").alias("watermark")).select(
-            F.lit(entity).alias("entity"), F.lit(watermark_col).alias("column"), "watermark",
-            F.lit(epoch).cast("bigint").alias("epoch"), F.current_timestamp().alias("run_time"))
-        stamp.write.mode("append").parquet(control_path)
+        _stamp(delta, watermark_col, control_path, entity, int(version.rsplit("=", 1)[1]))
     else:
-        upsert_batch(delta, epoch, root=root, keys=keys, order_by=order_by, schema=schema, watermark_col=watermark_col,
-                     control_path=control_path, entity=entity)
-    return {"entity": entity, "status": "ok", "mode": mode, "version": f"{root.rstrip('/')}/v={epoch:012d}"}
+        version = upsert_batch(delta, 0, root=root, keys=keys, order_by=order_by, schema=schema, watermark_col=watermark_col,
+                               control_path=control_path, entity=entity, run_id=uuid.uuid4().hex)
+    return {"entity": entity, "status": "ok", "mode": mode, "version": version}
