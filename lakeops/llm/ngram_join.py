@@ -5,10 +5,10 @@ likeness of num/den or more.  Documents with equal sets are one class; the produ
 runs over classes, so copies are never expanded into pairs.
 
 1. One scan gives each document's set size and class, and shingles that are frequent
-   within a task.  The most frequent ones are ``hot`` (a bounded list: it only sets an
-   order, so what it lacks costs time, never a link).
-2. A second scan takes from each set its prefix, ``n - ceil(t n) + 1`` shingles, cold ones first, each kind in
-   hash order.  Linked sets share a shingle of their prefixes whatever the order.  Cold prefix
+   within a task.  A bounded list of them sets an order: shingles not listed, listed ones, and ``hot`` ones (the
+   most frequent); what the list lacks costs time, never a link.
+2. A second scan takes from each set its prefix, ``n - ceil(t n) + 1`` shingles in that order and then by
+   hash.  Linked sets share a shingle of their prefixes whatever the order.  Cold (not hot) prefix
    entries are dealt into blocks of the shingle space; each task multiplies its block (columns of the
    incidence with their transpose) and emits overlap counts of class pairs within the size bound.
 3. The counts are summed over the blocks.  A pair is dropped if even all entries after the
@@ -37,7 +37,7 @@ from lakeops.llm.words import Hasher, mix, shingle_sets, word_chunks
 
 SHINGLE = 5
 HOT_FROM = 64  # documents that have a shingle, as far as tasks saw it, from which on it is hot
-MAX_HOT = 1 << 18  # longest list of hot shingles (2 MB sent to the tasks)
+MAX_LISTED = 1 << 19  # longest list of frequent shingles (5 MB sent to the tasks)
 FLUSH = 500_000  # prefix entries that a task gathers before it writes blocks
 HELD = 2_000_000  # shingles whose frequency a task counts at a time
 BLOCK = 600_000  # expected prefix entries of a block
@@ -108,6 +108,21 @@ def classes(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(scan, "kind int, doc_id long, n long, cls long")
 
 
+def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles, whether each is hot): those with the highest counts, MAX_LISTED at most."""
+    total = counts.groupBy("cls").agg(F.sum("n").alias("n"))
+    by_count = total.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()
+    least, room = 10_001, MAX_LISTED
+    for r in sorted(by_count, key=lambda r: -r.n):
+        if r.c > room:
+            break
+        least, room = r.n, room - r.c
+    got = total.filter(F.col("n") >= least).toArrow()
+    shingles, n = got.column("cls").to_numpy().astype(np.uint64), got.column("n").to_numpy()
+    order = np.argsort(shingles)
+    return shingles[order], n[order] >= HOT_FROM
+
+
 # --- 2. prefixes ---------------------------------------------------------------------------
 class Blob:
     """Prefix entries of a block from one task: a table of classes, and (shingle, row of the table)."""
@@ -131,7 +146,7 @@ class Blob:
 PREFIX_SCHEMA = "block long, blob binary, cls long, n long, prefix long, cold long, hot binary"
 
 
-def prefixes(docs: DataFrame, hot, n_blocks: int, num: int, den: int, k: int) -> DataFrame:
+def prefixes(docs: DataFrame, listed, n_blocks: int, num: int, den: int, k: int) -> DataFrame:
     """Blobs of cold prefix entries by block (0 and up); one row per class whose prefix reaches hot shingles (block under 0)."""
     names = ["block", "blob", "cls", "n", "prefix", "cold", "hot"]
     types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -140,7 +155,7 @@ def prefixes(docs: DataFrame, hot, n_blocks: int, num: int, den: int, k: int) ->
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     def scan(batches):
-        hot_list = hot.value
+        frequent, hot_ones = listed.value
         table, entries, held, seen = [[], [], [], []], [], 0, set()
 
         def flush():
@@ -173,8 +188,9 @@ def prefixes(docs: DataFrame, hot, n_blocks: int, num: int, den: int, k: int) ->
             cls, n = np.array([c for c, _ in new], np.int64), np.array([len(s) for _, s in new])
             flat, owner = np.concatenate([s for _, s in new]), np.repeat(np.arange(len(n)), n)
             p = prefix_length(n, num, den)
-            at = np.minimum(np.searchsorted(hot_list, flat), max(len(hot_list) - 1, 0))
-            is_hot = hot_list[at] == flat if len(hot_list) else np.zeros(len(flat), bool)
+            at = np.minimum(np.searchsorted(frequent, flat), max(len(frequent) - 1, 0))
+            known = frequent[at] == flat if len(frequent) else np.zeros(len(flat), bool)
+            is_hot = known & hot_ones[at] if len(frequent) else known
             first = np.cumsum(n) - n
 
             def place(mask):
@@ -182,12 +198,15 @@ def prefixes(docs: DataFrame, hot, n_blocks: int, num: int, den: int, k: int) ->
                 c = np.cumsum(mask)
                 return c - np.repeat(c[first] - mask[first], n)
 
-            nth = place(~is_hot)
+            # the order: not listed, listed, hot
+            nth = place(~known)
+            unlisted = np.bincount(owner[~known], minlength=len(n))
+            nth = np.where(known, place(known & ~is_hot) + unlisted[owner], nth)
             take = ~is_hot & (nth <= p[owner])
             cold = np.bincount(owner[take], minlength=len(n))
             end = np.full(len(n), END)
             last = take & (nth == p[owner])
-            end[owner[last]] = flat[last]
+            end[owner[last]] = (flat[last] >> np.uint64(1)) | (known[last].astype(np.uint64) << np.uint64(63))
             if take.any():
                 entries.append((flat[take], owner[take] + sum(map(len, table[0]))))
             for c, v in zip(table, (cls, n, cold, end), strict=True):
@@ -273,8 +292,9 @@ def block_product(num: int, den: int):
             merged, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
             keys, counts = merged, np.bincount(at, np.concatenate([counts, c]), len(merged)).astype(np.int64)
         x, y = keys >> 32, keys & 0xFFFFFFFF
-        ends_first = np.where(end[x] <= end[y], x, y)
-        least = needed(n[x], n[y], num, den) - (n[ends_first] - cold[ends_first])
+        rest_x, rest_y = n[x] - cold[x], n[y] - cold[y]
+        rest = np.where(end[x] < end[y], rest_x, np.where(end[y] < end[x], rest_y, np.maximum(rest_x, rest_y)))
+        least = needed(n[x], n[y], num, den) - rest
         cols = [cls[x], cls[y], n[x], n[y], counts, least]
         empty = [pa.nulls(len(keys), k) for k in kinds[6:]]
         return pa.table(dict(zip(names, [*(pa.array(c, pa.int64()) for c in cols), *empty], strict=True)))
@@ -381,12 +401,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scanned = staged(classes(part, shingle), "ngram-classes")
     rows = scanned.filter("kind = 0").select("doc_id", "n", "cls")
-    heavy = (scanned.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_FROM)
-             .orderBy(F.desc("n"), "cls").limit(MAX_HOT).select("cls").collect())
-    hot = spark.sparkContext.broadcast(np.sort(np.array([r.cls for r in heavy], np.int64).astype(np.uint64)))
+    listed = spark.sparkContext.broadcast(frequent_shingles(scanned.filter("kind = 1")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(12, -(-total * (den - num) // den // BLOCK))
-    product = prefixes(part, hot, n_blocks, num, den, shingle).groupBy("block").applyInArrow(block_product(num, den), PAIR_SCHEMA)
+    product = prefixes(part, listed, n_blocks, num, den, shingle).groupBy("block").applyInArrow(block_product(num, den), PAIR_SCHEMA)
     counted = staged(product, "ngram-product")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     cold = (counted.filter("b IS NOT NULL").select(*pair, "shared", "least").groupBy("a", "b")
