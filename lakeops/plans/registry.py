@@ -40,4 +40,5 @@ def load_all() -> None:
         targets_q,
         qa_q,
         extra_q,
+        loads_q,
     )
