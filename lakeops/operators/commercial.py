@@ -42,6 +42,29 @@ def billed_orders(orders: DataFrame, natures: DataFrame, *, exclude_channels=tup
 PARTITION_COL = "ym"
 
 
+def date_range(df: DataFrame, date_col: str, *ranges: tuple[Column, Column]) -> DataFrame:
+    """Rows whose date lies in one of the [start, end) ranges.
+
+    Plain comparisons reach the scan; on a table partitioned by the month of the invoice date they are stated on the
+    partition column too, so other months are never listed or read.
+    """
+    d, hit = F.col(date_col), F.lit(False)
+    for start, end in ranges:
+        hit = hit | ((d >= start) & (d < end))
+    out = df.where(hit)
+    if PARTITION_COL in df.columns and date_col == "invoice_date":
+        p, month = F.col(PARTITION_COL), F.lit(False)
+        for start, end in ranges:
+            month = month | ((p >= F.date_format(start, "yyyy-MM")) & (p <= F.date_format(F.date_sub(end, 1), "yyyy-MM")))
+        out = out.where(month)
+    return out
+
+
+def in_months(df: DataFrame, date_col: str, *months: Column) -> DataFrame:
+    """Rows whose date lies in one of the months, given by their first days."""
+    return date_range(df, date_col, *((m, F.add_months(m, 1)) for m in months))
+
+
 def rolling_window(df: DataFrame, date_col: str, ref, months: int = 12) -> DataFrame:
     """FLT-2: ``date_col`` from the first day of the month ``months`` before ``ref`` up to ``ref``.
 
@@ -80,6 +103,8 @@ def silver_sales(orders: DataFrame, natures: DataFrame, group_family: DataFrame,
         "salesperson_code", F.col("salesperson_name").alias("sale_salesperson_name"), "salesperson_group_code",
         "nature_code", "company_code", "product_amount", "total_amount", "order_status",
         F.year(date_col).alias("year"), F.month(date_col).alias("month"),
+        # the partition column goes along, so that a later window still prunes
+        *([PARTITION_COL] if ref is None and PARTITION_COL in orders.columns else []),
     )
 
 
@@ -182,7 +207,9 @@ def covering_refs(date_col: str, refs: list[str], months: int = 12) -> Column:
 
 def rfv_history(sales_all: DataFrame, refs: list[str], *, months: int = 12, date_col: str = "invoice_date") -> DataFrame:
     """A-COM-5: RFV score for several reference dates in one job (``ref_date`` column)."""
-    exploded = sales_all.withColumn("ref_date", F.explode(covering_refs(date_col, refs, months)))
+    first, last = min(refs), max(refs)
+    known = date_range(sales_all, date_col, (C.lookback_start(first, months), F.date_add(F.lit(last).cast("date"), 1)))
+    exploded = known.withColumn("ref_date", F.explode(covering_refs(date_col, refs, months)))
     return rfv_score(rfv_base(exploded, date_col=date_col))
 
 
@@ -248,7 +275,7 @@ def one_per_key_min(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 def months_in(df: DataFrame, col: str, ref_month: str) -> DataFrame:
     """FLT-3: rows whose month is the reference month, the previous one or the same month last year."""
     m0 = F.lit(ref_month).cast("date")
-    return df.where(F.trunc(F.col(col), "month").isin(m0, F.add_months(m0, -1), F.add_months(m0, -12)))
+    return in_months(df, col, m0, F.add_months(m0, -1), F.add_months(m0, -12))
 
 
 def exclude_prefixes(df: DataFrame, col: str, prefixes) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeops import params as P
 from lakeops.functions import columns as C
-from lakeops.operators.commercial import billed_orders, classify_channel, price_channel
+from lakeops.operators.commercial import billed_orders, classify_channel, date_range, in_months, price_channel
 
 
 def _d(x):
@@ -40,7 +40,7 @@ def _period_sums(df: DataFrame, ref_month: str):
     m0, m1, m12 = _months(ref_month)
     m = F.col("month")
     amt = F.col("product_amount")
-    return df.where(m.isin(m0, m1, m12)), [
+    return in_months(df, "invoice_date", m0, m1, m12), [
         C.money(F.coalesce(F.sum(F.when(m == m0, amt)), F.lit(0))).alias("revenue"),
         C.money(F.coalesce(F.sum(F.when(m == m1, amt)), F.lit(0))).alias("revenue_prev"),
         C.money(F.coalesce(F.sum(F.when(m == m12, amt)), F.lit(0))).alias("revenue_ly"),
@@ -87,7 +87,7 @@ def sales_evolution(sales: DataFrame, ref_month: str, months: int = 12) -> DataF
     """A-COM-19: revenue per month (last ``months`` months) pivoted over the fixed channel list, total and MoM."""
     m0 = _d(ref_month)
     start = F.add_months(m0, -(months - 1))
-    df = sales.where((F.col("invoice_date") >= start) & (F.col("invoice_date") <= F.last_day(m0)))
+    df = date_range(sales, "invoice_date", (start, F.add_months(m0, 1)))
     piv = df.groupBy("month").pivot("channel", P.CHANNEL_ORDER).agg(F.sum("product_amount"))
     cols = [C.money(F.coalesce(F.col(c), F.lit(0))).alias(_slug(c)) for c in P.CHANNEL_ORDER]
     piv = piv.select("month", *cols)
@@ -99,7 +99,7 @@ def sales_evolution(sales: DataFrame, ref_month: str, months: int = 12) -> DataF
 
 def sales_weeks(sales: DataFrame, ref_month: str, include_marketplace: bool = True) -> DataFrame:
     """A-COM-19: revenue by week of month x channel for the month."""
-    df = sales.where(F.col("month") == _d(ref_month))
+    df = in_months(sales, "invoice_date", _d(ref_month))
     if not include_marketplace:
         df = df.where(F.col("channel") != P.CHANNEL_NULL_GROUP)
     return df.groupBy(C.week_of_month("invoice_date").alias("week"), C.week_label("invoice_date").alias("week_label"),
@@ -108,7 +108,7 @@ def sales_weeks(sales: DataFrame, ref_month: str, include_marketplace: bool = Tr
 
 def marketplace_detail(sales: DataFrame, ref_month: str, default_label: str = "Outros Marketplaces") -> DataFrame:
     """A-COM-18: marketplace sub-channels in the month with their share of marketplace revenue."""
-    df = sales.where((F.col("month") == _d(ref_month)) & (F.col("channel") == P.CHANNEL_NULL_GROUP))
+    df = in_months(sales, "invoice_date", _d(ref_month)).where(F.col("channel") == P.CHANNEL_NULL_GROUP)
     sub = P.case_lookup(F.upper(F.trim("channel_code")), P.PRICE_CHANNEL, default_label)
     agg = df.groupBy(sub.alias("sub_channel")).agg(C.money_sum("product_amount").alias("revenue"),
                                                    F.count("*").alias("transactions"))

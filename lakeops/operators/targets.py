@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from lakeops import params as P
 from lakeops.functions import columns as C
 from lakeops.operators import commercial as com
-from lakeops.operators.commercial import PARTITION_COL
 
 # FIXED VALUES: national holidays of the reference year (parameter default; deployments pass their own table).
 HOLIDAYS_2001 = ["2001-01-01", "2001-02-26", "2001-02-27", "2001-04-13", "2001-04-21", "2001-05-01", "2001-06-14",
@@ -51,7 +50,7 @@ def business_days(months: DataFrame, holidays: DataFrame, ref: str | None = None
 def target_vs_actual(sales: DataFrame, targets: DataFrame, month: str) -> DataFrame:
     """A-COM-28: per view (GERAL and each channel): realised, target, % and gap for the month."""
     m = F.lit(month).cast("date")
-    s = sales.where(F.col("month") == m)
+    s = com.in_months(sales, "invoice_date", m)
     # per channel and the overall view in one aggregation (ROLLUP): one scan
     r = s.rollup(F.col("channel").alias("view_key")).agg(C.money_sum("product_amount").alias("realised"),
                                                           F.grouping_id().alias("_g"))
@@ -176,16 +175,6 @@ def performance_matrix(indicators: DataFrame) -> DataFrame:
     return s.withColumn("quadrant", q)
 
 
-def _month_range(df: DataFrame, date_col: str, start, end) -> DataFrame:
-    """Rows with start <= date < end, stated on the month partition column too where the table has one."""
-    d = F.col(date_col)
-    out = df.where((d >= start) & (d < end))
-    if PARTITION_COL in df.columns and date_col == "invoice_date":
-        p = F.col(PARTITION_COL)
-        out = out.where((p >= F.date_format(start, "yyyy-MM")) & (p <= F.date_format(F.date_sub(end, 1), "yyyy-MM")))
-    return out
-
-
 def _target_value(target: DataFrame) -> DataFrame:
     """One row: the target, NULL if there is none or it is not positive."""
     return target.agg(F.max("target").cast("double").alias("_t")).select(F.when(F.col("_t") > 0, F.col("_t")).alias("_t"))
@@ -195,7 +184,7 @@ def sales_calendar(orders: DataFrame, natures: DataFrame, holidays: DataFrame, m
     """A-COM-35: days of the month on a Sunday-first week grid: sales by order date, the week's total, and whether the
     day reached the daily target (target / business days, the same for every day; NULL without a target)."""
     m = F.lit(month).cast("date")
-    sales = _month_range(com.billed_orders(orders, natures, exclude_channels=(), statuses=None, date_col="order_date"), "order_date", m, F.add_months(m, 1))
+    sales = com.in_months(com.billed_orders(orders, natures, exclude_channels=(), statuses=None, date_col="order_date"), "order_date", m)
     rev = sales.groupBy(F.col("order_date").alias("day")).agg(C.money_sum("product_amount").alias("revenue"))
     one = target.sparkSession.range(1).select(m.alias("month"))
     days = with_business_flag(month_days(one), holidays)
@@ -218,11 +207,10 @@ def sales_calendar_totals(orders: DataFrame, natures: DataFrame, holidays: DataF
     Without ``ref`` the month is closed: no target, no days left, and the projections are what was reached.
     """
     m = F.lit(month).cast("date")
-    nxt = F.add_months(m, 1)
 
     def total(date_col):
         base = com.billed_orders(orders, natures, exclude_channels=(), statuses=None, date_col=date_col)
-        return _month_range(base, date_col, m, nxt).agg(C.money(F.coalesce(F.sum("product_amount"), F.lit(0))).alias("v"))
+        return com.in_months(base, date_col, m).agg(C.money(F.coalesce(F.sum("product_amount"), F.lit(0))).alias("v"))
 
     one = target.sparkSession.range(1).select(m.alias("month"))
     days = with_business_flag(month_days(one), holidays)
@@ -254,7 +242,7 @@ def revenue_matrix(sales: DataFrame, years: list[int], ref: str) -> DataFrame:
     The year before the first is read too.  A year whose predecessor has no positive month has no monthly changes.
     """
     first, last = min(years) - 1, max(years)
-    read = _month_range(sales, "invoice_date", F.lit(f"{first}-01-01").cast("date"), F.lit(f"{last + 1}-01-01").cast("date"))
+    read = com.date_range(sales, "invoice_date", (F.lit(f"{first}-01-01").cast("date"), F.lit(f"{last + 1}-01-01").cast("date")))
     g = read.groupBy(F.year("invoice_date").alias("year"), F.month("invoice_date").alias("month")).agg(C.money_sum("product_amount").alias("r"))
     spine = sales.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year")).select(
         "year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
