@@ -64,7 +64,8 @@ def allocate_billing(orders: DataFrame, items: DataFrame, natures: DataFrame, pr
 
 
 def _live(df: DataFrame) -> DataFrame:
-    return df.where(F.col("excluded_at").isNull()) if "excluded_at" in df.columns else df
+    """FLT-4: rows that are not cancelled."""
+    return df.where(F.col("excluded_at").isNull())
 
 
 def _enrich_titles(df: DataFrame, accounts: DataFrame, partners: DataFrame) -> DataFrame:

@@ -47,16 +47,16 @@ _TCOLS = ("t.title_number, t.order_number, t.settlement_type, t.partner_code, t.
 
 SETTLED_SQL = f"""SELECT {_TCOLS} FROM (
   SELECT *, CAST(NULL AS DECIMAL(18,2)) AS net_amount, {_share('document_amount', 'order_number')} AS installment_pct
-  FROM settled_title WHERE payment_date IS NOT NULL) t {_ENRICH}"""
+  FROM settled_title WHERE payment_date IS NOT NULL AND excluded_at IS NULL) t {_ENRICH}"""
 
 OPEN_SQL = f"""SELECT {_TCOLS} FROM (
   SELECT title_number, order_number, 'E' AS settlement_type, partner_code, company_code, bank_code, issue_date, due_date,
          CAST(NULL AS DATE) AS payment_date, document_amount, CAST(NULL AS DECIMAL(18,2)) AS paid_amount, net_amount,
-         financial_item_code, {_share('document_amount', 'order_number')} AS installment_pct FROM payable
+         financial_item_code, {_share('document_amount', 'order_number')} AS installment_pct FROM payable WHERE excluded_at IS NULL
   UNION ALL
   SELECT title_number, order_number, 'D', partner_code, company_code, CAST(NULL AS BIGINT), issue_date, due_date,
          CAST(NULL AS DATE), document_amount, CAST(NULL AS DECIMAL(18,2)), net_amount,
-         financial_item_code, {_share('document_amount', 'order_number')} FROM receivable) t {_ENRICH}"""
+         financial_item_code, {_share('document_amount', 'order_number')} FROM receivable WHERE excluded_at IS NULL) t {_ENRICH}"""
 TITLE_VIEWS = ("settled_title", "payable", "receivable", "accounts", "partner")
 
 _PCOLS = ("title_number, order_number, settlement_type, partner_code, partner_name, company_code, financial_item_code, "

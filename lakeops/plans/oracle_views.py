@@ -145,6 +145,7 @@ SELECT l_orderkey * 10 + l_linenumber AS title_number, CAST(l_orderkey AS VARCHA
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS paid_amount,
        CASE WHEN l_linenumber % 4 = 0 THEN NULL
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) END AS net_amount,
+       CASE WHEN l_orderkey % 43 = 0 THEN l_shipdate END AS excluded_at,
        l_linestatus, l_orderkey
 FROM lineitem
 """)

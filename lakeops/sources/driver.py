@@ -225,6 +225,7 @@ class DriverTables:
             doc.alias("document_amount"),
             net.alias("paid_amount"),
             F.when(F.col("l_linenumber") % 4 == 0, F.lit(None).cast("decimal(18,2)")).otherwise(net).alias("net_amount"),
+            F.when(F.col("l_orderkey") % 43 == 0, F.col("l_shipdate")).alias("excluded_at"),
             F.col("l_linestatus"),
             F.col("l_orderkey"),
         )

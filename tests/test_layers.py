@@ -52,4 +52,4 @@ def test_month_panels_prune(spark):
     for name, df in panels.items():
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"PartitionFilters: \[[^\]]*ym#", plan), (name, plan)
-        assert "GreaterThanOrEqual(invoice_date" in plan, name
+        assert name == "history" or "GreaterThanOrEqual(invoice_date" in plan, name
