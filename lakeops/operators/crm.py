@@ -341,17 +341,40 @@ def mask_values(df: DataFrame, cols, privileged: bool = False) -> DataFrame:
     return df.select(*[(F.lit(0).cast(df.schema[c].dataType).alias(c) if c in cols else F.col(c)) for c in df.columns])
 
 
-def salesperson_panel(c360: DataFrame, calls: DataFrame, users: DataFrame) -> DataFrame:
-    """A-COM-9: per owner: clients, share in top segments, revenue, ticket, open deals/value, calls and positive share."""
-    top = F.col("segment_num").isin(1, 2)
-    g = c360.groupBy("rfv_salesperson").agg(
-        F.countDistinct("partner_name").alias("clients"),
-        F.countDistinct(F.when(top, F.col("partner_name"))).alias("clients_top"),
-        C.money_sum("revenue").alias("revenue"), F.sum("deals_open").alias("deals_open"),
-        C.money_sum("open_value").alias("open_value"))
-    g = g.withColumn("top_pct", C.pct("clients_top", "clients")).withColumn("ticket", C.safe_div("revenue", "clients"))
-    u = users.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_key"), "salesperson_name")
-    cs = calls.join(F.broadcast(u), "user_key").groupBy(F.col("salesperson_name").alias("rfv_salesperson")).agg(
-        F.count("*").alias("calls"), C.count_if(F.col("ai_sentiment") == "positive").alias("_pos"))
-    cs = cs.select("rfv_salesperson", "calls", C.pct("_pos", "calls").alias("positive_pct"))
-    return g.join(cs, "rfv_salesperson", "left")
+# segments of the panel: column -> segment numbers
+PANEL_SEGMENTS = {"champions": (1,), "loyal": (2,), "potential_loyal": (3,), "cannot_lose": (8,), "at_risk": (9, 10), "lost": (11,)}
+PANEL_ALERTS = {"alerts_opportunity": "flag_opportunity", "alerts_churn": "flag_silent_churn", "off_radar": "flag_off_radar"}
+
+
+def salesperson_panel(c360: DataFrame, deals: DataFrame, pipelines: DataFrame, calls: DataFrame, users: DataFrame, now: str) -> DataFrame:
+    """A-COM-9: per owner x family: distinct clients in total, per segment group and per alert, revenue, deals of the owner's
+    CRM users in that family, and the owner's calls.
+
+    ``pipelines``: pipeline_id, rfv_familia; ``users``: user_id, salesperson_name.  Deals and calls are reduced to one row
+    per owner (and family) first, so several users of one owner, or several codes of one organisation, count once.
+    """
+    name = F.col("partner_name")
+    g = c360.groupBy("rfv_salesperson", "rfv_familia").agg(
+        F.countDistinct(name).alias("clients"),
+        *(F.countDistinct(F.when(F.col("segment_num").isin(*nums), name)).alias(c) for c, nums in PANEL_SEGMENTS.items()),
+        C.money(F.coalesce(F.sum("revenue"), F.lit(0))).alias("revenue"),
+        *(F.countDistinct(F.when(F.col(flag), name)).alias(c) for c, flag in PANEL_ALERTS.items()))
+    g = g.withColumn("top_pct", C.pct(F.col("champions") + F.col("loyal"), "clients")).withColumn("ticket", C.safe_div("revenue", "clients"))
+    owner = users.select("user_id", F.upper("salesperson_name").alias("_owner"))
+    st, val = F.col("status"), F.coalesce("value", F.lit(0))
+    recent = (st == "won") & (F.col("won_time") >= _now(now) - F.make_dt_interval(F.lit(P.WON_LOOKBACK_DAYS)))
+    d = (live_deals(deals).join(owner, F.col("owner_id") == F.col("user_id")).join(F.broadcast(pipelines.select("pipeline_id", "rfv_familia")), "pipeline_id")
+         .groupBy("_owner", "rfv_familia").agg(
+             C.count_if(st == "open").alias("deals_open"), C.count_if(st == "won").alias("deals_won"),
+             C.money(F.sum(F.when(st == "open", val).otherwise(0))).alias("open_value"),
+             C.money(F.sum(F.when(recent, val).otherwise(0))).alias("won_value_12m")))
+    line = users.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_key"), F.upper("salesperson_name").alias("_owner"))
+    cs = calls.join(line, "user_key").groupBy("_owner").agg(
+        F.countDistinct("conversation_id").alias("calls"), (F.sum("duration_seconds").cast("double") / F.lit(60.0)).alias("call_minutes"),
+        (F.avg("duration_seconds") / F.lit(60.0)).alias("mean_call_minutes"), C.count_if(F.lower("ai_sentiment") == "positive").alias("positive_calls"))
+    cs = cs.withColumn("positive_pct", C.pct("positive_calls", "calls"))
+    j = g.withColumn("_owner", F.upper("rfv_salesperson")).join(d, ["_owner", "rfv_familia"], "left").join(cs, "_owner", "left").drop("_owner")
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("deals_open", "deals_won", "calls", "positive_calls")}
+    zero |= {c: C.money(F.coalesce(F.col(c), F.lit(0))) for c in ("open_value", "won_value_12m")}
+    zero |= {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("call_minutes", "mean_call_minutes")}
+    return j.withColumns(zero)

@@ -157,8 +157,56 @@ EFFORT = ["calls", "meetings", "proposals", "follow_ups", "activities", "opportu
 RESULT = ["realised", "contracted", "attainment", "pipeline", "win_rate", "ticket"]
 
 
+# FIXED VALUES: activity types of the effort indicators
+ACTIVITY_KINDS = {"calls": ["call"], "meetings": ["meeting"], "proposals": ["envio_de_orcamento"], "follow_ups": ["tentativa_de_contato", "contato"]}
+RESULT_GROUPS = ["FA", "FR", "PC"]
+
+
+def performance_indicators(deals: DataFrame, activities: DataFrame, orders: DataFrame, natures: DataFrame, users: DataFrame, targets: DataFrame,
+                           month: str, *, erp_month: str | None = None, kinds: dict[str, list[str]] | None = None, groups=tuple(RESULT_GROUPS)) -> DataFrame:
+    """A-COM-34: the month's indicators of each seller with a target.
+
+    Effort: done activities by kind, all registered ones (by due date), deals created, mean days to close of deals
+    closed in the month.  Result: invoiced revenue and orders of the sales groups (ERP), value contracted (deals won in the
+    month), share of the target reached (150 % at most), value of deals created, won share of deals closed, revenue per order.
+    ``users``: user_id, salesperson_name (active users of the CRM); ``targets``: salesperson_name, target.
+    """
+    m = F.lit(month).cast("date")
+    end = F.add_months(m, 1)
+    kinds = kinds or ACTIVITY_KINDS
+
+    def within(day):
+        return F.coalesce((day >= m) & (day < end), F.lit(False))
+
+    who = F.broadcast(users.select(F.col("user_id").alias("_uid"), "salesperson_name"))
+    done = F.coalesce("done", F.lit(False))
+    a = com.date_range(activities, "due_date", (m, end)).join(who, F.col("user_id") == F.col("_uid"))
+    aa = a.groupBy("salesperson_name").agg(*(C.count_if(F.col("type").isin(*v) & done).alias(k) for k, v in kinds.items()), F.count("*").alias("activities"))
+    won_day, lost_day, born = (F.col(c).cast("date") for c in ("won_time", "lost_time", "add_time"))
+    st, val = F.col("status"), F.coalesce("value", F.lit(0))
+    won, lost = (st == "won") & within(won_day), (st == "lost") & within(lost_day)
+    closed = st.isin("won", "lost") & within(F.coalesce(won_day, lost_day))
+    d = deals.where(~F.coalesce(F.col("is_deleted"), F.lit(False))).join(who, F.col("owner_id") == F.col("_uid"))
+    dd = d.groupBy("salesperson_name").agg(
+        C.count_if(within(born)).alias("opportunities"), C.money(F.sum(F.when(within(born), val).otherwise(0))).alias("pipeline"),
+        C.count_if(won).alias("_won"), C.count_if(lost).alias("_lost"), C.money(F.sum(F.when(won, val).otherwise(0))).alias("contracted"),
+        F.avg(F.when(closed, F.datediff(F.coalesce(won_day, lost_day), born))).alias("cycle_days"))
+    erp = com.in_months(com.billed_orders(orders, natures, exclude_channels=(), statuses=None, groups=groups), "invoice_date", F.lit(erp_month or month).cast("date"))
+    ee = erp.groupBy("salesperson_name").agg(C.money_sum("product_amount").alias("realised"), F.count("*").alias("_orders"))
+    j = (targets.where(F.col("target") > 0).select("salesperson_name", "target").join(aa, "salesperson_name", "left")
+         .join(dd, "salesperson_name", "left").join(ee, "salesperson_name", "left"))
+    counts = [*kinds, "activities", "opportunities", "_won", "_lost", "_orders"]
+    j = j.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts} | {c: C.money(F.coalesce(F.col(c), F.lit(0))) for c in ("pipeline", "contracted", "realised")})
+    real = F.col("realised").cast("double")
+    return j.select("salesperson_name", "target", *kinds, "activities", "opportunities", "cycle_days", "realised", "contracted",
+                    (F.least(real / F.col("target").cast("double"), F.lit(1.5)) * F.lit(100.0)).alias("attainment"), "pipeline",
+                    F.coalesce(C.pct("_won", F.col("_won") + F.col("_lost")), F.lit(0.0)).alias("win_rate"),
+                    F.coalesce(F.try_divide(real, F.col("_orders").cast("double")), F.lit(0.0)).alias("ticket"))
+
+
 def performance_matrix(indicators: DataFrame) -> DataFrame:
-    """A-COM-34: min-max scores of effort and result indicators (cycle inverted), means and quadrant at 50."""
+    """A-COM-34: min-max scores of effort and result indicators (cycle inverted, left out where there is none), their means
+    and the quadrant at 50."""
     s = minmax_score(indicators, EFFORT + RESULT, invert=["cycle_days"])
     eff = [F.col(f"score_{c}") for c in EFFORT]
     res = [F.col(f"score_{c}") for c in RESULT]
@@ -169,10 +217,9 @@ def performance_matrix(indicators: DataFrame) -> DataFrame:
         return F.try_divide(num, den.cast("double"))
 
     s = s.withColumn("effort_score", mean_of(eff)).withColumn("result_score", mean_of(res))
-    q = (F.when((F.col("effort_score") >= 50) & (F.col("result_score") >= 50), "alto esforço / alto resultado")
-         .when(F.col("effort_score") >= 50, "alto esforço / baixo resultado")
-         .when(F.col("result_score") >= 50, "baixo esforço / alto resultado").otherwise("baixo esforço / baixo resultado"))
-    return s.withColumn("quadrant", q)
+    high_e, high_r = F.col("effort_score") >= 50, F.col("result_score") >= 50
+    return s.withColumn("quadrant", F.when(high_e & high_r, "Alta Performance").when(high_r, "Futuro Talento")
+                        .when(high_e, "Esforço Ineficiente").otherwise("Baixa Entrega"))
 
 
 def _target_value(target: DataFrame) -> DataFrame:

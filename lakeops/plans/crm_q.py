@@ -249,23 +249,39 @@ def q_alert_detail(spark, sf):
     return crm.alert_detail(_alerts(T), best, "FORA_DO_RADAR_CRM")
 
 
+# the panel's map: owner k of the portfolio is seller k in the CRM; pipelines by family
+_PIPELINES = [(1, "HOSPITALAR"), (2, "FARMACIAS"), (3, "SAC")]
+_PANEL_SEGS = ", ".join(f"COUNT(DISTINCT partner_name) FILTER (segment_num IN {_in(n)}) AS {c}" for c, n in (
+    ("champions", (1,)), ("loyal", (2,)), ("potential_loyal", (3,)), ("cannot_lose", (8,)), ("at_risk", (9, 10)), ("lost", (11,))))
+
+
 @register("salesperson_panel", with_views(f"""
 WITH c AS ({C360_SQL}),
-g AS (SELECT rfv_salesperson, COUNT(DISTINCT partner_name) AS clients,
-             COUNT(DISTINCT CASE WHEN segment_num IN (1, 2) THEN partner_name END) AS clients_top,
-             CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue, CAST(SUM(deals_open) AS BIGINT) AS deals_open,
-             CAST(SUM(open_value) AS DECIMAL(18,2)) AS open_value FROM c GROUP BY 1),
-cs AS (SELECT u.salesperson_name AS rfv_salesperson, COUNT(*) AS calls,
-              COUNT(CASE WHEN k.ai_sentiment = 'positive' THEN 1 END) AS pos
-       FROM calls k JOIN (SELECT 'U' || CAST(user_id AS VARCHAR) AS user_key, salesperson_name FROM crm_users) u
-         ON u.user_key = k.user_key GROUP BY 1)
-SELECT g.*, CAST(clients_top AS DOUBLE) * 100.0 / NULLIF(CAST(clients AS DOUBLE), 0) AS top_pct,
+g AS (SELECT rfv_salesperson, rfv_familia, COUNT(DISTINCT partner_name) AS clients, {_PANEL_SEGS},
+             CAST(COALESCE(SUM(revenue), 0) AS DECIMAL(18,2)) AS revenue,
+             COUNT(DISTINCT partner_name) FILTER (flag_opportunity) AS alerts_opportunity,
+             COUNT(DISTINCT partner_name) FILTER (flag_silent_churn) AS alerts_churn,
+             COUNT(DISTINCT partner_name) FILTER (flag_off_radar) AS off_radar FROM c GROUP BY 1, 2),
+u AS (SELECT user_id, replace(salesperson_name, 'SELLER', 'OWNER') AS owner FROM crm_users),
+d AS (SELECT u.owner, CASE pipeline_id WHEN 1 THEN 'HOSPITALAR' WHEN 2 THEN 'FARMACIAS' WHEN 3 THEN 'SAC' END AS fam,
+             COUNT(*) FILTER (status = 'open') AS deals_open, COUNT(*) FILTER (status = 'won') AS deals_won,
+             CAST(COALESCE(SUM(value) FILTER (status = 'open'), 0) AS DECIMAL(18,2)) AS open_value,
+             CAST(COALESCE(SUM(value) FILTER (status = 'won' AND won_time >= TIMESTAMP '{NOW}' - INTERVAL 365 DAY), 0) AS DECIMAL(18,2)) AS won_value_12m
+      FROM ({LIVE}) l JOIN u ON u.user_id = l.owner_id GROUP BY 1, 2),
+k AS (SELECT u.owner, COUNT(DISTINCT conversation_id) AS calls, CAST(SUM(duration_seconds) AS DOUBLE) / 60.0 AS call_minutes,
+             AVG(duration_seconds) / 60.0 AS mean_call_minutes, COUNT(*) FILTER (lower(ai_sentiment) = 'positive') AS positive_calls
+      FROM calls JOIN u ON 'U' || CAST(u.user_id AS VARCHAR) = calls.user_key GROUP BY 1)
+SELECT g.*, CAST(champions + loyal AS DOUBLE) * 100.0 / NULLIF(CAST(clients AS DOUBLE), 0) AS top_pct,
        CAST(revenue AS DOUBLE) / NULLIF(CAST(clients AS DOUBLE), 0) AS ticket,
-       cs.calls, CAST(cs.pos AS DOUBLE) * 100.0 / NULLIF(CAST(cs.calls AS DOUBLE), 0) AS positive_pct
-FROM g LEFT JOIN cs ON cs.rfv_salesperson = g.rfv_salesperson""", *C360_VIEWS, "calls", "crm_users"))
+       COALESCE(deals_open, 0) AS deals_open, COALESCE(deals_won, 0) AS deals_won,
+       CAST(COALESCE(open_value, 0) AS DECIMAL(18,2)) AS open_value, CAST(COALESCE(won_value_12m, 0) AS DECIMAL(18,2)) AS won_value_12m,
+       COALESCE(calls, 0) AS calls, COALESCE(call_minutes, 0.0) AS call_minutes, COALESCE(mean_call_minutes, 0.0) AS mean_call_minutes,
+       COALESCE(positive_calls, 0) AS positive_calls, CAST(positive_calls AS DOUBLE) * 100.0 / NULLIF(CAST(calls AS DOUBLE), 0) AS positive_pct
+FROM g LEFT JOIN d ON d.owner = g.rfv_salesperson AND d.fam = g.rfv_familia LEFT JOIN k ON k.owner = g.rfv_salesperson""", *C360_VIEWS, "calls", "crm_users"))
 def q_salesperson_panel(spark, sf):
     T = _T(spark, sf)
-    return crm.salesperson_panel(_c360(T), T.calls, T.crm_users)
+    users = T.crm_users.withColumn("salesperson_name", F.regexp_replace("salesperson_name", "SELLER", "OWNER"))
+    return crm.salesperson_panel(_c360(T), T.deals, P.table(spark, _PIPELINES, "pipeline_id bigint, rfv_familia string"), T.calls, users, NOW)
 
 
 @register("deal_stage_health", with_views(f"""

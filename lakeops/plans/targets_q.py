@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops import params as P
+from lakeops.operators import commercial as com
 from lakeops.operators import sales as SA
 from lakeops.operators import targets as TG
 from lakeops.plans import sqlfrag as S
@@ -166,32 +167,15 @@ def q_mean_term(spark, sf):
     return TG.mean_term(_T(spark, sf).sales_order)
 
 
+# the driver's activity types stand in for the CRM's
+_KINDS = {"calls": ["purchase"], "meetings": ["view"], "proposals": ["click"], "follow_ups": ["signup", "error"]}
+
+
 def _indicators(T):
-    d = T.deals.where(~F.coalesce(F.col("is_deleted"), F.lit(False)))
-    st = F.col("status")
-    cyc = F.datediff(F.col("won_time").cast("date"), F.col("add_time").cast("date"))
-    dd = d.groupBy(F.col("owner_id").alias("user_id")).agg(
-        F.count("*").alias("opportunities"),
-        F.avg(F.when(st == "won", cyc)).alias("cycle_days"),
-        C_money_sum_when(st == "won").alias("realised"),
-        F.count(F.when(st == "won", 1)).alias("contracted"),
-        C_money_sum_when(st == "open").alias("pipeline"),
-        (F.try_divide(F.count(F.when(st == "won", 1)).cast("double"), F.count(F.when(st.isin("won", "lost"), 1)).cast("double"))
-         * F.lit(100.0)).alias("win_rate"),
-        F.try_divide(F.sum(F.when(st == "won", F.col("value"))).cast("double"), F.count(F.when(st == "won", 1)).cast("double")).alias("ticket"))
-    a = T.activities
-    ty = F.col("type")
-    aa = a.groupBy("user_id").agg(F.count(F.when(ty == "view", 1)).alias("meetings"), F.count(F.when(ty == "click", 1)).alias("proposals"),
-                                  F.count(F.when(ty == "signup", 1)).alias("follow_ups"), F.count(F.when(F.col("done"), 1)).alias("activities"))
-    cl = T.calls.groupBy(F.substring("user_key", 2, 10).cast("bigint").alias("user_id")).agg(F.count("*").alias("calls"))
-    tg = dd.select("user_id", money(F.col("realised") * dec("1.2")).alias("target")).where(F.col("realised") > 0)
-    j = tg.join(dd, "user_id").join(aa, "user_id", "left").join(cl, "user_id", "left")
-    j = j.withColumn("attainment", F.least(F.try_divide(F.col("realised").cast("double"), F.col("target").cast("double")), F.lit(1.5)))
-    return j
-
-
-def C_money_sum_when(cond):
-    return F.coalesce(F.sum(F.when(cond, F.col("value"))), F.lit(0)).cast("decimal(18,2)")
+    users = T.crm_users.where("is_active").select("user_id", "salesperson_name")
+    before = com.in_months(com.billed_orders(T.sales_order, T.nature, exclude_channels=(), statuses=None), "invoice_date", F.lit("2001-06-01").cast("date"))
+    goals = before.groupBy("salesperson_name").agg(money(F.sum("product_amount") * dec("1.1")).alias("target"))
+    return TG.performance_indicators(T.deals, T.activities, T.sales_order, T.nature, users, goals, CRM_MONTH, erp_month=MONTH, kinds=_KINDS)
 
 
 _PERF_COLS = TG.EFFORT + TG.RESULT
@@ -212,33 +196,42 @@ def _perf_sql():
         den = " + ".join(f"CAST(score_{c} IS NOT NULL AS INTEGER)" for c in cs)
         return f"({num}) / NULLIF(CAST(({den}) AS DOUBLE), 0)"
 
-    return f"""WITH d AS (SELECT * FROM deals WHERE NOT COALESCE(is_deleted, FALSE)),
-dd AS (SELECT owner_id AS user_id, COUNT(*) AS opportunities,
-              AVG(CASE WHEN status = 'won' THEN date_diff('day', CAST(add_time AS DATE), CAST(won_time AS DATE)) END) AS cycle_days,
-              CAST(COALESCE(SUM(CASE WHEN status = 'won' THEN value END), 0) AS DECIMAL(18,2)) AS realised,
-              COUNT(CASE WHEN status = 'won' THEN 1 END) AS contracted,
-              CAST(COALESCE(SUM(CASE WHEN status = 'open' THEN value END), 0) AS DECIMAL(18,2)) AS pipeline,
-              CAST(COUNT(CASE WHEN status = 'won' THEN 1 END) AS DOUBLE) / NULLIF(CAST(COUNT(CASE WHEN status IN ('won', 'lost') THEN 1 END) AS DOUBLE), 0) * 100.0 AS win_rate,
-              CAST(SUM(CASE WHEN status = 'won' THEN value END) AS DOUBLE) / NULLIF(CAST(COUNT(CASE WHEN status = 'won' THEN 1 END) AS DOUBLE), 0) AS ticket
+    month = f"BETWEEN DATE '{CRM_MONTH}' AND last_day(DATE '{CRM_MONTH}')"
+    fin = "FROM sales_order o JOIN nature n ON n.nature_code = o.nature_code AND n.financial_flag <> 'N' WHERE o.invoice_date"
+    return f"""WITH u AS (SELECT user_id, salesperson_name FROM crm_users WHERE is_active),
+d AS (SELECT u.salesperson_name, l.*, CAST(won_time AS DATE) AS wd, CAST(lost_time AS DATE) AS ld, CAST(add_time AS DATE) AS ad
+      FROM deals l JOIN u ON u.user_id = l.owner_id WHERE NOT COALESCE(is_deleted, FALSE)),
+dd AS (SELECT salesperson_name, COUNT(*) FILTER (ad {month}) AS opportunities,
+              CAST(COALESCE(SUM(value) FILTER (ad {month}), 0) AS DECIMAL(18,2)) AS pipeline,
+              COUNT(*) FILTER (status = 'won' AND wd {month}) AS w, COUNT(*) FILTER (status = 'lost' AND ld {month}) AS l,
+              CAST(COALESCE(SUM(value) FILTER (status = 'won' AND wd {month}), 0) AS DECIMAL(18,2)) AS contracted,
+              AVG(date_diff('day', ad, COALESCE(wd, ld))) FILTER (status IN ('won', 'lost') AND COALESCE(wd, ld) {month}) AS cycle_days
        FROM d GROUP BY 1),
-aa AS (SELECT user_id, COUNT(CASE WHEN type = 'view' THEN 1 END) AS meetings, COUNT(CASE WHEN type = 'click' THEN 1 END) AS proposals,
-              COUNT(CASE WHEN type = 'signup' THEN 1 END) AS follow_ups, COUNT(CASE WHEN done THEN 1 END) AS activities
-       FROM activities GROUP BY 1),
-cl AS (SELECT CAST(substr(user_key, 2, 10) AS BIGINT) AS user_id, COUNT(*) AS calls FROM calls GROUP BY 1),
-tg AS (SELECT user_id, CAST(realised * 1.2 AS DECIMAL(18,2)) AS target FROM dd WHERE realised > 0),
-i AS (SELECT tg.user_id, tg.target, dd.* EXCLUDE (user_id), aa.* EXCLUDE (user_id), cl.calls,
-             least(CAST(dd.realised AS DOUBLE) / NULLIF(CAST(tg.target AS DOUBLE), 0), 1.5) AS attainment
-      FROM tg JOIN dd ON dd.user_id = tg.user_id LEFT JOIN aa ON aa.user_id = tg.user_id LEFT JOIN cl ON cl.user_id = tg.user_id),
+aa AS (SELECT salesperson_name, COUNT(*) FILTER (type = 'purchase' AND done) AS calls, COUNT(*) FILTER (type = 'view' AND done) AS meetings,
+              COUNT(*) FILTER (type = 'click' AND done) AS proposals, COUNT(*) FILTER (type IN ('signup', 'error') AND done) AS follow_ups,
+              COUNT(*) AS activities
+       FROM activities a JOIN u ON u.user_id = a.user_id WHERE due_date {month} GROUP BY 1),
+ee AS (SELECT salesperson_name, CAST(SUM(product_amount) AS DECIMAL(18,2)) AS realised, COUNT(*) AS n {fin} BETWEEN DATE '{MONTH}' AND last_day(DATE '{MONTH}')
+         AND o.salesperson_group_code IN ('FA', 'FR', 'PC') GROUP BY 1),
+tg AS (SELECT salesperson_name, CAST(SUM(product_amount) * 1.1 AS DECIMAL(18,2)) AS target {fin} BETWEEN DATE '2001-06-01' AND DATE '2001-06-30' GROUP BY 1),
+i AS (SELECT tg.salesperson_name, tg.target, COALESCE(calls, 0) AS calls, COALESCE(meetings, 0) AS meetings, COALESCE(proposals, 0) AS proposals,
+             COALESCE(follow_ups, 0) AS follow_ups, COALESCE(activities, 0) AS activities, COALESCE(opportunities, 0) AS opportunities, cycle_days,
+             CAST(COALESCE(realised, 0) AS DECIMAL(18,2)) AS realised, CAST(COALESCE(contracted, 0) AS DECIMAL(18,2)) AS contracted,
+             least(CAST(COALESCE(realised, 0) AS DOUBLE) / CAST(tg.target AS DOUBLE), 1.5) * 100.0 AS attainment,
+             CAST(COALESCE(pipeline, 0) AS DECIMAL(18,2)) AS pipeline,
+             CASE WHEN w + l > 0 THEN CAST(w AS DOUBLE) * 100.0 / CAST(w + l AS DOUBLE) ELSE 0.0 END AS win_rate,
+             CASE WHEN n > 0 THEN CAST(realised AS DOUBLE) / CAST(n AS DOUBLE) ELSE 0.0 END AS ticket
+      FROM tg LEFT JOIN aa ON aa.salesperson_name = tg.salesperson_name LEFT JOIN dd ON dd.salesperson_name = tg.salesperson_name
+      LEFT JOIN ee ON ee.salesperson_name = tg.salesperson_name WHERE tg.target > 0),
 mm AS (SELECT {mm} FROM i),
 s AS (SELECT i.*, {", ".join(sc)} FROM i, mm),
 s2 AS (SELECT *, {mean(TG.EFFORT)} AS effort_score, {mean(TG.RESULT)} AS result_score FROM s)
-SELECT *, CASE WHEN effort_score >= 50 AND result_score >= 50 THEN 'alto esforço / alto resultado'
-               WHEN effort_score >= 50 THEN 'alto esforço / baixo resultado'
-               WHEN result_score >= 50 THEN 'baixo esforço / alto resultado' ELSE 'baixo esforço / baixo resultado' END AS quadrant
+SELECT *, CASE WHEN effort_score >= 50 AND result_score >= 50 THEN 'Alta Performance' WHEN result_score >= 50 THEN 'Futuro Talento'
+               WHEN effort_score >= 50 THEN 'Esforço Ineficiente' ELSE 'Baixa Entrega' END AS quadrant
 FROM s2"""
 
 
-@register("performance_matrix", with_views(_perf_sql(), "deals", "activities", "calls"))
+@register("performance_matrix", with_views(_perf_sql(), "deals", "activities", "crm_users", "sales_order", "nature"))
 def q_perf(spark, sf):
     return TG.performance_matrix(_indicators(_T(spark, sf)))
 
