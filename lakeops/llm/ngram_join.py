@@ -74,13 +74,13 @@ def _sets(batches, k: int):
 
 # --- 1. classes and frequent shingles ---------------------------------------------------
 def classes(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of kind 0: (doc_id, n, cls); of kind 1: a shingle (cls) and the number of classes (n) of a task that have it, 3 at least."""
+    """Rows of kind 0: (doc_id, n, cls); of kind 1: a shingle (cls) and the number of classes (n) of a task that have it, 2 at least."""
 
     def frequent(held: list[np.ndarray]):
         s = np.sort(np.concatenate(held))
         at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         n = np.diff(np.append(at, len(s)))
-        keep = n >= 3
+        keep = n >= 2
         return s[at[keep]].astype(np.int64), n[keep]
 
     def rows(kind, ids, n, cls):
