@@ -362,6 +362,8 @@ def hot_pairs(members: DataFrame, hubs: DataFrame, labels: DataFrame, num: int,
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den: int, k: int) -> DataFrame:
     """Links (u, v) among the candidate pairs, by the overlap of their whole sets.
 
+    pairs: a, b and ``lead``, the one of them whose set is attached first.  A hub leads its pairs: its set meets all of
+    them by their narrow rows, and the wide rows that come out are dealt by the other class, which few pairs share.
     Only one document of each class in a pair is read again; its set is written once.
     """
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
@@ -386,7 +388,8 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
                 ok.append(den * both >= num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([a.filter(pa.array(ok, pa.bool_())), b.filter(pa.array(ok, pa.bool_()))], names=["u", "v"])
 
-    both = (pairs.select("a", "b").join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
+    turned = pairs.select(F.col("lead").alias("a"), F.when(F.col("lead") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("b"))
+    both = (turned.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b"))
     return staged(both.select("a", "b", "sa", "sb").mapInArrow(overlap, "u long, v long"), "ngram-links")
 
@@ -417,14 +420,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hubs = members.groupBy("shingle").agg(F.min(F.struct((F.col("cold") / F.col("prefix")).alias("share"), F.col("cls").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).select("shingle", "h.hub", "h.hub_n")
     star = (members.join(hubs, "shingle").filter("cls != hub")
             .filter(den * F.least("n", "hub_n") >= num * F.greatest("n", "hub_n"))
-            .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct())
-    first = staged(cold.union(star).distinct(), "ngram-pairs")
+            .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"), F.struct(F.lit(1).alias("star"), F.col("hub").alias("lead")).alias("l")))
+    plain = cold.withColumn("l", F.struct(F.lit(0).alias("star"), F.col("a").alias("lead")))
+    first = staged(plain.union(star).groupBy("a", "b").agg(F.max("l").alias("l")).select("a", "b", "l.lead"), "ngram-pairs")
     links = verified(first, part, reps, num, den, shingle)
     labels = connected_components(links)
     if not members.isEmpty():
         rest = staged(hot_pairs(members, hubs, labels, num, den).select("a", "b").join(first, ["a", "b"], "left_anti"), "ngram-rest")
         if not rest.isEmpty():
-            more = verified(rest, part, reps, num, den, shingle)
+            more = verified(rest.withColumn("lead", F.col("a")), part, reps, num, den, shingle)
             labels = connected_components(links.union(more))
     named = reps.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
     least_id = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
