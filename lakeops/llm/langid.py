@@ -99,7 +99,7 @@ class Model:
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, dim: int = 16, epochs: int = 4, rate: float = 0.5, gain: float = 10.0,
-          calibrate: float = 0.25, min_score: float = 0.5, max_error: float = 0.005, seed: int = 11) -> Model:
+          calibrate: float = 0.25, min_score: float = 0.5, max_error: float = 0.02, seed: int = 11) -> Model:
     """bags: (distinct buckets, their counts) of each document."""
     langs = sorted(set(labels))
     rng = np.random.default_rng(seed)
