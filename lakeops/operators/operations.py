@@ -15,9 +15,15 @@ PROD_STATUS = [(0, "Aberta"), (1, "Em produção"), (2, "Suspensa"), (3, "Encerr
 LINK_LABELS = [("M", "Matéria-prima"), ("A", "Acessório")]
 
 
-def production_monthly(prod: DataFrame) -> DataFrame:
-    """A-OPS-1: per month: orders, planned, actual, efficiency % (actual / planned)."""
-    g = prod.groupBy(F.trunc("order_date", "month").alias("month")).agg(
+def live_rows(df: DataFrame) -> DataFrame:
+    """FLT-4: rows that are not cancelled, without the stamp."""
+    return df.where(F.col("excluded_at").isNull()).drop("excluded_at")
+
+
+def production_monthly(prod: DataFrame, ref: str, months: int = 13) -> DataFrame:
+    """A-OPS-1: per month of the last ``months``: orders, planned, actual, efficiency % (actual / planned)."""
+    known = live_rows(prod).where(F.col("order_date") >= F.add_months(F.lit(ref).cast("date"), -months))
+    g = known.groupBy(F.trunc("order_date", "month").alias("month")).agg(
         F.countDistinct("prod_order_number").alias("orders"), F.sum("planned_qty").cast("decimal(18,4)").alias("planned"),
         F.sum("actual_qty").cast("decimal(18,4)").alias("actual"))
     return g.withColumn("efficiency_pct", C.pct("actual", "planned"))
@@ -26,13 +32,13 @@ def production_monthly(prod: DataFrame) -> DataFrame:
 def production_status(prod: DataFrame, labels=PROD_STATUS) -> DataFrame:
     """A-OPS-1: orders by status label."""
     lbl = P.case_lookup(F.col("prod_status"), labels, "Outro")
-    return prod.groupBy(lbl.alias("status")).agg(F.countDistinct("prod_order_number").alias("orders"),
+    return live_rows(prod).groupBy(lbl.alias("status")).agg(F.countDistinct("prod_order_number").alias("orders"),
                                                  F.sum("planned_qty").cast("decimal(18,4)").alias("planned"))
 
 
-def top_components(comp: DataFrame, items: DataFrame, n: int = 15) -> DataFrame:
+def top_components(comp: DataFrame, items: DataFrame, n: int = 20) -> DataFrame:
     """A-OPS-2: most consumed components (top-n report)."""
-    g = comp.groupBy("item_code").agg(F.sum("quantity").cast("decimal(18,4)").alias("quantity"),
+    g = live_rows(comp).groupBy("item_code").agg(F.sum("quantity").cast("decimal(18,4)").alias("quantity"),
                                       F.countDistinct("prod_order_number").alias("orders"))
     g = g.orderBy(F.col("quantity").desc(), F.col("item_code")).limit(n)
     return g.join(items.select("item_code", "item_name"), "item_code", "left")
@@ -42,7 +48,7 @@ def stock_items(stock: DataFrame, items: DataFrame) -> DataFrame:
     """A-OPS-3: items with a positive balance on the latest snapshot, with name and group."""
     from lakeops.operators.crm import latest_snapshot
 
-    s = latest_snapshot(stock, "snapshot_date").where(F.col("general_balance") > 0)
+    s = latest_snapshot(live_rows(stock), "snapshot_date").where(F.col("general_balance") > 0)
     return s.join(items.select("item_code", "item_name", "group_code"), "item_code", "left")
 
 
@@ -52,9 +58,10 @@ def stock_by_group(stock_pos: DataFrame) -> DataFrame:
                                                F.sum("general_balance").cast("decimal(18,4)").alias("units"))
 
 
-def stock_movement(mov: DataFrame, ref: str, months: int = 12) -> DataFrame:
-    """A-OPS-4: units in (E) / out (S) per month over the last ``months`` months."""
-    m = mov.where(F.col("movement_date") >= F.add_months(F.trunc(F.lit(ref).cast("date"), "month"), -months))
+def stock_movement(mov: DataFrame, ref: str, months: int = 13) -> DataFrame:
+    """A-OPS-4: units in (E) / out (S) per month over the last ``months`` up to ``ref``."""
+    end = F.lit(ref).cast("date")
+    m = live_rows(mov).where(F.col("movement_date").between(F.add_months(end, -months), end))
     t = F.col("operation_type")
     return m.groupBy(F.trunc("movement_date", "month").alias("month")).agg(
         F.coalesce(F.sum(F.when(t == "E", F.col("quantity"))), F.lit(0)).cast("decimal(18,4)").alias("units_in"),
@@ -66,19 +73,19 @@ def bom_lines(bom: DataFrame, items: DataFrame, labels=LINK_LABELS) -> DataFrame
     it = items.select("item_code", "item_name")
     par = it.select(F.col("item_code").alias("parent_item_code"), F.col("item_name").alias("parent_name"))
     chi = it.select(F.col("item_code").alias("child_item_code"), F.col("item_name").alias("child_name"))
-    out = bom.join(par, "parent_item_code", "left").join(chi, "child_item_code", "left")
+    out = live_rows(bom).join(par, "parent_item_code", "left").join(chi, "child_item_code", "left")
     return out.withColumn("link_label", P.case_lookup(F.col("link_type"), labels, "Outro"))
 
 
 def bom_kpis(bom: DataFrame) -> DataFrame:
     """A-OPS-5: lines, distinct parents and children, mean children per parent."""
-    return bom.agg(F.count("*").alias("lines"), F.countDistinct("parent_item_code").alias("parents"),
+    return live_rows(bom).agg(F.count("*").alias("lines"), F.countDistinct("parent_item_code").alias("parents"),
                    F.countDistinct("child_item_code").alias("children")).withColumn(
         "children_per_parent", C.safe_div("lines", "parents"))
 
 
 def bom_explode(bom: DataFrame, roots: DataFrame | None = None, max_depth: int = P.BOM_MAX_DEPTH,
-                sep: str = P.BOM_PATH_SEP, checkpoint_every: int = 4) -> DataFrame:
+                sep: str = P.BOM_PATH_SEP, checkpoint_every: int = 1) -> DataFrame:
     """A-OPS-6: multi-level explosion for every root (or the given roots): level, quantity product, path.
 
     Breadth-first iterative join, one level per iteration, bounded by ``max_depth``
@@ -87,7 +94,7 @@ def bom_explode(bom: DataFrame, roots: DataFrame | None = None, max_depth: int =
     table.  Lineage is cut every ``checkpoint_every`` levels into the shared
     checkpoint folder, so a lost executor recomputes at most a few levels.
     """
-    e = bom.select("parent_item_code", "child_item_code", F.col("quantity").cast("decimal(38,6)").alias("quantity"))
+    e = live_rows(bom).select("parent_item_code", "child_item_code", F.col("quantity").cast("decimal(38,6)").alias("quantity"))
     start = e if roots is None else e.join(roots.select(F.col("item_code").alias("parent_item_code")), "parent_item_code")
     frontier = start.select(F.col("parent_item_code").alias("root_item_code"), F.col("child_item_code").alias("item_code"),
                             F.lit(1).alias("level"), F.col("quantity").alias("total_quantity"),
@@ -133,7 +140,7 @@ def catalog_search(items: DataFrame, term: str, page: int = 1, size: int = 50) -
 
 def serials(ser: DataFrame, items: DataFrame) -> DataFrame:
     """A-OPS-8: per item: serials, in use ('X'), lots."""
-    g = ser.groupBy("item_code").agg(F.countDistinct("serial_number").alias("serials"),
+    g = live_rows(ser).groupBy("item_code").agg(F.countDistinct("serial_number").alias("serials"),
                                      C.count_if(F.col("is_in_use") == "X").alias("in_use"),
                                      F.countDistinct("batch_number").alias("lots"))
     return g.join(items.select("item_code", "item_name"), "item_code", "left")

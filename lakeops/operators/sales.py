@@ -244,7 +244,7 @@ def _ago(now: str, d: int):
 
 def quote_kpis(quotes: DataFrame, now: str) -> DataFrame:
     """Live pipeline (open, <= 90 d), stalled (open, > 180 d), conversion among quotes >= 90 d old."""
-    q = quotes.where(F.col("created_at") >= _ago(now, P.QUOTE_WINDOW_DAYS))
+    q = quotes.where(F.col("excluded_at").isNull() & (F.col("created_at") >= _ago(now, P.QUOTE_WINDOW_DAYS)))
     c, st, v = F.col("created_at"), F.col("detailed_status"), F.col("total_amount")
     live = (st == 1) & (c >= _ago(now, P.QUOTE_LIVE_DAYS))
     stalled = (st == 1) & (c < _ago(now, P.QUOTE_STALLED_DAYS))
@@ -268,14 +268,14 @@ def quote_cycle(quotes: DataFrame, orders: DataFrame, now: str) -> DataFrame:
 
 
 def quote_cohorts(quotes: DataFrame, now: str) -> DataFrame:
-    q = quotes.where(F.col("created_at") >= _ago(now, P.QUOTE_WINDOW_DAYS))
+    q = quotes.where(F.col("excluded_at").isNull() & (F.col("created_at") >= _ago(now, P.QUOTE_WINDOW_DAYS)))
     return q.groupBy(F.trunc(F.col("created_at").cast("date"), "month").alias("month")).agg(
         F.count("*").alias("quotes"), C.count_if(F.col("detailed_status") == 2).alias("won"),
         C.pct(C.count_if(F.col("detailed_status") == 2), F.count("*")).alias("conversion_pct"))
 
 
 def quote_ageing(quotes: DataFrame, now: str) -> DataFrame:
-    q = quotes.where((F.col("created_at") >= _ago(now, P.QUOTE_WINDOW_DAYS)) & (F.col("detailed_status") == 1))
+    q = quotes.where(F.col("excluded_at").isNull() & (F.col("created_at") >= _ago(now, P.QUOTE_WINDOW_DAYS)) & (F.col("detailed_status") == 1))
     c = F.col("created_at")
     band = (F.when(c >= _ago(now, 30), "1. ate 30d").when(c >= _ago(now, 90), "2. 31-90d")
             .when(c >= _ago(now, 180), "3. 91-180d").otherwise("4. +180d"))
@@ -284,7 +284,7 @@ def quote_ageing(quotes: DataFrame, now: str) -> DataFrame:
 
 def quote_stalled(quotes: DataFrame, partners: DataFrame, now: str, n: int = 20) -> DataFrame:
     c = F.col("created_at")
-    q = quotes.where((F.col("detailed_status") == 1) & (c < _ago(now, P.QUOTE_STALLED_DAYS))
+    q = quotes.where(F.col("excluded_at").isNull() & (F.col("detailed_status") == 1) & (c < _ago(now, P.QUOTE_STALLED_DAYS))
                      & (c >= _ago(now, P.QUOTE_WINDOW_DAYS)))
     j = q.join(partners.select("partner_code", "partner_name"), "partner_code", "left")
     out = j.select(

@@ -23,29 +23,29 @@ def _T(spark, sf):
 SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, COUNT(DISTINCT prod_order_number) AS orders,
        CAST(SUM(planned_qty) AS DECIMAL(18,4)) AS planned, CAST(SUM(actual_qty) AS DECIMAL(18,4)) AS actual,
        CAST(CAST(SUM(actual_qty) AS DECIMAL(18,4)) AS DOUBLE) * 100.0 / NULLIF(CAST(CAST(SUM(planned_qty) AS DECIMAL(18,4)) AS DOUBLE), 0) AS efficiency_pct
-FROM production GROUP BY 1""", "production"))
+FROM production WHERE excluded_at IS NULL AND order_date >= CAST(DATE '2001-08-01' - INTERVAL 13 MONTH AS DATE) GROUP BY 1""", "production"))
 def q_prod_monthly(spark, sf):
-    return OP.production_monthly(_T(spark, sf).production)
+    return OP.production_monthly(_T(spark, sf).production, SALES_REF)
 
 
 @register("production_status", with_views(f"""
 SELECT {S.lookup('prod_status', OP.PROD_STATUS, 'Outro')} AS status, COUNT(DISTINCT prod_order_number) AS orders,
-       CAST(SUM(planned_qty) AS DECIMAL(18,4)) AS planned FROM production GROUP BY 1""", "production"))
+       CAST(SUM(planned_qty) AS DECIMAL(18,4)) AS planned FROM production WHERE excluded_at IS NULL GROUP BY 1""", "production"))
 def q_prod_status(spark, sf):
     return OP.production_status(_T(spark, sf).production)
 
 
 @register("top_components", with_views("""
 WITH g AS (SELECT item_code, CAST(SUM(quantity) AS DECIMAL(18,4)) AS quantity, COUNT(DISTINCT prod_order_number) AS orders
-           FROM components GROUP BY 1 ORDER BY quantity DESC, item_code LIMIT 15)
+           FROM components WHERE excluded_at IS NULL GROUP BY 1 ORDER BY quantity DESC, item_code LIMIT 20)
 SELECT g.*, i.item_name FROM g LEFT JOIN item i ON i.item_code = g.item_code""", "components", "item"))
 def q_top_components(spark, sf):
     T = _T(spark, sf)
     return OP.top_components(T.components, T.item)
 
 
-_STOCK_POS = """SELECT s.*, i.item_name, i.group_code FROM stock s LEFT JOIN item i ON i.item_code = s.item_code
-WHERE s.snapshot_date = (SELECT MAX(snapshot_date) FROM stock) AND s.general_balance > 0"""
+_STOCK_POS = """SELECT s.* EXCLUDE (excluded_at), i.item_name, i.group_code FROM stock s LEFT JOIN item i ON i.item_code = s.item_code
+WHERE s.snapshot_date = (SELECT MAX(snapshot_date) FROM stock) AND s.excluded_at IS NULL AND s.general_balance > 0"""
 
 
 @register("stock_items", with_views(_STOCK_POS, "stock", "item"))
@@ -66,15 +66,16 @@ def q_stock_group(spark, sf):
 SELECT CAST(date_trunc('month', movement_date) AS DATE) AS month,
        CAST(COALESCE(SUM(CASE WHEN operation_type = 'E' THEN quantity END), 0) AS DECIMAL(18,4)) AS units_in,
        CAST(COALESCE(SUM(CASE WHEN operation_type = 'S' THEN quantity END), 0) AS DECIMAL(18,4)) AS units_out
-FROM movements WHERE movement_date >= CAST(date_trunc('month', DATE '{SALES_REF}') - INTERVAL 12 MONTH AS DATE) GROUP BY 1""",
+FROM movements WHERE excluded_at IS NULL
+  AND movement_date BETWEEN CAST(DATE '{SALES_REF}' - INTERVAL 13 MONTH AS DATE) AND DATE '{SALES_REF}' GROUP BY 1""",
                                        "movements"))
 def q_stock_movement(spark, sf):
     return OP.stock_movement(_T(spark, sf).movements, SALES_REF)
 
 
 @register("bom_lines", with_views(f"""
-SELECT b.*, p.item_name AS parent_name, c.item_name AS child_name, {S.lookup('b.link_type', OP.LINK_LABELS, 'Outro')} AS link_label
-FROM bom b LEFT JOIN item p ON p.item_code = b.parent_item_code LEFT JOIN item c ON c.item_code = b.child_item_code""",
+SELECT b.* EXCLUDE (excluded_at), p.item_name AS parent_name, c.item_name AS child_name, {S.lookup('b.link_type', OP.LINK_LABELS, 'Outro')} AS link_label
+FROM bom b LEFT JOIN item p ON p.item_code = b.parent_item_code LEFT JOIN item c ON c.item_code = b.child_item_code WHERE b.excluded_at IS NULL""",
                                   "bom", "item"))
 def q_bom_lines(spark, sf):
     T = _T(spark, sf)
@@ -83,14 +84,14 @@ def q_bom_lines(spark, sf):
 
 @register("bom_kpis", with_views("""
 SELECT COUNT(*) AS lines, COUNT(DISTINCT parent_item_code) AS parents, COUNT(DISTINCT child_item_code) AS children,
-       CAST(COUNT(*) AS DOUBLE) / NULLIF(CAST(COUNT(DISTINCT parent_item_code) AS DOUBLE), 0) AS children_per_parent FROM bom""",
+       CAST(COUNT(*) AS DOUBLE) / NULLIF(CAST(COUNT(DISTINCT parent_item_code) AS DOUBLE), 0) AS children_per_parent FROM bom WHERE excluded_at IS NULL""",
                                  "bom"))
 def q_bom_kpis(spark, sf):
     return OP.bom_kpis(_T(spark, sf).bom)
 
 
 @register("bom_explode", with_views(f"""
-WITH RECURSIVE e AS (SELECT parent_item_code, child_item_code, CAST(quantity AS DECIMAL(38,6)) AS quantity FROM bom),
+WITH RECURSIVE e AS (SELECT parent_item_code, child_item_code, CAST(quantity AS DECIMAL(38,6)) AS quantity FROM bom WHERE excluded_at IS NULL),
 x(root_item_code, item_code, level, total_quantity, path) AS (
   SELECT parent_item_code, child_item_code, 1, quantity, parent_item_code || '{P.BOM_PATH_SEP}' || child_item_code FROM e
   UNION ALL
@@ -124,7 +125,7 @@ def q_catalog_search(spark, sf):
 
 @register("serials_per_item", with_views("""
 WITH g AS (SELECT item_code, COUNT(DISTINCT serial_number) AS serials, COUNT(CASE WHEN is_in_use = 'X' THEN 1 END) AS in_use,
-                  COUNT(DISTINCT batch_number) AS lots FROM serials GROUP BY 1)
+                  COUNT(DISTINCT batch_number) AS lots FROM serials WHERE excluded_at IS NULL GROUP BY 1)
 SELECT g.*, i.item_name FROM g LEFT JOIN item i ON i.item_code = g.item_code""", "serials", "item"))
 def q_serials(spark, sf):
     T = _T(spark, sf)

@@ -160,7 +160,8 @@ view("accounts", values(account_rows(), ["financial_item_code", "subgroup", "gro
 
 view("bom", """
 SELECT CAST((p_partkey - 1) // 3 AS VARCHAR) AS parent_item_code, CAST(p_partkey AS VARCHAR) AS child_item_code,
-       CAST(p_size AS DECIMAL(18,4)) AS quantity, CASE WHEN p_partkey % 4 = 0 THEN 'A' ELSE 'M' END AS link_type
+       CAST(p_size AS DECIMAL(18,4)) AS quantity, CASE WHEN p_partkey % 4 = 0 THEN 'A' ELSE 'M' END AS link_type,
+       CASE WHEN p_partkey % 29 = 0 THEN DATE '2001-08-01' END AS excluded_at
 FROM part WHERE p_partkey > 0
 """)
 
@@ -206,7 +207,7 @@ view("quotes", """
 SELECT o_orderkey AS quote_number, o_custkey AS partner_code,
        o_orderdate - to_days(CAST(o_orderkey % 60 AS INTEGER)) AS created_at,
        CAST(CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS BIGINT) AS detailed_status,
-       CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount
+       CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, CASE WHEN o_orderkey % 31 = 0 THEN o_orderdate END AS excluded_at
 FROM orders
 """)
 
@@ -255,25 +256,28 @@ view("production", """
 SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS prod_order_number, CAST(l_shipdate AS DATE) AS order_date,
        CAST(l_linenumber % 4 AS INTEGER) AS prod_status, CAST(l_quantity AS DECIMAL(18,4)) AS planned_qty,
        CAST(CAST(l_quantity AS DECIMAL(18,4)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS actual_qty,
-       CAST(l_partkey AS VARCHAR) AS item_code
+       CAST(l_partkey AS VARCHAR) AS item_code, CASE WHEN l_orderkey % 29 = 0 THEN l_shipdate END AS excluded_at
 FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'N'
 """)
 view("components", """
 SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS prod_order_number, CAST(l_partkey AS VARCHAR) AS item_code,
-       CAST(l_quantity AS DECIMAL(18,4)) AS quantity FROM lineitem WHERE l_returnflag = 'R'
+       CAST(l_quantity AS DECIMAL(18,4)) AS quantity, CASE WHEN l_orderkey % 29 = 0 THEN l_shipdate END AS excluded_at
+FROM lineitem WHERE l_returnflag = 'R'
 """)
 view("stock", """
 SELECT CAST(p_partkey AS VARCHAR) AS item_code, CAST(p_size - 25 AS DECIMAL(18,4)) AS general_balance,
-       DATE '2001-08-01' AS snapshot_date FROM part
+       DATE '2001-08-01' AS snapshot_date, CASE WHEN p_partkey % 29 = 0 THEN DATE '2001-08-01' END AS excluded_at FROM part
 """)
 view("movements", """
 SELECT CAST(l_partkey AS VARCHAR) AS item_code, CAST(l_shipdate AS DATE) AS movement_date,
-       CASE WHEN l_returnflag = 'R' THEN 'E' ELSE 'S' END AS operation_type, CAST(l_quantity AS DECIMAL(18,4)) AS quantity
+       CASE WHEN l_returnflag = 'R' THEN 'E' ELSE 'S' END AS operation_type, CAST(l_quantity AS DECIMAL(18,4)) AS quantity,
+       CASE WHEN l_orderkey % 29 = 0 THEN l_shipdate END AS excluded_at
 FROM lineitem
 """)
 view("serials", """
 SELECT CAST(l_partkey AS VARCHAR) AS item_code, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS serial_number,
-       l_orderkey % 100 AS batch_number, CASE WHEN l_linestatus = 'O' THEN 'X' END AS is_in_use FROM lineitem
+       l_orderkey % 100 AS batch_number, CASE WHEN l_linestatus = 'O' THEN 'X' END AS is_in_use,
+       CASE WHEN l_orderkey % 29 = 0 THEN l_shipdate END AS excluded_at FROM lineitem
 """)
 
 view("crm_users", "SELECT CAST(user_id AS BIGINT) AS user_id, user_name, salesperson_name, is_active FROM ("

@@ -229,7 +229,7 @@ SELECT CAST(COALESCE(SUM(CASE WHEN detailed_status = 1 AND created_at >= {_ago(9
        COUNT(CASE WHEN detailed_status = 1 AND created_at < {_ago(180)} THEN 1 END) AS stalled_n,
        {_pct(f'COUNT(CASE WHEN created_at <= {_ago(90)} AND detailed_status = 2 THEN 1 END)',
              f'COUNT(CASE WHEN created_at <= {_ago(90)} THEN 1 END)')} AS conversion_pct
-FROM quotes WHERE {_QW}""", "quotes"))
+FROM quotes WHERE excluded_at IS NULL AND {_QW}""", "quotes"))
 def q_quote_kpis(spark, sf):
     return SA.quote_kpis(DriverTables(spark, sf).quotes, NOW)
 
@@ -247,7 +247,7 @@ def q_quote_cycle(spark, sf):
 SELECT CAST(date_trunc('month', CAST(created_at AS DATE)) AS DATE) AS month, COUNT(*) AS quotes,
        COUNT(CASE WHEN detailed_status = 2 THEN 1 END) AS won,
        {_pct('COUNT(CASE WHEN detailed_status = 2 THEN 1 END)', 'COUNT(*)')} AS conversion_pct
-FROM quotes WHERE {_QW} GROUP BY 1""", "quotes"))
+FROM quotes WHERE excluded_at IS NULL AND {_QW} GROUP BY 1""", "quotes"))
 def q_quote_cohorts(spark, sf):
     return SA.quote_cohorts(DriverTables(spark, sf).quotes, NOW)
 
@@ -256,7 +256,7 @@ def q_quote_cohorts(spark, sf):
 SELECT CASE WHEN created_at >= {_ago(30)} THEN '1. ate 30d' WHEN created_at >= {_ago(90)} THEN '2. 31-90d'
             WHEN created_at >= {_ago(180)} THEN '3. 91-180d' ELSE '4. +180d' END AS age_band,
        CAST(SUM(total_amount) AS DECIMAL(18,2)) AS value, COUNT(*) AS quotes
-FROM quotes WHERE {_QW} AND detailed_status = 1 GROUP BY 1""", "quotes"))
+FROM quotes WHERE excluded_at IS NULL AND {_QW} AND detailed_status = 1 GROUP BY 1""", "quotes"))
 def q_quote_ageing(spark, sf):
     return SA.quote_ageing(DriverTables(spark, sf).quotes, NOW)
 
@@ -265,7 +265,7 @@ def q_quote_ageing(spark, sf):
 SELECT q.quote_number, COALESCE(p.partner_name, CAST(q.partner_code AS VARCHAR)) AS client,
        CAST(date_diff('day', CAST(q.created_at AS DATE), DATE '{REF}') AS INTEGER) AS days_stalled, q.total_amount AS value
 FROM quotes q LEFT JOIN partner p ON p.partner_code = q.partner_code
-WHERE q.detailed_status = 1 AND q.created_at < {_ago(180)} AND q.{_QW}
+WHERE q.excluded_at IS NULL AND q.detailed_status = 1 AND q.created_at < {_ago(180)} AND q.{_QW}
 ORDER BY value DESC, q.quote_number LIMIT 20""", "quotes", "partner"))
 def q_quote_stalled(spark, sf):
     T = DriverTables(spark, sf)

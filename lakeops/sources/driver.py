@@ -260,6 +260,7 @@ class DriverTables:
             k.cast("string").alias("child_item_code"),
             F.col("p_size").cast("decimal(18,4)").alias("quantity"),
             F.when(k % 4 == 0, "A").otherwise("M").alias("link_type"),
+            F.when(k % 29 == 0, F.lit(SALES_REF).cast("date")).alias("excluded_at"),
         )
 
     # -- CRM ------------------------------------------------------------------
@@ -332,6 +333,7 @@ class DriverTables:
             (F.col("o_orderdate") - days(k % 60)).alias("created_at"),
             F.when(F.col("o_orderstatus") == "F", 2).otherwise(1).cast("bigint").alias("detailed_status"),
             money(F.col("o_totalprice")).alias("total_amount"),
+            F.when(k % 31 == 0, F.col("o_orderdate")).alias("excluded_at"),
         )
 
     @cached_property
@@ -410,6 +412,7 @@ class DriverTables:
             qty.alias("planned_qty"),
             (qty * (dec("1") - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)").alias("actual_qty"),
             F.col("l_partkey").cast("string").alias("item_code"),
+            F.when(F.col("l_orderkey") % 29 == 0, F.col("l_shipdate")).alias("excluded_at"),
         )
 
     @cached_property
@@ -417,14 +420,16 @@ class DriverTables:
         li = self.raw("lineitem").where(F.col("l_returnflag") == "R")
         return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("prod_order_number"),
                          F.col("l_partkey").cast("string").alias("item_code"),
-                         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"))
+                         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
+                         F.when(F.col("l_orderkey") % 29 == 0, F.col("l_shipdate")).alias("excluded_at"))
 
     @cached_property
     def stock(self) -> DataFrame:
         p = self.raw("part")
         return p.select(F.col("p_partkey").cast("string").alias("item_code"),
                         (F.col("p_size") - 25).cast("decimal(18,4)").alias("general_balance"),
-                        F.lit(SALES_REF).cast("date").alias("snapshot_date"))
+                        F.lit(SALES_REF).cast("date").alias("snapshot_date"),
+                        F.when(F.col("p_partkey") % 29 == 0, F.lit(SALES_REF).cast("date")).alias("excluded_at"))
 
     @cached_property
     def movements(self) -> DataFrame:
@@ -432,7 +437,8 @@ class DriverTables:
         return li.select(F.col("l_partkey").cast("string").alias("item_code"),
                          F.col("l_shipdate").cast("date").alias("movement_date"),
                          F.when(F.col("l_returnflag") == "R", "E").otherwise("S").alias("operation_type"),
-                         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"))
+                         F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
+                         F.when(F.col("l_orderkey") % 29 == 0, F.col("l_shipdate")).alias("excluded_at"))
 
     @cached_property
     def serials(self) -> DataFrame:
@@ -441,7 +447,8 @@ class DriverTables:
                          F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
                          .alias("serial_number"),
                          (F.col("l_orderkey") % 100).alias("batch_number"),
-                         F.when(F.col("l_linestatus") == "O", F.lit("X")).alias("is_in_use"))
+                         F.when(F.col("l_linestatus") == "O", F.lit("X")).alias("is_in_use"),
+                         F.when(F.col("l_orderkey") % 29 == 0, F.col("l_shipdate")).alias("excluded_at"))
 
     @cached_property
     def chats(self) -> DataFrame:

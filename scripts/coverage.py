@@ -9,29 +9,29 @@ M = [
     ("SRC-1", "sources.readers.read_entity", "read_entity_purchases"), ("SRC-2", "sources.readers.read_delta", "read_delta_orders"),
     ("SRC-3", "sources.readers.header_lines", "header_lines"), ("SRC-4", "sources.readers.role_lookup", "role_lookup_deals"),
     ("SRC-5", "sources.readers.distinct_codes", "distinct_codes"), ("SRC-6", "sources.readers.derive_lifecycle", "derive_lifecycle"),
-    ("SRC-7", "sources.readers.json_records / read_json_records", "test: test_json_records_tolerant_root"),
+    ("SRC-7", "sources.readers.json_records / read_json_records", "json_records"),
     ("SRC-8", "sources.readers.explode_children", "document_lines"),
-    ("SNK-1", "sources.sinks.write_full", "test: test_sinks_guard_partition_and_counts"),
-    ("SNK-2", "sources.sinks.write_full_guarded", "test: test_sinks_guard_partition_and_counts"),
-    ("SNK-3", "sources.sinks.write_append", "streaming control table (test_stream_upsert...)"),
-    ("SNK-4", "sources.sinks.write_partitioned, sources.layers.materialize", "test: test_layer_matches_views_and_prunes"),
+    ("SNK-1", "sources.sinks.write_full", "reload_orders"),
+    ("SNK-2", "sources.sinks.write_full_guarded", "guarded_reload"),
+    ("SNK-3", "sources.sinks.write_append", "append_orders"),
+    ("SNK-4", "sources.sinks.write_partitioned, sources.layers.materialize", "partitioned_orders"),
     ("SNK-5", "sources.sinks.validate_counts", "validate_counts"),
     ("PRJ-1", "operators.projection.cast_to_schema", "cast_to_schema"), ("PRJ-2", "operators.projection.clean_strings", "clean_strings"),
     ("PRJ-3", "operators.cdc.dedup / one_per_key", "dedup_report, dedup_latest_per_key"),
-    ("PRJ-4", "operators.projection.add_snapshot_date", "inside quality.transform_entity"),
-    ("PRJ-5", "operators.projection.add_audit", "inside quality.transform_entity"),
+    ("PRJ-4", "operators.projection.add_snapshot_date", "snapshot_suppliers"),
+    ("PRJ-5", "operators.projection.add_audit", "snapshot_suppliers"),
     ("PRJ-6", "operators.projection.add_seq_key", "seq_key_orders"), ("PRJ-7", "operators.projection.add_hash_key", "hash_key_items"),
-    ("PRJ-8", "operators.projection.to_envelope", "envelope_events"), ("PRJ-9", "operators.projection.drop_pii", "test: test_drop_pii_and_envelope"),
+    ("PRJ-8", "operators.projection.to_envelope", "envelope_events"), ("PRJ-9", "operators.projection.drop_pii", "customers_without_pii"),
     ("PRJ-10", "operators.projection.project_typed", "project_typed_props"),
-    ("PRJ-11", "operators.projection.flatten_custom_fields", "test: test_flatten_custom_fields_and_mail"),
-    ("PRJ-12", "operators.projection.flatten_mail", "test: test_flatten_custom_fields_and_mail"),
-    ("PRJ-13", "operators.projection.norm_ref / first_of", "test: test_flatten_custom_fields_and_mail"),
+    ("PRJ-11", "operators.projection.flatten_custom_fields", "custom_fields"),
+    ("PRJ-12", "operators.projection.flatten_mail", "mail_headers"),
+    ("PRJ-13", "operators.projection.norm_ref / first_of", "id_references"),
     ("QLT-1", "operators.quality.repair_terms, build_dictionary", "repair_terms"),
     ("QLT-2", "operators.quality.match_cities", "match_cities; test: test_city_golden_cases"),
     ("QLT-3", "operators.quality.normalise_state", "normalise_state"), ("QLT-4", "operators.quality.unresolved_report", "unresolved_report"),
     ("QLT-5", "operators.quality.corruption_profile", "corruption_profile"),
     ("QLT-6", "functions.columns.norm_name / strip_accents_key / drop_paren_suffix / digits_only / title_case", "abc_ranking, entity_bridge, rfv_base_hybrid"),
-    ("QLT-7", "operators.quality.transform_entity", "composition of PRJ-1..7 (each registered)"),
+    ("QLT-7", "operators.quality.transform_entity", "transform_suppliers"),
     ("QLT-8", "operators.quality.map_labels", "map_stage_labels"),
     ("CDC-1", "operators.cdc.upsert", "upsert_orders"), ("CDC-2", "operators.cdc.archive_changed", "archive_changed_orders"),
     ("CDC-3", "operators.cdc.soft_delete_missing", "soft_delete_missing"), ("CDC-4", "operators.cdc.preserve_columns", "preserve_first_seen"),
@@ -70,11 +70,11 @@ M = [
     ("SET-2", "unionByName padded", "titles_open"), ("SET-3", "functions.aggregations.union_distinct / distinct_codes", "distinct_codes"),
     ("SET-4", "operators.cdc.compare_keys", "compare_portfolio_buyers"),
     ("INC-1", "operators.increment.max_watermark", "max_watermark, max_watermark_date"), ("INC-2", "operators.increment.set_watermarks", "watermark_control"),
-    ("INC-4", "streaming.upsert.run_entity", "test: test_run_entity_full_then_incremental"), ("INC-5", "operators.increment.read_watermarks", "read_watermarks"),
-    ("INC-6", "operators.increment.batch_max_event", "batch_max_event"), ("INC-7", "operators.increment.record_run", "streaming control table"),
+    ("INC-4", "streaming.upsert.run_entity", "incremental_orders"), ("INC-5", "operators.increment.read_watermarks", "read_watermarks"),
+    ("INC-6", "operators.increment.batch_max_event", "batch_max_event"), ("INC-7", "operators.increment.record_run", "run_log"),
     ("INC-8", "operators.increment.run_summary / slowest_runs", "run_summary, slowest_runs"), ("INC-9", "operators.increment.freshness", "freshness"),
     ("INC-10", "operators.increment.freshness_status", "freshness_status"), ("INC-11", "operators.increment.runs_digest", "runs_digest"),
-    ("INC-12", "streaming.upsert.stream_upsert", "test: test_stream_upsert_matches_batch_and_is_idempotent"),
+    ("INC-12", "streaming.upsert.stream_upsert", "stream_orders"),
     ("INC-13", "operators.increment.last_load", "last_load"),
     ("A-COM-1", "commercial.silver_sales", "silver_sales"), ("A-COM-2", "commercial.rfv_base", "rfv_base, rfv_base_hybrid"),
     ("A-COM-3", "commercial.rfv_score", "rfv_score"), ("A-COM-4", "commercial.rfv_summary", "rfv_summary, rfv_summary_36m"),
@@ -91,18 +91,18 @@ M = [
     ("A-COM-20", "sales.sales_period / available_months", "sales_period, available_months"), ("A-COM-21", "sales.abc_ranking / abc_kpis", "abc_ranking, abc_kpis"),
     ("A-COM-22", "sales.purchases_kpis / purchases_series / top_suppliers / import_suppliers", "purchases_kpis, purchases_series, top_suppliers, import_suppliers"),
     ("A-COM-23", "sales.quote_kpis", "quote_kpis"), ("A-COM-24", "sales.quote_cycle / quote_cohorts / quote_ageing / quote_stalled", "quote_cycle, quote_cohorts, quote_ageing, quote_stalled"),
-    ("A-COM-25", "crm.funnel_status / funnel_kpis / top_owners / top_open_deals", "funnel_status, funnel_kpis, top_owners, top_open_deals"),
+    ("A-COM-25", "crm.funnel_status / funnel_kpis / funnel_by_stage / top_owners / top_open_deals", "funnel_status, funnel_kpis, funnel_by_stage, top_owners, top_open_deals"),
     ("A-COM-26", "crm.stage_stats", "stage_stats"), ("A-COM-27", "crm.sector_conversion", "sector_conversion"),
     ("A-COM-28", "targets.target_vs_actual / won_by_owner", "target_vs_actual, won_by_owner"),
     ("A-COM-29", "targets.rank_month / rank_day / needed_per_day", "rank_month, rank_day, needed_per_day"),
     ("A-COM-30", "targets.business_days", "business_days"), ("A-COM-31", "targets.reverse_funnel", "reverse_funnel"),
     ("A-COM-32", "crm.activities_by", "activities_by_type, activities_by_user"), ("A-COM-33", "targets.mean_term", "mean_term"),
-    ("A-COM-34", "targets.performance_matrix", "performance_matrix"), ("A-COM-35", "targets.sales_calendar", "sales_calendar"),
+    ("A-COM-34", "targets.performance_indicators / performance_matrix", "performance_matrix"), ("A-COM-35", "targets.sales_calendar / sales_calendar_totals", "sales_calendar, sales_calendar_totals"),
     ("A-COM-36", "targets.revenue_matrix", "revenue_matrix"), ("A-COM-37", "crm.compare_reassignment", "compare_reassignment"),
     ("A-COM-38", "crm.mask_values", "rfv_summary_masked"),
     ("A-QA-1", "qa.qa_cascade", "qa_cascade"), ("A-QA-2", "qa.qa_latest_status", "qa_status"), ("A-QA-3", "qa.compare_declared", "compare_declared_cells"),
     ("A-QA-4", "qa.grain_reconcile", "grain_reconcile"), ("A-QA-5", "qa.validate_totals", "validate_totals"),
-    ("A-QA-6", "qa.executive_summary", "executive_summary"), ("A-QA-7", "qa.read_layer", "test: test_read_layer_falls_back"),
+    ("A-QA-6", "qa.executive_summary", "executive_summary"), ("A-QA-7", "qa.read_layer", "gold_or_bronze"),
     ("A-QA-8", "entity.match_report / borderline", "match_report, borderline_matches"),
     ("A-FIN-1", "finance.allocate_billing", "allocate_billing"), ("A-FIN-2", "finance.titles_settled", "titles_settled"),
     ("A-FIN-3", "finance.titles_open", "titles_open"), ("A-FIN-4", "finance.pnl_cash / pnl_lines", "pnl_cash"),
@@ -120,7 +120,7 @@ M = [
     ("A-OPS-6", "operations.bom_explode", "bom_explode; test: test_bom_cycle_stops_at_depth"),
     ("A-OPS-7", "operations.catalog_kpis / catalog_mix / catalog_search", "catalog_kpis, catalog_mix, catalog_search"),
     ("A-OPS-8", "operations.serials", "serials_per_item"),
-    ("A-SAC-1", "service.tickets / resolution_rate", "tickets, resolution_rate"), ("A-SAC-2", "service.sla_resolution / first_reply", "sla_resolution, first_reply"),
+    ("A-SAC-1", "service.tickets / resolution_rate", "tickets, resolution_rate"), ("A-SAC-2", "service.sla_resolution / first_reply / first_reply_kpi", "sla_resolution, first_reply, first_reply_kpi"),
     ("A-SAC-3", "service.calls_summary / calls_window", "calls_summary, calls_window"), ("A-SAC-4", "service.chats_summary", "chats_summary"),
 ]
 registry.load_all()

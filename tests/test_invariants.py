@@ -78,8 +78,8 @@ def test_fuzzy_blocking_is_exact(spark):
 
 
 def test_bom_cycle_stops_at_depth(spark):
-    bom = spark.createDataFrame([("A", "B", 2.0, "M"), ("B", "C", 3.0, "M"), ("C", "A", 1.0, "M")],
-                                "parent_item_code string, child_item_code string, quantity double, link_type string")
+    bom = spark.createDataFrame([("A", "B", 2.0, "M", None), ("B", "C", 3.0, "M", None), ("C", "A", 1.0, "M", None), ("A", "X", 9.0, "M", "2024-01-01")],
+                                "parent_item_code string, child_item_code string, quantity double, link_type string, excluded_at string")
     roots = spark.createDataFrame([("A",)], "item_code string")
     out = OP.bom_explode(bom, roots, max_depth=10).collect()
     assert len(out) == 10 and max(r.level for r in out) == 10
