@@ -284,18 +284,28 @@ def rfv_segments(score: DataFrame) -> DataFrame:
                                                 C.pct("clients", "_t").alias("clients_pct"))
 
 
+KPI_SEGMENTS = {"champions": (1,), "loyal": (2,), "potential_loyal": (3,), "cannot_lose": (8,), "hibernating": (10,), "at_risk": (9, 10), "lost": (11,)}
+
+
 def rfv_kpis(score: DataFrame) -> DataFrame:
-    """A-COM-14: headline numbers of the RFV base."""
+    """A-COM-14: headline numbers of the RFV base, with the rows of each segment group."""
     return score.agg(F.countDistinct("partner_name").alias("clients"), C.money_sum("total_value").alias("revenue"),
                      C.safe_div(F.sum("total_value"), F.count("total_value")).alias("mean_ticket"),
-                     C.count_if(F.col("segment_num") == 1).alias("champions"),
-                     C.count_if(F.col("segment_num") == 11).alias("lost"))
+                     *(C.count_if(F.col("segment_num").isin(*n)).alias(c) for c, n in KPI_SEGMENTS.items()),
+                     F.max("ref_date").alias("ref_date"))
+
+
+# FIXED VALUES: cells of the owner panel's segment counts
+PANEL_CELLS = {"champions": ("F1R1",), "loyal": ("F1R2", "F1R3", "F2R1", "F2R2", "F2R3"), "potential_loyal": ("F3R1", "F3R2", "F4R1", "F4R2"),
+               "cannot_lose": ("F1R4", "F1R5"), "at_risk": ("F2R4", "F2R5", "F3R4", "F3R5", "F4R4"), "lost": ("F4R5", "F5R4", "F5R5")}
 
 
 def rfv_owner_panel(score: DataFrame) -> DataFrame:
-    """A-COM-14: per owner x cell client counts."""
-    return score.groupBy("rfv_salesperson", "cell").agg(F.countDistinct("partner_name").alias("clients"),
-                                                         C.money_sum("total_value").alias("revenue"))
+    """A-COM-14: per owner: clients, rows per segment group (by cell), revenue and revenue per client."""
+    g = score.groupBy("rfv_salesperson").agg(
+        F.countDistinct("partner_name").alias("clients"), *(C.count_if(F.col("cell").isin(*cells)).alias(c) for c, cells in PANEL_CELLS.items()),
+        C.money_sum("total_value").alias("revenue"))
+    return g.withColumn("ticket", C.safe_div("revenue", "clients"))
 
 
 def rfv_clients(score: DataFrame, segment_num: int) -> DataFrame:

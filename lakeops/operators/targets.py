@@ -73,6 +73,39 @@ def _days_of(bdays: DataFrame, month: str) -> DataFrame:
     return bdays.where(F.col("month") == F.lit(month).cast("date")).select("total", "elapsed")
 
 
+def rank_salespeople(orders: DataFrame, natures: DataFrame, deals: DataFrame, users: DataFrame, targets: DataFrame, bdays: DataFrame, month: str, day: str, *,
+                     erp_month: str | None = None, groups=tuple(P.SALES_GROUPS)) -> DataFrame:
+    """A-COM-29: per salesperson, invoiced in the month (ERP) beside won in the month (CRM), each against the target, with the
+    month's position; and won today against the daily target (target / business days): missing, met, and the day's position.
+
+    Everyone with invoices appears; without a target the shares are NULL and rank last.
+    ``users``: user_id, salesperson_name; ``targets``: salesperson_name, target; ``bdays``: month, total.
+    """
+    m = F.lit(month).cast("date")
+    sold = com.in_months(com.billed_orders(orders, natures, exclude_channels=(), statuses=None, groups=groups), "invoice_date", F.lit(erp_month or month).cast("date"))
+    named = sold.where(F.col("salesperson_name").isNotNull() & (F.trim("salesperson_name") != ""))
+    erp = named.groupBy("salesperson_name").agg(C.money_sum("product_amount").alias("realised"))
+    won_day, val = F.col("won_time").cast("date"), F.coalesce("value", F.lit(0))
+    d = deals.where(~F.coalesce(F.col("is_deleted"), F.lit(False)) & (F.col("status") == "won")).join(
+        users.select(F.col("user_id").alias("_uid"), "salesperson_name"), F.col("owner_id") == F.col("_uid"))
+    in_month = (won_day >= m) & (won_day < F.add_months(m, 1))
+    crm = d.groupBy("salesperson_name").agg(C.money(F.sum(F.when(in_month, val).otherwise(0))).alias("won_month"),
+                                            C.money(F.sum(F.when(won_day == F.lit(day).cast("date"), val).otherwise(0))).alias("won_today"))
+    days = bdays.where(F.col("month") == m).select(F.col("total").cast("double").alias("_days"))
+    j = (erp.join(crm, "salesperson_name", "left").join(targets.where(F.col("target") > 0).select("salesperson_name", "target"), "salesperson_name", "left")
+         .crossJoin(F.broadcast(days)))
+    j = j.withColumns({c: C.money(F.coalesce(F.col(c), F.lit(0))) for c in ("won_month", "won_today")})
+    t, today = F.col("target").cast("double"), F.col("won_today").cast("double")
+    j = j.withColumn("daily_target", F.try_divide(t, F.col("_days"))).drop("_days")
+    j = (j.withColumn("pct", F.try_divide(F.col("realised").cast("double"), t)).withColumn("pct_won", F.try_divide(F.col("won_month").cast("double"), t))
+         .withColumn("missing_today", F.when(F.col("daily_target").isNotNull(), F.greatest(F.col("daily_target") - today, F.lit(0.0))))
+         .withColumn("met_today", today >= F.col("daily_target")).withColumn("pct_today", F.try_divide(today, F.col("daily_target"))))
+    # one row per person from here on
+    by_month = Window.orderBy(F.col("pct").desc_nulls_last(), F.col("realised").desc(), F.col("salesperson_name"))
+    by_day = Window.orderBy(F.col("pct_today").desc_nulls_last(), F.col("salesperson_name"))
+    return j.withColumn("position", F.row_number().over(by_month)).withColumn("position_today", F.row_number().over(by_day))
+
+
 def needed_per_day(tva: DataFrame, bdays: DataFrame, month: str) -> DataFrame:
     """A-COM-29: expected realised so far and the sale needed per remaining business day."""
     b = _days_of(bdays, month)
@@ -112,8 +145,8 @@ RATE_CHAIN = ["close_rate", "negotiation_rate", "quote_rate", "connection_rate",
 FUNNEL_STEPS = ["closings", "negotiations", "quotes", "connections", "contacts"]
 
 
-def reverse_funnel(rates: DataFrame, targets: DataFrame) -> DataFrame:
-    """A-COM-31: remaining target -> sales -> closings -> negotiations -> quotes -> connections -> contacts.
+def reverse_funnel(rates: DataFrame, targets: DataFrame, business_days: int = 22) -> DataFrame:
+    """A-COM-31: remaining target -> sales -> closings -> negotiations -> quotes -> connections -> contacts, per month and per business day.
 
     Missing owner rates fall back to the mean over owners; a zero or missing rate yields 0.
     """
@@ -129,7 +162,16 @@ def reverse_funnel(rates: DataFrame, targets: DataFrame) -> DataFrame:
     for rate, step in zip(RATE_CHAIN, FUNNEL_STEPS):
         j = j.withColumn(step, F.coalesce(F.try_divide(F.col(prev), F.col(rate)), F.lit(0.0)))
         prev = step
-    return j.select("user_id", "target", "won", "remaining", "ticket", *RATE_CHAIN, "sales", *FUNNEL_STEPS)
+    per_day = F.coalesce(F.try_divide(F.col("contacts"), F.lit(float(business_days))), F.lit(0.0))
+    return j.select("user_id", "target", "won", "remaining", "ticket", *RATE_CHAIN, "sales", *FUNNEL_STEPS, per_day.alias("contacts_per_day"))
+
+
+def reverse_funnel_families(funnel: DataFrame, families: DataFrame) -> DataFrame:
+    """A-COM-31: totals per family (``families``: user_id, rfv_familia): what is left to sell, the steps that takes, and the rates between them."""
+    g = funnel.join(families.select("user_id", "rfv_familia"), "user_id").groupBy("rfv_familia").agg(
+        *(F.round(F.sum(c), 6).alias(c) for c in ("remaining", "sales", "quotes", "contacts", "contacts_per_day")), F.count("*").alias("people"))
+    ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
+    return g.withColumns({"ticket": ratio("remaining", "sales"), "sales_per_quote": ratio("sales", "quotes"), "quotes_per_contact": ratio("quotes", "contacts")})
 
 
 def mean_term(orders: DataFrame) -> DataFrame:
@@ -159,11 +201,10 @@ RESULT = ["realised", "contracted", "attainment", "pipeline", "win_rate", "ticke
 
 # FIXED VALUES: activity types of the effort indicators
 ACTIVITY_KINDS = {"calls": ["call"], "meetings": ["meeting"], "proposals": ["envio_de_orcamento"], "follow_ups": ["tentativa_de_contato", "contato"]}
-RESULT_GROUPS = ["FA", "FR", "PC"]
 
 
 def performance_indicators(deals: DataFrame, activities: DataFrame, orders: DataFrame, natures: DataFrame, users: DataFrame, targets: DataFrame,
-                           month: str, *, erp_month: str | None = None, kinds: dict[str, list[str]] | None = None, groups=tuple(RESULT_GROUPS)) -> DataFrame:
+                           month: str, *, erp_month: str | None = None, kinds: dict[str, list[str]] | None = None, groups=tuple(P.SALES_GROUPS)) -> DataFrame:
     """A-COM-34: the month's indicators of each seller with a target.
 
     Effort: done activities by kind, all registered ones (by due date), deals created, mean days to close of deals

@@ -134,6 +134,8 @@ QUOTE_AGE_FALLBACK = "180+"
 # City names: least similarity of a fuzzy match up to a length, and beyond the last one.
 CITY_MIN_SCORES = [(6, 70.0), (12, 80.0)]
 CITY_MIN_SCORE_LONG = 85.0
+# Sales groups whose invoices count for a person's ranking and result.
+SALES_GROUPS = ["FA", "FR", "PC"]
 QA_BANDS = [(1.0, "VERDE"), (3.0, "AMARELO")]
 QA_FALLBACK = "VERMELHO"
 QA_SCOPE_ORDER = ["GERAL", "HOSPITALAR", "FARMACIAS", "SAC"]

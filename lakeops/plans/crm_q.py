@@ -14,6 +14,7 @@ from lakeops.plans import sqlfrag as S
 from lakeops.plans.commercial_q import SALES_VIEWS
 from lakeops.plans.oracle_views import with_views
 from lakeops.plans.registry import register
+from lakeops.session import cut_lineage
 from lakeops.sources.driver import EVENTS_NOW, SALES_REF, DriverTables
 
 NOW = EVENTS_NOW
@@ -173,8 +174,9 @@ C360_VIEWS = SALES_VIEWS + BRIDGE_VIEWS + ("deals",)
 
 
 def _c360(T):
-    score = com.rfv_score(com.rfv_base(com.silver_sales(T.sales_order, T.nature, T.group_family, T.portfolio, REF), REF))
-    best = ER.best_bridge(_bridge(T))
+    # the score and the bridge are silver tables: written once, then read (the latest date without a second scoring)
+    score = cut_lineage(com.rfv_score(com.rfv_base(com.silver_sales(T.sales_order, T.nature, T.group_family, T.portfolio, REF), REF)))
+    best = cut_lineage(ER.best_bridge(_bridge(T)))
     return crm.customer_360(T.portfolio, score, best, crm.deal_metrics(T.deals, NOW), NOW)
 
 
@@ -433,18 +435,24 @@ def q_rfv_segments(spark, sf):
     return crm.rfv_segments(_score(_T(spark, sf)))
 
 
+_KPI_SEGS = ", ".join(f"COUNT(*) FILTER (segment_num IN {_in(n)}) AS {c}" for c, n in (
+    ("champions", (1,)), ("loyal", (2,)), ("potential_loyal", (3,)), ("cannot_lose", (8,)), ("hibernating", (10,)), ("at_risk", (9, 10)), ("lost", (11,))))
+
+
 @register("rfv_kpis", with_views(f"""
 SELECT COUNT(DISTINCT partner_name) AS clients, CAST(SUM(total_value) AS DECIMAL(18,2)) AS revenue,
-       CAST(SUM(total_value) AS DOUBLE) / NULLIF(CAST(COUNT(total_value) AS DOUBLE), 0) AS mean_ticket,
-       COUNT(CASE WHEN segment_num = 1 THEN 1 END) AS champions, COUNT(CASE WHEN segment_num = 11 THEN 1 END) AS lost
+       CAST(SUM(total_value) AS DOUBLE) / NULLIF(CAST(COUNT(total_value) AS DOUBLE), 0) AS mean_ticket, {_KPI_SEGS}, MAX(ref_date) AS ref_date
 FROM ({SCORE_SQL}) s""", *SALES_VIEWS))
 def q_rfv_kpis(spark, sf):
     return crm.rfv_kpis(_score(_T(spark, sf)))
 
 
 @register("rfv_owner_panel", with_views(f"""
-SELECT rfv_salesperson, cell, COUNT(DISTINCT partner_name) AS clients, CAST(SUM(total_value) AS DECIMAL(18,2)) AS revenue
-FROM ({SCORE_SQL}) s GROUP BY 1, 2""", *SALES_VIEWS))
+WITH g AS (SELECT rfv_salesperson, COUNT(DISTINCT partner_name) AS clients, COUNT(*) FILTER (cell = 'F1R1') AS champions,
+  COUNT(*) FILTER (cell IN ('F1R2', 'F1R3', 'F2R1', 'F2R2', 'F2R3')) AS loyal, COUNT(*) FILTER (cell IN ('F3R1', 'F3R2', 'F4R1', 'F4R2')) AS potential_loyal,
+  COUNT(*) FILTER (cell IN ('F1R4', 'F1R5')) AS cannot_lose, COUNT(*) FILTER (cell IN ('F2R4', 'F2R5', 'F3R4', 'F3R5', 'F4R4')) AS at_risk,
+  COUNT(*) FILTER (cell IN ('F4R5', 'F5R4', 'F5R5')) AS lost, CAST(SUM(total_value) AS DECIMAL(18,2)) AS revenue FROM ({SCORE_SQL}) s GROUP BY 1)
+SELECT *, CAST(revenue AS DOUBLE) / NULLIF(CAST(clients AS DOUBLE), 0) AS ticket FROM g""", *SALES_VIEWS))
 def q_rfv_owner(spark, sf):
     return crm.rfv_owner_panel(_score(_T(spark, sf)))
 

@@ -146,7 +146,7 @@ s1 AS (SELECT *, COALESCE(remaining / NULLIF(ticket, 0), 0.0) AS sales FROM s0)"
     for i, (step, expr) in enumerate(steps):
         sql += f",\ns{i + 2} AS (SELECT *, {expr} AS {step} FROM {prevname})"
         prevname = f"s{i + 2}"
-    sel = ", ".join(["user_id", "target", "won", "remaining", "ticket", *TG.RATE_CHAIN, "sales", *TG.FUNNEL_STEPS])
+    sel = ", ".join(["user_id", "target", "won", "remaining", "ticket", *TG.RATE_CHAIN, "sales", *TG.FUNNEL_STEPS, "contacts / 22.0 AS contacts_per_day"])
     return sql + f"\nSELECT {sel} FROM {prevname}"
 
 
@@ -158,6 +158,50 @@ def q_reverse_funnel(spark, sf):
     return TG.reverse_funnel(r, t)
 
 
+@register("reverse_funnel_families", with_views(f"""
+WITH g AS (SELECT CASE user_id % 3 WHEN 0 THEN 'HOSPITALAR' WHEN 1 THEN 'FARMACIAS' ELSE 'SAC' END AS rfv_familia, ROUND(SUM(remaining), 6) AS remaining,
+             ROUND(SUM(sales), 6) AS sales, ROUND(SUM(quotes), 6) AS quotes, ROUND(SUM(contacts), 6) AS contacts,
+             ROUND(SUM(contacts_per_day), 6) AS contacts_per_day, COUNT(*) AS people FROM ({_rf_sql()}) f GROUP BY 1)
+SELECT *, COALESCE(remaining / NULLIF(sales, 0), 0.0) AS ticket, COALESCE(sales / NULLIF(quotes, 0), 0.0) AS sales_per_quote,
+       COALESCE(quotes / NULLIF(contacts, 0), 0.0) AS quotes_per_contact FROM g""", "deals"))
+def q_reverse_funnel_families(spark, sf):
+    T = _T(spark, sf)
+    r = TG.owner_rates(T.deals)
+    f = TG.reverse_funnel(r, r.select("user_id", money(F.col("won") * dec("1.5")).alias("target")))
+    fam = F.when(F.col("user_id") % 3 == 0, "HOSPITALAR").when(F.col("user_id") % 3 == 1, "FARMACIAS").otherwise("SAC")
+    return TG.reverse_funnel_families(f, T.crm_users.select("user_id", fam.alias("rfv_familia")))
+
+
+@register("rank_salespeople", with_views(f"""
+WITH f AS (SELECT o.* FROM sales_order o JOIN nature n ON n.nature_code = o.nature_code AND n.financial_flag <> 'N'),
+erp AS (SELECT salesperson_name, CAST(SUM(product_amount) AS DECIMAL(18,2)) AS realised FROM f
+        WHERE salesperson_group_code IN ('FA', 'FR', 'PC') AND invoice_date BETWEEN DATE '{MONTH}' AND last_day(DATE '{MONTH}')
+          AND salesperson_name IS NOT NULL AND trim(salesperson_name) <> '' GROUP BY 1),
+d AS (SELECT u.salesperson_name, CAST(l.won_time AS DATE) AS day, l.value FROM deals l JOIN crm_users u ON u.user_id = l.owner_id
+      WHERE NOT COALESCE(is_deleted, FALSE) AND status = 'won'),
+c AS (SELECT salesperson_name, SUM(value) FILTER (day BETWEEN DATE '{CRM_MONTH}' AND last_day(DATE '{CRM_MONTH}')) AS wm,
+             SUM(value) FILTER (day = DATE '{CRM_DAY}') AS wd FROM d GROUP BY 1),
+tg AS (SELECT salesperson_name, CAST(SUM(product_amount) * 1.1 AS DECIMAL(18,2)) AS target FROM f
+       WHERE invoice_date BETWEEN DATE '2001-06-01' AND DATE '2001-06-30' AND salesperson_name <> 'SELLER 3' GROUP BY 1),
+j AS (SELECT erp.salesperson_name, erp.realised, CAST(COALESCE(c.wm, 0) AS DECIMAL(18,2)) AS won_month, CAST(COALESCE(c.wd, 0) AS DECIMAL(18,2)) AS won_today,
+             tg.target, CAST(tg.target AS DOUBLE) / 22.0 AS daily_target
+      FROM erp LEFT JOIN c ON c.salesperson_name = erp.salesperson_name LEFT JOIN tg ON tg.salesperson_name = erp.salesperson_name),
+k AS (SELECT *, CAST(realised AS DOUBLE) / CAST(target AS DOUBLE) AS pct, CAST(won_month AS DOUBLE) / CAST(target AS DOUBLE) AS pct_won,
+             CASE WHEN daily_target IS NOT NULL THEN greatest(daily_target - CAST(won_today AS DOUBLE), 0.0) END AS missing_today,
+             CAST(won_today AS DOUBLE) >= daily_target AS met_today, CAST(won_today AS DOUBLE) / daily_target AS pct_today FROM j)
+SELECT *, CAST(row_number() OVER (ORDER BY pct DESC NULLS LAST, realised DESC, salesperson_name) AS INTEGER) AS position,
+       CAST(row_number() OVER (ORDER BY pct_today DESC NULLS LAST, salesperson_name) AS INTEGER) AS position_today FROM k""",
+                                         "sales_order", "nature", "deals", "crm_users"))
+def q_rank_salespeople(spark, sf):
+    T = _T(spark, sf)
+    before = com.in_months(com.billed_orders(T.sales_order, T.nature, exclude_channels=(), statuses=None), "invoice_date", F.lit("2001-06-01").cast("date"))
+    # one seller has no target
+    goals = before.where("salesperson_name != 'SELLER 3'").groupBy("salesperson_name").agg(money(F.sum("product_amount") * dec("1.1")).alias("target"))
+    months = T.deals.select(F.trunc(F.col("add_time").cast("date"), "month").alias("month")).distinct().where(F.col("month") == F.lit(CRM_MONTH).cast("date"))
+    days = TG.business_days(months, spark.createDataFrame([("2024-01-01",)], "holiday string"))
+    return TG.rank_salespeople(T.sales_order, T.nature, T.deals, T.crm_users.select("user_id", "salesperson_name"), goals, days, CRM_MONTH, CRM_DAY, erp_month=MONTH)
+
+
 @register("mean_term", with_views("""
 SELECT salesperson_name, CAST(date_trunc('month', invoice_date) AS DATE) AS month,
        CAST(SUM(payment_term_days * product_amount) AS DOUBLE) / NULLIF(CAST(SUM(product_amount) AS DOUBLE), 0) AS mean_term_days,

@@ -94,8 +94,8 @@ M = [
     ("A-COM-25", "crm.funnel_status / funnel_kpis / funnel_by_stage / top_owners / top_open_deals", "funnel_status, funnel_kpis, funnel_by_stage, top_owners, top_open_deals"),
     ("A-COM-26", "crm.stage_stats", "stage_stats"), ("A-COM-27", "crm.sector_conversion", "sector_conversion"),
     ("A-COM-28", "targets.target_vs_actual / won_by_owner", "target_vs_actual, won_by_owner"),
-    ("A-COM-29", "targets.rank_month / rank_day / needed_per_day", "rank_month, rank_day, needed_per_day"),
-    ("A-COM-30", "targets.business_days", "business_days"), ("A-COM-31", "targets.reverse_funnel", "reverse_funnel"),
+    ("A-COM-29", "targets.rank_month / rank_day / rank_salespeople / needed_per_day", "rank_month, rank_day, rank_salespeople, needed_per_day"),
+    ("A-COM-30", "targets.business_days", "business_days"), ("A-COM-31", "targets.reverse_funnel / reverse_funnel_families", "reverse_funnel, reverse_funnel_families"),
     ("A-COM-32", "crm.activities_by", "activities_by_type, activities_by_user"), ("A-COM-33", "targets.mean_term", "mean_term"),
     ("A-COM-34", "targets.performance_indicators / performance_matrix", "performance_matrix"), ("A-COM-35", "targets.sales_calendar / sales_calendar_totals", "sales_calendar, sales_calendar_totals"),
     ("A-COM-36", "targets.revenue_matrix", "revenue_matrix"), ("A-COM-37", "crm.compare_reassignment", "compare_reassignment"),
