@@ -290,3 +290,36 @@ def test_reload_onto_the_path_that_is_read(spark):
     sinks.write_full(spark.range(5), path)
     sinks.write_full(spark.read.parquet(path).where("id < 3"), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_salespeople_are_ranked_by_target_share_and_by_the_day(spark):
+    d = dt.date
+    o = _orders(spark, [(1, None, d(2024, 1, 5), "90", "V"), (2, None, d(2024, 1, 6), "50", "V"), (3, None, d(2024, 1, 7), "500", "V"), (4, None, d(2024, 2, 1), "9", "V"), (5, None, d(2024, 1, 1), "9", "N")])
+    o = o.withColumn("salesperson_group_code", F.lit("FA")).withColumn("salesperson_name", F.element_at(F.array(*map(F.lit, ["Ana", "Bia", "Eva", "Ana", "Ana"])), F.col("partner_code").cast("int")))
+    deals = _deals(spark, [_deal(1, "won", "30", "2024-01-01 00:00:00", won="2024-01-15 10:00:00", owner=2), _deal(2, "won", "5", "2024-01-01 00:00:00", won="2024-01-02 10:00:00", owner=1),
+                           _deal(3, "won", "99", "2024-01-01 00:00:00", won="2024-02-02 10:00:00", owner=1), _deal(4, "won", "7", "2024-01-01 00:00:00", won="2024-01-15 10:00:00", owner=1, deleted=True)])
+    users = spark.createDataFrame([(1, "Ana"), (2, "Bia")], "user_id long, salesperson_name string")
+    goals = spark.createDataFrame([("Ana", D("100")), ("Bia", D("200"))], "salesperson_name string, target decimal(18,2)")
+    days = spark.createDataFrame([(d(2024, 1, 1), 20), (d(2024, 2, 1), 19)], "month date, total long")
+    n = spark.createDataFrame(NATURES, "nature_code string, financial_flag string")
+    got = {r.salesperson_name: r for r in targets.rank_salespeople(o, n, deals, users, goals, days, "2024-01-01", "2024-01-15").collect()}
+    assert [(k, got[k].position, got[k].realised, got[k].won_month) for k in ("Ana", "Bia", "Eva")] == [
+        ("Ana", 1, D("90.00"), D("5.00")), ("Bia", 2, D("50.00"), D("30.00")), ("Eva", 3, D("500.00"), D("0.00"))]
+    assert (got["Ana"].daily_target, got["Ana"].missing_today, got["Ana"].met_today) == (5.0, 5.0, False)
+    assert (got["Bia"].missing_today, got["Bia"].met_today, got["Bia"].pct_today, got["Bia"].position_today) == (0.0, True, 3.0, 1)
+    assert (got["Eva"].pct, got["Eva"].missing_today, got["Eva"].met_today) == (None, None, None)
+
+
+def test_salesperson_panel_counts_each_deal_once(spark):
+    rows = [("S1", "A", "Acme", 1, D("10"), True, False, False), ("S1", "A", "Acme", 1, D("5"), True, False, True), ("S1", "A", "Beta", 9, D("1"), False, True, False), ("S1", "B", "Acme", 2, None, False, False, False)]
+    c = spark.createDataFrame(rows, "rfv_salesperson string, rfv_familia string, partner_name string, segment_num int, revenue decimal(18,2), flag_opportunity boolean, flag_silent_churn boolean, flag_off_radar boolean")
+    deals = _deals(spark, [_deal(1, "open", "10", "2024-01-01 00:00:00", owner=1), _deal(2, "open", "5", "2024-01-01 00:00:00", owner=2), _deal(3, "won", "7", "2020-01-01 00:00:00", won="2020-01-05 00:00:00", owner=2)])
+    users = spark.createDataFrame([(1, "s1"), (2, "S1")], "user_id long, salesperson_name string")
+    calls = spark.createDataFrame([("U1", "c1", 60, "positive"), ("U2", "c1", 120, "neutral")], "user_key string, conversation_id string, duration_seconds long, ai_sentiment string")
+    pipes = spark.createDataFrame([(1, "A")], "pipeline_id long, rfv_familia string")
+    got = {r.rfv_familia: r for r in crm.salesperson_panel(c, deals, pipes, calls, users, "2024-02-01 00:00:00").collect()}
+    a, b = got["A"], got["B"]
+    assert (a.clients, a.champions, a.at_risk, a.revenue, a.alerts_opportunity, a.alerts_churn, a.off_radar, a.top_pct) == (2, 1, 1, D("16.00"), 1, 1, 1, 50.0)
+    assert (a.deals_open, a.deals_won, a.open_value, a.won_value_12m) == (2, 1, D("15.00"), D("0.00"))
+    assert (a.calls, a.call_minutes, a.mean_call_minutes, a.positive_calls, a.positive_pct) == (1, 3.0, 1.5, 1, 100.0)
+    assert (b.deals_open, b.revenue, b.loyal, b.calls) == (0, D("0.00"), 1, 1)
