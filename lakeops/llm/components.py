@@ -33,9 +33,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     An edge with a null end or with equal ends ties nothing.
     """
     now = edges.filter("u IS NOT NULL AND v IS NOT NULL AND u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    mark = None
+    now, mark = staged(now, "edges"), None
+    n_edges = now.count()
     for _ in range(max_rounds):
-        now = staged(_small(_stars(now)), "components")
+        now = staged(_small(_stars(now)), "components", n_edges)
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(new) == mark:
             break

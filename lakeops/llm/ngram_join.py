@@ -366,9 +366,11 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
     them by their narrow rows, and the wide rows that come out are dealt by the other class, which few pairs share.
     Only one document of each class in a pair is read again; its set is written once.
     """
+    n_pairs = pairs.count()
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = staged(reps.join(wanted, "cls").select("doc_id"), "ngram-ids")
-    few = ids.count() <= BROADCAST_ROWS
+    ids = staged(reps.join(wanted, "cls").select("doc_id"), "ngram-ids", 2 * n_pairs)
+    n_ids = ids.count()
+    few = n_ids <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
     def sets_of(batches):
@@ -376,7 +378,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
             sets = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["cls", "set"])
 
-    sets = staged(texts.mapInArrow(sets_of, "cls long, set binary").dropDuplicates(["cls"]), "ngram-sets")
+    sets = staged(texts.mapInArrow(sets_of, "cls long, set binary").dropDuplicates(["cls"]), "ngram-sets", n_ids, 8192)
 
     def overlap(batches):
         for batch in batches:
@@ -391,7 +393,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
     turned = pairs.select(F.col("lead").alias("a"), F.when(F.col("lead") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("b"))
     both = (turned.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b"))
-    return staged(both.select("a", "b", "sa", "sb").mapInArrow(overlap, "u long, v long"), "ngram-links")
+    return staged(both.select("a", "b", "sa", "sb").mapInArrow(overlap, "u long, v long"), "ngram-links", n_pairs, 16_384)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> DataFrame:
