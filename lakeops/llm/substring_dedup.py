@@ -358,6 +358,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places = found.filter("mask IS NULL").select("c1", "c2", "doc", "sha", "at")
     # a repeated row has the same places twice
     hits = places.join(repeated, ["c1", "c2"]).groupBy("doc", "sha").agg(F.collect_list(F.struct("at", "mask")).alias("hits"))
-    joined = keyed.join(hits, ["doc", "sha"], "left").drop("doc", "sha")
+    # both sides grow with the corpus: texts and hits are dealt by document at every size
+    joined = keyed.join(hits.hint("merge"), ["doc", "sha"], "left").drop("doc", "sha")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "hits")
     return joined.mapInArrow(_removal, f"{kinds}, n_words long, n_removed long, kept_text string, kept_sha256 string")
