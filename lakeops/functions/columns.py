@@ -28,11 +28,6 @@ def sum_if(cond: Column, value) -> Column:
     return F.sum(F.when(cond, col(value)).otherwise(F.lit(0)))
 
 
-def sum_when(cond: Column, value) -> Column:
-    """SUM(IF(cond, value, NULL)) — NULL when nothing qualifies."""
-    return F.sum(F.when(cond, col(value)))
-
-
 def count_distinct_if(cond: Column, value) -> Column:
     return F.countDistinct(F.when(cond, col(value)))
 
@@ -120,10 +115,6 @@ def tolerant_bool(c) -> Column:
 
 # -- dates (FLT-2, AGG-13, 2.I) ---------------------------------------------------
 
-def month_start(c) -> Column:
-    return F.trunc(col(c), "month")
-
-
 def rolling_year_start(ref) -> Column:
     """First day of the month one year before ``ref``."""
     return F.trunc(F.add_months(F.lit(ref).cast("date"), -12), "month")
@@ -147,7 +138,3 @@ def week_label(c) -> Column:
 
 def year_month(c) -> Column:
     return F.date_format(col(c), "yyyy-MM")
-
-
-def days_between(later, earlier) -> Column:
-    return F.datediff(col(later), col(earlier)).cast("int")

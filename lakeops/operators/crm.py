@@ -366,9 +366,9 @@ def salesperson_panel(c360: DataFrame, deals: DataFrame, pipelines: DataFrame, c
     name = F.col("partner_name")
     g = c360.groupBy("rfv_salesperson", "rfv_familia").agg(
         F.countDistinct(name).alias("clients"),
-        *(F.countDistinct(F.when(F.col("segment_num").isin(*nums), name)).alias(c) for c, nums in PANEL_SEGMENTS.items()),
+        *(C.count_distinct_if(F.col("segment_num").isin(*nums), name).alias(c) for c, nums in PANEL_SEGMENTS.items()),
         C.money(F.coalesce(F.sum("revenue"), F.lit(0))).alias("revenue"),
-        *(F.countDistinct(F.when(F.col(flag), name)).alias(c) for c, flag in PANEL_ALERTS.items()))
+        *(C.count_distinct_if(F.col(flag), name).alias(c) for c, flag in PANEL_ALERTS.items()))
     g = g.withColumn("top_pct", C.pct(F.col("champions") + F.col("loyal"), "clients")).withColumn("ticket", C.safe_div("revenue", "clients"))
     owner = users.select("user_id", F.upper("salesperson_name").alias("_owner"))
     st, val = F.col("status"), F.coalesce("value", F.lit(0))

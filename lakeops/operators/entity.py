@@ -60,17 +60,6 @@ def edit_budget(length: Column, threshold: float) -> Column:
     return F.floor((F.lit(100000 - ts) * length) / F.lit(ts)).cast("int")
 
 
-def _deletion_variants(name: Column, budget: Column) -> Column:
-    """All strings obtained by deleting up to ``budget`` (<= 2) characters."""
-    one = F.expr("transform(sequence(1, length(name)), i -> concat(substr(name, 1, i - 1), substr(name, i + 1)))")
-    two = F.expr("flatten(transform(sequence(1, length(name) - 1), i -> transform(sequence(i + 1, length(name)), "
-                 "j -> concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1)))))")
-    empty = F.array().cast("array<string>")
-    L = F.length(name)
-    return F.array_distinct(F.concat(F.array(name), F.when((budget >= 1) & (L >= 1), one).otherwise(empty),
-                                     F.when((budget >= 2) & (L >= 2), two).otherwise(empty)))
-
-
 def deletion_variants(names: DataFrame) -> DataFrame:
     """(nid, vh) for every string reachable from ``name`` by deleting up to ``budget`` (<= 2) characters.
 

@@ -28,11 +28,6 @@ def max_watermark(df: DataFrame, col: str) -> DataFrame:
     return df.agg(_ts(F.max(col)).alias("watermark"))
 
 
-def lower_bound(watermark: Column, overlap_days: int) -> Column:
-    """INC-4: extraction lower bound = watermark - overlap (NULL => backfill)."""
-    return watermark - F.make_dt_interval(F.lit(overlap_days))
-
-
 def set_watermarks(control: DataFrame, marks: DataFrame) -> DataFrame:
     """INC-2: upsert (entity) rows of the control table with the marks of successful runs only."""
     ok = marks.where(F.col("status") == "ok").drop("status") if "status" in marks.columns else marks

@@ -127,7 +127,6 @@ ABC_TOP_SHARE = 0.20
 QUOTE_WINDOW_DAYS = 365
 QUOTE_LIVE_DAYS = 90
 QUOTE_STALLED_DAYS = 180
-QUOTE_AGE_BANDS = [(30, "0-30"), (90, "31-90"), (180, "91-180")]
 QUOTE_AGE_FALLBACK = "180+"
 
 # QA cascade traffic light on |delta %|.
@@ -169,7 +168,6 @@ TRUE_TOKENS = ["true", "1", "yes", "t"]
 FALSE_TOKENS = ["false", "0", "no", "f"]
 
 # Month labels (pt-BR abbreviations) for charts/series.
-MONTH_LABELS = ["Jan", "Fev", "Mar", "Abr", "Mai", "Jun", "Jul", "Ago", "Set", "Out", "Nov", "Dez"]
 
 # ---------------------------------------------------------------------------
 # helpers

@@ -114,7 +114,3 @@ def explode_children(df: DataFrame, child_col: str, parent_id: str, as_name: str
     if position:
         return df.select(F.col(parent_id), F.posexplode_outer(child_col).alias("position", as_name))
     return df.select(F.col(parent_id), F.explode_outer(child_col).alias(as_name))
-
-
-def cast_expr(type_name: str, c: Column) -> Column:
-    return c.try_cast(type_name)
