@@ -127,7 +127,6 @@ ABC_TOP_SHARE = 0.20
 QUOTE_WINDOW_DAYS = 365
 QUOTE_LIVE_DAYS = 90
 QUOTE_STALLED_DAYS = 180
-QUOTE_AGE_FALLBACK = "180+"
 
 # QA cascade traffic light on |delta %|.
 # City names: least similarity of a fuzzy match up to a length, and beyond the last one.
@@ -167,7 +166,6 @@ BLANK_TOKENS = ["", "None", "nan", "NaN"]
 TRUE_TOKENS = ["true", "1", "yes", "t"]
 FALSE_TOKENS = ["false", "0", "no", "f"]
 
-# Month labels (pt-BR abbreviations) for charts/series.
 
 # ---------------------------------------------------------------------------
 # helpers
