@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.words import Hasher, shingle_sets, word_chunks
+from lakeops.llm.words import Hasher, releasing, shingle_sets, word_chunks
 
 K = 128
 SHINGLE = 5
@@ -94,7 +94,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column("doc_id"), pa.array([to_text(s) for s in got], pa.string()), pa.array([n_distinct(s, k) for s in got], pa.float64())],
                 names=["doc_id", "fingerprint", "n_shingles_est"])
 
-    return part.mapInArrow(make, f"doc_id {kind}, fingerprint string, n_shingles_est double")
+    return part.mapInArrow(releasing(make), f"doc_id {kind}, fingerprint string, n_shingles_est double")
 
 
 def merge_by(prints: DataFrame, key: str, k: int = K) -> DataFrame:
@@ -135,7 +135,7 @@ def merge_by(prints: DataFrame, key: str, k: int = K) -> DataFrame:
         return pa.Table.from_batches([rows(combine([t]), t.schema.field("key").type)])
 
     schema = f"key {kind}, fingerprint string, n_shingles_est double"
-    out = part.mapInArrow(local, schema).groupBy("key").applyInArrow(final, schema)
+    out = part.mapInArrow(releasing(local), schema).groupBy("key").applyInArrow(releasing(final), schema)
     return out.withColumnRenamed("key", key)
 
 
@@ -206,4 +206,4 @@ def edit_report(docs: DataFrame, k: int = K) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
-    return with_successors(docs).mapInArrow(report, schema)
+    return with_successors(docs).mapInArrow(releasing(report), schema)

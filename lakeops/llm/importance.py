@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.staging import staged
-from lakeops.llm.words import MULT_WORDS, Hasher, mix, word_chunks
+from lakeops.llm.words import MULT_WORDS, Hasher, mix, releasing, word_chunks
 
 BUCKET_BITS = 16
 
@@ -49,7 +49,7 @@ def ngram_counts(docs: DataFrame, targets: DataFrame) -> DataFrame:
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], names=["bucket", "raw", "target"])
 
-    rows = part.select("text", "good").mapInArrow(count, "bucket long, raw long, target long")
+    rows = part.select("text", "good").mapInArrow(releasing(count), "bucket long, raw long, target long")
     return rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -79,7 +79,7 @@ def weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), mean], names=["doc_id", "n_ngrams", "log_ratio"])
 
-    return part.mapInArrow(score, f"doc_id {kind}, n_ngrams long, log_ratio double")
+    return part.mapInArrow(releasing(score), f"doc_id {kind}, n_ngrams long, log_ratio double")
 
 
 def gumbel(doc_id, seed: int):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.words import Hasher, chunks, mix, text_buffers
+from lakeops.llm.words import Hasher, chunks, mix, releasing, text_buffers
 
 SIZES = (2, 3, 4)
 BUCKET_BITS = 16
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, *, sample_docs: int = 4000, id_col: str = "doc_id", tex
                          pa.array([counts.astype(np.uint32).tobytes()], pa.binary())], names=["doc_id", "lang", "buckets", "counts"])
 
     kind = part.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInArrow(bags, f"doc_id {kind}, lang string, buckets binary, counts binary").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "lang", "buckets").limit(2 * sample_docs).collect()
+    rows = sample.mapInArrow(releasing(bags), f"doc_id {kind}, lang string, buckets binary, counts binary").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "lang", "buckets").limit(2 * sample_docs).collect()
     if not rows:
         return None
     return train([(np.frombuffer(r.buckets, np.uint16).astype(np.int64), np.frombuffer(r.counts, np.uint32).astype(np.float64)) for r in rows], [r.lang for r in rows], **options)
@@ -221,7 +221,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                                              names=["doc_id", "lang_pred", "score", "rejected"])
 
-    return part.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
+    return part.mapInArrow(releasing(run), f"doc_id {kind}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -233,7 +233,7 @@ def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
             rejected = predictor(batch.column(text_col))[2]
             yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def held_out(doc_id):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.components import connected_components
 from lakeops.llm.staging import staged
-from lakeops.llm.words import Hasher, mix, shingle_sets, word_chunks
+from lakeops.llm.words import Hasher, mix, releasing, shingle_sets, word_chunks
 
 SHINGLE = 5
 HOT_FROM = 64  # documents that have a shingle, as far as tasks saw it, from which on it is hot
@@ -105,7 +105,7 @@ def classes(docs: DataFrame, k: int) -> DataFrame:
             s, n = frequent(held)
             yield rows(1, pa.nulls(len(s), pa.int64()), n, s)
 
-    return docs.mapInArrow(scan, "kind int, doc_id long, n long, cls long")
+    return docs.mapInArrow(releasing(scan), "kind int, doc_id long, n long, cls long")
 
 
 def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +225,7 @@ def prefixes(docs: DataFrame, listed, n_blocks: int, num: int, den: int, k: int)
         if entries:
             yield flush()
 
-    return docs.mapInArrow(scan, PREFIX_SCHEMA)
+    return docs.mapInArrow(releasing(scan), PREFIX_SCHEMA)
 
 
 # --- 3. product of a block -------------------------------------------------------------------
@@ -351,7 +351,7 @@ def hot_pairs(members: DataFrame, hubs: DataFrame, labels: DataFrame, num: int,
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     lefts = split.filter("left").select(*cols, "i", spread("ka").alias("j"), F.lit(True).alias("left"), F.lit(False).alias("right"))
     rights = split.select(*cols, spread("kl").alias("i"), "j", F.lit(False).alias("left"), F.lit(True).alias("right"))
-    found = lefts.union(rights).groupBy("shingle", "i", "j").applyInArrow(hot_product(num, den), "a long, b long, na long, nb long")
+    found = lefts.union(rights).groupBy("shingle", "i", "j").applyInArrow(releasing(hot_product(num, den)), "a long, b long, na long, nb long")
     ordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                            F.when(F.col("a") <= F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
                            F.when(F.col("a") <= F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
@@ -378,7 +378,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
             sets = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["cls", "set"])
 
-    sets = staged(texts.mapInArrow(sets_of, "cls long, set binary").dropDuplicates(["cls"]), "ngram-sets", n_ids, 8192)
+    sets = staged(texts.mapInArrow(releasing(sets_of), "cls long, set binary").dropDuplicates(["cls"]), "ngram-sets", n_ids, 8192)
 
     def overlap(batches):
         for batch in batches:
@@ -393,7 +393,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
     turned = pairs.select(F.col("lead").alias("a"), F.when(F.col("lead") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("b"))
     both = (turned.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b"))
-    return staged(both.select("a", "b", "sa", "sb").mapInArrow(overlap, "u long, v long"), "ngram-links", n_pairs, 16_384)
+    return staged(both.select("a", "b", "sa", "sb").mapInArrow(releasing(overlap), "u long, v long"), "ngram-links", n_pairs, 16_384)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> DataFrame:
@@ -409,14 +409,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     listed = spark.sparkContext.broadcast(frequent_shingles(scanned.filter("kind = 1")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(12, -(-total * (den - num) // den // BLOCK))
-    product = prefixes(part, listed, n_blocks, num, den, shingle).groupBy("block").applyInArrow(block_product(num, den), PAIR_SCHEMA)
+    product = prefixes(part, listed, n_blocks, num, den, shingle).groupBy("block").applyInArrow(releasing(block_product(num, den)), PAIR_SCHEMA)
     counted = staged(product, "ngram-product")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     cold = (counted.filter("b IS NOT NULL").select(*pair, "shared", "least").groupBy("a", "b")
             .agg(F.sum("shared").alias("shared"), F.max("least").alias("least")).filter("shared >= least").select("a", "b"))
     reps = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     members = (counted.filter("b IS NULL").select(F.col("a").alias("cls"), F.col("na").alias("n"), "prefix", "cold", "hot")
-               .mapInArrow(_exploded, "cls long, n long, prefix long, cold long, hot binary, shingle long"))
+               .mapInArrow(releasing(_exploded), "cls long, n long, prefix long, cold long, hot binary, shingle long"))
     members = staged(members, "ngram-hot")
     # the hub of a shingle is the class with the least share of cold entries: the most central of a near-copy group
     hubs = members.groupBy("shingle").agg(F.min(F.struct((F.col("cold") / F.col("prefix")).alias("share"), F.col("cls").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).select("shingle", "h.hub", "h.hub_n")

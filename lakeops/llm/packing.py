@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.ngram_join import SHINGLE, class_of
 from lakeops.llm.spans import kept_in_worker
 from lakeops.llm.token_file import WordTokenizer
-from lakeops.llm.words import Hasher, shingle_sets, word_chunks
+from lakeops.llm.words import Hasher, releasing, shingle_sets, word_chunks
 
 CAPACITY = 2048
 GROUP_DOCS = 8192
@@ -51,7 +51,7 @@ def measured(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(n)), batch.column("source"), pa.array(names, pa.int64())],
                                              names=["doc_id", "n_tokens", "source", "cluster"])
 
-    return part.mapInArrow(measure, "doc_id long, n_tokens long, source string, cluster long")
+    return part.mapInArrow(releasing(measure), "doc_id long, n_tokens long, source string, cluster long")
 
 
 class Bins:
@@ -131,4 +131,4 @@ def best_fit(sized: DataFrame, n_docs: int, *, capacity: int = CAPACITY, group_d
     """
     groups = max(1, -(-n_docs // group_docs))
     dealt = sized.select("doc_id", "n_tokens", "source", "cluster", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("pack_group"))
-    return dealt.groupBy("pack_group").applyInArrow(packer(capacity), PIECE_SCHEMA)
+    return dealt.groupBy("pack_group").applyInArrow(releasing(packer(capacity)), PIECE_SCHEMA)

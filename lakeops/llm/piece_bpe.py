@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.spans import SpanCoder, gather, kept_in_worker
-from lakeops.llm.words import chunks, text_buffers
+from lakeops.llm.words import chunks, releasing, text_buffers
 
 SPACE = "▁"
 SHORT = 40  # symbols; longer segments use a heap
@@ -300,4 +300,4 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                      pa.array(enc.model.library.decode(ids, num_threads=1), pa.string()), pa.array(agrees)],
                     names=["doc_id", "ids", "n_tokens", "decoded", "agrees"])
 
-    return part.mapInArrow(run, f"doc_id {kind}, ids string, n_tokens long, decoded string, agrees boolean")
+    return part.mapInArrow(releasing(run), f"doc_id {kind}, ids string, n_tokens long, decoded string, agrees boolean")

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.llm.words import releasing
+
 KINDS = ("assign", "access", "hex", "guess")
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -178,7 +180,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = [[dict(zip(("kind", "start", "end", "log10_guesses"), s, strict=True)) for s in scanner(t or "")] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(item))], names=["doc_id", "spans"])
 
-    return part.mapInArrow(scan, f"doc_id {kind}, spans {SPANS}")
+    return part.mapInArrow(releasing(scan), f"doc_id {kind}, spans {SPANS}")
 
 
 def redacted(docs: DataFrame, text_col: str = "text", *, min_log10_guesses: float = 10.0, words: list[str] | None = None) -> DataFrame:
@@ -194,7 +196,7 @@ def redacted(docs: DataFrame, text_col: str = "text", *, min_log10_guesses: floa
             at = batch.schema.get_field_index(text_col)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(releasing(scan), docs.schema)
 
 
 def masked(text: str, spans) -> str:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.words import Hasher, Words, doc_sums, mix, word_chunks
+from lakeops.llm.words import Hasher, Words, doc_sums, mix, releasing, word_chunks
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -92,4 +92,4 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     part = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = part.schema["doc_id"].dataType.simpleString()
-    return part.mapInArrow(_stats, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COLUMNS))
+    return part.mapInArrow(releasing(_stats), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COLUMNS))

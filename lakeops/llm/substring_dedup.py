@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.spans import gather
 from lakeops.llm.staging import staged
-from lakeops.llm.words import MULT_WORDS, Hasher, mix, word_chunks
+from lakeops.llm.words import MULT_WORDS, Hasher, mix, releasing, word_chunks
 
 WINDOW = 35
 ANCHOR = 12
@@ -122,8 +122,8 @@ def anchor_counts(docs: DataFrame, n_blocks: int) -> DataFrame:
         return pa.table({"block": pa.array([block]), "bitmap": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
                          "rows": pa.array([int(counts[live].sum())]), "often": pa.array([keys[often].tobytes()], pa.binary())})
 
-    part = docs.select("text").mapInArrow(scan, "block long, blob binary")
-    return part.groupBy("block").applyInArrow(count, "block long, bitmap binary, rows long, often binary")
+    part = docs.select("text").mapInArrow(releasing(scan), "block long, blob binary")
+    return part.groupBy("block").applyInArrow(releasing(count), "block long, bitmap binary, rows long, often binary")
 
 
 # --- 2. suffixes ---------------------------------------------------------------------------
@@ -226,7 +226,7 @@ def suffixes(docs: DataFrame, live, often, n_blocks: int) -> DataFrame:
         if places:
             yield flush()
 
-    return docs.mapInArrow(scan, "block long, kind int, blob binary")
+    return docs.mapInArrow(releasing(scan), "block long, kind int, blob binary")
 
 
 # --- 3. suffix trees -----------------------------------------------------------------------
@@ -352,7 +352,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     live, frequent = spark.sparkContext.broadcast(bitmap.tobytes()), spark.sparkContext.broadcast(often)
     groups = max(12, -(-rows // GROUP_ROWS))
     found = (suffixes(keyed.select("doc", "sha", "text"), live, frequent, groups).groupBy("block")
-             .applyInArrow(trees, "c1 long, c2 long, mask long, doc long, sha long, at long"))
+             .applyInArrow(releasing(trees), "c1 long, c2 long, mask long, doc long, sha long, at long"))
     found = staged(found, "substring-found")
     repeated = found.filter("mask IS NOT NULL").select("c1", "c2", "mask")
     places = found.filter("mask IS NULL").select("c1", "c2", "doc", "sha", "at")
@@ -361,4 +361,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # both sides grow with the corpus: texts and hits are dealt by document at every size
     joined = keyed.join(hits.hint("merge"), ["doc", "sha"], "left").drop("doc", "sha")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != "hits")
-    return joined.mapInArrow(_removal, f"{kinds}, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    return joined.mapInArrow(releasing(_removal), f"{kinds}, n_words long, n_removed long, kept_text string, kept_sha256 string")

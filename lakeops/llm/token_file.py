@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.spans import SpanCoder, gather, kept_in_worker
-from lakeops.llm.words import Hasher, chunks, text_buffers
+from lakeops.llm.words import Hasher, chunks, releasing, text_buffers
 
 MAGIC = b"DAC1"
 SHARD_TOKENS = 1 << 18
@@ -251,7 +251,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, chu
             yield flush()
 
     schema = "part long, seq long, local_start long, n_tokens long, n_docs long, shard binary"
-    ordered.mapInArrow(shards, schema).write.mode("error").parquet(path)
+    ordered.mapInArrow(releasing(shards), schema).write.mode("error").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -277,4 +277,4 @@ def document_report(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(shard.doc_ids, pa.int64()), pa.array(start + shard.firsts[:-1]), pa.array(np.diff(shard.firsts)), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_tokens(spark, path).select("start", "shard").mapInArrow(report, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_tokens(spark, path).select("start", "shard").mapInArrow(releasing(report), "doc_id long, start long, n_tokens long, ids_crc32 long")

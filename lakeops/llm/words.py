@@ -10,6 +10,9 @@ working arrays stay in the CPU caches; a single longer text is a chunk of its ow
 
 from __future__ import annotations
 
+import ctypes
+import inspect
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,6 +59,32 @@ def chunks(offsets: np.ndarray, chunk_bytes: int):
         a = b
 
 
+def releasing(work):
+    """A task function whose worker gives its free memory back at the end: workers live on, and what one stage has needed
+    at its peak would otherwise stay with them through all later ones."""
+
+    def give_back():
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # a C library without it
+            pass
+
+    def of_batches(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    def of_group(group):
+        try:
+            return work(group)
+        finally:
+            give_back()
+
+    return of_batches if inspect.isgeneratorfunction(work) else of_group
+
+
 class Hasher:
     """Prefix-sum hashing with its power tables, which grow to the longest chunk seen."""
 
