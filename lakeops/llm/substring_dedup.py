@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +37,9 @@ from lakeops.llm.words import MULT_WORDS, Hasher, mix, releasing, word_chunks
 WINDOW = 35
 ANCHOR = 12
 BITMAP_BITS = 26  # 8 MB, whatever the input
-FLUSH_ANCHORS = 2_000_000
-FLUSH_ROWS = 60_000  # suffixes (about 250 bytes each) that a task gathers before it writes
-GROUP_ROWS = 100_000  # expected suffixes of a group
+FLUSH_ANCHORS = 1_000_000
+FLUSH_ROWS = 30_000  # suffixes (about 250 bytes each) that a task gathers before it writes
+GROUP_ROWS = 50_000  # expected suffixes of a group
 FREQUENT = 20_000  # occurrences from which on a prefix is extended to whole windows
 MAX_FREQUENT = 1 << 16  # longest list of them (512 KB sent to the tasks); a prefix beyond it stays with its group
 PLACE_BLOCKS = 64
@@ -303,15 +304,15 @@ def _removal(batches):
     for batch in batches:
         hits = batch.column("hits")
         for a, b, d, _, w in word_chunks(hasher, batch.column("text")):
-            edge = np.zeros(len(w.hashes) + 1, np.int64)
-            for i in range(a, b):
-                got = hits[i]
-                if got.is_valid:
-                    pairs = np.array([(x["at"], x["mask"]) for x in got.as_py()], np.int64)
-                    row, bit = np.nonzero((pairs[:, 1:] >> np.arange(WINDOW)) & 1)
-                    begin = w.offsets[i - a] + pairs[row, 0] - bit
-                    np.add.at(edge, begin, 1)
-                    np.add.at(edge, begin + WINDOW, -1)
+            edge = np.zeros(len(w.hashes) + 1, np.int32)
+            some = hits.slice(a, b - a)
+            found = some.flatten()
+            first = np.repeat(w.offsets[:-1], pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False))
+            at, mask = first + found.field("at").to_numpy(zero_copy_only=False), found.field("mask").to_numpy(zero_copy_only=False)
+            for back in range(WINDOW - ANCHOR + 1):
+                begin = at[(mask >> back) & 1 == 1] - back
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, begin + WINDOW, -1)
             gone = np.cumsum(edge[:-1]) > 0
             count = np.concatenate([[0], np.cumsum(gone)])[w.offsets]
             keep = ~gone
