@@ -97,7 +97,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeops.llm import importance
 
-    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.withColumn("kept", F.col("selected"))
 
 
 @register
