@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.words import Hasher, chunks, mix, releasing, text_buffers
+from lakeops.llm.words import Hasher, chunks, mix, release_memory, releasing, text_buffers
 
 SIZES = (2, 3, 4)
 BUCKET_BITS = 16
@@ -100,7 +100,7 @@ class Model:
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, dim: int = 16, epochs: int = 4, rate: float = 0.5, gain: float = 10.0,
           calibrate: float = 0.25, min_score: float = 0.5, max_error: float = 0.02, seed: int = 11) -> Model:
-    """bags: (distinct buckets, their counts) of each document."""
+    """bags: (distinct buckets, their counts) of each document, in types as small as they come."""
     langs = sorted(set(labels))
     rng = np.random.default_rng(seed)
     y = np.array([langs.index(x) for x in labels])
@@ -108,13 +108,17 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, dim:
     fit = np.flatnonzero(~apart) if (~apart).any() else np.arange(len(bags))
     emb = rng.uniform(-1 / dim, 1 / dim, (1 << BUCKET_BITS, dim)).astype(np.float32)
     soft, bias = np.zeros((len(langs), dim), np.float32), np.zeros(len(langs), np.float32)
-    weights = [(c / c.sum()).astype(np.float32) for _, c in bags]
+
+    def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+        buckets, counts = bags[i]
+        return buckets.astype(np.int64), (counts / counts.sum()).astype(np.float32)
+
     step, steps = 0, max(1, epochs * len(fit))
     for _ in range(epochs):
         for i in rng.permutation(fit):
             lr = np.float32(rate * (1 - step / steps))
             step += 1
-            idx, w = bags[i][0], weights[i]
+            idx, w = bag(i)
             rows = emb[idx]
             v = w @ rows
             z = soft @ v + bias
@@ -128,7 +132,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, dim:
             emb[idx] = rows - lr * np.float32(gain) * np.outer(w, back)
     model = Model(langs, emb @ soft.T, bias.astype(float))
     held = np.flatnonzero(apart) if apart.sum() >= 20 else fit
-    logits = np.array([weights[i] @ model.table[bags[i][0]] + model.bias for i in held])
+    logits = np.array([w @ model.table[idx] + model.bias for idx, w in map(bag, held)])
     return calibrated(model, logits, y[held], min_score, max_error)
 
 
@@ -180,7 +184,10 @@ def fit(docs: DataFrame, *, sample_docs: int = 4000, id_col: str = "doc_id", tex
     rows = sample.mapInArrow(releasing(bags), f"doc_id {kind}, lang string, buckets binary, counts binary").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "lang", "buckets").limit(2 * sample_docs).collect()
     if not rows:
         return None
-    return train([(np.frombuffer(r.buckets, np.uint16).astype(np.int64), np.frombuffer(r.counts, np.uint32).astype(np.float64)) for r in rows], [r.lang for r in rows], **options)
+    model = train([(np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.counts, np.uint32)) for r in rows], [r.lang for r in rows], **options)
+    del rows
+    release_memory()
+    return model
 
 
 class Predictor:

@@ -59,28 +59,30 @@ def chunks(offsets: np.ndarray, chunk_bytes: int):
         a = b
 
 
+def release_memory() -> None:
+    """Give memory that is free, but held by the process, back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def releasing(work):
     """A task function whose worker gives its free memory back at the end: workers live on, and what one stage has needed
     at its peak would otherwise stay with them through all later ones."""
 
-    def give_back():
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # a C library without it
-            pass
-
     def of_batches(batches):
         try:
             yield from work(batches)
         finally:
-            give_back()
+            release_memory()
 
     def of_group(group):
         try:
             return work(group)
         finally:
-            give_back()
+            release_memory()
 
     return of_batches if inspect.isgeneratorfunction(work) else of_group
 
