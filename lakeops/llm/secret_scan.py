@@ -8,7 +8,8 @@ many guesses it takes: dynamic programming over its characters finds the cheapes
 segmentation into dictionary words (also reversed or in leet spelling), dates,
 repeats, sequences, keyboard walks and brute-force spans.  Values at or above
 ``min_log10_guesses`` become spans of kind ``guess``, unless a fixed span already
-covers part of them.
+covers part of them.  A value that becomes none is read again, as it may be the keyword of the next
+one (``Authorization: Bearer ...``); a keyword itself is never a secret.
 
 Offsets are code points, end exclusive.  Null text counts as empty and has no
 spans.  Rows are independent: repeated rows give repeated results.
@@ -34,9 +35,9 @@ ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-
 # either pattern takes a run to its end, so a run that is too short has no later start that is long enough
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-CONTEXT = (r"""(?:pwd|pass(?:word|wd|phrase|code)?|secret|token|credentials?|(?:api|access|private|client|auth|session|signing|account)"""
-           r"""[_\x20-]?(?:key|secret|token|pass|pwd|id)|authorization|bearer|basic)["']?\x20*(?:[:=]|\x20is\x20|\x20)\x20*["']?"""
-           r"""([!-&(-~]{6,})""")
+KEYWORD = (r"""(?:pwd|pass(?:word|wd|phrase|code)?|secret|token|credentials?|(?:api|access|private|client|auth|session|signing|account)"""
+           r"""[_\x20-]?(?:key|secret|token|pass|pwd|id)|authorization|bearer|basic)""")
+CONTEXT = KEYWORD + r"""["']?\x20*(?:[:=]|\x20is\x20|\x20)\x20*["']?([!-&(-~]{6,})"""
 DIGIT = re.compile(r"[0-9]")
 
 # FIXED VALUES: common password words, most used first (the rank is the guess count)
@@ -132,7 +133,7 @@ class Scanner:
     def __init__(self, min_log10_guesses: float, words: list[str] | None = None):
         self.assign = re.compile(ASSIGN, re.I | re.A)
         self.access, self.hex = re.compile(ACCESS), re.compile(HEX)
-        self.context = re.compile(CONTEXT, re.I | re.A)
+        self.context, self.keyword = re.compile(CONTEXT, re.I | re.A), re.compile(KEYWORD, re.I | re.A)
         self.least, self.guess = min_log10_guesses, GuessCost(words)
 
     def base(self, text: str) -> list[tuple[str, int, int, float | None]]:
@@ -147,16 +148,19 @@ class Scanner:
     def added(self, text: str, base) -> list[tuple[str, int, int, float]]:
         if not DIGIT.search(text):  # an added value has a digit
             return []
-        out = []
-        for m in self.context.finditer(text):
+        out, at = [], 0
+        while m := self.context.search(text, at):
             a, b = m.span(1)
+            # the value may be the keyword of the value that follows it, so it is read again unless it became a span
+            at = a
             b = a + len(m[1].rstrip(".,;:!?\"')]}>"))
-            if b - a < 6 or any(s < b and a < e for _, s, e, _ in base):
+            if b - a < 6 or any(s < b and a < e for _, s, e, _ in base) or self.keyword.fullmatch(text, a, b):
                 continue
             cost = self.guess.cost(text[a:b])
             # prose has letters only: a value must mix classes, as a generated secret does
             if cost >= self.least and DIGIT.search(text, a, b):
                 out.append(("guess", a, b, cost))
+                at = m.end()
         return out
 
     def __call__(self, text: str):

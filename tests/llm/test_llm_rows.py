@@ -279,6 +279,12 @@ def test_added_spans_and_redaction(spark):
     assert secret_scan.redacted(C.documents(spark, clashing=True)).columns == C.documents(spark, clashing=True).columns
 
 
+@pytest.mark.parametrize("before", ["Authorization: Bearer ", "bearer token: ", "secret token: ", "secret password: ", "credentials password: "])
+def test_a_keyword_that_stands_as_a_value_gives_context(before):
+    scan, value = secret_scan.Scanner(10.0), "$Kq9#zTr4L$x7Pw"
+    assert scan(f"{before}{value} end") == [("guess", len(before), len(before) + len(value), scan.guess.cost(value))]
+
+
 def test_registered_queries_run(spark):
     from lakeops.llm.queries import QUERIES
 
