@@ -8,7 +8,8 @@ many guesses it takes: dynamic programming over its characters finds the cheapes
 segmentation into dictionary words (also reversed or in leet spelling), dates,
 repeats, sequences, keyboard walks and brute-force spans.  Values at or above
 ``min_log10_guesses`` become spans of kind ``guess``, unless a fixed span already
-covers part of them.  A value that becomes none is read again, as it may be the keyword of the next
+covers all of them.  After a bare space (no ``:``, ``=`` or ``is``) words in their usual case
+are prose, not values.  A value that becomes none is read again, as it may be the keyword of the next
 one (``Authorization: Bearer ...``); a keyword itself is never a secret.
 
 Offsets are code points, end exclusive.  Null text counts as empty and has no
@@ -37,8 +38,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KEYWORD = (r"""(?:pwd|pass(?:word|wd|phrase|code)?|secret|token|credentials?|(?:api|access|private|client|auth|session|signing|account)"""
            r"""[_\x20-]?(?:key|secret|token|pass|pwd|id)|authorization|bearer|basic)""")
-CONTEXT = KEYWORD + r"""["']?\x20*(?:[:=]|\x20is\x20|\x20)\x20*["']?([!-&(-~]{6,})"""
-DIGIT = re.compile(r"[0-9]")
+CONTEXT = KEYWORD + r"""["']?\x20*(?:(?P<told>[:=]|\x20is\x20)|\x20)\x20*["']?(?P<value>[!-&(-~]{6,})"""
+# words in their usual case, as prose has them after a keyword and a bare space
+PROSE = re.compile(r"[(\[{<\"]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-/.,:;&_()\[\]\"]+(?:[A-Z]?[a-z]+|[A-Z]+))*")
 
 # FIXED VALUES: common password words, most used first (the rank is the guess count)
 WORDS = """password admin welcome secret letmein login user test master hello qwerty dragon monkey football baseball
@@ -146,21 +148,25 @@ class Scanner:
         return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
     def added(self, text: str, base) -> list[tuple[str, int, int, float]]:
-        if not DIGIT.search(text):  # an added value has a digit
-            return []
-        out, at = [], 0
+        out, at, cheap = [], 0, -1
         while m := self.context.search(text, at):
-            a, b = m.span(1)
+            a, b = m.span("value")
             # the value may be the keyword of the value that follows it, so it is read again unless it became a span
-            at = a
-            b = a + len(m[1].rstrip(".,;:!?\"')]}>"))
-            if b - a < 6 or any(s < b and a < e for _, s, e, _ in base) or self.keyword.fullmatch(text, a, b):
+            at, end = a, b
+            b = a + len(m["value"].rstrip(".,;:!?\"')]}>"))
+            if b - a < 6 or any(s <= a and b <= e for _, s, e, _ in base) or self.keyword.fullmatch(text, a, b):
+                continue
+            if not m["told"] and PROSE.fullmatch(text, a, b):
+                continue
+            # the end of a value takes no more guesses than the value
+            if end == cheap:
                 continue
             cost = self.guess.cost(text[a:b])
-            # prose has letters only: a value must mix classes, as a generated secret does
-            if cost >= self.least and DIGIT.search(text, a, b):
+            if cost >= self.least:
                 out.append(("guess", a, b, cost))
-                at = m.end()
+                at = end
+            else:
+                cheap = end
         return out
 
     def __call__(self, text: str):

@@ -285,6 +285,21 @@ def test_a_keyword_that_stands_as_a_value_gives_context(before):
     assert scan(f"{before}{value} end") == [("guess", len(before), len(before) + len(value), scan.guess.cost(value))]
 
 
+def test_values_are_judged_by_their_cost_alone():
+    scan = secret_scan.Scanner(10.0)
+    for text in ("pwd: Zq!vT#rW@kLpXs", "passphrase is kjhqwxzvbnrtw", "secret=ZqvTrWkLpXs;", "pwd zq!vt#rw@klpxs", "bearer ZqvTrWkLpXsMn"):
+        value = re.split("[:=] ?| is | ", text)[1].rstrip(";")
+        assert value not in secret_scan.masked(text, scan(text)), text
+    for text in ("the basic information is here", "Basic Understanding of secret well-known (hidden)", "token: authorization", "password: changeme"):
+        assert all(k != "guess" for k, *_ in scan(text)), text
+
+
+def test_a_fixed_span_over_part_of_a_value_does_not_hide_the_rest():
+    scan, text = secret_scan.Scanner(10.0), "set password=Tr0ub4dor&3xyz!Q9 and password=abcdef12"
+    assert [(k, text[a:b]) for k, a, b, _ in scan(text)] == [("assign", "password=Tr0ub4dor"), ("guess", "Tr0ub4dor&3xyz!Q9"), ("assign", "password=abcdef12")]
+    assert secret_scan.masked(text, scan(text)) == "set [assign] and [assign]"
+
+
 def test_registered_queries_run(spark):
     from lakeops.llm.queries import QUERIES
 
