@@ -396,14 +396,10 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
     return staged(both.select("a", "b", "sa", "sb").mapInArrow(releasing(overlap), "u long, v long"), "ngram-links", n_pairs, 16_384)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row; component_id is the smallest doc_id reachable by links.
-
-    Other columns of ``docs`` are not read.  Repeated rows are copies and share a component; rows of one id with
-    different texts are documents of their own that share that id.
-    """
-    spark = docs.sparkSession
-    part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def linked_classes(part: DataFrame, *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of documents (doc_id long, text): (doc_id, n, cls) of each row; (cls, doc_id), one document of each class; and
+    (vertex, root), the component of each class that links with another."""
+    spark = part.sparkSession
     scanned = staged(classes(part, shingle), "ngram-classes")
     rows = scanned.filter("kind = 0").select("doc_id", "n", "cls")
     listed = spark.sparkContext.broadcast(frequent_shingles(scanned.filter("kind = 1")))
@@ -432,6 +428,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if not rest.isEmpty():
             more = verified(rest.withColumn("lead", F.col("a")), part, reps, num, den, shingle)
             labels = connected_components(links.union(more))
+    return rows, reps, labels
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row; component_id is the smallest doc_id reachable by links.
+
+    Other columns of ``docs`` are not read.  Repeated rows are copies and share a component; rows of one id with
+    different texts are documents of their own that share that id.
+    """
+    part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows, reps, labels = linked_classes(part, num=num, den=den, shingle=shingle)
     named = reps.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
     least_id = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_class = named.join(least_id, "comp").select(F.col("cls"), "component_id")

@@ -23,7 +23,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.ngram_join import SHINGLE, class_of
+from lakeops.llm.ngram_join import BROADCAST_ROWS, SHINGLE, class_of, linked_classes
 from lakeops.llm.spans import kept_in_worker
 from lakeops.llm.token_file import WordTokenizer
 from lakeops.llm.words import Hasher, releasing, shingle_sets, word_chunks
@@ -34,9 +34,9 @@ PIECE_SCHEMA = "doc_id long, piece long, start long, n_tokens long, bin long, po
 
 
 def measured(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, n_tokens, source, cluster): ids of the whole text with an end id; cluster: name of its set of 5-word shingles.
+    """(doc_id, n_tokens, source, cluster): ids of the whole text with an end id; cluster: name of its component in the n-gram join.
 
-    Texts of equal sets are one cluster; a text without words has none.
+    Near copies (Jaccard 0.75 or more of their 5-word shingles) and what they link are one cluster; a text without words has none.
     """
     docs.sparkSession.sparkContext.addFile(tokenizer)
     name = tokenizer.rsplit("/", 1)[-1]
@@ -51,7 +51,13 @@ def measured(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(n)), batch.column("source"), pa.array(names, pa.int64())],
                                              names=["doc_id", "n_tokens", "source", "cluster"])
 
-    return part.mapInArrow(releasing(measure), "doc_id long, n_tokens long, source string, cluster long")
+    sized = part.mapInArrow(releasing(measure), "doc_id long, n_tokens long, source string, cluster long")
+    # a document without an id goes by its text there
+    _, _, labels = linked_classes(part.select(F.coalesce("doc_id", F.xxhash64("text")).alias("doc_id"), "text"))
+    # joined by class and not by id, which may be null or repeated; the names (16 bytes) are sent to all tasks if they are few
+    few = labels.count() <= BROADCAST_ROWS
+    joined = sized.join(F.broadcast(labels) if few else labels, F.col("cluster") == F.col("vertex"), "left")
+    return joined.select("doc_id", "n_tokens", "source", F.coalesce("root", "cluster").alias("cluster"))
 
 
 class Bins:

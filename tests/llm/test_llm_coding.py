@@ -135,6 +135,22 @@ def test_packing(spark):
     assert packing.best_fit(packing.measured(C.empty(spark), WORD_BPE), 0).count() == 0
 
 
+def test_near_copies_never_share_a_bin(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        texts += [" ".join(words)] * 2 + [" ".join([*words[:-i], *(f"n{rng.randrange(5000)}" for _ in range(i))]) for i in (1, 2, 3)] + [" ".join(words[:50])]
+    rows = [(None if i % 9 == 4 else i // 2 if i % 9 == 5 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(d, t, f"src{i}") for i, (d, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    got = packing.best_fit(packing.measured(docs, WORD_BPE), len(texts)).toPandas()
+    at = {r.source: r.bin for r in got.itertuples()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])]
+    assert len(near) > 12 * 10 and len(got) == len(texts) > got.bin.nunique()
+    assert not [(i, j) for i, j in near if at[f"src{i}"] == at[f"src{j}"]]
+
+
 def test_packing_of_odd_lengths(spark):
     sized = spark.createDataFrame([(1, 0, "a", None), (2, None, "a", 5), (None, 7, None, None), (4, -3, None, 5), (5, 130, "a", 5)], "doc_id long, n_tokens long, source string, cluster long")
     got = packing.best_fit(sized, 5, capacity=64).toPandas()
