@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,10 @@ FLUSH = 500_000  # prefix entries that a task gathers before it writes blocks
 HELD = 2_000_000  # shingles whose frequency a task counts at a time
 BLOCK = 600_000  # expected prefix entries of a block
 GROUP = 4096  # classes of one side of a hot block
+GROUP_ENTRIES = 2_000_000  # hot shingles (8 bytes each) of the classes of one side of a hot block
+TILE = 1024  # classes of one side that are multiplied at a time
+SLICE = 4096  # columns of the hot incidence that are multiplied at a time
+EXPLODED = 500_000  # narrow rows of a batch of hot shingles
 BROADCAST_ROWS = 1_000_000  # document ids (8 bytes each) that may be sent to all tasks
 END = np.uint64(2**64 - 1)
 
@@ -219,7 +224,7 @@ def prefixes(docs: DataFrame, listed, n_blocks: int, num: int, den: int, k: int)
                 short = short[np.bincount(owner[also], minlength=len(n))[short] > 0]
                 tokens = [flat[first[i] : first[i] + n[i]][also[first[i] : first[i] + n[i]]].astype("<u8").tobytes() for i in short]
                 if len(short):
-                    yield batch_of([-1 - (cls[short] & 63), [None] * len(short), cls[short], n[short], p[short], cold[short], tokens])
+                    yield batch_of([-1 - cls[short] % max(64, n_blocks), [None] * len(short), cls[short], n[short], p[short], cold[short], tokens])
             if held >= FLUSH:
                 yield flush()
         if entries:
@@ -303,51 +308,77 @@ def block_product(num: int, den: int):
 
 
 # --- 4. hot shingles --------------------------------------------------------------------------
+def _entries(blobs) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, row of each) of a column of blobs."""
+    tokens = [np.frombuffer(x.as_py(), "<u8") for x in blobs]
+    return np.concatenate([np.zeros(0, "<u8"), *tokens]), np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
+
+
+def _incidence(tokens, rows, n_rows: int, lo: int, hi: int) -> np.ndarray:
+    """Dense incidence of the rows over the columns lo to hi; tokens are numbers of columns, in order."""
+    a, b = np.searchsorted(tokens, [lo, hi])
+    out = np.zeros((n_rows, hi - lo), np.float32)
+    out[rows[a:b], tokens[a:b] - lo] = 1
+    return out
+
+
 def hot_product(num: int, den: int):
     """Pairs of classes of different components under their first shared hot shingle, within the bound."""
 
     def product(t: pa.Table) -> pa.Table:
         s = np.uint64(t.column("shingle")[0].as_py() % 2**64)
-        cls, comp, n, p, cold = (t.column(c).to_numpy() for c in ("cls", "comp", "n", "prefix", "cold"))
+        cls, comp, n, p = (t.column(c).to_numpy() for c in ("cls", "comp", "n", "prefix"))
         left, right = t.column("left").to_numpy(zero_copy_only=False), t.column("right").to_numpy(zero_copy_only=False)
-        tokens = [np.frombuffer(x.as_py(), "<u8") for x in t.column("hot")]
-        # dense incidence over the hot shingles of the block that come before s, and those from s on
-        vocab = np.unique(np.concatenate(tokens))
-        inc = np.zeros((len(cls), len(vocab)), np.float32)
-        for i, x in enumerate(tokens):
-            inc[i, np.searchsorted(vocab, x)] = 1
+        flat, owner = _entries(t.column("hot"))
+        vocab, flat = np.unique(flat, return_inverse=True)
+        # entries in order of their column; the columns before s, and those from s on
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
         before = int(np.searchsorted(vocab, s))
-        ri = np.flatnonzero(right)
+        li, ri = np.flatnonzero(left), np.flatnonzero(right)
         out = [np.zeros((0, 4), np.int64)]
-        for a in range(0, len(cls), 256):
-            li = np.arange(a, min(a + 256, len(cls)))
-            li = li[left[li]]
-            if not len(li):
-                continue
-            earlier = inc[li, :before] @ inc[ri, :before].T if before else np.zeros((len(li), len(ri)), np.float32)
-            shared = inc[li, before:] @ inc[ri, before:].T
-            na, nb = n[li][:, None], n[ri][None, :]
-            rest = np.maximum(na - p[li][:, None], nb - p[ri][None, :])
-            ok = (earlier == 0) & (comp[li][:, None] != comp[ri][None, :]) & size_ok(na, nb, num, den) & (shared + rest >= needed(na, nb, num, den))
-            x, y = np.nonzero(ok)
-            x, y = li[x], ri[y]
-            out.append(np.stack([cls[x], cls[y], n[x], n[y]], axis=1))
+        for x in range(0, len(li), TILE):
+            for y in range(0, len(ri), TILE):
+                l, r = li[x : x + TILE], ri[y : y + TILE]  # noqa: E741
+                both = np.zeros((2, len(l), len(r)), np.float32)
+                at_l, at_r = (np.full(len(cls), -1) for _ in range(2))
+                at_l[l], at_r[r] = np.arange(len(l)), np.arange(len(r))
+                in_l, in_r = at_l[owner] >= 0, at_r[owner] >= 0
+                tl, ol, tr, o_r = flat[in_l], at_l[owner[in_l]], flat[in_r], at_r[owner[in_r]]
+                for k, (lo, hi) in enumerate(((0, before), (before, len(vocab)))):
+                    for c in range(lo, hi, SLICE):
+                        d = min(hi, c + SLICE)
+                        both[k] += _incidence(tl, ol, len(l), c, d) @ _incidence(tr, o_r, len(r), c, d).T
+                earlier, shared = both
+                na, nb = n[l][:, None], n[r][None, :]
+                rest = np.maximum(na - p[l][:, None], nb - p[r][None, :])
+                ok = (earlier == 0) & (comp[l][:, None] != comp[r][None, :]) & size_ok(na, nb, num, den) & (shared + rest >= needed(na, nb, num, den))
+                i, j = np.nonzero(ok)
+                i, j = l[i], r[j]
+                out.append(np.stack([cls[i], cls[j], n[i], n[j]], axis=1))
         got = np.concatenate(out)
         return pa.table({c: pa.array(np.ascontiguousarray(got[:, i])) for i, c in enumerate(("a", "b", "na", "nb"))})
 
     return product
 
 
-def hot_pairs(members: DataFrame, hubs: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b, na, nb) between components among classes that share a hot prefix shingle."""
+def hot_pairs(members: DataFrame, tokens: DataFrame, hubs: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b, na, nb) between components among classes that share a hot prefix shingle.
+
+    members: a narrow row for each class and hot shingle; tokens: the hot shingles (hot) of each class, once.
+    """
     known = members.join(labels.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
     hub = hubs.join(labels.withColumnRenamed("vertex", "hub"), "hub", "left").select("shingle", F.coalesce("root", "hub").alias("hub_comp"))
     placed = known.join(hub, "shingle").withColumn("left", F.col("comp") != F.col("hub_comp"))
-    sizes = placed.groupBy("shingle").agg(F.sum(F.col("left").cast("long")).alias("n_left"), F.count(F.lit(1)).alias("n_all")).filter("n_left > 0")
-    k = lambda c: F.ceil(F.col(c) / GROUP).cast("int")
-    split = (placed.join(sizes, "shingle").withColumn("kl", k("n_left")).withColumn("ka", k("n_all"))
+    n_tokens = F.col("prefix") - F.col("cold")  # at most so many
+    sizes = (placed.groupBy("shingle").agg(F.sum(F.col("left").cast("long")).alias("n_left"), F.count(F.lit(1)).alias("n_all"),
+                                           F.sum(F.when(F.col("left"), n_tokens).otherwise(0)).alias("t_left"), F.sum(n_tokens).alias("t_all")).filter("n_left > 0"))
+    k = lambda n, t: F.greatest(F.ceil(F.col(n) / GROUP), F.ceil(F.col(t) / GROUP_ENTRIES)).cast("int")
+    split = (placed.join(sizes, "shingle").withColumn("kl", k("n_left", "t_left")).withColumn("ka", k("n_all", "t_all"))
              .withColumn("i", F.pmod(F.xxhash64("cls"), F.col("kl")).cast("int")).withColumn("j", F.pmod(F.xxhash64("cls"), F.col("ka")).cast("int")))
-    cols = ["shingle", "cls", "comp", "n", "prefix", "cold", "hot"]
+    split = staged(split.select("shingle", "cls", "comp", "n", "prefix", "left", "kl", "ka", "i", "j"), "ngram-split")
+    split = split.join(tokens, "cls")
+    cols = ["shingle", "cls", "comp", "n", "prefix", "hot"]
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     lefts = split.filter("left").select(*cols, "i", spread("ka").alias("j"), F.lit(True).alias("left"), F.lit(False).alias("right"))
     rights = split.select(*cols, spread("kl").alias("i"), "j", F.lit(False).alias("left"), F.lit(True).alias("right"))
@@ -411,9 +442,8 @@ def linked_classes(part: DataFrame, *, num: int = 3, den: int = 4, shingle: int
     cold = (counted.filter("b IS NOT NULL").select(*pair, "shared", "least").groupBy("a", "b")
             .agg(F.sum("shared").alias("shared"), F.max("least").alias("least")).filter("shared >= least").select("a", "b"))
     reps = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    members = (counted.filter("b IS NULL").select(F.col("a").alias("cls"), F.col("na").alias("n"), "prefix", "cold", "hot")
-               .mapInArrow(releasing(_exploded), "cls long, n long, prefix long, cold long, hot binary, shingle long"))
-    members = staged(members, "ngram-hot")
+    tokens = staged(counted.filter("b IS NULL").select(F.col("a").alias("cls"), F.col("na").alias("n"), "prefix", "cold", "hot"), "ngram-tokens")
+    members = staged(tokens.mapInArrow(releasing(_exploded), "cls long, n long, prefix long, cold long, shingle long"), "ngram-hot")
     # the hub of a shingle is the class with the least share of cold entries: the most central of a near-copy group
     hubs = members.groupBy("shingle").agg(F.min(F.struct((F.col("cold") / F.col("prefix")).alias("share"), F.col("cls").alias("hub"), F.col("n").alias("hub_n"))).alias("h")).select("shingle", "h.hub", "h.hub_n")
     star = (members.join(hubs, "shingle").filter("cls != hub")
@@ -424,7 +454,7 @@ def linked_classes(part: DataFrame, *, num: int = 3, den: int = 4, shingle: int
     links = verified(first, part, reps, num, den, shingle)
     labels = connected_components(links)
     if not members.isEmpty():
-        rest = staged(hot_pairs(members, hubs, labels, num, den).select("a", "b").join(first, ["a", "b"], "left_anti"), "ngram-rest")
+        rest = staged(hot_pairs(members, tokens.select("cls", "hot"), hubs, labels, num, den).select("a", "b").join(first, ["a", "b"], "left_anti"), "ngram-rest")
         if not rest.isEmpty():
             more = verified(rest.withColumn("lead", F.col("a")), part, reps, num, den, shingle)
             labels = connected_components(links.union(more))
@@ -447,10 +477,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _exploded(batches):
-    """One row per class and hot prefix shingle."""
+    """One narrow row per class and hot prefix shingle, in batches of a bounded size."""
     for batch in batches:
-        tokens = [np.frombuffer(x.as_py(), "<u8") for x in batch.column("hot")]
-        at = pa.array(np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]))
-        out = batch.take(at)
-        flat = np.concatenate(tokens).astype(np.int64) if tokens else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(flat)], names=[*batch.schema.names, "shingle"])
+        names = [c for c in batch.schema.names if c != "hot"]
+        narrow = batch.select(names)
+        sizes = pc.binary_length(batch.column("hot")).to_numpy() // 8
+        ends = np.cumsum(sizes)
+        a = 0
+        while a < len(ends):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + EXPLODED, "right")))
+            flat, owner = _entries(batch.column("hot").slice(a, b - a))
+            out = narrow.slice(a, b - a).take(pa.array(owner))
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(flat.astype(np.int64))], names=[*names, "shingle"])
+            a = b

@@ -113,6 +113,27 @@ def test_jaccard_components_of_crowded_groups(spark, monkeypatch, hot_from, grou
     assert got == sorted(slow_components(rows))
 
 
+def test_hot_shingles_are_exploded_without_their_sets(monkeypatch):
+    """200 classes of 2,500 hot shingles: narrow rows in small batches, where whole sets in each row take 10 GB."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "EXPLODED", 100_000)
+    one = np.arange(2500, dtype="<u8").tobytes()
+    whole = pa.RecordBatch.from_pydict({"cls": list(range(200)), "n": [9] * 200, "prefix": [2500] * 200, "cold": [0] * 200, "hot": pa.array([one] * 200, pa.binary())})
+    got = list(ngram_join._exploded([whole]))
+    assert {tuple(b.schema.names) for b in got} == {("cls", "n", "prefix", "cold", "shingle")}
+    assert sum(map(len, got)) == 200 * 2500 and max(map(len, got)) <= 100_000 and max(b.nbytes for b in got) <= 40 * 100_000
+
+
+@pytest.mark.parametrize("tile,cut,entries", [(7, 5, 2_000_000), (1024, 4096, 40)])
+def test_hot_blocks_in_slices_match_brute_force(spark, monkeypatch, tile, cut, entries):
+    for name, value in (("HOT_FROM", 3), ("TILE", tile), ("SLICE", cut), ("GROUP_ENTRIES", entries)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = list(enumerate(crowd(11)))
+    got = sorted(tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(slow_components(rows))
+
+
 def test_jaccard_components_of_odd_rows(spark):
     docs = C.documents(spark, clashing=True)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
