@@ -42,7 +42,7 @@ FLUSH_ROWS = 30_000  # suffixes (about 250 bytes each) that a task gathers befor
 GROUP_ROWS = 50_000  # expected suffixes of a group
 FREQUENT = 20_000  # occurrences from which on a prefix is extended to whole windows
 MAX_FREQUENT = 1 << 16  # longest list of them (512 KB sent to the tasks); a prefix beyond it stays with its group
-PLACE_BLOCKS = 64
+PLACES = 20_000  # places of a row (36 bytes each)
 
 
 def block_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -175,7 +175,7 @@ def suffixes(docs: DataFrame, live, often, n_blocks: int) -> DataFrame:
                 rows += [(i, kind, once[a:b].tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             if places:
                 raw = np.concatenate(places)
-                rows.append((-1 - int(abs(int(raw["sha"][0]))) % PLACE_BLOCKS, 2, raw.tobytes()))
+                rows += [(-1, 2, raw[i : i + PLACES].tobytes()) for i in range(0, len(raw), PLACES)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
                                               names=["block", "kind", "blob"])
 
@@ -273,7 +273,7 @@ def _distinct(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def trees(t: pa.Table) -> pa.Table:
-    """Repeated contents of a group with their masks (at null), or the places of a block as they are."""
+    """Repeated contents of a group with their masks."""
     blobs: dict[int, list] = {}
     for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob"), strict=True):
         blobs.setdefault(kind, []).append(blob.as_py())
@@ -287,15 +287,15 @@ def trees(t: pa.Table) -> pa.Table:
         rows = _distinct([np.frombuffer(b, WHOLE) for b in blobs[1]])
         rows = rows[rows["many"] > 0]
         out.append((rows["c1"].astype(np.int64), rows["c2"].astype(np.int64), np.ones(len(rows), np.int64)))
-    cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
-    places = np.concatenate([np.frombuffer(b, PLACE) for b in blobs[2]]) if 2 in blobs else np.zeros(0, PLACE)
-    n, m = len(cols[0]), len(places)
+    return pa.table(dict(zip(("c1", "c2", "mask"), (np.concatenate(c) for c in zip(*out, strict=True)), strict=True)))
 
-    def column(a, b, kind=pa.int64()):
-        return pa.concat_arrays([pa.nulls(n, kind) if a is None else pa.array(a, kind), pa.nulls(m, kind) if b is None else pa.array(b, kind)])
 
-    return pa.table({"c1": column(cols[0], places["c1"]), "c2": column(cols[1], places["c2"]), "mask": column(cols[2], None),
-                     "doc": column(None, places["doc"]), "sha": column(None, places["sha"]), "at": column(None, places["at"].astype(np.int64))})
+def unpacked(batches):
+    """The places of each row, a batch for each; no group of them is ever held."""
+    for batch in batches:
+        for blob in batch.column("blob"):
+            places = np.frombuffer(blob.as_buffer(), PLACE)
+            yield pa.RecordBatch.from_arrays([pa.array(places[c].astype(np.int64)) for c in PLACE.names], names=list(PLACE.names))
 
 
 # --- 4. removal --------------------------------------------------------------------------------
@@ -352,11 +352,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = sum(r.rows for r in counted)
     live, frequent = spark.sparkContext.broadcast(bitmap.tobytes()), spark.sparkContext.broadcast(often)
     groups = max(12, -(-rows // GROUP_ROWS))
-    found = (suffixes(keyed.select("doc", "sha", "text"), live, frequent, groups).groupBy("block")
-             .applyInArrow(releasing(trees), "c1 long, c2 long, mask long, doc long, sha long, at long"))
-    found = staged(found, "substring-found")
-    repeated = found.filter("mask IS NOT NULL").select("c1", "c2", "mask")
-    places = found.filter("mask IS NULL").select("c1", "c2", "doc", "sha", "at")
+    sent = staged(suffixes(keyed.select("doc", "sha", "text"), live, frequent, groups), "substring-sent")
+    found = sent.filter("kind < 2").groupBy("block").applyInArrow(releasing(trees), "c1 long, c2 long, mask long")
+    repeated = staged(found, "substring-found")
+    # places are as many as the windows of hot passages: they are read batch by batch and not grouped
+    places = sent.filter("kind = 2").select("blob").mapInArrow(releasing(unpacked), "c1 long, c2 long, doc long, sha long, at long")
     # a repeated row has the same places twice
     hits = places.join(repeated, ["c1", "c2"]).groupBy("doc", "sha").agg(F.collect_list(F.struct("at", "mask")).alias("hits"))
     # both sides grow with the corpus: texts and hits are dealt by document at every size

@@ -170,6 +170,21 @@ def test_removal_matches_brute_force(spark, monkeypatch, frequent, flush):
         assert got[i] == want, texts[i]
 
 
+def test_places_are_read_in_batches_and_not_grouped(spark, monkeypatch):
+    """A passage in every document: no group holds places, and no row has more than PLACES of them."""
+    monkeypatch.setattr(substring_dedup, "PLACES", 50)
+    monkeypatch.setattr(substring_dedup, "FREQUENT", 20)
+    whole, sent = substring_dedup.staged, {}
+    monkeypatch.setattr(substring_dedup, "staged", lambda df, name, *a: sent.setdefault(name, whole(df, name, *a)))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} own{i}" for i in range(200)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted((r.n_words, r.n_removed, r.kept_text) for r in got.collect()) == sorted(slow_removal(texts))
+    sizes = [len(r.blob) // substring_dedup.PLACE.itemsize for r in sent["substring-sent"].filter("kind = 2").collect()]
+    assert max(sizes) <= 50 and sum(sizes) >= 200 * 26
+    assert sent["substring-found"].columns == ["c1", "c2", "mask"]
+
+
 def test_removal_of_odd_rows(spark):
     docs = C.documents(spark, clashing=True)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
