@@ -122,7 +122,9 @@ def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if r.c > room:
             break
         least, room = r.n, room - r.c
-    got = total.filter(F.col("n") >= least).toArrow()
+    # if the top tier alone does not fit, its most frequent ones are taken
+    top = total.filter(F.col("n") >= least) if least <= 10_000 else total.orderBy(F.desc("n"), "cls").limit(MAX_LISTED)
+    got = top.toArrow()
     shingles, n = got.column("cls").to_numpy().astype(np.uint64), got.column("n").to_numpy()
     order = np.argsort(shingles)
     return shingles[order], n[order] >= HOT_FROM

@@ -170,6 +170,18 @@ def test_removal_matches_brute_force(spark, monkeypatch, frequent, flush):
         assert got[i] == want, texts[i]
 
 
+def test_the_list_of_frequent_shingles_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MAX_LISTED", 5)
+    counts = spark.createDataFrame([(i, 20_000 + i) for i in range(20)] + [(50, 70)], "cls long, n long")
+    shingles, hot = ngram_join.frequent_shingles(counts)
+    assert shingles.tolist() == [15, 16, 17, 18, 19] and hot.all()
+    same = ngram_join.frequent_shingles(counts.selectExpr("cls", "70L AS n"))[0]
+    assert same.tolist() == [0, 1, 2, 3, 4]
+    few, hot = ngram_join.frequent_shingles(counts.filter("cls < 2 OR cls = 50"))
+    assert few.tolist() == [0, 1, 50] and hot.all()
+    assert not len(ngram_join.frequent_shingles(counts.filter("false"))[0])
+
+
 def test_places_are_read_in_batches_and_not_grouped(spark, monkeypatch):
     """A passage in every document: no group holds places, and no row has more than PLACES of them."""
     monkeypatch.setattr(substring_dedup, "PLACES", 50)
