@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm import mixing
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -109,3 +111,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return packing.best_fit(packing.measured(docs, public_tokenizers.path("word_bpe_49k.json")), docs.count())
+
+
+@register
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_source_mix"] = mixing.ORACLE
