@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import mixing
+from lakeops.llm import hard_negatives, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -119,3 +119,13 @@ def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_source_mix"] = mixing.ORACLE
+
+
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    relabelled = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(relabelled, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = hard_negatives.ORACLE
