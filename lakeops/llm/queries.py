@@ -129,3 +129,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_hard_negatives"] = hard_negatives.ORACLE
+
+
+@register
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeops.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
