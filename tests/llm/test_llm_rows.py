@@ -303,6 +303,6 @@ def test_a_fixed_span_over_part_of_a_value_does_not_hide_the_rest():
 def test_registered_queries_run(spark):
     from lakeops.llm.queries import QUERIES
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     for name in ("op1_language_id", "op4_secret_scan", "op10_quality_rules"):
         assert QUERIES[name](spark, SF_SMALL).count() == 200
