@@ -18,14 +18,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.staging import staged
 from lakeops.llm.words import Hasher, releasing, shingle_sets, word_chunks
+from lakeops.operators.projection import add_seq_key
 
 K = 128
 SHINGLE = 5
 BITS = 48
+MAX_BLOCKS = 1 << 16
 SLICE = 512  # rows whose texts and edited texts are held as Python strings at a time
 
 
@@ -139,32 +143,57 @@ def merge_by(prints: DataFrame, key: str, k: int = K) -> DataFrame:
     return out.withColumnRenamed("key", key)
 
 
+class Blocks:
+    """First rows (doc_id, h) of consecutive blocks in the order of doc_id, nulls first, then h."""
+
+    def __init__(self, rows: list[tuple[int | None, int]]):
+        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        self.n = len(rows)
+        self.no_id = np.array([h for i, h in rows if i is None], np.int64)
+        self.ids = np.array([i for i, _ in rows if i is not None], np.int64)
+        self.h = np.array([h for i, h in rows if i is not None], np.int64)
+
+    def of(self, ids: np.ndarray, known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(block, whether it is the block's first row) of each row; ``known``: it has an id."""
+        block = np.searchsorted(self.no_id, h, "right") - 1
+        lo, hi = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        at = lo - 1
+        for i in np.flatnonzero(known & (hi > lo)).tolist():  # an id at which blocks begin
+            at[i] = lo[i] - 1 + np.searchsorted(self.h[lo[i] : hi[i]], h[i], "right")
+        block = np.where(known, at + len(self.no_id), block)
+        ids_at, h_at = np.concatenate([np.zeros(len(self.no_id), np.int64), self.ids]), np.concatenate([self.no_id, self.h])
+        is_known = np.arange(self.n) >= len(self.no_id)
+        return block, (h_at[block] == h) & (is_known[block] == known) & (~known | (ids_at[block] == ids))
+
+
 def with_successors(docs: DataFrame, rows_per_block: int = 8192) -> DataFrame:
     """(block, ghost, doc_id, h, text), where each row's successor by ascending doc_id is the next row of its block.
 
-    Ids are dealt into blocks of equal width.  The first document of each block is also sent, as ``ghost``,
-    to the block before it (that of the first block to the last), so texts are shuffled once and no
+    Ids, with a hash of the text, are numbered in their order; every ``rows_per_block``-th begins a block, so ids may lie as wide
+    apart or as close as they like.  There are MAX_BLOCKS blocks at most (their first ids and hashes, 1 MB, are sent to the tasks); beyond
+    that they get longer, and are read as a stream all the same.  The first document of each block is also sent, as
+    ``ghost``, to the block before it (that of the first block to the last), so texts are shuffled once and no
     block needs another.  Sort by (block, ghost, doc_id, h) to read it.  Null ids come first; rows of one
     id are ordered by a hash of their text.
     """
-    part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n, lo, hi = part.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1, -(-(hi - lo + 1) * rows_per_block // max(n, 1))) if hi is not None else 1
-    block = F.coalesce(F.floor((F.col("doc_id") - F.lit(lo or 0)) / F.lit(width)), F.lit(-1)).cast("long")
-    keyed = part.withColumn("h", F.xxhash64("text")).withColumn("block", block)
-    firsts = keyed.groupBy("block").agg(F.min(F.struct("doc_id", "h")).alias("f"))
-    # one row per block: n / rows_per_block rows
-    order = Window.orderBy("block")
-    whole = Window.partitionBy()
-    firsts = firsts.select(F.col("f.doc_id").alias("f_id"), F.col("f.h").alias("f_h"),
-                           F.coalesce(F.lag("block").over(order), F.max("block").over(whole)).alias("before"))
-    first = keyed.doc_id.eqNullSafe(firsts.f_id) & (keyed.h == firsts.f_h)
-    joined = keyed.join(F.broadcast(firsts), first, "left")
-    here = F.struct(F.col("block").alias("block"), F.lit(0).alias("ghost"))
-    there = F.struct(F.col("before").alias("block"), F.lit(1).alias("ghost"))
-    dealt = joined.select("doc_id", "h", "text", F.explode(F.when(F.col("before").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("to"))
-    return (dealt.select(F.col("to.block").alias("block"), F.col("to.ghost").alias("ghost"), "doc_id", "h", "text")
-            .repartition("block").sortWithinPartitions("block", "ghost", "doc_id", "h"))
+    part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    keys = staged(part.select("doc_id", "h"), "successor-keys")
+    per_block = max(rows_per_block, -(-keys.count() // MAX_BLOCKS))
+    first = add_seq_key(keys, "nth", ["doc_id", "h"]).filter((F.col("nth") - 1) % per_block == 0).select("doc_id", "h").distinct()
+    blocks = Blocks([(r.doc_id, r.h) for r in first.collect()])
+
+    def deal(batches):
+        for batch in batches:
+            ids, h = batch.column("doc_id"), batch.column("h").to_numpy()
+            block, is_first = blocks.of(pc.fill_null(ids, 0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), h)
+            for rows, to, ghost in ((np.arange(len(h)), block, 0), (np.flatnonzero(is_first), (block - 1) % max(blocks.n, 1), 1)):
+                if len(rows):
+                    out = batch if len(rows) == len(h) else batch.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(to[rows], pa.int64()), pa.array(np.full(len(rows), ghost, np.int32)), *(out.column(c) for c in ("doc_id", "h", "text"))],
+                                                     names=["block", "ghost", "doc_id", "h", "text"])
+
+    dealt = part.mapInArrow(releasing(deal), "block long, ghost int, doc_id long, h long, text string")
+    return dealt.repartition("block").sortWithinPartitions("block", "ghost", "doc_id", "h")
 
 
 def edited_text(text: str, following: str) -> str:
@@ -176,7 +205,8 @@ def edited_text(text: str, following: str) -> str:
 def edit_report(docs: DataFrame, k: int = K) -> DataFrame:
     """Fingerprint of each text and of its edited text, and their likeness (see ``edited_text``).
 
-    The successor of the last document is the first.  Null texts count as empty.
+    The successor of the last document is the first (a single document's is itself).  Null texts count as empty, null ids come
+    first, ids may be any long; rows of one id follow each other.  A text of any length is read whole.  An empty table gives an empty result.
     """
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_shingles_est", "contained_in_next"]
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

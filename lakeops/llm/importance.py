@@ -1,13 +1,16 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
-Words and pairs of words (A-Z lower-cased) are hashed into buckets.  Two bag-of-n-grams
-models are counted: the target's on labelled good documents, the raw one's on all documents.  A document's log
-weight is the mean log ratio of the two models over its n-grams times ``sharpness``; with Gumbel noise
-added, the ``k`` highest keys are a sample without replacement in proportion to the weights.
+Words and pairs of words (A-Z lower-cased) are hashed into buckets, as many as there are documents (a power of two within
+MIN_BITS and MAX_BITS).  Two bag-of-n-grams models are counted: the target's on labelled good documents, the raw one's on all
+documents.  A document's log weight is log p_target - log p_raw, the sum of the log ratios of the two models over
+all of its n-grams; with Gumbel noise added, the ``k`` highest keys are a sample without replacement in proportion
+to the weights.
 
 The noise is a function of the document id and a seed, so a rerun gives the same sample.  The k-th
 key is found by counting keys in finer and finer intervals, so nothing is sorted or collected.
 A null text or one without words has weight 0 (log -infinity) and is never chosen; rows that tie at the k-th key are all chosen.
+Rows of one id are documents of their own with the same noise.  A text of any length counts whole.  An empty table gives an empty
+result; without labelled good documents both models are smoothed alike and the noise and the raw model decide.
 """
 
 from __future__ import annotations
@@ -20,32 +23,36 @@ from pyspark.sql import functions as F
 from lakeops.llm.staging import staged
 from lakeops.llm.words import MULT_WORDS, Hasher, mix, releasing, word_chunks
 
-BUCKET_BITS = 16
+MIN_BITS, MAX_BITS = 16, 22  # buckets of the models; 2**22 are 32 MB in the driver and in a task
 
 
-def ngram_buckets(hasher: Hasher, w) -> tuple[np.ndarray, np.ndarray]:
+def bucket_bits(n_docs: int) -> int:
+    return min(MAX_BITS, max(MIN_BITS, n_docs.bit_length()))
+
+
+def ngram_buckets(hasher: Hasher, w, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of the words and word pairs of a chunk, document of each)."""
     docs = w.docs()
     pairs = hasher.windows(w.hashes, 2)
     inside = docs[: len(pairs)] == docs[1 : len(pairs) + 1]
     h = np.concatenate([mix(w.hashes * np.uint64(MULT_WORDS)), mix(pairs[inside])])
-    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.concatenate([docs, docs[: len(pairs)][inside]])
+    return (h >> np.uint64(64 - bits)).astype(np.int64), np.concatenate([docs, docs[: len(pairs)][inside]])
 
 
-def ngram_counts(docs: DataFrame, targets: DataFrame) -> DataFrame:
+def ngram_counts(docs: DataFrame, targets: DataFrame, bits: int) -> DataFrame:
     """(bucket, raw, target): n-gram counts over all documents, and over those whose ids are in ``targets``."""
     part = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(targets.select("doc_id").distinct().withColumn("good", F.lit(True))), "doc_id", "left")
 
     def count(batches):
         hasher = Hasher(lower=True)
-        raw, target = np.zeros(1 << BUCKET_BITS, np.int64), np.zeros(1 << BUCKET_BITS, np.int64)
+        raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
         for batch in batches:
             good = batch.column("good").is_valid().to_numpy(zero_copy_only=False)
             for a, b, _, _, w in word_chunks(hasher, batch.column("text")):
-                buckets, owner = ngram_buckets(hasher, w)
-                raw += np.bincount(buckets, minlength=len(raw))
+                buckets, owner = ngram_buckets(hasher, w, bits)
+                np.add.at(raw, buckets, 1)
                 if good[a:b].any():
-                    target += np.bincount(buckets[good[a:b][owner]], minlength=len(raw))
+                    np.add.at(target, buckets[good[a:b][owner]], 1)
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], names=["bucket", "raw", "target"])
 
@@ -53,33 +60,35 @@ def ngram_counts(docs: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def log_ratios(counts: DataFrame, smoothing: float = 1.0) -> np.ndarray:
-    """log p(bucket | target) - log p(bucket | raw) of every bucket (2**BUCKET_BITS numbers at most come to the driver)."""
-    raw, target = np.full(1 << BUCKET_BITS, smoothing), np.full(1 << BUCKET_BITS, smoothing)
-    for r in counts.collect():
-        raw[r.bucket] += r.raw
-        target[r.bucket] += r.target
+def log_ratios(counts: DataFrame, bits: int, smoothing: float = 1.0) -> np.ndarray:
+    """log p(bucket | target) - log p(bucket | raw) of every bucket (2**bits numbers at most come to the driver)."""
+    raw, target = np.full(1 << bits, smoothing), np.full(1 << bits, smoothing)
+    got = counts.toArrow()
+    at = got.column("bucket").to_numpy()
+    raw[at] += got.column("raw").to_numpy()
+    target[at] += got.column("target").to_numpy()
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """(doc_id, n_ngrams, log_ratio): mean log ratio of each whole text (null without words)."""
+def weights(docs: DataFrame, ratios: np.ndarray, bits: int) -> DataFrame:
+    """(doc_id, n_ngrams, log_weight): sum of the log ratios of each whole text (null without words)."""
     part = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = part.schema["doc_id"].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def score(batches):
         hasher = Hasher(lower=True)
         for batch in batches:
             n, total = [np.zeros(0, np.int64)], [np.zeros(0)]
             for a, b, _, _, w in word_chunks(hasher, batch.column("text")):
-                buckets, owner = ngram_buckets(hasher, w)
+                buckets, owner = ngram_buckets(hasher, w, bits)
                 n.append(np.bincount(owner, minlength=b - a))
-                total.append(np.bincount(owner, ratios[buckets], b - a))
+                total.append(np.bincount(owner, sent.value[buckets], b - a))
             n, total = np.concatenate(n), np.concatenate(total)
-            mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), mean], names=["doc_id", "n_ngrams", "log_ratio"])
+            weight = pa.array(total, pa.float64(), mask=n == 0)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), weight], names=["doc_id", "n_ngrams", "log_weight"])
 
-    return part.mapInArrow(releasing(score), f"doc_id {kind}, n_ngrams long, log_ratio double")
+    return part.mapInArrow(releasing(score), f"doc_id {kind}, n_ngrams long, log_weight double")
 
 
 def gumbel(doc_id, seed: int):
@@ -111,9 +120,8 @@ def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 4096) -> float
     return lo
 
 
-def resample(docs: DataFrame, labels: DataFrame, *, share: float | None = None, target_docs: int = 20_000, sharpness: float = 100.0,
-             good_value: int = 1, seed: int = 17) -> DataFrame:
-    """(doc_id, n_ngrams, log_ratio, key, selected) of every document.
+def resample(docs: DataFrame, labels: DataFrame, *, share: float | None = None, target_docs: int = 20_000, good_value: int = 1, seed: int = 17) -> DataFrame:
+    """(doc_id, n_ngrams, log_weight, key, selected) of every document.
 
     ``target_docs``: most labelled good documents that the target model is fitted on (those of the lowest id hash).
     ``share``: part of the documents to draw; by default that of the good ones among the labelled.
@@ -122,8 +130,9 @@ def resample(docs: DataFrame, labels: DataFrame, *, share: float | None = None,
     if share is None:
         share = known.agg(F.avg("good")).first()[0] or 0.0
     targets = known.filter("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs)
-    ratios = log_ratios(ngram_counts(docs, targets))
-    keyed = weights(docs, ratios).withColumn("key", F.col("log_ratio") * sharpness + gumbel(F.col("doc_id"), seed))
+    bits = bucket_bits(docs.count())
+    ratios = log_ratios(ngram_counts(docs, targets, bits), bits)
+    keyed = weights(docs, ratios, bits).withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"), seed))
     keyed = staged(keyed, "importance")
     n = keyed.count()
     least = kth_largest(keyed, "key", round(share * n))
