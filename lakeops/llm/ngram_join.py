@@ -78,8 +78,13 @@ def _sets(batches, k: int):
 
 
 # --- 1. classes and frequent shingles ---------------------------------------------------
-def classes(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of kind 0: (doc_id, n, cls); of kind 1: a shingle (cls) and the number of classes (n) of a task that have it, 2 at least."""
+def classes(docs: DataFrame, k: int, measure=None, measures: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of kind 0: (doc_id, n, cls) and the carried columns; of kind 1: a shingle (cls) and the number of classes (n) of a task
+    that have it, 2 at least.
+
+    Carried are the columns of ``docs`` beside doc_id and text, and the ``measures`` (longs): measure(text column) gives an array of each.
+    """
+    carried = [f for f in docs.schema.fields if f.name not in ("doc_id", "text")]
 
     def frequent(held: list[np.ndarray]):
         s = np.sort(np.concatenate(held))
@@ -88,29 +93,36 @@ def classes(docs: DataFrame, k: int) -> DataFrame:
         keep = n >= 2
         return s[at[keep]].astype(np.int64), n[keep]
 
-    def rows(kind, ids, n, cls):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), ids, pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
-                                          names=["kind", "doc_id", "n", "cls"])
+    def rows(kind, ids, n, cls, more):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), ids, pa.array(n, pa.int64()), pa.array(cls, pa.int64()), *more],
+                                          names=["kind", "doc_id", "n", "cls", *(f.name for f in carried), *measures])
 
     def scan(batches):
-        held, size, seen = [], 0, set()
+        held, size, seen, types, last, more = [], 0, set(), None, None, []
+
+        def listed():
+            s, n = frequent(held)
+            return rows(1, pa.nulls(len(s), pa.int64()), n, s, [pa.nulls(len(s), t) for t in types])
+
         for batch, a, b, sets in _sets(batches, k):
+            if batch is not last:
+                last, more = batch, [*(batch.column(f.name) for f in carried), *(measure(batch.column("text")) if measure else ())]
+                types = [c.type for c in more]
             names = [class_of(s) for s in sets]
-            yield rows(0, batch.column("doc_id").slice(a, b - a), [len(s) for s in sets], names)
+            yield rows(0, batch.column("doc_id").slice(a, b - a), [len(s) for s in sets], names, [c.slice(a, b - a) for c in more])
             for c, s in zip(names, sets, strict=True):
                 if len(s) and c not in seen:
                     seen.add(c)
                     held.append(s)
                     size += len(s)
             if size >= HELD:
-                s, n = frequent(held)
-                yield rows(1, pa.nulls(len(s), pa.int64()), n, s)
+                yield listed()
                 held, size, seen = [], 0, set()
         if held:
-            s, n = frequent(held)
-            yield rows(1, pa.nulls(len(s), pa.int64()), n, s)
+            yield listed()
 
-    return docs.mapInArrow(releasing(scan), "kind int, doc_id long, n long, cls long")
+    more = [f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [f"{m} long" for m in measures]
+    return docs.mapInArrow(releasing(scan), ", ".join(["kind int, doc_id long, n long, cls long", *more]))
 
 
 def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -397,13 +409,16 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
 
     pairs: a, b and ``lead``, the one of them whose set is attached first.  A hub leads its pairs: its set meets all of
     them by their narrow rows, and the wide rows that come out are dealt by the other class, which few pairs share.
-    Only one document of each class in a pair is read again; its set is written once.
+    Only one document of each class in a pair is read again; its set is written once.  A class of documents without an id
+    is found by reading all of those again.
     """
     n_pairs = pairs.count()
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = staged(reps.join(wanted, "cls").select("doc_id"), "ngram-ids", 2 * n_pairs)
-    n_ids = ids.count()
+    named = staged(reps.join(wanted, "cls").select("cls", "doc_id"), "ngram-ids", 2 * n_pairs)
+    n_ids, n_known = named.agg(F.count(F.lit(1)), F.count("doc_id")).first()
     few = n_ids <= BROADCAST_ROWS
+    ids = named.filter("doc_id IS NOT NULL").select("doc_id").distinct()
+    docs = docs.select("doc_id", "text")
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
     def sets_of(batches):
@@ -411,7 +426,12 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
             sets = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["cls", "set"])
 
-    sets = staged(texts.mapInArrow(releasing(sets_of), "cls long, set binary").dropDuplicates(["cls"]), "ngram-sets", n_ids, 8192)
+    found = texts.mapInArrow(releasing(sets_of), "cls long, set binary")
+    if n_known < n_ids:
+        unnamed = named.filter("doc_id IS NULL").select("cls")
+        without = docs.filter("doc_id IS NULL").mapInArrow(releasing(sets_of), "cls long, set binary")
+        found = found.union(without.join(F.broadcast(unnamed) if few else unnamed, "cls", "left_semi"))
+    sets = staged(found.dropDuplicates(["cls"]), "ngram-sets", n_ids, 8192)
 
     def overlap(batches):
         for batch in batches:
@@ -429,12 +449,17 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, num: int, den:
     return staged(both.select("a", "b", "sa", "sb").mapInArrow(releasing(overlap), "u long, v long"), "ngram-links", n_pairs, 16_384)
 
 
-def linked_classes(part: DataFrame, *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of documents (doc_id long, text): (doc_id, n, cls) of each row; (cls, doc_id), one document of each class; and
-    (vertex, root), the component of each class that links with another."""
+def linked_classes(part: DataFrame, *, num: int = 3, den: int = 4, shingle: int = SHINGLE, measure=None,
+                   measures: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of documents (doc_id long, text, carried columns): (doc_id, n, cls, carried columns, measures) of each row; (cls, doc_id), one
+    document of each class (a null id only where none has one); and (vertex, root), the component of each class that links with another.
+
+    measure, measures: see ``classes``; they are taken in the scan that finds the classes.
+    """
     spark = part.sparkSession
-    scanned = staged(classes(part, shingle), "ngram-classes")
-    rows = scanned.filter("kind = 0").select("doc_id", "n", "cls")
+    scanned = staged(classes(part, shingle, measure, measures), "ngram-classes")
+    rows = scanned.filter("kind = 0").drop("kind")
+    part = part.select("doc_id", "text")
     listed = spark.sparkContext.broadcast(frequent_shingles(scanned.filter("kind = 1")))
     total = rows.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(12, -(-total * (den - num) // den // BLOCK))
@@ -467,7 +492,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_shingles, component_id) of each row; component_id is the smallest doc_id reachable by links.
 
     Other columns of ``docs`` are not read.  Repeated rows are copies and share a component; rows of one id with
-    different texts are documents of their own that share that id.
+    different texts are documents of their own that share that id.  A document without an id links like any other: its
+    component_id is the smallest id of its component, null if none there has one.
     """
     part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows, reps, labels = linked_classes(part, num=num, den=den, shingle=shingle)
@@ -478,6 +504,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, num: int = 3, den: int = 4, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each component: that of the lowest id (one without an id only if all are), then of the lowest text hash.
+
+    Rows go by id and text, so another text of the same id stays, and rows without an id are told apart.  Of rows that
+    repeat id and text one stays.  Texts without words link with nothing and all stay.
+    """
+    mark = F.xxhash64(F.col(text_col).cast("string"))
+    part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), mark.alias("mark"))
+    rows, _, labels = linked_classes(part, num=num, den=den, shingle=shingle)
+    worded = rows.filter("n > 0").join(labels, F.col("cls") == F.col("vertex"), "left").withColumn("comp", F.coalesce("root", "cls"))
+    # one row of counts per distinct (id, text): copies of a row meet before the shuffle
+    marked = staged(worded.groupBy("comp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("times")), "ngram-marked")
+    first = marked.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")).select("comp", "first.*")
+    own = F.col("m.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("m.mark") == F.col("f.mark"))
+    named = marked.alias("m").join(first.alias("f"), "comp").select(F.col("m.doc_id").alias("d_id"), F.col("m.mark").alias("d_mark"), own.alias("stays"), "times")
+    acted = staged(named.filter("NOT stays OR times > 1"), "ngram-acted")
+    at = docs.withColumn("lakeops_mark", mark)
+
+    def of(actions: DataFrame, how: str) -> DataFrame:
+        # 16 bytes a row: sent to all tasks if they are few, so that texts stay where they are
+        few = actions.count() <= BROADCAST_ROWS
+        return at.join(F.broadcast(actions) if few else actions, at[id_col].cast("long").eqNullSafe(F.col("d_id")) & (at["lakeops_mark"] == F.col("d_mark")), how)
+
+    kept = of(acted.select("d_id", "d_mark"), "left_anti")
+    repeated = acted.filter("stays").select("d_id", "d_mark")
+    if not repeated.isEmpty():
+        kept = kept.union(of(repeated, "left_semi").dropDuplicates([id_col, "lakeops_mark"]))
+    return kept.select(*docs.columns)
+
+
 def _exploded(batches):
     """One narrow row per class and hot prefix shingle, in batches of a bounded size."""
     for batch in batches:

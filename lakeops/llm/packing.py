@@ -6,8 +6,8 @@ carries two bitmaps: sources and duplicate clusters of what it holds.  A piece n
 duplicate cluster, nor one that has its source already.  Where no bin is left it opens a new one.
 
 A document longer than a bin is cut: full bins, and a rest that is packed like any other piece.  Documents are dealt to
-groups by a hash of their id, some ``group_docs`` to a group, so neither a hot source nor a large cluster meets in one task;
-only ids, lengths and names are shuffled.
+groups by a hash of id, length and cluster, some ``group_docs`` to a group, so neither a hot source nor a large cluster, nor rows of one
+or no id, meet in one task; only ids, lengths and names are shuffled.
 
 A null source or cluster conflicts with nothing.  A null or negative length counts as 0; a document of length 0 is one
 empty piece.  Rows of one id are packed as documents of their own.
@@ -23,10 +23,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.ngram_join import BROADCAST_ROWS, SHINGLE, class_of, linked_classes
+from lakeops.llm.ngram_join import BROADCAST_ROWS, linked_classes
 from lakeops.llm.spans import kept_in_worker
 from lakeops.llm.token_file import WordTokenizer
-from lakeops.llm.words import Hasher, releasing, shingle_sets, word_chunks
+from lakeops.llm.words import releasing
 
 CAPACITY = 2048
 GROUP_DOCS = 8192
@@ -42,22 +42,16 @@ def measured(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     name = tokenizer.rsplit("/", 1)[-1]
     part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"))
 
-    def measure(batches):
+    def tokens(texts):
         tok = kept_in_worker(f"tokens {name}", lambda: WordTokenizer(SparkFiles.get(name)))
-        hasher = Hasher(lower=True)
-        for batch in batches:
-            n = [np.zeros(0, np.int64), *(np.diff(firsts) + 1 for _, firsts in tok.encode(batch.column("text")))]
-            names = [class_of(s) if len(s) else None for *_, w in word_chunks(hasher, batch.column("text")) for s in shingle_sets(hasher, w, SHINGLE)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(n)), batch.column("source"), pa.array(names, pa.int64())],
-                                             names=["doc_id", "n_tokens", "source", "cluster"])
-
-    sized = part.mapInArrow(releasing(measure), "doc_id long, n_tokens long, source string, cluster long")
-    # a document without an id goes by its text there
-    _, _, labels = linked_classes(part.select(F.coalesce("doc_id", F.xxhash64("text")).alias("doc_id"), "text"))
+        return [pa.array(tok.counts(texts) + 1)]
+
+    # the scan that finds the join's classes counts the tokens too
+    sized, _, labels = linked_classes(part, measure=tokens, measures=("n_tokens",))
     # joined by class and not by id, which may be null or repeated; the names (16 bytes) are sent to all tasks if they are few
     few = labels.count() <= BROADCAST_ROWS
-    joined = sized.join(F.broadcast(labels) if few else labels, F.col("cluster") == F.col("vertex"), "left")
-    return joined.select("doc_id", "n_tokens", "source", F.coalesce("root", "cluster").alias("cluster"))
+    joined = sized.join(F.broadcast(labels) if few else labels, F.col("cls") == F.col("vertex"), "left")
+    return joined.select("doc_id", "n_tokens", "source", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("cluster"))
 
 
 class Bins:
@@ -136,5 +130,5 @@ def best_fit(sized: DataFrame, n_docs: int, *, capacity: int = CAPACITY, group_d
     sized: doc_id, n_tokens, source, cluster; n_docs: its number of rows (about), which sets the number of groups.
     """
     groups = max(1, -(-n_docs // group_docs))
-    dealt = sized.select("doc_id", "n_tokens", "source", "cluster", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("pack_group"))
+    dealt = sized.select("doc_id", "n_tokens", "source", "cluster", F.pmod(F.xxhash64("doc_id", "n_tokens", "cluster"), F.lit(groups)).alias("pack_group"))
     return dealt.groupBy("pack_group").applyInArrow(releasing(packer(capacity)), PIECE_SCHEMA)

@@ -71,8 +71,8 @@ class SpanCoder:
             bulk, late = self._table(*(np.concatenate(x) for x in zip(bulk, late, strict=True))), tuple(x[:0] for x in late)
         self.tables = [bulk, self._table(*late)]
 
-    def code(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(flat codes of all spans in order, number of codes of each span)."""
+    def code(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, flat: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """(flat codes of all spans in order, or none if not ``flat``; number of codes of each span)."""
         if not len(starts):
             return self.flat[:0], np.zeros(0, np.int64)
         h = self.hasher
@@ -97,7 +97,7 @@ class SpanCoder:
             self._add(keys[~known], *self.learn(gather(data, s, n), n))
             _, start, size = self._find(keys)
         size = size[where]
-        return gather(self.flat, start[where], size), size
+        return gather(self.flat, start[where], size) if flat else self.flat[:0], size
 
 
 def kept_in_worker(name: str, make: Callable[[], object]):

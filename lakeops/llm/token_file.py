@@ -180,8 +180,7 @@ class WordTokenizer:
         order = np.argsort(owner)
         return gather(flat, (np.cumsum(size) - size)[order], size[order]), size[order]
 
-    def encode(self, col: pa.Array):
-        """(flat ids, first id of each text and the total) for each chunk of the column, in order."""
+    def _coded(self, col: pa.Array, flat: bool):
         data, offsets = text_buffers(col)
         for a, b in chunks(offsets, CHUNK):
             d, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -191,8 +190,16 @@ class WordTokenizer:
             cut[starts] = False
             cut = np.flatnonzero(cut)
             starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
-            flat, sizes = self.coder.code(d, starts, ends)
-            yield flat, np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, o)]
+            ids, sizes = self.coder.code(d, starts, ends, flat)
+            yield ids, np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, o)]
+
+    def encode(self, col: pa.Array):
+        """(flat ids, first id of each text and the total) for each chunk of the column, in order."""
+        return self._coded(col, True)
+
+    def counts(self, col: pa.Array) -> np.ndarray:
+        """Number of ids of each text."""
+        return np.concatenate([np.zeros(0, np.int64), *(np.diff(firsts) for _, firsts in self._coded(col, False))])
 
 
 def with_end(flat: np.ndarray, firsts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -143,6 +143,32 @@ def test_jaccard_components_of_odd_rows(spark):
     assert ngram_join.jaccard_components(C.empty(spark)).count() == 0
 
 
+A60 = " ".join(f"w{i}" for i in range(60))
+B60 = " ".join(f"v{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("ids,want", [((1, None), [(1, 1), (None, 1)]), ((None, None), [(None, None), (None, None)]), ((None, 8), [(8, 8), (None, 8)])])
+def test_documents_without_an_id_link(spark, ids, want):
+    rows = [(ids[0], A60), (ids[1], A60 + " more"), (5, B60), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda x: tuple((v is None, v or 0) for v in x)
+    got = sorted(((r.doc_id, r.component_id) for r in ngram_join.jaccard_components(docs).collect()), key=key)
+    assert got == sorted([*want, (5, 5), (None, None), (None, None)], key=key)
+
+
+def test_removal_of_near_copies_goes_by_id_and_text(spark):
+    """Another text of a removed id stays, rows without an id are told apart, repeated rows stay once, texts without words stay."""
+    rows = [(1, A60), (2, A60 + " more"), (2, B60), (2, B60), (None, A60 + " other"), (None, "a text of its own that has no copy at all"), (3, ""), (3, ""), (4, None), (None, B60 + " x")]
+    docs = spark.createDataFrame([(i, t, f"s{n}") for n, (i, t) in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    got = ngram_join.without_near_duplicates(docs)
+    assert got.columns == docs.columns
+    want = [(1, A60), (2, B60), (None, rows[5][1]), (3, ""), (3, ""), (4, None)]
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(i), str(t)) for i, t in want)
+    nulls = spark.createDataFrame([(None, A60), (None, A60), (None, A60 + " more")], "doc_id long, text string")
+    assert ngram_join.without_near_duplicates(nulls).count() == 1
+    assert corpus_pipeline.near_duplicates(spark, docs, "").count() == 6
+
+
 def test_prefixes_at_the_bound():
     """Every linked pair shares a prefix shingle under any order, and the bound does not drop it."""
     rng = random.Random(2)
