@@ -25,14 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of near copies the document with the lowest id; of repeated rows one stays."""
-    groups = staged(ngram_join.jaccard_components(docs).select("doc_id", "component_id"), "groups")
-    copies = staged(groups.filter("doc_id != component_id").select("doc_id").distinct(), "copies")
-    # ids of 8 bytes: sent to all tasks if they are few, so that texts stay where they are
-    few = copies.count() <= ngram_join.BROADCAST_ROWS
-    out = docs.join(F.broadcast(copies) if few else copies, "doc_id", "left_anti").select(*docs.columns)
-    repeated = not groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    """Keep of each group of near copies the document with the lowest id; of rows that repeat id and text one stays."""
+    return ngram_join.without_near_duplicates(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
