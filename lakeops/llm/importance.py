@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.staging import staged
 from lakeops.llm.words import MULT_WORDS, Hasher, mix, releasing, word_chunks
 
+PARTS = 256  # of the buckets, in which tasks send their counts
 MIN_BITS, MAX_BITS = 16, 22  # buckets of the models; 2**22 are 32 MB in the driver and in a task
 
 
@@ -39,9 +40,27 @@ def ngram_buckets(hasher: Hasher, w, bits: int) -> tuple[np.ndarray, np.ndarray]
     return (h >> np.uint64(64 - bits)).astype(np.int64), np.concatenate([docs, docs[: len(pairs)][inside]])
 
 
-def ngram_counts(docs: DataFrame, targets: DataFrame, bits: int) -> DataFrame:
-    """(bucket, raw, target): n-gram counts over all documents, and over those whose ids are in ``targets``."""
-    part = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(targets.select("doc_id").distinct().withColumn("good", F.lit(True))), "doc_id", "left")
+class Counts:
+    """Raw and target counts of the buckets of a part, without those that are 0, as bytes."""
+
+    @staticmethod
+    def pack(raw: np.ndarray, target: np.ndarray) -> bytes:
+        at = np.flatnonzero(raw)
+        return b"".join([at.astype("<i8").tobytes(), raw[at].astype("<i8").tobytes(), target[at].astype("<i8").tobytes()])
+
+    @staticmethod
+    def unpack(blob: bytes) -> np.ndarray:
+        """at, raw, target: three rows."""
+        return np.frombuffer(blob, "<i8").reshape(3, -1)
+
+
+def ngram_counts(docs: DataFrame, targets: DataFrame, bits: int, salts: int = 1) -> DataFrame:
+    """(part, counts): packed n-gram counts of each of PARTS parts of the buckets, over all documents and over those whose ids are in ``targets``.
+
+    A task sends one row a part; they are added up in ``salts`` groups a part, then by part.
+    """
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(targets.select("doc_id").distinct().withColumn("good", F.lit(True))), "doc_id", "left")
+    size = (1 << bits) // PARTS
 
     def count(batches):
         hasher = Hasher(lower=True)
@@ -53,20 +72,30 @@ def ngram_counts(docs: DataFrame, targets: DataFrame, bits: int) -> DataFrame:
                 np.add.at(raw, buckets, 1)
                 if good[a:b].any():
                     np.add.at(target, buckets[good[a:b][owner]], 1)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], names=["bucket", "raw", "target"])
+        if raw.any():
+            parts = [Counts.pack(raw[i * size : (i + 1) * size], target[i * size : (i + 1) * size]) for i in range(PARTS)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(parts, pa.binary())], names=["part", "counts"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros((2, size), np.int64)
+        for blob in t.column("counts"):
+            got = Counts.unpack(blob.as_py())
+            total[:, got[0]] += got[1:]
+        return pa.table({"part": t.column("part")[:1], "counts": pa.array([Counts.pack(*total)], pa.binary())})
 
-    rows = part.select("text", "good").mapInArrow(releasing(count), "bucket long, raw long, target long")
-    return rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    by_task = rows.select("text", "good").mapInArrow(releasing(count), "part int, counts binary")
+    salted = by_task.groupBy("part", F.pmod(F.xxhash64("counts"), F.lit(salts)).alias("salt")).applyInArrow(releasing(add), "part int, counts binary") if salts > 1 else by_task
+    return salted.groupBy("part").applyInArrow(releasing(add), "part int, counts binary")
 
 
 def log_ratios(counts: DataFrame, bits: int, smoothing: float = 1.0) -> np.ndarray:
     """log p(bucket | target) - log p(bucket | raw) of every bucket (2**bits numbers at most come to the driver)."""
     raw, target = np.full(1 << bits, smoothing), np.full(1 << bits, smoothing)
-    got = counts.toArrow()
-    at = got.column("bucket").to_numpy()
-    raw[at] += got.column("raw").to_numpy()
-    target[at] += got.column("target").to_numpy()
+    for r in counts.collect():
+        got = Counts.unpack(bytes(r["counts"]))
+        at = got[0] + r["part"] * ((1 << bits) // PARTS)
+        raw[at] += got[1]
+        target[at] += got[2]
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
@@ -130,8 +159,9 @@ def resample(docs: DataFrame, labels: DataFrame, *, share: float | None = None,
     if share is None:
         share = known.agg(F.avg("good")).first()[0] or 0.0
     targets = known.filter("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs)
-    bits = bucket_bits(docs.count())
-    ratios = log_ratios(ngram_counts(docs, targets, bits), bits)
+    n_docs = docs.count()
+    bits = bucket_bits(n_docs)
+    ratios = log_ratios(ngram_counts(docs, targets, bits, min(256, 1 + n_docs // 10_000_000)), bits)
     keyed = weights(docs, ratios, bits).withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id"), seed))
     keyed = staged(keyed, "importance")
     n = keyed.count()

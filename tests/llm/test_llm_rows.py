@@ -146,8 +146,11 @@ def test_ratios_match_brute_force(spark):
             raw.update(b)
             if r.doc_id is not None and r.doc_id < 40:
                 target.update(b)
-    got = {r.bucket: (r.raw, r.target) for r in importance.ngram_counts(docs, good, 16).collect()}
-    assert got == {b: (n, target[b]) for b, n in raw.items()}
+    for salts in (1, 3):
+        got = {}
+        for r in importance.ngram_counts(docs, good, 16, salts).collect():
+            got |= {r.part * 256 + a: (n, m) for a, n, m in importance.Counts.unpack(bytes(r.counts)).T.tolist()}
+        assert got == {b: (n, target[b]) for b, n in raw.items()}
 
 
 def test_models_grow_with_the_documents():
