@@ -1,7 +1,7 @@
 """Entity resolution between two systems (JON-5..8): tax-id exact, then fuzzy name, then unmatched.
 
-Fuzzy matching never forms a cross product.  Candidate pairs come from an
-*exact* blocking scheme, q-gram prefix filtering:
+Fuzzy matching never forms a cross product.  Names are matched by the weighted ratio (``functions/similarity.py``) through the
+inverted indexes of ``name_join``.  For the plain Levenshtein ratio there is an *exact* blocking scheme here, q-gram prefix filtering:
 
 * score(a, b) = 100 * (1 - lev(a, b) / max(len a, len b)); a match needs
   score >= t, so lev <= (1 - t/100) * max len, and the partner's length is at
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lakeops import params as P
 from lakeops.functions import columns as C
+from lakeops.operators.name_join import best_similar
 from lakeops.session import cut_lineage
 
 Q = 3
@@ -157,15 +158,6 @@ def fuzzy_candidates(left_names: DataFrame, right_names: DataFrame, threshold: f
     return out.distinct()
 
 
-def best_fuzzy(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
-    """Best right name per left name with score >= threshold: (lname, rname, score)."""
-    cand = fuzzy_candidates(left_names, right_names, threshold)
-    scored = cand.withColumn("score", ratio(F.col("lname"), F.col("rname"))).where(F.col("score") >= F.lit(float(threshold)))
-    best = scored.groupBy("lname").agg(F.max(F.struct(F.col("score"), (-F.length("rname")).alias("_l"),
-                                                      F.col("rname"))).alias("b"))
-    return best.select("lname", F.col("b.rname").alias("rname"), F.col("b.score").alias("score"))
-
-
 def resolve_entities(left: DataFrame, right: DataFrame, *, left_id="partner_code", left_name="partner_name",
                      left_tax="tax_id", right_id="org_id", right_name="org_name", right_tax="cnpj",
                      threshold: float = P.FUZZY_THRESHOLD, min_len: int = P.FUZZY_MIN_LENGTH,
@@ -192,7 +184,7 @@ def resolve_entities(left: DataFrame, right: DataFrame, *, left_id="partner_code
     Rn = R
     ok_l = rest.where(F.length("name") >= min_len)
     ok_r = Rn.where(F.length("name") >= min_len)
-    best = best_fuzzy(ok_l.select("name"), ok_r.select("name"), threshold)
+    best = best_similar(ok_l.select("name"), ok_r.select("name"), threshold)
     # every right entity carrying the best name is a partner; keep the smallest id (deterministic)
     rmin = ok_r.groupBy(F.col("name").alias("rname")).agg(F.min(F.struct("rid", "rname_raw")).alias("r"))
     hit = best.join(rmin, "rname").select(F.col("lname").alias("name"), F.col("r.rid").alias("f_rid"),
@@ -252,7 +244,7 @@ def match_list(names: DataFrame, master: DataFrame, threshold: float = P.FUZZY_T
     exact = n.join(m.select("name").distinct(), "name").select("input_name", "name", F.lit(100.0).alias("score"),
                                                                 F.lit("exact").alias("how"))
     rest = n.join(exact.select("input_name"), "input_name", "left_anti")
-    best = best_fuzzy(rest.select("name"), m.select("name"), threshold)
+    best = best_similar(rest.select("name"), m.select("name"), threshold)
     fz = rest.join(best, rest.name == best.lname).select("input_name", F.col("rname").alias("name"), "score",
                                                          F.lit("fuzzy").alias("how"))
     return exact.unionByName(fz).join(m.select("name", "partner_code"), "name")

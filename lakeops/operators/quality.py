@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from lakeops import params as P
 from lakeops.functions import columns as C
-from lakeops.operators import entity as ER
+from lakeops.functions import similarity as SM
+from lakeops.operators import name_join as NJ
 from lakeops.session import cut_lineage
 
 MARKER = "?"
@@ -78,11 +79,20 @@ def _min_score(length: Column, bands=P.CITY_MIN_SCORES, longer: float = P.CITY_M
     return out
 
 
+def city_text(c: Column) -> Column:
+    """As cities are compared: lower case, what is no letter, digit or underscore as a space, trimmed."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}_]", " "))
+
+
+def city_score(v: Column, rc: Column) -> Column:
+    return SM.subsequence_ratio(city_text(v), city_text(rc))
+
+
 def match_cities(df: DataFrame, ref: DataFrame, city: str = "city", state: str = "state") -> DataFrame:
     """QLT-2: city names against the reference list.
 
     A name without the marker is kept if the list has it, and is otherwise not matched.  A corrupted name is matched by
-    wildcard ('?' is one character), then by similarity with a minimum that depends on its length; each
+    wildcard ('?' is one character), then by its common-subsequence ratio, in whole points, with a minimum that depends on its length; each
     first within its state, then in the whole list, and each only for names that the step before has left.
     Of several candidates the most similar wins, of equal ones the first by name.
 
@@ -97,7 +107,7 @@ def match_cities(df: DataFrame, ref: DataFrame, city: str = "city", state: str =
     damaged = v.where(F.col("v").contains(MARKER))
 
     def best(pairs: DataFrame, how: str) -> DataFrame:
-        scored = pairs.withColumn("score", ER.ratio(F.col("v"), F.col("rc")))
+        scored = pairs.withColumn("score", city_score(F.col("v"), F.col("rc")))
         top = scored.groupBy("v", "s").agg(F.min(F.struct((-F.col("score")).alias("_n"), F.col("rc").alias("fixed"))).alias("b"))
         return top.select("v", "s", F.col("b.fixed").alias("city_fixed"), F.lit(how).alias("match_how"))
 
@@ -115,10 +125,12 @@ def match_cities(df: DataFrame, ref: DataFrame, city: str = "city", state: str =
     rest = left_by(damaged, wild_s)
     wild_n = best(rest.join(masked.select("rc", "mv").distinct(), F.col("v") == F.col("mv")), "wildcard_national")
     rest = cut_lineage(left_by(rest, wild_n))
-    # exact candidate generation; single characters keep the lowest minimum complete
-    cand = ER.fuzzy_candidates(rest.select(F.col("v").alias("name")), national.select(F.col("rc").alias("name")),
-                               min(s for _, s in P.CITY_MIN_SCORES), q=1).select(F.col("lname").alias("v"), F.col("rname").alias("rc"))
-    near = cut_lineage(cand.where(ER.ratio(F.col("v"), F.col("rc")) >= _min_score(F.length("v"))))
+    # whole points, halves to the even one: a score half a point under the minimum can reach it
+    texts = rest.select("v").distinct().select("v", city_text(F.col("v")).alias("lname"), (_min_score(F.length("v")) - 0.5).alias("least"))
+    listed = national.select("rc", city_text(F.col("rc")).alias("rname"))
+    cand = NJ.subsequence_pairs(texts.select(F.col("lname").alias("name"), "least"), listed.select(F.col("rname").alias("name")))
+    pairs = texts.join(cand, "lname").join(listed, "rname").select("v", "rc")
+    near = cut_lineage(pairs.where(F.bround(city_score(F.col("v"), F.col("rc"))) >= _min_score(F.length("v"))))
     fuzzy_s = best(rest.join(near, "v").join(r.select(F.col("rc"), F.col("rs").alias("s")), ["rc", "s"], "left_semi"), "fuzzy")
     fuzzy_n = best(left_by(rest, fuzzy_s).join(near, "v"), "fuzzy_national")
     matched = exact.unionByName(wild_s).unionByName(wild_n).unionByName(fuzzy_s).unionByName(fuzzy_n)

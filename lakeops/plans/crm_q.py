@@ -10,6 +10,7 @@ from lakeops import params as P
 from lakeops.operators import commercial as com
 from lakeops.operators import crm
 from lakeops.operators import entity as ER
+from lakeops.plans.name_sql import weighted_pairs
 from lakeops.plans import sqlfrag as S
 from lakeops.plans.commercial_q import SALES_VIEWS
 from lakeops.plans.oracle_views import with_views
@@ -39,12 +40,10 @@ rest AS (SELECT *, {_mk('lname_raw')} AS name FROM L WHERE lid NOT IN (SELECT li
 Rnorm AS (SELECT *, {_mk('rname_raw')} AS name FROM R),
 ln AS (SELECT DISTINCT name FROM rest WHERE length(name) >= {P.FUZZY_MIN_LENGTH}),
 rn AS (SELECT DISTINCT name FROM Rnorm WHERE length(name) >= {P.FUZZY_MIN_LENGTH}),
-sc AS (SELECT ln.name AS lname, rn.name AS rname,
-              100.0 * (1.0 - CAST(levenshtein(ln.name, rn.name) AS DOUBLE) / CAST(greatest(length(ln.name), length(rn.name)) AS DOUBLE)) AS score
-       FROM ln, rn),
+{weighted_pairs('ln', 'rn', TH)},
 best AS (SELECT lname, rname, score FROM (
            SELECT *, row_number() OVER (PARTITION BY lname ORDER BY score DESC, length(rname), rname DESC) AS k
-           FROM sc WHERE score >= {TH}) WHERE k = 1),
+           FROM sc) WHERE k = 1),
 rmin AS (SELECT name AS rname, min(rid) AS rid, arg_min(rname_raw, rid) AS rname_raw FROM Rnorm
          WHERE length(name) >= {P.FUZZY_MIN_LENGTH} GROUP BY name),
 fz AS (SELECT rest.lid, rest.lname_raw, rmin.rid, rmin.rname_raw, 'name_fuzzy' AS match_type, best.score AS match_score
@@ -107,12 +106,10 @@ WITH n AS (SELECT DISTINCT org_name AS input_name, {_mk('org_name')} AS name FRO
 m AS (SELECT partner_code, partner_name, {_mk('partner_name')} AS name FROM partner),
 ex AS (SELECT input_name, name, CAST(100.0 AS DOUBLE) AS score, 'exact' AS how FROM n WHERE name IN (SELECT name FROM m)),
 rest AS (SELECT * FROM n WHERE input_name NOT IN (SELECT input_name FROM ex)),
-ln AS (SELECT DISTINCT name FROM rest WHERE length(name) >= 3), rn AS (SELECT DISTINCT name FROM m WHERE length(name) >= 3),
-sc AS (SELECT ln.name AS lname, rn.name AS rname,
-              100.0 * (1.0 - CAST(levenshtein(ln.name, rn.name) AS DOUBLE) / CAST(greatest(length(ln.name), length(rn.name)) AS DOUBLE)) AS score
-       FROM ln, rn),
+ln AS (SELECT DISTINCT name FROM rest WHERE name <> ''), rn AS (SELECT DISTINCT name FROM m WHERE name <> ''),
+{weighted_pairs('ln', 'rn', TH)},
 best AS (SELECT lname, rname, score FROM (SELECT *, row_number() OVER (PARTITION BY lname ORDER BY score DESC, length(rname), rname DESC) AS k
-         FROM sc WHERE score >= {TH}) WHERE k = 1),
+         FROM sc) WHERE k = 1),
 fz AS (SELECT rest.input_name, best.rname AS name, best.score, 'fuzzy' AS how FROM rest JOIN best ON rest.name = best.lname),
 u AS (SELECT * FROM ex UNION ALL SELECT * FROM fz)
 SELECT u.name, u.input_name, u.score, u.how, m.partner_code FROM u JOIN m ON m.name = u.name""", "orgs", "partner"))

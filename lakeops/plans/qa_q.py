@@ -10,6 +10,7 @@ from lakeops.operators import crm, qa, quality as QL
 from lakeops.plans import sqlfrag as S
 from lakeops.plans.commercial_q import SALES_VIEWS
 from lakeops.plans.crm_q import ALERTS_SQL, C360_SQL, C360_VIEWS, _alerts, _c360
+from lakeops.plans.name_sql import ratio_sql
 from lakeops.plans.oracle_views import with_views
 from lakeops.plans.registry import register
 from lakeops.sources.driver import SALES_REF, DriverTables
@@ -221,17 +222,18 @@ _CITY_IN = """SELECT p.partner_code,
                                           || substr(p.city, CAST(p.partner_code % length(p.city) + 2 AS INTEGER))
        WHEN p.partner_code % 5 = 1 THEN substr(p.city, 1, length(p.city) - 1) ELSE p.city END AS city, p.state
 FROM partner p"""
-_RATIO = "100.0 * (1.0 - CAST(levenshtein(v, rc) AS DOUBLE) / CAST(greatest(length(v), length(rc)) AS DOUBLE))"
+_TEXT = lambda x: f"trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}_]', ' ', 'g'))"
+_RATIO = f"({ratio_sql('cv', 'cr')})"
 # literal bands, not taken from the parameters: up to 6 letters 70, up to 12 letters 80, longer 85
 _MINS = "CASE WHEN length(v) <= 6 THEN 70.0 WHEN length(v) <= 12 THEN 80.0 ELSE 85.0 END"
 CITY_SQL = f"""WITH inp AS ({_CITY_IN}),
-r AS (SELECT DISTINCT upper(n.n_name) AS rc, upper(g.r_name) AS rs FROM nation n JOIN region g ON n.n_regionkey = g.r_regionkey),
-v AS (SELECT DISTINCT upper(trim(city)) AS v, upper(state) AS s FROM inp WHERE city IS NOT NULL AND trim(city) <> ''),
+r AS (SELECT DISTINCT upper(n.n_name) AS rc, upper(g.r_name) AS rs, {_TEXT('upper(n.n_name)')} AS cr FROM nation n JOIN region g ON n.n_regionkey = g.r_regionkey),
+v AS (SELECT DISTINCT upper(trim(city)) AS v, upper(state) AS s, {_TEXT('upper(trim(city))')} AS cv FROM inp WHERE city IS NOT NULL AND trim(city) <> ''),
 m AS (SELECT v, s, rc AS fixed, 1 AS stage, 100.0 AS score FROM v JOIN r ON v.v = r.rc WHERE NOT contains(v.v, '?')
       UNION ALL SELECT v, s, rc, CASE WHEN v.s = r.rs THEN 2 ELSE 3 END, {_RATIO} FROM v, r
                 WHERE contains(v.v, '?') AND length(v.v) = length(r.rc) AND r.rc LIKE replace(v.v, '?', '_')
       UNION ALL SELECT v, s, rc, CASE WHEN v.s = r.rs THEN 4 ELSE 5 END, {_RATIO} FROM v, r
-                WHERE contains(v.v, '?') AND {_RATIO} >= {_MINS}),
+                WHERE contains(v.v, '?') AND round_even({_RATIO}, 0) >= {_MINS}),
 b AS (SELECT v, s, fixed AS city_fixed, stage FROM (
         SELECT *, row_number() OVER (PARTITION BY v, s ORDER BY stage, score DESC, fixed) AS k FROM m) WHERE k = 1)
 SELECT inp.partner_code, inp.city, inp.state, b.city_fixed,
