@@ -2,9 +2,8 @@
 the entity transform pipeline and label mapping (QLT-1..8).
 
 Term repair works on the *distinct affected values* only (values that hold the corruption marker).  The
-dictionary can be any size: a value meets only the patterns that share the characters around one of
-its markers (an equi-join on short keys and 64-bit value ids), and the replacements found are folded
-over the value in one projection.  Reports keep at most N samples per column with a two-stage bounded
+dictionary can be any size: automata over bounded parts of it read each value once, and the
+replacements found are folded over the value in one projection.  Reports keep at most N samples per column with a two-stage bounded
 top-N (per hash bucket, then per column), so a column with millions of distinct values never sorts in one task.
 """
 
@@ -12,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,29 +42,95 @@ def build_dictionary(texts: DataFrame, col: str, min_length: int = 4) -> DataFra
     return best.select("pattern", F.col("b.token").alias("replacement"))
 
 
-def _contexts(c: str, last: str = "size(p) - 2") -> Column:
-    """(left, right) of the markers of a text: up to two characters on each side, as the pieces between markers give them."""
-    left = "right(concat(if(j > 0, concat(right(p[j - 1], 1), '?'), ''), p[j]), 2)"
-    right = "left(concat(p[j + 1], if(j + 2 < size(p), concat('?', left(p[j + 2], 1)), '')), 2)"
-    return F.expr(f"transform(array(split(if(contains({c}, '?'), {c}, '?'), '[?]', -1)), p -> transform(sequence(0, {last}), j -> "
-                  f"struct({left} AS l, {right} AS r)))[0]")
+PART_PATTERNS = 50_000  # patterns of one automaton
+SLICE_CHARS = 4_000_000  # characters of the values that one automaton reads in a task
+FOUND = "_id long, _found array<struct<n: int, pattern: string, replacement: string>>"
+
+
+def _found_in(t: pa.Table) -> pa.Table:
+    """Patterns (kind 0) that occur in each value (kind 1) of a task: one automaton, one pass over each value."""
+    import ahocorasick
+
+    rows = t.select(["kind", "id", "text", "replacement"]).to_pylist()
+    replacements: dict[str, list[str]] = {}
+    for r in rows:
+        if r["kind"] == 0:
+            replacements.setdefault(r["text"], []).append(r["replacement"])
+    ids, found = [], []
+    if replacements:
+        automaton = ahocorasick.Automaton()
+        for pattern in replacements:
+            automaton.add_word(pattern, pattern)
+        automaton.make_automaton()
+        for r in rows:
+            if r["kind"] == 1 and (hits := {pattern for _, pattern in automaton.iter(r["text"])}):
+                ids.append(r["id"])
+                found.append([{"n": -len(p), "pattern": p, "replacement": x} for p in hits for x in replacements[p]])
+    kind = pa.list_(pa.struct([("n", pa.int32()), ("pattern", pa.string()), ("replacement", pa.string())]))
+    return pa.table({"_id": pa.array(ids, pa.int64()), "_found": pa.array(found, kind)})
+
+
+def _folded(value: str, found: list[tuple[int, str, str]], one_by_one: int = 20_000_000) -> str:
+    """``value`` with the found (-length, pattern, replacement) replaced one after the other.
+
+    Where that would read the value too often, all occurrences are taken in one pass of an automaton.  This is the same if the replacements
+    are as long as their patterns and what they change is in no pattern: a match is then one of the value as it was, none of whose
+    characters has been changed before.  If that does not hold, they are replaced one after the other all the same.
+    """
+    found = sorted(set(found))
+    if len(found) * len(value) > one_by_one:
+        changes = {p: [i for i, (a, b) in enumerate(zip(p, r, strict=False)) if a != b] for _, p, r in found}
+        new = {r[i] for _, p, r in found for i in changes[p]}
+        if len(changes) == len(found) and all(len(p) == len(r) for _, p, r in found) and not new & {c for _, p, _ in found for c in p}:
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for rank, (_, p, r) in enumerate(found):
+                automaton.add_word(p, (rank, p, r))
+            automaton.make_automaton()
+            text, changed, last = list(value), bytearray(len(value)), (-1, 0)
+            for rank, start, p, r in sorted((rank, end - len(p) + 1, p, r) for end, (rank, p, r) in automaton.iter(value)):
+                n = len(p)
+                if (rank == last[0] and start < last[1]) or changed.find(1, start, start + n) >= 0:
+                    continue  # overlaps the occurrence before it, or is no longer there
+                last = (rank, start + n)
+                for i in changes[p]:
+                    text[start + i], changed[start + i] = r[i], 1
+            return "".join(text)
+    for _, pattern, replacement in found:
+        value = value.replace(pattern, replacement)
+    return value
+
+
+def _fold(batches):
+    for batch in batches:
+        values, found = batch.column("_v").to_pylist(), batch.column("_found").to_pylist()
+        fixed = [_folded(v, [(f["n"], f["pattern"], f["replacement"]) for f in fs]) for v, fs in zip(values, found, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_v"), pa.array(fixed, pa.string())], names=["_id", "_v", "_fixed"])
 
 
 def repair_terms(df: DataFrame, col: str, dictionary: DataFrame, out: str | None = None) -> DataFrame:
     """QLT-1: replace every occurrence of the dictionary's patterns in ``col`` (pattern -> replacement), longest pattern
-    first and of equal ones in order of text, as a literal substring; values without the marker stay as they are."""
+    first and of equal ones in order of text, as a literal substring; values without the marker stay as they are.
+
+    The patterns found in a value as it is are folded over it.  They are found by automata (tries with failure links), each over a part of the
+    dictionary of PART_PATTERNS patterns at most: a part meets each slice of the distinct affected values in a task of its own, so neither
+    the dictionary nor the values are bounded.
+    """
     out = out or col
-    pats = dictionary.where(F.col("pattern").contains(MARKER)).select("pattern", "replacement").distinct()
-    # a pattern is found by what surrounds its first marker; one that begins or ends there has a shorter key
-    keyed = pats.withColumn("k", _contexts("pattern", "0")[0]).select("pattern", "replacement", F.col("k.l").alias("l"), F.col("k.r").alias("r"))
-    values = df.select(F.col(col).alias("_v")).where(F.col("_v").contains(MARKER)).distinct().withColumn("_id", F.xxhash64("_v"))
-    around = values.select("_id", F.explode(F.array_distinct(_contexts("_v"))).alias("k"))
-    ends = [F.struct(F.expr(f"right(k.l, {i})").alias("l"), F.expr(f"left(k.r, {j})").alias("r")) for i in range(3) for j in range(3)]
-    keys = around.select("_id", F.explode(F.array_distinct(F.array(*ends))).alias("e")).select("_id", "e.l", "e.r").distinct()
-    found = keys.join(keyed, ["l", "r"]).groupBy("_id").agg(
-        F.collect_set(F.struct((-F.length("pattern")).alias("n"), "pattern", "replacement")).alias("_found"))
-    fold = F.expr("aggregate(array_sort(filter(_found, c -> contains(_v, c.pattern))), _v, (acc, c) -> replace(acc, c.pattern, c.replacement))")
-    fixed = values.join(found, "_id").select("_id", "_v", fold.alias("_fixed"))
+    pats = cut_lineage(dictionary.where(F.col("pattern").contains(MARKER)).select("pattern", "replacement").distinct())
+    values = cut_lineage(df.select(F.col(col).alias("_v")).where(F.col("_v").contains(MARKER)).distinct().withColumn("_id", F.xxhash64("_v")))
+    parts = max(1, -(-pats.count() // PART_PATTERNS))
+    n, chars = values.agg(F.count(F.lit(1)), F.sum(F.length("_v"))).first()
+    slices = max(1, -(-(chars or 0) // SLICE_CHARS), min(8, n // 64))
+    each = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    left = pats.select(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), F.col("pattern").alias("text"), "replacement",
+                       F.pmod(F.xxhash64("pattern"), F.lit(parts)).cast("int").alias("part"), each(slices).alias("slice"))
+    right = values.select(F.lit(1).alias("kind"), F.col("_id").alias("id"), F.col("_v").alias("text"), F.lit(None).cast("string").alias("replacement"),
+                          each(parts).alias("part"), F.pmod("_id", F.lit(slices)).cast("int").alias("slice"))
+    found = (left.unionByName(right).groupBy("part", "slice").applyInArrow(_found_in, FOUND)
+             .groupBy("_id").agg(F.flatten(F.collect_list("_found")).alias("_found")))
+    fixed = values.join(found, "_id").select("_id", "_v", "_found").mapInArrow(_fold, "_id long, _v string, _fixed string")
     j = df.join(fixed, (F.xxhash64(df[col]) == fixed["_id"]) & (df[col] == fixed["_v"]), "left")
     return j.withColumn(out, F.coalesce(F.col("_fixed"), F.col(col))).drop("_id", "_v", "_fixed")
 
@@ -156,7 +222,7 @@ def unresolved_report(df: DataFrame, cols: Sequence[str], marker: str = MARKER,
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])).alias("x")).select("x.*").where(F.col("value").contains(marker))
     counts = long.groupBy("column").agg(F.count("*").alias("unresolved"))
-    dv = long.distinct().withColumn("_b", F.abs(F.xxhash64("value")) % buckets)
+    dv = long.distinct().withColumn("_b", F.pmod(F.xxhash64("value"), F.lit(buckets)))
     w1 = Window.partitionBy("column", "_b").orderBy("value")
     stage1 = dv.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= samples)
     w2 = Window.partitionBy("column").orderBy("value")

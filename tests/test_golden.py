@@ -50,6 +50,53 @@ def test_terms_are_replaced_inside_words_longest_first(spark):
     assert [r.fixed for r in got] == want
 
 
+@pytest.mark.parametrize("part,chars", [(50_000, 4_000_000), (3, 10)])
+def test_terms_against_plain_replacement(spark, monkeypatch, part, chars):
+    import random
+
+    monkeypatch.setattr(quality, "PART_PATTERNS", part)
+    monkeypatch.setattr(quality, "SLICE_CHARS", chars)
+    rng = random.Random(6)
+    pats = {"".join(rng.choice("ab?") for _ in range(rng.randrange(1, 6))) for _ in range(40)}
+    pats = [(p, p.replace("?", "é")) for p in pats] + [("x", "never: no marker"), ("a?b", "second")]
+    rows = ["".join(rng.choice("ab? ") for _ in range(rng.randrange(0, 40))) for _ in range(120)] + [None, "", "?", "no marker x"] + ["a?b a?b"] * 5
+    found = lambda t: sorted({(-len(p), p, r) for p, r in pats if "?" in p and p in t})
+
+    def plain(t):
+        out = t
+        for _, p, r in found(t) if t and "?" in t else ():
+            out = out.replace(p, r)
+        return out
+
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").repartition(3)
+    got = quality.repair_terms(df, "t", spark.createDataFrame(pats, "pattern string, replacement string"), out="fixed").orderBy("i").collect()
+    assert [r.fixed for r in got] == [plain(t) for t in rows]
+
+
+def test_terms_in_one_pass_equal_those_one_by_one():
+    import random
+
+    rng = random.Random(9)
+    for _ in range(300):
+        pats = {"".join(rng.choice("ab?") for _ in range(rng.randrange(1, 5))) for _ in range(6)}
+        value = "".join(rng.choice("ab?") for _ in range(60))
+        found = [(-len(p), p, p.replace("?", "é")) for p in pats if "?" in p and p in value]
+        assert quality._folded(value, found, 0) == quality._folded(value, found)
+    # what a replacement brings in is in another pattern: one after the other
+    assert quality._folded("x?y", [(-2, "x?", "xb"), (-1, "b", "c")], 0) == "xcy"
+
+
+def test_terms_with_a_large_dictionary_and_a_long_value(spark):
+    """100,000 patterns and a value of over 1 MB; an empty dictionary changes nothing."""
+    pats = spark.range(100_000).select(F.concat(F.lit("w?"), F.col("id").cast("string"), F.lit("!")).alias("pattern"), F.concat(F.lit("wé"), F.col("id").cast("string"), F.lit("!")).alias("replacement"))
+    long = " ".join(f"w?{i}!" for i in range(0, 140_000))
+    df = spark.createDataFrame([(0, long), (1, "w?99999! and w?100000!"), (2, "w?1")], "i int, t string")
+    got = [r.t for r in quality.repair_terms(df, "t", pats).orderBy("i").collect()]
+    assert len(long) > 1_000_000 and got[0] == " ".join(f"w{'é' if i < 100_000 else '?'}{i}!" for i in range(140_000))
+    assert got[1:] == ["wé99999! and w?100000!", "w?1"]
+    assert quality.repair_terms(df, "t", pats.limit(0)).filter("t LIKE '%é%'").count() == 0
+
+
 def test_share_keeps_rows_without_a_key(spark):
     df = spark.createDataFrame([("a", D("30"), 1), ("a", D("10"), 2), (None, D("1"), 3), (None, D("3"), 4)], "k string, v decimal(18,2), i int")
     got = {r.i: r.share for r in finance.share_of(df, "v", "k").collect()}
