@@ -8,6 +8,9 @@ aggregate joined back (broadcast), not an unpartitioned window.
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +50,28 @@ def business_days(months: DataFrame, holidays: DataFrame, ref: str | None = None
     return g
 
 
+def weekdays_before(day: Column) -> Column:
+    """Number of days from Monday to Friday before ``day``, counted from a Monday long ago."""
+    n = F.datediff(day, F.lit("1800-01-06").cast("date"))  # a Monday
+    week = F.floor(n / F.lit(7))
+    return (week * 5 + F.least(n - week * 7, F.lit(5))).cast("long")
+
+
+def busday_count(start: Column, end: Column, holidays: Sequence[str] = ()) -> Column:
+    """Business days from ``start`` (included) to ``end`` (not included), for any two date columns; null if one is.
+
+    Weekdays are counted in closed form and holidays that fall on weekdays taken off (a short fixed list, a parameter).  If ``end`` is the
+    earlier one the count is negative, over the days after ``end`` up to and with ``start``.
+    """
+    off = sorted({d for h in holidays if (d := datetime.date.fromisoformat(h)).weekday() < 5})
+    back = end < start
+    a, b = F.when(back, F.date_add(end, 1)).otherwise(start), F.when(back, F.date_add(start, 1)).otherwise(end)
+    days = weekdays_before(b) - weekdays_before(a)
+    if off:
+        days = days - F.size(F.filter(F.array(*(F.lit(d) for d in off)), lambda h: (h >= a) & (h < b)))
+    return F.when(start.isNotNull() & end.isNotNull(), F.when(back, -days).otherwise(days)).cast("long")
+
+
 def target_vs_actual(sales: DataFrame, targets: DataFrame, month: str) -> DataFrame:
     """A-COM-28: per view (GERAL and each channel): realised, target, % and gap for the month."""
     m = F.lit(month).cast("date")

@@ -343,3 +343,19 @@ SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, revenue,
 FROM j WHERE year IN (1999, 2000, 2001)""", "sales_order", "nature"))
 def q_revenue_matrix(spark, sf):
     return TG.revenue_matrix(_ds(_T(spark, sf)), [1999, 2000, 2001], SALES_REF)
+
+
+# business days between an order and its invoice, both ways, by listing the days of the span
+@register("order_business_days", with_views(f"""WITH h AS (SELECT CAST(holiday AS DATE) AS holiday FROM ({HOL_SQL})),
+span AS (SELECT min(least(order_date, invoice_date)) AS lo, max(greatest(order_date, invoice_date)) AS hi FROM sales_order),
+d AS (SELECT CAST(unnest(generate_series(lo, hi + 2, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+cum AS (SELECT day, SUM(CASE WHEN dayofweek(day) BETWEEN 1 AND 5 AND day NOT IN (SELECT holiday FROM h) THEN 1 ELSE 0 END)
+                    OVER (ORDER BY day) AS upto FROM d),
+c AS (SELECT day, upto, COALESCE(lag(upto) OVER (ORDER BY day), 0) AS before FROM cum)
+SELECT o.order_number, o.order_date, o.invoice_date,
+       CAST(CASE WHEN o.invoice_date >= o.order_date THEN i.before - s.before ELSE i.upto - s.upto END AS BIGINT) AS days_to_invoice,
+       CAST(CASE WHEN o.order_date >= o.invoice_date THEN s.before - i.before ELSE s.upto - i.upto END AS BIGINT) AS days_back
+FROM sales_order o LEFT JOIN c s ON s.day = o.order_date LEFT JOIN c i ON i.day = o.invoice_date""", "sales_order"))
+def q_order_business_days(spark, sf):
+    o, a, b = _T(spark, sf).sales_order, F.col("order_date"), F.col("invoice_date")
+    return o.select("order_number", a, b, TG.busday_count(a, b, TG.HOLIDAYS_2001).alias("days_to_invoice"), TG.busday_count(b, a, TG.HOLIDAYS_2001).alias("days_back"))

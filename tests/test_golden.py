@@ -97,6 +97,23 @@ def test_terms_with_a_large_dictionary_and_a_long_value(spark):
     assert quality.repair_terms(df, "t", pats.limit(0)).filter("t LIKE '%é%'").count() == 0
 
 
+def test_business_days_between_any_two_dates(spark):
+    import datetime
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    pairs = [tuple(datetime.date(1999, 1, 1) + datetime.timedelta(days=rng.randrange(-90_000 if i % 5 == 0 else 0, 1500)) for _ in range(2)) for i in range(300)]
+    df = spark.createDataFrame([*pairs, (None, pairs[0][0]), (pairs[0][0], None)], "a date, b date")
+    got = df.select("a", "b", targets.busday_count(F.col("a"), F.col("b"), targets.HOLIDAYS_2001).alias("n"), targets.busday_count(F.col("a"), F.col("b")).alias("m")).collect()
+    for r in got:
+        if r.a is None or r.b is None:
+            assert r.n is None and r.m is None
+        else:
+            assert (r.n, r.m) == (np.busday_count(r.a, r.b, holidays=targets.HOLIDAYS_2001), np.busday_count(r.a, r.b))
+
+
 def test_share_keeps_rows_without_a_key(spark):
     df = spark.createDataFrame([("a", D("30"), 1), ("a", D("10"), 2), (None, D("1"), 3), (None, D("3"), 4)], "k string, v decimal(18,2), i int")
     got = {r.i: r.share for r in finance.share_of(df, "v", "k").collect()}
