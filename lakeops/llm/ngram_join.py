@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.components import connected_components
 from lakeops.llm.staging import staged
-from lakeops.llm.words import Hasher, mix, releasing, shingle_sets, word_chunks
+from lakeops.llm.words import Hasher, mix, release_memory, releasing, shingle_sets, word_chunks
 
 SHINGLE = 5
 HOT_FROM = 64  # documents that have a shingle, as far as tasks saw it, from which on it is hot
@@ -118,6 +118,7 @@ def classes(docs: DataFrame, k: int, measure=None, measures: tuple[str, ...] = (
             if size >= HELD:
                 yield listed()
                 held, size, seen = [], 0, set()
+                release_memory()  # what counting them has needed, before the next batch
         if held:
             yield listed()
 
