@@ -15,6 +15,7 @@ from lakeops.plans.registry import register
 from lakeops.session import ensure_checkpoint_dir
 from lakeops.sources import readers as R
 from lakeops.sources import sinks as SK
+from lakeops.streaming import bucketed as BK
 from lakeops.streaming import upsert as UP
 
 
@@ -175,6 +176,17 @@ def q_incremental(spark, sf):
     return _cycle(spark, sf)[1]
 
 
+@register("merge_buckets", f"""SELECT order_key, customer_key, order_date, CAST(total + CASE WHEN total > 200000 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS total,
+  CASE WHEN total > 200000 THEN 2 ELSE 1 END AS version FROM ({ORDERS}) o""")
+def q_merge_buckets(spark, sf):
+    """CDC-1, INC-12 on the bucketed table: changed orders come first, then all of them in their older version, which changes none of those."""
+    root, o = _place(spark, "buckets"), _orders(spark, sf).withColumn("version", F.lit(1))
+    changed = o.where("total > 200000").withColumns({"total": (F.col("total") + 1).cast("decimal(18,2)"), "version": F.lit(2)})
+    for delta in (changed, o):
+        BK.merge(delta, root, ["order_key"], ["version"], o.schema, newest=True)
+    return BK.read(spark, root, o.schema)
+
+
 @register("run_log", f"""SELECT 'orders' AS entity, 'ok' AS status, 'incremental' AS mode, COUNT(*) FILTER (total > 200000) AS rows_extracted, COUNT(*) AS rows_loaded
   FROM ({ORDERS}) o""")
 def q_run_log(spark, sf):

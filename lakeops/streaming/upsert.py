@@ -3,8 +3,8 @@
 A file stream of delta extracts drives ``foreachBatch``:
 
 1. dedup inside the micro-batch (latest row per key, partial aggregate);
-2. read the current target version, upsert (anti-join + union), write the
-   result to a *new* version directory ``v=<number>`` (never the one being read);
+2. merge it into the buckets of the target that its keys fall in, and commit a new version (``streaming/bucketed.py``);
+   of a key the row with the highest order stays, so rows that come late do not overwrite newer ones;
 3. stamp the watermark (max event time of the batch) after the write;
 4. mark the batch as done, under the id of its stream and its epoch.
 
@@ -24,49 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators import cdc
 from lakeops.session import ensure_checkpoint_dir
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+from lakeops.streaming import bucketed
 
 
 def list_versions(spark: SparkSession, root: str) -> list[str]:
-    """Committed version directories (``v=...`` with ``_SUCCESS``), oldest first (metadata only)."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(name)
-    return sorted(out)
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    v = list_versions(spark, root)
-    return f"{root.rstrip('/')}/{v[-1]}" if v else None
+    """Committed versions of the target (``v=...``), oldest first (metadata only)."""
+    return bucketed.versions(spark, root)
 
 
 def read_target(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    path = latest_version(spark, root)
-    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
-
-
-def _next_version(spark: SparkSession, root: str) -> str:
-    versions = list_versions(spark, root)
-    return f"{root.rstrip('/')}/v={int(versions[-1].split('=')[1]) + 1 if versions else 0:012d}"
-
-
-def _drop_old(spark: SparkSession, root: str, keep: int) -> None:
-    """Delete all but the last ``keep`` committed versions."""
-    for name in list_versions(spark, root)[:-keep]:
-        fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{name}")
-        fs.delete(p, True)
+    return bucketed.read(spark, root, schema)
 
 
 def _stamp(rows: DataFrame, watermark_col: str, control_path: str, entity: str, epoch: int) -> None:
@@ -77,30 +45,30 @@ def _stamp(rows: DataFrame, watermark_col: str, control_path: str, entity: str,
 
 def upsert_batch(batch: DataFrame, epoch_id: int, *, root: str, keys: Sequence[str], order_by: Sequence[str],
                  schema: T.StructType, watermark_col: str | None = None, control_path: str | None = None,
-                 entity: str = "entity", run_id: str | None = None, keep_versions: int = 3) -> str | None:
-    """The ``foreachBatch`` body (also callable directly for a batch run): the version written, None if the batch is done.
+                 entity: str = "entity", run_id: str | None = None, keep_versions: int = 3, newest: bool = True,
+                 n_buckets: int = bucketed.N_BUCKETS) -> str | None:
+    """The ``foreachBatch`` body (also callable directly for a batch run): the version written, None if the batch is done
+    or empty.
 
     ``run_id`` and the epoch name the batch; inside a stream the id is that of the query, which its checkpoint keeps.
+    Without ``newest`` the batch's row replaces the target's whatever their order.
     """
     spark = batch.sparkSession
     run = run_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or uuid.uuid4().hex
-    fs, mark, _ = _fs(spark, f"{root.rstrip('/')}/_batches/{run}-{epoch_id}")
+    fs, mark, _ = bucketed.filesystem(spark, f"{root.rstrip('/')}/_batches/{run}-{epoch_id}")
     if fs.exists(mark):
         return None
-    delta = cdc.one_per_key(batch.select(*schema.fieldNames()), list(keys), list(order_by))
-    target = read_target(spark, root, schema)
-    version = _next_version(spark, root)
-    cdc.upsert(target, delta, list(keys)).write.mode("overwrite").parquet(version)
-    if watermark_col and control_path:
-        _stamp(delta, watermark_col, control_path, entity, epoch_id)
+    version = bucketed.merge(batch, root, keys, order_by, schema, newest=newest, n_buckets=n_buckets)
+    if version and watermark_col and control_path:
+        _stamp(batch, watermark_col, control_path, entity, epoch_id)
     fs.mkdirs(mark)
-    _drop_old(spark, root, keep_versions)
+    bucketed.drop_old(spark, root, keep_versions)
     return version
 
 
 def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType, root: str, keys: Sequence[str],
                   order_by: Sequence[str], *, name: str = "upsert", watermark_col: str | None = None,
-                  control_path: str | None = None, max_files_per_trigger: int | None = None):
+                  control_path: str | None = None, max_files_per_trigger: int | None = None, n_buckets: int = bucketed.N_BUCKETS):
     """Start the stream (``availableNow``) and return the ``StreamingQuery``."""
     ckpt_root = ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(schema).format("parquet")
@@ -110,7 +78,7 @@ def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType, r
 
     def body(df, epoch_id):
         upsert_batch(df, epoch_id, root=root, keys=keys, order_by=order_by, schema=schema, watermark_col=watermark_col,
-                     control_path=control_path, entity=name)
+                     control_path=control_path, entity=name, n_buckets=n_buckets)
 
     return (src.writeStream.foreachBatch(body).option("checkpointLocation", f"{ckpt_root.rstrip('/')}/stream-{name}")
             .trigger(availableNow=True).queryName(name).start())
@@ -118,7 +86,7 @@ def stream_upsert(spark: SparkSession, source_path: str, schema: T.StructType, r
 
 def read_control(spark: SparkSession, control_path: str, entity: str):
     """INC-1 on the control table: the last stamped watermark of an entity (None if never stamped)."""
-    fs, p, _ = _fs(spark, control_path)
+    fs, p, _ = bucketed.filesystem(spark, control_path)
     if not fs.exists(p):
         return None
     row = spark.read.parquet(control_path).where(F.col("entity") == entity).agg(F.max("watermark").alias("w")).first()
@@ -127,7 +95,7 @@ def read_control(spark: SparkSession, control_path: str, entity: str):
 
 def run_entity(spark: SparkSession, extract: DataFrame, *, root: str, keys: Sequence[str], order_by: Sequence[str],
                watermark_col: str, control_path: str, entity: str, incremental: bool = True,
-               overlap_days: int = 1, exclusion_col: str | None = None) -> dict:
+               overlap_days: int = 1, exclusion_col: str | None = None, n_buckets: int = bucketed.N_BUCKETS) -> dict:
     """INC-4: one incremental cycle of an entity.
 
     lower bound = last watermark - overlap (none => backfill) -> delta -> upsert into a new
@@ -150,10 +118,9 @@ def run_entity(spark: SparkSession, extract: DataFrame, *, root: str, keys: Sequ
     if delta.isEmpty():
         return {"entity": entity, "status": "skipped", "mode": mode, "version": None}
     if mode == "full":
-        version = _next_version(spark, root)
-        cdc.one_per_key(delta, list(keys), list(order_by)).write.mode("overwrite").parquet(version)
+        version = bucketed.overwrite(delta, root, keys, order_by, n_buckets)
         _stamp(delta, watermark_col, control_path, entity, int(version.rsplit("=", 1)[1]))
     else:
         version = upsert_batch(delta, 0, root=root, keys=keys, order_by=order_by, schema=schema, watermark_col=watermark_col,
-                               control_path=control_path, entity=entity, run_id=uuid.uuid4().hex)
+                               control_path=control_path, entity=entity, run_id=uuid.uuid4().hex, newest=False)
     return {"entity": entity, "status": "ok", "mode": mode, "version": version}

@@ -70,11 +70,11 @@ M = [
     ("SET-2", "unionByName padded", "titles_open"), ("SET-3", "functions.aggregations.union_distinct / distinct_codes", "distinct_codes"),
     ("SET-4", "operators.cdc.compare_keys", "compare_portfolio_buyers"),
     ("INC-1", "operators.increment.max_watermark", "max_watermark, max_watermark_date"), ("INC-2", "operators.increment.set_watermarks", "watermark_control"),
-    ("INC-4", "streaming.upsert.run_entity", "incremental_orders"), ("INC-5", "operators.increment.read_watermarks", "read_watermarks"),
+    ("INC-4", "streaming.upsert.run_entity, streaming.bucketed", "incremental_orders"), ("INC-5", "operators.increment.read_watermarks", "read_watermarks"),
     ("INC-6", "operators.increment.batch_max_event", "batch_max_event"), ("INC-7", "operators.increment.record_run", "run_log"),
     ("INC-8", "operators.increment.run_summary / slowest_runs", "run_summary, slowest_runs"), ("INC-9", "operators.increment.freshness", "freshness"),
     ("INC-10", "operators.increment.freshness_status", "freshness_status"), ("INC-11", "operators.increment.runs_digest", "runs_digest"),
-    ("INC-12", "streaming.upsert.stream_upsert", "stream_orders"),
+    ("INC-12", "streaming.upsert.stream_upsert, streaming.bucketed.merge", "stream_orders, merge_buckets"),
     ("INC-13", "operators.increment.last_load", "last_load"),
     ("A-COM-1", "commercial.silver_sales", "silver_sales"), ("A-COM-2", "commercial.rfv_base", "rfv_base, rfv_base_hybrid"),
     ("A-COM-3", "commercial.rfv_score", "rfv_score"), ("A-COM-4", "commercial.rfv_summary", "rfv_summary, rfv_summary_36m"),
