@@ -90,6 +90,16 @@ def q_partitioned(spark, sf):
     return t.groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("orders"), F.sum("total").cast("decimal(18,2)").alias("total"))
 
 
+@register("clustered_orders", f"""SELECT strftime(order_date, '%Y-%m') AS month, customer_key, COUNT(*) AS orders, CAST(SUM(total) AS DECIMAL(18,2)) AS total
+  FROM ({ORDERS}) o GROUP BY 1, 2""")
+def q_clustered(spark, sf):
+    """SNK-4: month partitions whose files lie on a Z-order curve over customer and value."""
+    path = _place(spark, "zorder")
+    SK.write_partitioned(_orders(spark, sf), path, "order_date", cluster=["customer_key", "total"])
+    t = spark.read.parquet(path)
+    return t.groupBy(F.col("month").cast("string").alias("month"), "customer_key").agg(F.count("*").alias("orders"), F.sum("total").cast("decimal(18,2)").alias("total"))
+
+
 STAMP = "2024-01-31 08:30:00"
 
 

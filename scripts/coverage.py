@@ -14,7 +14,7 @@ M = [
     ("SNK-1", "sources.sinks.write_full", "reload_orders"),
     ("SNK-2", "sources.sinks.write_full_guarded", "guarded_reload"),
     ("SNK-3", "sources.sinks.write_append", "append_orders"),
-    ("SNK-4", "sources.sinks.write_partitioned, sources.layers.materialize", "partitioned_orders"),
+    ("SNK-4", "sources.sinks.write_partitioned, sources.layers.materialize", "partitioned_orders, clustered_orders"),
     ("SNK-5", "sources.sinks.validate_counts", "validate_counts"),
     ("PRJ-1", "operators.projection.cast_to_schema", "cast_to_schema"), ("PRJ-2", "operators.projection.clean_strings", "clean_strings"),
     ("PRJ-3", "operators.cdc.dedup / one_per_key", "dedup_report, dedup_latest_per_key"),
