@@ -135,7 +135,7 @@ def build_catalog(files: DataFrame, extensions: Sequence[str], official_folders:
     if official_folders is None:
         return df.withColumn("is_official", F.lit(False))
     off = official_folders.select("directory").distinct().withColumn("_off", F.lit(True))
-    return df.join(F.broadcast(off), "directory", "left").withColumn(
+    return df.join(off, "directory", "left").withColumn(
         "is_official", F.coalesce("_off", F.lit(False))).drop("_off")
 
 
