@@ -148,7 +148,7 @@ def won_by_owner(deals: DataFrame, users: DataFrame, month: str, day: str) -> Da
     g = d.groupBy(F.col("owner_id").alias("user_id")).agg(
         C.money(F.coalesce(F.sum(F.when(F.trunc(wd, "month") == F.lit(month).cast("date"), F.col("value"))), F.lit(0))).alias("won_month"),
         C.money(F.coalesce(F.sum(F.when(wd == F.lit(day).cast("date"), F.col("value"))), F.lit(0))).alias("won_day"))
-    return g.join(F.broadcast(users.select("user_id", "user_name")), "user_id", "left")
+    return g.join(users.select("user_id", "user_name"), "user_id", "left")
 
 
 def owner_rates(deals: DataFrame) -> DataFrame:
@@ -244,7 +244,7 @@ def performance_indicators(deals: DataFrame, activities: DataFrame, orders: Data
     def within(day):
         return F.coalesce((day >= m) & (day < end), F.lit(False))
 
-    who = F.broadcast(users.select(F.col("user_id").alias("_uid"), "salesperson_name"))
+    who = users.select(F.col("user_id").alias("_uid"), "salesperson_name")
     done = F.coalesce("done", F.lit(False))
     a = com.date_range(activities, "due_date", (m, end)).join(who, F.col("user_id") == F.col("_uid"))
     aa = a.groupBy("salesperson_name").agg(*(C.count_if(F.col("type").isin(*v) & done).alias(k) for k, v in kinds.items()), F.count("*").alias("activities"))
