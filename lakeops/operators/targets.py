@@ -72,6 +72,26 @@ def busday_count(start: Column, end: Column, holidays: Sequence[str] = ()) -> Co
     return F.when(start.isNotNull() & end.isNotNull(), F.when(back, -days).otherwise(days)).cast("long")
 
 
+def add_busdays(day: Column, n: Column | int, holidays: Sequence[str] = ()) -> Column:
+    """The business day ``n`` business days after ``day`` (before it, if negative), for any date and integer columns; null if one is.
+
+    A day that is no business day counts as the next one, so ``n = 0`` gives the first business day from ``day`` on.
+    Business days are numbered through: weekdays in closed form, less the holidays on weekdays before them (a short fixed
+    list).  The weekday with number k of those that are left is k + the number of holidays whose own number, less the
+    holidays before it, is at most k; so no day is stepped through.
+    """
+    off = sorted({d for h in holidays if (d := datetime.date.fromisoformat(h)).weekday() < 5})
+    n = n if isinstance(n, Column) else F.lit(n)
+    k = weekdays_before(day) + n
+    if off:
+        k = k - F.size(F.filter(F.array(*(F.lit(d) for d in off)), lambda h: h < day))
+        monday = datetime.date(1800, 1, 6)
+        numbers = [(d - monday).days // 7 * 5 + d.weekday() - i for i, d in enumerate(off)]
+        k = k + F.size(F.filter(F.array(*(F.lit(w).cast("long") for w in numbers)), lambda w: w <= k))
+    week = F.floor(k / F.lit(5))
+    return F.when(day.isNotNull() & n.isNotNull(), F.date_add(F.lit("1800-01-06").cast("date"), (week * 7 + k - week * 5).cast("int")))
+
+
 def target_vs_actual(sales: DataFrame, targets: DataFrame, month: str) -> DataFrame:
     """A-COM-28: per view (GERAL and each channel): realised, target, % and gap for the month."""
     m = F.lit(month).cast("date")

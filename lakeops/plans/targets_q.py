@@ -359,3 +359,18 @@ FROM sales_order o LEFT JOIN c s ON s.day = o.order_date LEFT JOIN c i ON i.day
 def q_order_business_days(spark, sf):
     o, a, b = _T(spark, sf).sales_order, F.col("order_date"), F.col("invoice_date")
     return o.select("order_number", a, b, TG.busday_count(a, b, TG.HOLIDAYS_2001).alias("days_to_invoice"), TG.busday_count(b, a, TG.HOLIDAYS_2001).alias("days_back"))
+
+
+# business days after and before the order date, by numbering the business days
+@register("order_due_days", with_views(f"""WITH h AS (SELECT CAST(holiday AS DATE) AS holiday FROM ({HOL_SQL})),
+span AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM sales_order),
+d AS (SELECT CAST(unnest(generate_series(lo - 40, hi + 40, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+b AS (SELECT day, dayofweek(day) BETWEEN 1 AND 5 AND day NOT IN (SELECT holiday FROM h) AS open FROM d),
+k AS (SELECT day, open, SUM(CASE WHEN open THEN 1 ELSE 0 END) OVER (ORDER BY day) - CASE WHEN open THEN 1 ELSE 0 END AS k FROM b),
+o AS (SELECT s.order_number, s.order_date, k.k FROM sales_order s LEFT JOIN k ON k.day = s.order_date)
+SELECT o.order_number, o.order_date, z.day AS opens, d.day AS due, r.day AS remind
+FROM o LEFT JOIN k z ON z.open AND z.k = o.k LEFT JOIN k d ON d.open AND d.k = o.k + 10 LEFT JOIN k r ON r.open AND r.k = o.k - 3""", "sales_order"))
+def q_order_due_days(spark, sf):
+    day, off = F.col("order_date"), TG.HOLIDAYS_2001
+    return _T(spark, sf).sales_order.select("order_number", day, TG.add_busdays(day, 0, off).alias("opens"), TG.add_busdays(day, 10, off).alias("due"),
+                                            TG.add_busdays(day, -3, off).alias("remind"))
