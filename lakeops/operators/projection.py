@@ -78,6 +78,34 @@ def add_seq_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     return ranged.join(F.broadcast(offs), "_range").select(*df.columns, (F.col("_off") + F.col("_place") + F.lit(1)).alias(name))
 
 
+def running_totals(df: DataFrame, value: str, order_by: Sequence, *, total: str = "running", position: str | None = "position",
+                   overall: str | None = None) -> DataFrame:
+    """WIN-6 / WIN-9: running total of a number over all rows in ``order_by`` order, without a single-partition window.
+
+    Adds the total up to and with each row, the row's place from 1 on (``position``), and the sum of all rows (``overall``).
+    Null values add nothing; the total is null before the first value, as in a window.  Rows that ``order_by`` does not
+    tell apart come in any order, fixed once written, and are spread over ranges, so no tie fills one task.  Decimals are summed exactly; a
+    fractional type is summed as double.
+
+    Rows are dealt into ranges of the order and written once with their place; each range's sum and size (one row per
+    range) are accumulated and joined back; inside a range a window adds up to its end.
+    """
+    place = F.monotonically_increasing_id()
+    order = [c if isinstance(c, Column) else F.col(c) for c in order_by]
+    ranged = cut_lineage(df.withColumn("_tie", F.rand(1)).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+                         .withColumns({"_range": F.shiftright(place, 33), "_place": place.bitwiseAND(F.lit((1 << 33) - 1))}))
+    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"), F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_range", F.sum("_sum").over(before).alias("_off"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"),
+                          F.sum("_sum").over(Window.partitionBy(F.lit(1))).alias("_all"))
+    inside = F.sum(value).over(Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+    out = ranged.withColumn("_in", inside).join(F.broadcast(offsets), "_range").withColumn("_in", F.coalesce(F.col("_in") + F.col("_off"), F.col("_in"), F.col("_off")))
+    extra = [F.col("_in").alias(total)]
+    extra += [(F.col("_first") + F.col("_place") + F.lit(1)).alias(position)] if position else []
+    extra += [F.col("_all").alias(overall)] if overall else []
+    return out.select(*df.columns, *extra)
+
+
 NULL_SENTINEL = "\u0000"
 KEY_SEP = "\u001f"
 

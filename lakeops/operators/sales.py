@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lakeops import params as P
 from lakeops.functions import columns as C
 from lakeops.operators.commercial import billed_orders, classify_channel, date_range, in_months, price_channel
+from lakeops.operators.projection import running_totals
 
 
 def _d(x):
@@ -139,25 +140,29 @@ def available_months(orders: DataFrame) -> DataFrame:
 
 # -- ABC ranking (A-COM-21) ------------------------------------------------------
 
-def abc_ranking(orders: DataFrame, natures: DataFrame, partners: DataFrame, ref: str, top: int = 100,
-                bounds=P.ABC_BOUNDS, fallback=P.ABC_FALLBACK) -> DataFrame:
-    """Top clients by revenue (by normalised name), with cumulative % and A/B/C class.
-
-    The window for the cumulative share runs on the ``top`` rows only.
-    """
+def _abc_clients(orders: DataFrame, natures: DataFrame, partners: DataFrame, ref: str) -> DataFrame:
+    """Revenue, orders and place of each client (by normalised name) over the rolling year."""
     from lakeops.operators.commercial import rolling_window
 
     b = rolling_window(billed_orders(orders, natures), "invoice_date", ref, 12)
     p = partners.select("partner_code", "partner_name", "city", "state")
     df = b.join(p, "partner_code").withColumn("name_norm", C.norm_name("partner_name"))
-    agg = df.groupBy("name_norm").agg(
+    return df.groupBy("name_norm").agg(
         F.min("partner_name").alias("client"),
         C.value_at_max("city", "product_amount").alias("city"),
         C.value_at_max("state", "product_amount").alias("state"),
         F.countDistinct("order_number").alias("n_orders"),
         C.money_sum("product_amount").alias("revenue"),
     )
-    topn = agg.orderBy(F.col("revenue").desc(), F.col("name_norm")).limit(top)
+
+
+def abc_ranking(orders: DataFrame, natures: DataFrame, partners: DataFrame, ref: str, top: int = 100,
+                bounds=P.ABC_BOUNDS, fallback=P.ABC_FALLBACK) -> DataFrame:
+    """Top clients by revenue (by normalised name), with cumulative % and A/B/C class.
+
+    The window for the cumulative share runs on the ``top`` rows only.
+    """
+    topn = _abc_clients(orders, natures, partners, ref).orderBy(F.col("revenue").desc(), F.col("name_norm")).limit(top)
     w = Window.orderBy(F.col("revenue").desc(), F.col("name_norm"))
     wall = Window.partitionBy(F.lit(1))
     out = (topn.withColumn("position", F.row_number().over(w))
@@ -166,6 +171,14 @@ def abc_ranking(orders: DataFrame, natures: DataFrame, partners: DataFrame, ref:
     return out.withColumn("abc_class", P.bands(F.col("cum_pct"), bounds, fallback, "<=")).drop("name_norm")
 
 
+def abc_curve(orders: DataFrame, natures: DataFrame, partners: DataFrame, ref: str, bounds=P.ABC_BOUNDS, fallback=P.ABC_FALLBACK) -> DataFrame:
+    """A-COM-21 / WIN-6 over all clients: place, running revenue, its share of the whole and the A/B/C class, by distributed prefix sums."""
+    c = _abc_clients(orders, natures, partners, ref).select("name_norm", "client", "n_orders", "revenue")
+    out = running_totals(c, "revenue", [F.col("revenue").desc(), F.col("name_norm")], total="cum_revenue", overall="_all")
+    return (out.withColumns({"cum_pct": C.pct("cum_revenue", "_all"), "cum_revenue": C.money("cum_revenue")})
+            .withColumn("abc_class", P.bands(F.col("cum_pct"), bounds, fallback, "<=")).drop("name_norm", "_all"))
+
+
 def abc_kpis(ranking: DataFrame, top_share: float = P.ABC_TOP_SHARE) -> DataFrame:
     """Total of the ranking, count of class A, revenue share of the top 20 % rows (at least one).
 

@@ -150,6 +150,22 @@ def q_abc_ranking(spark, sf):
     return _abc(DriverTables(spark, sf))
 
 
+@register("abc_curve", with_views(f"""
+WITH b AS ({S.billed()} AND o.invoice_date >= {S.lookback_start(REF, 12)} AND o.invoice_date <= DATE '{REF}'),
+a AS (SELECT upper(trim(p.partner_name)) AS name_norm, MIN(p.partner_name) AS client, COUNT(DISTINCT b.order_number) AS n_orders,
+             CAST(SUM(b.product_amount) AS DECIMAL(18,2)) AS revenue
+      FROM b JOIN partner p ON p.partner_code = b.partner_code GROUP BY 1),
+r AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, name_norm) AS position,
+             SUM(revenue) OVER (ORDER BY revenue DESC, name_norm ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             SUM(revenue) OVER () AS whole FROM a),
+c AS (SELECT *, CAST(cum AS DOUBLE) * 100.0 / CAST(whole AS DOUBLE) AS cum_pct FROM r)
+SELECT client, n_orders, revenue, position, CAST(cum AS DECIMAL(18,2)) AS cum_revenue, cum_pct,
+       {S.bands('cum_pct', P.ABC_BOUNDS, P.ABC_FALLBACK, '<=')} AS abc_class FROM c""", "sales_order", "nature", "partner"))
+def q_abc_curve(spark, sf):
+    T = DriverTables(spark, sf)
+    return SA.abc_curve(T.sales_order, T.nature, T.partner, REF)
+
+
 @register("abc_kpis", with_views(f"""WITH rk AS ({_ABC_SQL}),
 n AS (SELECT greatest(1, floor(COUNT(*) * 0.2)) AS k FROM rk)
 SELECT CAST(SUM(revenue) AS DECIMAL(18,2)) AS top_revenue, COUNT(CASE WHEN abc_class = 'A' THEN 1 END) AS class_a,
