@@ -8,7 +8,9 @@ map-side partial aggregation per RFV key.  No window over fact-sized data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops import params as P
@@ -131,6 +133,11 @@ def rfv_base(sales: DataFrame, ref=None, date_col: str = "invoice_date") -> Data
         F.countDistinct("order_number").alias("frequency"),
         C.money(F.round(F.sum("product_amount"), 2)).alias("total_value"),
     )
+    return _with_recency(agg)
+
+
+def _with_recency(agg: DataFrame) -> DataFrame:
+    """Columns of the base from its aggregates: days and months since the last purchase at ``ref_date``."""
     rec = F.datediff(F.col("ref_date"), F.col("last_purchase")).cast("int")
     return agg.select(
         *RFV_KEYS, "partner_codes", "last_purchase",
@@ -194,23 +201,60 @@ def month_end_refs(first_month_end: str, n: int) -> list[str]:
     return out
 
 
-def covering_refs(date_col: str, refs: list[str], months: int = 12) -> Column:
-    """Array of reference dates whose rolling window contains the row's date.
+def window_slots(refs: list[str], months: int = 12) -> tuple[list[str], dict[str, tuple[int, int]]]:
+    """Cut points of the rolling windows of ``refs``, and per reference date its first and last slot.
 
-    A pure expression (no join): each row is exploded once per period it
-    belongs to, so the history rebuild is one scan and one aggregation.
+    Slot ``i`` runs from the ``i``-th cut (from 1) up to the next one, so each window is a run of whole slots,
+    whether or not the reference dates are ends of months.
     """
-    arr = F.array(*[F.lit(r).cast("date") for r in refs])
-    d = F.col(date_col)
-    return F.filter(arr, lambda r: (d >= F.trunc(F.add_months(r, -months), "month")) & (d <= r))
+    days = {r: datetime.date.fromisoformat(r) for r in refs}
+    back = {r: d.year * 12 + d.month - 1 - months for r, d in days.items()}
+    starts = {r: datetime.date(m // 12, m % 12 + 1, 1) for r, m in back.items()}
+    ends = {r: d + datetime.timedelta(days=1) for r, d in days.items()}
+    cuts = sorted({*starts.values(), *ends.values()})
+    return [c.isoformat() for c in cuts], {r: (cuts.index(starts[r]) + 1, cuts.index(ends[r])) for r in refs}
+
+
+def rfv_slot_states(sales: DataFrame, cuts: list[str], date_col: str = "invoice_date") -> DataFrame:
+    """Partial states of the RFV base per client name x family x owner, slot and ``next_slot``: amount, last purchase, codes, orders.
+
+    ``next_slot`` is the next slot in which the same order of the client occurs again (null: none).  A window counts an order
+    where its next slot lies beyond the window, that is once, so the counts of distinct orders add up exactly.
+    """
+    slot = F.size(F.filter(F.array(*(F.lit(c).cast("date") for c in cuts)), lambda c: c <= F.col(date_col)))
+    # rows of one order (and those without an order) are merged before the shuffle: at most one row per order and slot goes on
+    one = sales.withColumn("slot", slot).groupBy(*RFV_KEYS, "order_number", "slot").agg(
+        F.sum("product_amount").alias("amount"), F.max(date_col).alias("last_purchase"),
+        F.collect_set(F.col("partner_code").cast("string")).alias("codes"))
+    later = F.lead("slot").over(Window.partitionBy(*RFV_KEYS, "order_number").orderBy("slot"))
+    return one.withColumn("next_slot", later).groupBy(*RFV_KEYS, "slot", "next_slot").agg(
+        F.sum("amount").alias("amount"), F.max("last_purchase").alias("last_purchase"),
+        F.array_distinct(F.flatten(F.collect_set("codes"))).alias("codes"), F.count("order_number").alias("orders"))
+
+
+def rfv_base_of_states(states: DataFrame, slots: dict[str, tuple[int, int]]) -> DataFrame:
+    """The RFV base of each reference date from the states of the slots of its window."""
+    windows = F.array(*(F.struct(F.lit(r).cast("date").alias("ref_date"), F.lit(a).alias("first"), F.lit(b).alias("last")) for r, (a, b) in slots.items()))
+    at = states.withColumn("_w", F.explode(F.filter(windows, lambda w: (w["first"] <= F.col("slot")) & (F.col("slot") <= w["last"]))))
+    over = F.col("next_slot").isNull() | (F.col("next_slot") > F.col("_w.last"))
+    agg = at.groupBy(F.col("_w.ref_date").alias("ref_date"), *RFV_KEYS).agg(
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("codes")))), ",").alias("partner_codes"),
+        F.max("last_purchase").alias("last_purchase"), F.sum(F.when(over, F.col("orders")).otherwise(0)).alias("frequency"),
+        C.money(F.round(F.sum("amount"), 2)).alias("total_value"))
+    return _with_recency(agg)
 
 
 def rfv_history(sales_all: DataFrame, refs: list[str], *, months: int = 12, date_col: str = "invoice_date") -> DataFrame:
-    """A-COM-5: RFV score for several reference dates in one job (``ref_date`` column)."""
-    first, last = min(refs), max(refs)
+    """A-COM-5: RFV score for several reference dates in one job (``ref_date`` column).
+
+    Sales are aggregated once, into states per client and slot (a month, for ends of months); windows are put together from
+    the states, so what is multiplied by the number of periods is months, not sales.
+    """
+    refs = sorted(set(refs))
+    first, last = refs[0], refs[-1]
     known = date_range(sales_all, date_col, (C.lookback_start(first, months), F.date_add(F.lit(last).cast("date"), 1)))
-    exploded = known.withColumn("ref_date", F.explode(covering_refs(date_col, refs, months)))
-    return rfv_score(rfv_base(exploded, date_col=date_col))
+    cuts, slots = window_slots(refs, months)
+    return rfv_score(rfv_base_of_states(rfv_slot_states(known, cuts, date_col), slots))
 
 
 def classify_channel(group_col="salesperson_group_code") -> Column:
