@@ -34,9 +34,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     from lakeops.llm import secret_scan as S
 
-    found = S.find_secrets(table(spark, sf_dir, "documents"))
+    words = S.vocabulary_words(public_tokenizers.path("word_bpe_49k.json"))
+    found = S.find_secrets(table(spark, sf_dir, "documents"), words=words)
     spans = F.col("spans")
     return found.select(
         "doc_id", *(S.count_of(spans, k).alias(f"n_{k}") for k in S.KINDS),

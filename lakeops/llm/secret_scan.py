@@ -12,12 +12,16 @@ covers all of them.  After a bare space (no ``:``, ``=`` or ``is``) words in the
 are prose, not values.  A value that becomes none is read again, as it may be the keyword of the next
 one (``Authorization: Bearer ...``); a keyword itself is never a secret.
 
+The dictionary is ``WORDS``, or the list that is given: the queries add the whole words of a public tokenizer's vocabulary, whose
+ids order them by use (``vocabulary_words``), so that an ordinary word after ``token:`` or ``is`` costs its rank and is no secret.
+
 Offsets are code points, end exclusive.  Null text counts as empty and has no
 spans.  Rows are independent: repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from functools import lru_cache
@@ -56,6 +60,17 @@ SEGMENT_COST = 0.3  # log10 of the choice among segment boundaries, per segment
 MAX_WORD = 16
 
 
+def vocabulary_words(path: str, *, word_end: str = "</w>", least: int = 4) -> list[str]:
+    """``WORDS``, then the whole words (``least`` letters or more) of a tokenizer file in the order of their ids.
+
+    The list is as long as the vocabulary at most, whatever the corpus; it is read in the driver and sent with the tasks.
+    """
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    ends = [t.removesuffix(word_end) for t in sorted(vocab, key=vocab.get) if t.endswith(word_end)]
+    return list(dict.fromkeys([*WORDS, *(w for w in ends if len(w) >= least and w.isascii() and w.isalpha())]))
+
+
 def neighbours() -> dict[str, str]:
     """Keys that touch each key: left and right, two in the row above, two in the row below."""
     at = {(r, i): c for r, row in enumerate(ROWS) for i, c in enumerate(row)}
@@ -153,7 +168,8 @@ class Scanner:
             a, b = m.span("value")
             # the value may be the keyword of the value that follows it, so it is read again unless it became a span
             at, end = a, b
-            b = a + len(m["value"].rstrip(".,;:!?\"')]}>"))
+            value = m["value"].partition('"')[0] if text[a - 1] == '"' else m["value"]  # a quoted value ends with its quote
+            b = a + len(value.rstrip(".,;:!?\"')]}>"))
             if b - a < 6 or any(s <= a and b <= e for _, s, e, _ in base) or self.keyword.fullmatch(text, a, b):
                 continue
             if not m["told"] and PROSE.fullmatch(text, a, b):

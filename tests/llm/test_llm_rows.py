@@ -370,6 +370,25 @@ def test_a_fixed_span_over_part_of_a_value_does_not_hide_the_rest():
     assert secret_scan.masked(text, scan(text)) == "set [assign] and [assign]"
 
 
+def test_ordinary_words_are_no_secrets_with_a_vocabulary():
+    import public_tokenizers
+
+    words = secret_scan.vocabulary_words(public_tokenizers.path("word_bpe_49k.json"))
+    assert words[: len(secret_scan.WORDS)] == secret_scan.WORDS and len(words) == len(set(words)) < 50_000
+    scan, small = secret_scan.Scanner(10.0, words), secret_scan.Scanner(10.0)
+    prose = ("the token is understandable to all", "password is complicated", "client id: documentation", "session id = transaction", "access key: responsibility")
+    for text in prose:
+        assert not scan(text) and [k for k, *_ in small(text)] == ["guess"], text
+    for text in ("pwd: Zq!vT#rW@kLpXs", "passphrase is kjhqwxzvbnrtw", "bearer ZqvTrWkLpXsMn", "pwd: correcthorsebatterystaple", "pwd: hunter2xyz9Q"):
+        assert [k for k, *_ in scan(text)] == ["guess"], text
+
+
+def test_a_quoted_value_ends_with_its_quote():
+    scan = secret_scan.Scanner(10.0)
+    text = 'token = "ab8ca1b325bc4f85aa6a" and pwd = "Zq!vT#rW@kLpXs"### pwd: Zq"!vT#rW@kLpXs'
+    assert [(k, text[a:b]) for k, a, b, _ in scan(text) if k == "guess"] == [("guess", "Zq!vT#rW@kLpXs"), ("guess", 'Zq"!vT#rW@kLpXs')]
+
+
 def test_registered_queries_run(spark):
     from lakeops.llm.queries import QUERIES
 
