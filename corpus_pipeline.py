@@ -44,7 +44,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts by the name of their kind."""
-    out = secret_scan.redacted(docs)
+    out = secret_scan.redacted(docs, words=secret_scan.vocabulary_words(public_tokenizers.path(TOKENIZER)))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
