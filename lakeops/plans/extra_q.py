@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from lakeops import params as P
 from lakeops.functions import aggregations as AG
-from lakeops.operators import cdc, commercial as com, targets as TG
+from lakeops.functions import columns as C
+from lakeops.operators import cdc, commercial as com, partials, targets as TG
 from lakeops.operators.price import PARAM_COLS
 from lakeops.plans import sqlfrag as S
 from lakeops.plans.commercial_q import HIST_REFS, SALES_VIEWS, _history_sql
+from lakeops.plans.loads_q import _place
 from lakeops.plans.oracle_views import with_views
 from lakeops.plans.registry import register
 from lakeops.sources.driver import SALES_REF, DriverTables
@@ -207,3 +209,24 @@ def q_most_frequent(spark, sf):
     from lakeops.operators.entity import most_frequent
 
     return most_frequent(_T(spark, sf).raw("events"), "user_id", "event_type")
+
+
+# the rolling year from stored monthly states, held against the exact rows: counts and sums are equal, estimates within their stated error
+@register("year_from_states", with_views(f"""WITH f AS (SELECT * FROM sales_order
+  WHERE invoice_date >= {S.lookback_start(REF, 12)} AND invoice_date < CAST(date_trunc('month', DATE '{REF}') + INTERVAL 1 MONTH AS DATE)),
+g AS (SELECT salesperson_group_code, COUNT(*) AS n_rows, CAST(SUM(product_amount) AS DECIMAL(18,2)) AS amount FROM f GROUP BY 1),
+t AS (SELECT salesperson_group_code, MAX(n) AS top_rows FROM (SELECT salesperson_group_code, salesperson_name, COUNT(*) AS n FROM f GROUP BY 1, 2) GROUP BY 1)
+SELECT g.*, t.top_rows, TRUE AS clients_near, TRUE AS median_near FROM g JOIN t ON t.salesperson_group_code IS NOT DISTINCT FROM g.salesperson_group_code""", "sales_order"))
+def q_year_from_states(spark, sf):
+    key, ref = "salesperson_group_code", F.lit(REF).cast("date")
+    sales, path = _T(spark, sf).sales_order, _place(spark, "states")
+    states = partials.monthly_states(sales, [key], "invoice_date", measure="product_amount", distinct="partner_code", item="salesperson_name")
+    states.repartition("month").write.partitionBy("month").parquet(path)
+    start, month = C.lookback_start(REF, 12), F.trunc(ref, "month")
+    got = partials.over_months(spark.read.parquet(path), [key], start, month)
+    facts = sales.where((F.col("invoice_date") >= start) & (F.col("invoice_date") < F.add_months(month, 1))).select(F.col(key).alias("_k"), "partner_code", "product_amount")
+    v, q, n = F.col("product_amount").cast("double"), F.col("quantile"), F.count("*")
+    held = got.join(facts, F.col(key).eqNullSafe(F.col("_k"))).groupBy(key, "n_rows", "amount", "distinct", "quantile", F.col("top")[0]["count"].alias("top_rows")).agg(
+        F.countDistinct("partner_code").alias("_clients"), (C.count_if(v < q) / n).alias("_below"), (C.count_if(v <= q) / n).alias("_upto"))
+    return held.select(key, "n_rows", C.money("amount").alias("amount"), "top_rows", (F.abs(F.col("distinct") - F.col("_clients")) <= 0.05 * F.col("_clients")).alias("clients_near"),
+                       ((F.col("_below") <= 0.53) & (F.col("_upto") >= 0.47)).alias("median_near"))

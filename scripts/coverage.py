@@ -52,17 +52,17 @@ M = [
     ("JON-9", "operators.operations.bom_lines", "bom_lines"), ("JON-10", "operators.crm.attach_portfolio", "attach_portfolio"),
     ("JON-11", "two-key join in customer_360", "customer_360"), ("JON-12", "operators.sales.purchases_series", "purchases_series"),
     ("JON-13", "operators.sales.quote_cycle", "quote_cycle"), ("JON-14", "operators.cdc.archive_changed", "archive_changed_orders"),
-    ("AGG-1", "functions.columns.count_if / sum_if", "sales_month_kpis, deal_metrics"), ("AGG-2", "functions.columns.count_distinct_if", "salesperson_panel"),
+    ("AGG-1", "functions.columns.count_if / sum_if", "sales_month_kpis, deal_metrics"), ("AGG-2", "functions.columns.count_distinct_if; operators.partials (states)", "salesperson_panel, year_from_states"),
     ("AGG-3", "array_join(array_sort(collect_set))", "rfv_base, alert_detail_off_radar"),
-    ("AGG-4", "exact mode (deal_stage_health); functions.aggregations.approx_top_value", "deal_stage_health"),
-    ("AGG-5", "percentile_approx sketch", "quote_cycle, first_reply"), ("AGG-6", "functions.columns.safe_div / pct", "sales_by_channel"),
+    ("AGG-4", "exact mode (deal_stage_health); functions.aggregations.approx_top_value; operators.partials (states)", "deal_stage_health, year_from_states"),
+    ("AGG-5", "percentile_approx sketch; operators.partials (states)", "quote_cycle, first_reply, year_from_states"), ("AGG-6", "functions.columns.safe_div / pct", "sales_by_channel"),
     ("AGG-7", "functions.columns.value_at_max", "abc_ranking"), ("AGG-8", "min/max for determinism", "attach_portfolio"),
     ("AGG-9", "where after agg", "activities_by_type"), ("AGG-10", "weighted mean", "mean_term, rfv_summary"),
     ("AGG-11", "pivot over fixed list", "sales_evolution"), ("AGG-12", "totals", "price_totals, abc_kpis"),
     ("AGG-13", "functions.columns.week_of_month / week_label", "sales_weeks"), ("AGG-14", "functions.aggregations.auto_summary", "auto_summary_orders"),
     ("WIN-1", "operators.finance.share_of", "allocate_billing, titles_settled"), ("WIN-2", "operators.commercial.dominant", "dominant_group"),
     ("WIN-3", "operators.entity.most_frequent", "most_frequent_event"), ("WIN-4", "operators.cdc.one_per_key", "best_bridge"),
-    ("WIN-5", "operators.increment.freshness", "freshness"), ("WIN-6", "operators.sales.abc_ranking", "abc_ranking"),
+    ("WIN-5", "operators.increment.freshness", "freshness"), ("WIN-6", "operators.sales.abc_ranking / abc_curve, operators.projection.running_totals", "abc_ranking, abc_curve"),
     ("WIN-7", "lag-based pct change", "sales_evolution, kpi_cards"), ("WIN-8", "operators.targets.revenue_matrix", "revenue_matrix"),
     ("WIN-9", "row_number position", "abc_ranking, rank_month"), ("WIN-10", "operators.targets.minmax_score", "performance_matrix"),
     ("SRT-1", "orderBy.limit top-n", "top_suppliers, top_owners, quote_stalled"), ("SRT-2", "ordinal lookup", "sales_by_channel, qa_status"),
@@ -88,14 +88,14 @@ M = [
     ("A-COM-17", "sales.sales_month_kpis / sales_by_channel", "sales_month_kpis, sales_month_kpis_b2b, sales_by_channel"),
     ("A-COM-18", "commercial.classify_channel, sales.marketplace_detail", "marketplace_detail"),
     ("A-COM-19", "sales.sales_evolution / sales_weeks", "sales_evolution, sales_weeks"),
-    ("A-COM-20", "sales.sales_period / available_months", "sales_period, available_months"), ("A-COM-21", "sales.abc_ranking / abc_kpis", "abc_ranking, abc_kpis"),
+    ("A-COM-20", "sales.sales_period / available_months", "sales_period, available_months"), ("A-COM-21", "sales.abc_ranking / abc_curve / abc_kpis", "abc_ranking, abc_curve, abc_kpis"),
     ("A-COM-22", "sales.purchases_kpis / purchases_series / top_suppliers / import_suppliers", "purchases_kpis, purchases_series, top_suppliers, import_suppliers"),
     ("A-COM-23", "sales.quote_kpis", "quote_kpis"), ("A-COM-24", "sales.quote_cycle / quote_cohorts / quote_ageing / quote_stalled", "quote_cycle, quote_cohorts, quote_ageing, quote_stalled"),
     ("A-COM-25", "crm.funnel_status / funnel_kpis / funnel_by_stage / top_owners / top_open_deals", "funnel_status, funnel_kpis, funnel_by_stage, top_owners, top_open_deals"),
     ("A-COM-26", "crm.stage_stats", "stage_stats"), ("A-COM-27", "crm.sector_conversion", "sector_conversion"),
     ("A-COM-28", "targets.target_vs_actual / won_by_owner", "target_vs_actual, won_by_owner"),
     ("A-COM-29", "targets.rank_month / rank_day / rank_salespeople / needed_per_day", "rank_month, rank_day, rank_salespeople, needed_per_day"),
-    ("A-COM-30", "targets.business_days", "business_days"), ("A-COM-31", "targets.reverse_funnel / reverse_funnel_families", "reverse_funnel, reverse_funnel_families"),
+    ("A-COM-30", "targets.business_days / busday_count / add_busdays", "business_days, order_business_days, order_due_days"), ("A-COM-31", "targets.reverse_funnel / reverse_funnel_families", "reverse_funnel, reverse_funnel_families"),
     ("A-COM-32", "crm.activities_by", "activities_by_type, activities_by_user"), ("A-COM-33", "targets.mean_term", "mean_term"),
     ("A-COM-34", "targets.performance_indicators / performance_matrix", "performance_matrix"), ("A-COM-35", "targets.sales_calendar / sales_calendar_totals", "sales_calendar, sales_calendar_totals"),
     ("A-COM-36", "targets.revenue_matrix", "revenue_matrix"), ("A-COM-37", "crm.compare_reassignment", "compare_reassignment"),

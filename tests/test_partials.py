@@ -2,12 +2,14 @@
 
 import datetime
 import random
+from collections import Counter
 from decimal import Decimal as D
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from lakeops.operators import commercial as com
+from lakeops.operators import partials
 from lakeops.operators import projection as PJ
 from lakeops.operators import targets
 
@@ -73,3 +75,45 @@ def test_history_from_states_equals_each_period_by_itself(spark):
 def test_a_window_is_a_run_of_slots():
     cuts, slots = com.window_slots(["2001-01-31", "2001-02-15"], 12)
     assert cuts == ["2000-01-01", "2000-02-01", "2001-02-01", "2001-02-16"] and slots == {"2001-01-31": (1, 2), "2001-02-15": (2, 3)}
+
+
+def _sales(spark):
+    rng = random.Random(9)
+    rows = [(datetime.date(2001, 1, 1) + datetime.timedelta(days=rng.randrange(365)), "hot" if i % 3 else rng.choice(["a", None]), rng.randrange(3000), D(rng.randrange(1, 100_000)) / 100,
+             "x" if i % 4 == 0 else f"s{rng.randrange(20)}") for i in range(20_000)]
+    rows += [(None, "a", 1, D("1"), "x"), (datetime.date(2001, 3, 5), "void", None, None, None), (datetime.date(2001, 4, 5), "void", None, None, None)]
+    return rows, spark.createDataFrame(rows, "day date, k string, client long, v decimal(18,2), seller string")
+
+
+def test_windows_of_monthly_states_are_near_the_exact_rows(spark, tmp_path):
+    rows, df = _sales(spark)
+    path = str(tmp_path / "states")
+    partials.monthly_states(df, ["k"], "day", measure="v", distinct="client", item="seller").write.partitionBy("month").parquet(path)
+    for first, last in (("2001-01-01", "2001-12-01"), ("2001-03-01", "2001-05-01"), ("2001-07-01", "2001-07-01")):
+        lo, hi = datetime.date.fromisoformat(first), datetime.date.fromisoformat(last)
+        out = partials.over_months(spark.read.parquet(path), ["k"], first, last, top=2)
+        files = out.inputFiles()
+        assert files and all(path in f for f in files)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(month" in plan and plan.count("FileScan") == 1
+        mine = [r for r in rows if r[0] and lo <= r[0].replace(day=1) <= hi]
+        got = {r.k: r for r in out.collect()}
+        assert set(got) == {r[1] for r in mine}
+        for k, g in got.items():
+            part = [r for r in mine if r[1] == k]
+            vals = sorted(float(r[3]) for r in part if r[3] is not None)
+            assert (g.n_rows, g.amount) == (len(part), sum((r[3] for r in part if r[3] is not None), D(0)) if vals else None)
+            exact = len({r[2] for r in part if r[2] is not None})
+            assert abs(g.distinct - exact) <= 0.05 * exact
+            if vals:
+                assert np.searchsorted(vals, g.quantile, "left") / len(vals) <= 0.53 and np.searchsorted(vals, g.quantile, "right") / len(vals) >= 0.47
+            else:
+                assert g.quantile is None
+            counts = sorted(Counter(r[4] for r in part).values(), reverse=True)
+            assert [t["count"] for t in g.top] == counts[:2]
+
+
+def test_states_of_no_rows(spark):
+    _, df = _sales(spark)
+    states = partials.monthly_states(df.limit(0), ["k"], "day", measure="v", distinct="client", item="seller")
+    assert states.count() == 0 and partials.over_months(states, ["k"], "2001-01-01", "2001-12-01").count() == 0
