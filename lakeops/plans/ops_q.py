@@ -8,6 +8,7 @@ from lakeops import params as P
 from lakeops.operators import operations as OP
 from lakeops.operators import service as SV
 from lakeops.plans import sqlfrag as S
+from lakeops.plans.loads_q import _place
 from lakeops.plans.oracle_views import with_views
 from lakeops.plans.registry import register
 from lakeops.sources.driver import EVENTS_NOW, SALES_REF, DriverTables
@@ -197,3 +198,16 @@ SELECT CAST(date_trunc('month', CAST(ts AS DATE)) AS DATE) AS month,
 FROM events WHERE user_id % 2 = 0 GROUP BY 1, 2""")
 def q_chats(spark, sf):
     return SV.chats_summary(_T(spark, sf).chats, "SAC")
+
+
+# the chats are parsed once into a stored VARIANT; the panel reads that table by path
+@register("chat_panel", """
+SELECT CAST(date_trunc('month', CAST(ts AS DATE)) AS DATE) AS month, CASE WHEN user_id % 2 = 0 THEN 'SAC' ELSE 'Comercial' END AS sector,
+       COUNT(*) AS chats, COUNT(CASE WHEN event_id % 5 = 0 THEN 1 END) AS open,
+       COUNT(CASE WHEN event_id % 7 <> 0 AND event_id % 120 - 10 >= 0 THEN 1 END) AS replied,
+       CAST(quantile_disc(CASE WHEN event_id % 7 <> 0 AND event_id % 120 - 10 >= 0 THEN event_id % 120 - 10 END, 0.5) AS BIGINT) AS median_minutes
+FROM events GROUP BY 1, 2""")
+def q_chat_panel(spark, sf):
+    path = _place(spark, "chats")
+    SV.with_variant(_T(spark, sf).chats).write.parquet(path)
+    return SV.chat_panel(spark.read.parquet(path))

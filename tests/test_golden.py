@@ -159,6 +159,28 @@ def test_first_reply_of_one_sector(spark):
     assert service.first_reply_kpi(monthly).first().median_minutes == 30.0
 
 
+def test_chats_are_the_same_from_text_and_from_a_stored_variant(spark, tmp_path):
+    def chat(sector, minutes, open_):
+        a = dt.datetime(2024, 1 + minutes % 3, 1, 8, 0)
+        return (f'{{"createdAtUTC":"{a}","sector":{{"name":{sector}}},"channel":{{"name":"Mail"}},"open":{open_},"firstContactMessage":{{"eventAtUTC":"{a}"}},'
+                f'"firstMemberReplyMessage":{{"eventAtUTC":"{a + dt.timedelta(minutes=minutes)}"}}}}',)
+
+    rows = [chat(s, m, o) for s in ('"SAC"', "null", '"Vendas"') for m in range(-3, 20) for o in ("true", "false", "null", '"maybe"')]
+    rows += [("no json",), (None,), ("",), ("{}",), ('{"sector":"SAC"}',), ('{"createdAtUTC":"never","sector":{"name":"SAC"}}',)]
+    text = spark.createDataFrame(rows, "payload_json string")
+    service.with_variant(text).write.parquet(str(tmp_path / "chats"))
+    stored = spark.read.parquet(str(tmp_path / "chats"))
+    key = lambda r: str(tuple(r))
+    for f in (service.first_reply, service.chats_summary, service.chat_panel):
+        a, b = f(text, json_col="payload_json"), f(stored, json_col="payload")
+        assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key), f.__name__
+        plan = b._jdf.queryExecution().optimizedPlan().toString()
+        assert "parse_json" not in plan and "get_json_object" not in plan
+    panel = {(r.month, r.sector): r for r in service.chat_panel(stored, "payload").collect()}
+    jan = panel[dt.date(2024, 1, 1), "SAC"]
+    assert (jan.chats, jan.open, jan.replied) == (32, 8, 28) and jan.median_minutes == 9
+
+
 def test_funnel(spark):
     k = crm.funnel_kpis(_deals(spark, DEALS)).first()
     # two whole days; the second won deal ends before it began (-1 day) and is left out
