@@ -231,6 +231,17 @@ def open_ledger(titles_open_df: DataFrame, kind: str, ref: str, warning=P.OVERDU
         "band", F.when(pct > danger, "danger").when(pct > warning, "warning").otherwise("ok"))
 
 
+def open_title_list(titles_open_df: DataFrame, kind: str, n: int = 200, missing: str = "—") -> DataFrame:
+    """A-FIN-11: the ``n`` titles of a ledger that fall due first, with partner, group and subgroup (``missing`` where there is none).
+
+    Titles without a due date come last; titles of one date by number, partner and value.  A top-n report: each task keeps its first ``n`` rows.
+    """
+    t = titles_open_df.where(F.col("settlement_type") == kind)
+    named = {c: F.coalesce(c, F.lit(missing)).alias(c) for c in ("partner_name", "group_name", "subgroup")}
+    out = t.select("title_number", named["partner_name"], "due_date", C.money(F.coalesce("net_amount", "document_amount")).alias("value"), named["group_name"], named["subgroup"])
+    return out.orderBy(F.col("due_date").asc_nulls_last(), "title_number", "partner_name", "value", "group_name", "subgroup").limit(n)
+
+
 def open_by_due_month(titles_open_df: DataFrame, kind: str) -> DataFrame:
     t = titles_open_df.where(F.col("settlement_type") == kind)
     return t.groupBy(F.trunc("due_date", "month").alias("due_month")).agg(

@@ -215,6 +215,22 @@ def q_payables(spark, sf):
     return FI.open_ledger(_open(_T(spark, sf)), "E", REF)
 
 
+def _list_sql(kind: str) -> str:
+    return f"""SELECT title_number, COALESCE(partner_name, '—') AS partner_name, due_date, CAST(COALESCE(net_amount, document_amount) AS DECIMAL(18,2)) AS value,
+       COALESCE(group_name, '—') AS group_name, COALESCE(subgroup, '—') AS subgroup FROM ({OPEN_SQL}) t WHERE settlement_type = '{kind}'
+ORDER BY due_date NULLS LAST, title_number, 2, 4, 5, 6 LIMIT 200"""
+
+
+@register("receivables_first_due", with_views(_list_sql("D"), *TITLE_VIEWS))
+def q_receivables_first_due(spark, sf):
+    return FI.open_title_list(_open(_T(spark, sf)), "D")
+
+
+@register("payables_first_due", with_views(_list_sql("E"), *TITLE_VIEWS))
+def q_payables_first_due(spark, sf):
+    return FI.open_title_list(_open(_T(spark, sf)), "E")
+
+
 @register("receivables_by_due_month", with_views(f"""
 SELECT CAST(date_trunc('month', due_date) AS DATE) AS due_month,
        CAST(SUM(COALESCE(net_amount, document_amount)) AS DECIMAL(18,2)) AS value, COUNT(*) AS n_titles

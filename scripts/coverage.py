@@ -22,7 +22,7 @@ M = [
     ("PRJ-5", "operators.projection.add_audit", "snapshot_suppliers"),
     ("PRJ-6", "operators.projection.add_seq_key", "seq_key_orders"), ("PRJ-7", "operators.projection.add_hash_key", "hash_key_items"),
     ("PRJ-8", "operators.projection.to_envelope", "envelope_events"), ("PRJ-9", "operators.projection.drop_pii", "customers_without_pii"),
-    ("PRJ-10", "operators.projection.project_typed", "project_typed_props"),
+    ("PRJ-10", "operators.projection.project_typed, operators.service.with_variant", "project_typed_props, chat_panel"),
     ("PRJ-11", "operators.projection.flatten_custom_fields", "custom_fields"),
     ("PRJ-12", "operators.projection.flatten_mail", "mail_headers"),
     ("PRJ-13", "operators.projection.norm_ref / first_of", "id_references"),
@@ -109,7 +109,7 @@ M = [
     ("A-FIN-5", "finance.pnl_accrual / pnl_lines", "pnl_accrual"), ("A-FIN-6", "finance.pnl_monthly", "pnl_monthly"),
     ("A-FIN-7", "finance.product_margin", "product_margin"), ("A-FIN-8", "finance.gold_pnl", "gold_pnl"), ("A-FIN-9", "finance.gold_kpis", "gold_kpis"),
     ("A-FIN-10", "finance.kpi_cards / pnl_by_group", "kpi_cards, pnl_by_group"),
-    ("A-FIN-11", "finance.open_ledger / open_by_due_month", "receivables_ledger, payables_ledger, receivables_by_due_month"),
+    ("A-FIN-11", "finance.open_ledger / open_by_due_month / open_title_list", "receivables_ledger, payables_ledger, receivables_by_due_month, receivables_first_due, payables_first_due"),
     ("A-FIN-12", "finance.settlements_monthly / cash_flow", "settlements_monthly, cash_flow"),
     ("A-PRC-1", "price.price_facts", "price_facts"), ("A-PRC-2", "price.price_facts_by_state", "price_facts_by_state"),
     ("A-PRC-3", "price.price_margin / price_totals", "price_margin, price_totals"), ("A-PRC-4", "price.price_margin on state facts", "price_margin_state"),
@@ -120,7 +120,7 @@ M = [
     ("A-OPS-6", "operations.bom_explode", "bom_explode; test: test_bom_cycle_stops_at_depth"),
     ("A-OPS-7", "operations.catalog_kpis / catalog_mix / catalog_search", "catalog_kpis, catalog_mix, catalog_search"),
     ("A-OPS-8", "operations.serials", "serials_per_item"),
-    ("A-SAC-1", "service.tickets / resolution_rate", "tickets, resolution_rate"), ("A-SAC-2", "service.sla_resolution / first_reply / first_reply_kpi", "sla_resolution, first_reply, first_reply_kpi"),
+    ("A-SAC-1", "service.tickets / resolution_rate", "tickets, resolution_rate"), ("A-SAC-2", "service.sla_resolution / first_reply / first_reply_kpi / chat_panel", "sla_resolution, first_reply, first_reply_kpi, chat_panel"),
     ("A-SAC-3", "service.calls_summary / calls_window", "calls_summary, calls_window"), ("A-SAC-4", "service.chats_summary", "chats_summary"),
 ]
 registry.load_all()
