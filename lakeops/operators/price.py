@@ -105,10 +105,19 @@ def margin_columns() -> list[Column]:
     return [c.alias(n) for n, c in margin_exprs().items()]
 
 
+def _by_fact_keys(params: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Parameters under the keys of the facts, their columns renamed.
+
+    They hold a row per item x channel x month, as many as the facts.  Spark does not count the rows that an
+    ``explode`` adds, so it would take them for small and collect them on the driver: they are always shuffled.
+    """
+    cols = [F.col(c).alias(n) for c, n in names.items()]
+    return params.select(F.col("canal").alias("channel"), F.col("mes").alias("month"), "item_code", *cols).hint("merge")
+
+
 def price_margin(facts: DataFrame, params: DataFrame, keys=("item_code", "channel", "month")) -> DataFrame:
     """A-PRC-3: net margin per facts row with the month's parameters (missing params -> 0 / fallbacks)."""
-    pr = params.select(F.col("canal").alias("channel"), F.col("mes").alias("month"), "item_code", *PARAM_COLS)
-    j = facts.join(pr, list(keys), "left")
+    j = facts.join(_by_fact_keys(params, {c: c for c in PARAM_COLS}), list(keys), "left")
     base = [c for c in facts.columns]
     return j.select(*base, *margin_columns())
 
