@@ -139,9 +139,8 @@ def margin_with_overrides(facts: DataFrame, params: DataFrame, overrides: DataFr
     both margins are computed from the same rows.
     """
     keys = ["item_code", "channel", "month"]
-    pr = params.select(F.col("canal").alias("channel"), F.col("mes").alias("month"), "item_code", *PARAM_COLS)
-    ov = overrides.select(F.col("canal").alias("channel"), F.col("mes").alias("month"), "item_code",
-                          *[F.col(c).alias(f"_ov_{c}") for c in PARAM_COLS])
+    pr = _by_fact_keys(params, {c: c for c in PARAM_COLS})
+    ov = _by_fact_keys(overrides, {c: f"_ov_{c}" for c in PARAM_COLS})
     j = facts.join(pr, keys, "left").join(ov, keys, "left")
     j = j.select("*", margin_exprs()["margin"].alias("margin_current"))
     sim = j.select(*facts.columns, "margin_current",

@@ -28,3 +28,12 @@ def test_price_margin_shuffles_the_parameters(spark, tmp_path):
     rows = {r.item_code: r for r in got.collect()}
     assert len(rows) == 40 and rows["2"].manual_cost and not rows["3"].manual_cost
     assert rows["3"].margin == 98.0 and rows["2"].unit_cost == 5.0
+
+
+def test_margin_with_overrides_shuffles_parameters_and_overrides(spark, tmp_path):
+    facts, params = _frames(spark, tmp_path)
+    over = params.where("item_code = '2'").select("item_code", "canal", "mes", *[F.lit(8.0 if c == "pct_comissao" else None).cast("double").alias(c) for c in PR.PARAM_COLS])
+    got = PR.margin_with_overrides(facts, params, over)
+    assert _broadcasts(got) == 0
+    rows = {r.item_code: r for r in got.collect()}
+    assert len(rows) == 40 and round(rows["2"].margin_delta, 9) == -3.0 and rows["4"].margin_delta == 0.0
