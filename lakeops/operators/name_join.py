@@ -19,6 +19,7 @@ texts come last in the order and are met only by names that have nothing rarer.
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ GRAM = 2
 PART_GRAM = 3
 LOWEST = 100.0 * S.WORD_SCALE * S.PART_SCALE  # one shared word gives names of unlike lengths that much
 TINY = 1e-9
+STEPS = [s for s in itertools.product(range(DELETIONS + 1), repeat=2) if sum(s)]  # characters that the left and the right name lose
+TOGETHER, MANY_EDITS = 3, 4  # grams that are joined at a time, for names of so many edits at most
 
 
 def _names(df: DataFrame) -> DataFrame:
@@ -40,22 +43,66 @@ def _names(df: DataFrame) -> DataFrame:
 
 
 # --- candidates by deletions, words and parts -------------------------------------------------------
-def _deletion_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs within DELETIONS insertions and deletions: one each, or two on one side and none on the other, lead to a common text."""
-    def variants(names: DataFrame, other: str) -> DataFrame:
-        n = names.where(F.col("len") <= DELETION_LENGTH).select("nid", "name", "len")
-        once = n.select("nid", "name", "len", F.explode(F.sequence(F.lit(1), F.col("len"))).alias("i"))
-        twice = once.where(F.col("i") < F.col("len")).select("nid", "name", "i", F.explode(F.sequence(F.col("i") + 1, F.col("len"))).alias("j"))
-        kind = lambda k, text: (F.lit(k).alias("kind"), F.xxhash64(text).alias("vh"))
-        out = [n.select("nid", *kind("even", F.col("name"))), n.select("nid", *kind(other, F.col("name"))),
-               once.select("nid", *kind("even", F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1))"))),
-               twice.select("nid", *kind("left" if other == "right" else "right",
-                                         F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1))")))]
-        return functools.reduce(DataFrame.unionByName, out).distinct()
-
-    # kind: which side has lost two characters
-    return (variants(left, "right").withColumnRenamed("nid", "lid").join(variants(right, "left").withColumnRenamed("nid", "rid"), ["kind", "vh"])
-            .select("lid", "rid").distinct())
+def _shuffled(df: DataFrame) -> DataFrame:
+    """Rows that come out of an ``explode``: Spark does not count them, takes them for small and would collect them on the driver."""
+    return df.hint("merge")
+
+
+def _lengths(names: DataFrame) -> list[int]:
+    """The lengths of names that deletions may handle: DELETION_LENGTH of them at most."""
+    return sorted(r[0] for r in names.where(F.col("len") <= DELETION_LENGTH).select("len").distinct().collect())
+
+
+def _shortened(names: DataFrame, k: int) -> DataFrame:
+    """(nid, len, vh): hashes of the texts that are left after leaving out k characters; of equal neighbours the last ones go."""
+    ends = lambda i: F.expr(f"substr(name, {i}, 1) != substr(name, {i} + 1, 1)")
+    if k == 0:
+        return names.select("nid", "len", F.xxhash64("name").alias("vh"))
+    once = names.select("nid", "name", "len", F.explode(F.sequence(F.lit(1), F.col("len"))).alias("i"))
+    if k == 1:
+        return once.where(ends("i")).select("nid", "len", F.xxhash64(F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1))")).alias("vh"))
+    twice = once.where(F.col("i") < F.col("len")).select("nid", "name", "len", "i", F.explode(F.sequence(F.col("i") + 1, F.col("len"))).alias("j"))
+    return twice.where(ends("j") & (ends("i") | (F.col("j") == F.col("i") + 1))).select(
+        "nid", "len", F.xxhash64(F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1))")).alias("vh"))
+
+
+def _deletion_pairs(left: DataFrame, right: DataFrame, steps: list[tuple[int, int]], lengths: tuple[list[int], list[int]]) -> DataFrame | None:
+    """Pairs of which the left name loses i characters and the right one j, for (i, j) in ``steps``, and a common text is left.
+
+    Names are shortened only where the other side has names of the length that a step asks for, and where the
+    step's ratio reaches the left name's ``least``.  ``common``: length of that text.
+    """
+    sides: list[dict[int, Column]] = [{}, {}]
+    for i, j in steps:
+        fits = [n for n in lengths[0] if n - i + j in lengths[1]]
+        if not fits:
+            continue
+        reach = 200.0 * (F.col("len") - i) / (2 * F.col("len") - i + j) >= F.col("least") - TINY
+        for side, k, cond in ((0, i, F.col("len").isin(fits) & reach), (1, j, F.col("len").isin([n - i + j for n in fits]))):
+            sides[side][k] = sides[side][k] | cond if k in sides[side] else cond
+
+    def variants(names: DataFrame, of: dict[int, Column], nid: str, lost: str) -> DataFrame:
+        return functools.reduce(DataFrame.unionByName, [_shortened(names.where(cond), k).select(F.col("nid").alias(nid), "vh", F.lit(k).alias(lost), (F.col("len") - k).alias("common")) for k, cond in of.items()])
+
+    if not sides[0]:
+        return None
+    near = F.col("i") + F.col("j") <= max(i + j for i, j in steps)
+    lv, rv = variants(left, sides[0], "lid", "i"), variants(right, sides[1], "rid", "j").drop("common")
+    return _shuffled(lv).join(_shuffled(rv), "vh").where(near).select("lid", "rid", "common")
+
+
+def _best_missed(length: Column, lengths: list[int], t: float) -> Column:
+    """The best ratio (0 to 1) that a name may have with one that deletions miss: one of the two loses over DELETIONS characters."""
+    def most(la: int) -> float:
+        best = 0.0
+        for lb in lengths:
+            lost = max(0, DELETIONS + 1 - (lb - la)) if lb >= la else max(DELETIONS + 1, la - lb)
+            best = max(best, 2.0 * (la - lost) / (la + lb))
+        return best
+
+    table = F.array(*[F.lit(most(la)) for la in range(1, DELETION_LENGTH + 1)])
+    # partners may be that long
+    return F.when(length * (2 - t) / t <= DELETION_LENGTH, F.get(table, length - 1)).otherwise(F.lit(1.0))
 
 
 def _word_index(names: DataFrame) -> DataFrame:
@@ -70,17 +117,19 @@ def _word_pairs(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
     Words go rarest first; once those before a word are longer than that, one up to there is shared.
     """
     lw, rw = _word_index(left), _word_index(right)
-    seen = lw.select("word").unionByName(rw.select("word")).groupBy("word").agg(F.count("*").alias("f"))
     spare = (2 - 2 * share) / (2 - share)
 
-    def prefix(index: DataFrame) -> DataFrame:
-        before = Window.partitionBy("nid").orderBy("f", "word").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = index.join(seen, "word").withColumn("before", F.coalesce(F.sum(F.length("word") + 1).over(before), F.lit(0)))
-        return ranked.where(F.col("before") <= F.col("chars") * spare + 1 + TINY).select("nid", "word")
+    def prefix(index: DataFrame, other: DataFrame) -> DataFrame:
+        # words that the other side has not are the rarest there: they stand before all others
+        seen = other.groupBy("word").agg(F.count("*").alias("f"))
+        shared = _shuffled(index).join(seen, "word").withColumn("size", F.length("word") + 1)
+        of_name, sofar = Window.partitionBy("nid"), Window.partitionBy("nid").orderBy("f", "word").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.col("chars") + 1 - F.sum("size").over(of_name) + F.coalesce(F.sum("size").over(sofar), F.lit(0))
+        return shared.withColumn("before", before).where(F.col("before") <= F.col("chars") * spare + 1 + TINY).select("nid", "word")
 
-    one = prefix(lw).withColumnRenamed("nid", "lid").join(rw.select("word", F.col("nid").alias("rid")), "word")
-    other = lw.select("word", F.col("nid").alias("lid")).join(prefix(rw).withColumnRenamed("nid", "rid"), "word")
-    return one.select("lid", "rid").unionByName(other.select("lid", "rid")).distinct()
+    one = _shuffled(prefix(lw, rw).withColumnRenamed("nid", "lid")).join(_shuffled(rw.select("word", F.col("nid").alias("rid"))), "word")
+    other = _shuffled(lw.select("word", F.col("nid").alias("lid"))).join(_shuffled(prefix(rw, lw).withColumnRenamed("nid", "rid")), "word")
+    return one.select("lid", "rid").unionByName(other.select("lid", "rid"))
 
 
 def _part_index(names: DataFrame) -> DataFrame:
@@ -98,14 +147,14 @@ def _part_pairs(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("nid").orderBy("f", "gram"))
 
     def prefix(index: DataFrame) -> DataFrame:
-        return index.join(seen, "gram").withColumn("rank", rank).where(F.col("rank") <= spoiled + 1)
+        return _shuffled(index).join(seen, "gram").withColumn("rank", rank).where(F.col("rank") <= spoiled + 1)
 
     def apart(short: str, long: str) -> Column:
         return F.col(f"{long}.len") >= F.col(f"{short}.len") * S.LONGER
 
-    one = prefix(li).alias("s").join(ri.alias("l"), (F.col("s.gram") == F.col("l.gram")) & apart("s", "l")).select(F.col("s.nid").alias("lid"), F.col("l.nid").alias("rid"))
-    other = prefix(ri).alias("s").join(li.alias("l"), (F.col("s.gram") == F.col("l.gram")) & apart("s", "l")).select(F.col("l.nid").alias("lid"), F.col("s.nid").alias("rid"))
-    return one.unionByName(other).distinct()
+    one = _shuffled(prefix(li)).alias("s").join(_shuffled(ri).alias("l"), (F.col("s.gram") == F.col("l.gram")) & apart("s", "l")).select(F.col("s.nid").alias("lid"), F.col("l.nid").alias("rid"))
+    other = _shuffled(prefix(ri)).alias("s").join(_shuffled(li).alias("l"), (F.col("s.gram") == F.col("l.gram")) & apart("s", "l")).select(F.col("l.nid").alias("lid"), F.col("s.nid").alias("rid"))
+    return one.unionByName(other)
 
 
 def _short_part_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -120,9 +169,9 @@ def _short_part_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     def pieces(names: DataFrame) -> DataFrame:
         return functools.reduce(DataFrame.unionByName, [pieces_of(names, k) for k in range(1, PART_GRAM)])
 
-    one = tiny(left).select(F.col("nid").alias("lid"), "name").join(pieces(right).withColumnRenamed("nid", "rid"), "name")
-    other = pieces(left).withColumnRenamed("nid", "lid").join(tiny(right).select(F.col("nid").alias("rid"), "name"), "name")
-    return one.select("lid", "rid").unionByName(other.select("lid", "rid")).distinct()
+    one = tiny(left).select(F.col("nid").alias("lid"), "name").join(_shuffled(pieces(right).withColumnRenamed("nid", "rid")), "name")
+    other = _shuffled(pieces(left).withColumnRenamed("nid", "lid")).join(tiny(right).select(F.col("nid").alias("rid"), "name"), "name")
+    return one.select("lid", "rid").unionByName(other.select("lid", "rid"))
 
 
 # --- candidates by grams ----------------------------------------------------------------------------
@@ -138,68 +187,113 @@ def _grams(names: DataFrame, *keep: str) -> DataFrame:
 
 
 def _gram_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of (nid, name, len, edits) whose names may be within the left one's ``edits`` insertions and deletions."""
-    lg, rg = cut_lineage(_grams(left, "len", "edits")), cut_lineage(_grams(right, "len", "edits"))
-    seen = lg.select("gram", "occ").unionByName(rg.select("gram", "occ")).groupBy("gram", "occ").agg(F.count("*").alias("f"))
-    rank = F.row_number().over(Window.partitionBy("nid", "form").orderBy("f", "gram", "occ"))
-
-    def prefix(index: DataFrame) -> DataFrame:
-        return index.join(seen, ["gram", "occ"]).withColumn("rank", rank).where(F.col("rank") <= F.col("edits") * GRAM + 1)
+    """Pairs whose names may be within the left one's ``edits`` insertions and deletions; left: nid, name, len, edits; right: nid, name, len.
 
-    def sizes(index: DataFrame, a: str) -> DataFrame:
-        return index.groupBy("nid", "form").agg(F.collect_list(F.concat("gram", F.col("occ").cast("string"))).alias("all")).select(F.col("nid").alias(f"{a}id"), F.col("form").alias(f"{a}form"), F.col("all").alias(f"{a}all"))
+    All but GRAM * edits of the grams of either name are shared, so of the GRAM * edits + TOGETHER rarest ones TOGETHER are: names with
+    grams enough are joined on every choice of so many, which few pairs share by chance; the others on one of the GRAM * edits + 1 rarest.
+    """
+    reach = F.greatest(F.col("edits"), F.ceil(F.col("len") * (S.LONGER - 1)))
+    low, high = left.agg(F.min(F.col("len") - reach), F.max(F.col("len") + reach)).first()
+    levels = [r[0] for r in left.where(F.col("edits") <= MANY_EDITS).select("edits").distinct().collect()]
+    plain_most = left.agg(F.max("edits")).first()[0]
+    right = right.where(F.col("len").between(low, high))
+    lg, rg = _grams(left, "len", "edits"), _grams(right.withColumn("edits", F.lit(0)), "len", "edits")
+    seen = lg.select("gram", "occ").unionByName(rg.select("gram", "occ")).groupBy("gram", "occ").agg(F.count("*").alias("f"))
 
-    lp = prefix(lg).select("gram", "occ", F.col("nid").alias("lid"), F.col("form").alias("lform"), F.col("len").alias("llen"), F.col("edits").alias("ledits"))
-    rp = prefix(rg).select("gram", "occ", F.col("nid").alias("rid"), F.col("form").alias("rform"), F.col("len").alias("rlen"))
-    near = (lp.join(rp, ["gram", "occ"]).where(F.abs(F.col("llen") - F.col("rlen")) <= F.greatest(F.col("ledits"), F.col("llen") * (S.LONGER - 1)))
-            .select("lid", "lform", "rid", "rform", "ledits").distinct())
+    def ranked(index: DataFrame, a: str) -> DataFrame:
+        """The grams of each name, rarest first, as hashes."""
+        all_of = F.transform(F.array_sort(F.collect_list(F.struct("f", "gram", "occ"))), lambda x: F.xxhash64(x["gram"], x["occ"]))
+        rows = _shuffled(index).join(seen, ["gram", "occ"]).groupBy("nid", "form", "len", "edits").agg(all_of.alias("all"))
+        return cut_lineage(rows.select(*[F.col(c).alias(a + c.replace("nid", "id")) for c in ("nid", "form", "len", "edits", "all")]))
+
+    ls, rs = ranked(lg, "l"), ranked(rg, "r")
+    many = F.col("ledits").isin(levels) & (F.size("lall") - GRAM * F.col("ledits") >= TOGETHER) if levels else F.lit(False)
+    close = F.abs(F.col("llen") - F.col("rlen")) <= F.greatest(F.col("ledits"), F.col("llen") * (S.LONGER - 1))
+
+    def chosen(names: DataFrame, a: str, edits: int) -> DataFrame:
+        """A row per choice of TOGETHER of the first grams."""
+        picks = itertools.combinations(range(GRAM * edits + TOGETHER), TOGETHER)
+        rows = names.select(f"{a}id", f"{a}form", f"{a}len", f"{a}all", F.explode(F.array(*[F.array(*map(F.lit, p)) for p in picks])).alias("pick"))
+        grams = [F.get(f"{a}all", F.get("pick", F.lit(k))) for k in range(TOGETHER)]
+        return rows.where(F.get("pick", F.lit(TOGETHER - 1)) < F.size(f"{a}all")).select(
+            F.xxhash64(F.lit(edits), *grams).alias("key"), f"{a}id", f"{a}form", f"{a}len")
+
+    parts = []
+    for edits in levels:
+        lc = chosen(ls.where(many & (F.col("ledits") == edits)), "l", edits).withColumn("ledits", F.lit(edits))
+        parts.append((lc, chosen(rs, "r", edits)))
+    few = ls.where(~many)
+    if not few.isEmpty():
+        first = lambda df, a, n: df.select(F.explode(F.slice(f"{a}all", F.lit(1), n)).alias("key"), f"{a}id", f"{a}form", f"{a}len")
+        lc = few.select(F.explode(F.slice("lall", F.lit(1), F.col("ledits") * GRAM + 1)).alias("key"), "lid", "lform", "llen", "ledits")
+        parts.append((lc, first(rs, "r", F.lit(plain_most * GRAM + 1))))
+    near = functools.reduce(DataFrame.unionByName, [
+        _shuffled(lc).join(_shuffled(rc), "key").where(close).select("lid", "lform", "rid", "rform", "ledits") for lc, rc in parts]).distinct()
     # whole gram sets: all but the spoiled ones must be shared
-    both = near.join(sizes(lg, "l"), ["lid", "lform"]).join(sizes(rg, "r"), ["rid", "rform"])
+    both = (_shuffled(near).join(_shuffled(ls.select("lid", "lform", "lall")), ["lid", "lform"])
+            .join(_shuffled(rs.select("rid", "rform", "rall")), ["rid", "rform"]))
     common = F.size(F.array_intersect("lall", "rall"))
-    return both.where(common >= F.greatest(F.size("lall"), F.size("rall")) - GRAM * F.col("ledits")).select("lid", "rid").distinct()
+    return both.where(common >= F.greatest(F.size("lall"), F.size("rall")) - GRAM * F.col("ledits")).select("lid", "rid")
 
 
 # --- the join ---------------------------------------------------------------------------------------
-def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    named = (pairs.join(left.select(F.col("nid").alias("lid"), F.col("name").alias("lname")), "lid")
-             .join(right.select(F.col("nid").alias("rid"), F.col("name").alias("rname")), "rid"))
-    score = S.weighted_ratio(F.col("lname"), F.col("rname"))
-    return named.select("lid", "lname", "rname", score.alias("score")).where(F.col("score") >= threshold - TINY)
+def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(lid, lname, rname, score); common: length of the longest common subsequence where deletions have found it, else null.
+
+    Where the forms over words cannot give more than the common subsequence does, that is the score; only other pairs go to Python.
+    """
+    named = (_shuffled(pairs).join(_shuffled(right.select(F.col("nid").alias("rid"), F.col("name").alias("rname"))), "rid")
+             .join(_shuffled(left.select(F.col("nid").alias("lid"), F.col("name").alias("lname"))), "lid")
+             .groupBy("lid", "lname", "rname").agg(F.max("common").alias("common")))
+    a, b = F.col("lname"), F.col("rname")
+    total = F.length(a) + F.length(b)
+    plain = F.lit(200.0) * F.col("common").cast("double") / total.cast("double")
+    # equal hashes of unlike texts: the names are too far apart
+    sure = (F.col("common").isNotNull() & (F.levenshtein(a, b) <= total - 2 * F.col("common")) & (S.length_factor(a, b) < S.LONGER)
+            & (S.word_forms_most(a, b) <= plain))
+    return named.where(sure).select("lid", "lname", "rname", plain.alias("score")).unionByName(
+        named.where(~F.coalesce(sure, F.lit(False))).select("lid", "lname", "rname", S.weighted_ratio(a, b).alias("score")))
 
 
 def _edits(length: Column, share: Column) -> Column:
     return F.floor(F.lit(2.0) * (F.lit(1.0) - share) * length / share + TINY).cast("int")
 
 
-def similar_names(left_names: DataFrame, right_names: DataFrame, threshold: float, *, best_only: bool = False) -> DataFrame:
-    """(lname, rname, score) of all distinct pairs with a weighted ratio of ``threshold`` or more.
-
-    best_only: pairs that cannot be the best of their left name may be missing; the best ones, all of them, are there.
-    Thresholds of 85.5 or less are refused: there a single shared word links names of unlike lengths.  Empty and null names link with nothing.
-    """
+def _checked(threshold: float) -> float:
     if not LOWEST < threshold <= 100:
         raise ValueError(f"similarity {threshold}: candidates are complete over {LOWEST} only")
-    t = threshold / 100.0
-    left, right = cut_lineage(_names(left_names)), cut_lineage(_names(right_names))
-    parts = _part_pairs(left, right, min(1.0, t / S.PART_SCALE)) if t <= S.PART_SCALE else None
-    seeds = _deletion_pairs(left, right).unionByName(_word_pairs(left, right, min(1.0, t / S.WORD_SCALE)))
-    if parts is not None:
-        seeds = seeds.unionByName(parts).unionByName(_short_part_pairs(left, right))
-    found = cut_lineage(_scored(seeds.distinct(), left, right, threshold))
-    have = found.groupBy("lid").agg(F.max("score").alias("best"))
-    of = left.join(have, left.nid == have.lid, "left").drop("lid")
-    least = F.greatest(F.lit(t), F.coalesce(F.col("best") / 100.0 - TINY, F.lit(0.0))) if best_only else F.lit(t)
-    # a pair that deletions miss has three edits or more: no partner over len / (len + 1.5) is missed among names of that length
-    known = (F.col("len") * (2 - t) / t <= DELETION_LENGTH) & (least > F.col("len") / (F.col("len") + 1.5) + TINY)
+    return threshold / 100.0
+
+
+def _union(parts: list[DataFrame | None]) -> DataFrame | None:
+    parts = [p if "common" in p.columns else p.withColumn("common", F.lit(None).cast("int")) for p in parts if p is not None]
+    return functools.reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _by_grams(of: DataFrame, right: DataFrame, lengths: list[int], t: float) -> DataFrame | None:
+    """Pairs that only grams find, of names (nid, name, len, least); none if every name has what it can have."""
+    least = F.col("least") / 100.0 - TINY
+    known = least > _best_missed(F.col("len"), lengths, t) + TINY
     by_words = least / S.WORD_SCALE
     wanted = F.greatest(F.when(~known, _edits(F.col("len"), least)), F.when(by_words <= 1, _edits(F.col("len"), F.least(by_words, F.lit(1.0)))))
     # without edits the sets of words are equal, and the pair is known by its words
     todo = cut_lineage(of.select("nid", "name", "len", wanted.alias("edits")).where(F.col("edits") > 0))
-    if todo.isEmpty():
-        return found.select("lname", "rname", "score")
-    others = right.select("nid", "name", "len", _edits(F.col("len"), F.lit(t)).alias("edits"))
-    more = _scored(_gram_pairs(todo, others).join(found.select("lid", F.xxhash64("rname").alias("rid")), ["lid", "rid"], "left_anti"), left, right, threshold)
-    return found.unionByName(more).select("lname", "rname", "score")
+    return None if todo.isEmpty() else _gram_pairs(todo, right.select("nid", "name", "len"))
+
+
+def similar_names(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
+    """(lname, rname, score) of all distinct pairs with a weighted ratio of ``threshold`` or more.
+
+    Thresholds of 85.5 or less are refused: there a single shared word links names of unlike lengths.  Empty and null names link with nothing.
+    """
+    t = _checked(threshold)
+    left, right = cut_lineage(_names(left_names).withColumn("least", F.lit(float(threshold)))), cut_lineage(_names(right_names))
+    lengths = _lengths(left), _lengths(right)
+    steps = list(itertools.product(range(DELETIONS + 1), repeat=2))
+    parts = [_part_pairs(left, right, min(1.0, t / S.PART_SCALE)), _short_part_pairs(left, right)] if t <= S.PART_SCALE else []
+    seeds = _union([_deletion_pairs(left, right, steps, lengths), _word_pairs(left, right, min(1.0, t / S.WORD_SCALE)), *parts,
+                    _by_grams(left, right, lengths[1], t)])
+    return _scored(seeds, left, right).select("lname", "rname", "score").where(F.col("score") >= threshold - TINY)
 
 
 def subsequence_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -236,7 +330,38 @@ def subsequence_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def best_similar(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
-    """(lname, rname, score): the best partner of each left name; of equal ones the shortest, then the last by name."""
-    rows = similar_names(left_names, right_names, threshold, best_only=True)
+    """(lname, rname, score): the best partner of each left name; of equal ones the shortest, then the last by name.
+
+    From the best that a name can have downwards: itself, then partners with its words or two deletions away, then three and four,
+    then the parts, then the grams.  After each step only the names go on that the next one may give a partner as good as theirs.
+    """
+    t = _checked(threshold)
+    left, right = cut_lineage(_names(left_names)), cut_lineage(_names(right_names))
+    same = left.join(right.select("nid", F.col("name").alias("rname")), "nid").where(F.col("name") == F.col("rname"))
+    done = [same.select("nid", F.col("name").alias("lname"), "rname", F.lit(100.0).alias("score"))]
+    left = left.join(same.select("nid"), "nid", "left_anti").withColumn("least", F.lit(float(threshold)))
+    lengths = _lengths(left), _lengths(right)
+
+    def step(pairs: DataFrame | None) -> None:
+        """Takes the best of the pairs; from here on a name's partner must be as good as that."""
+        nonlocal left
+        if pairs is None:
+            return
+        best = F.max(F.struct("score", (-F.length("rname")).alias("l"), "rname")).alias("b")
+        found = cut_lineage(_scored(_union([pairs]), left, right).groupBy("lid", "lname").agg(best).where(F.col("b.score") >= threshold - TINY)
+                            .select(F.col("lid").alias("nid"), "lname", F.col("b.rname").alias("rname"), F.col("b.score").alias("score")))
+        done.append(found)
+        left = (left.join(_shuffled(found.select("nid", "score")), "nid", "left")
+                .withColumn("least", F.greatest("least", F.coalesce("score", F.lit(0.0)))).drop("score"))
+
+    step(_union([_deletion_pairs(left, right, [s for s in STEPS if sum(s) <= 2], lengths), _word_pairs(left, right, min(1.0, t / S.WORD_SCALE))]))
+    for lost in (3, 4):
+        step(_deletion_pairs(left, right, [s for s in STEPS if sum(s) == lost], lengths))
+    if t <= S.PART_SCALE:
+        # all that parts can give
+        open_ = left.where(F.col("least") <= 100.0 * S.PART_SCALE + TINY)
+        step(_union([_part_pairs(open_, right, min(1.0, t / S.PART_SCALE)), _short_part_pairs(open_, right)]))
+    step(_by_grams(left, right, lengths[1], t))
+    rows = functools.reduce(DataFrame.unionByName, done)
     best = rows.groupBy("lname").agg(F.max(F.struct("score", (-F.length("rname")).alias("l"), "rname")).alias("b"))
     return best.select("lname", F.col("b.rname").alias("rname"), F.col("b.score").alias("score"))

@@ -170,11 +170,14 @@ WHERE c.is_active"""
 C360_VIEWS = SALES_VIEWS + BRIDGE_VIEWS + ("deals",)
 
 
-def _c360(T):
+def _best(T):
+    return cut_lineage(ER.best_bridge(_bridge(T)))
+
+
+def _c360(T, best=None):
     # the score and the bridge are silver tables: written once, then read (the latest date without a second scoring)
     score = cut_lineage(com.rfv_score(com.rfv_base(com.silver_sales(T.sales_order, T.nature, T.group_family, T.portfolio, REF), REF)))
-    best = cut_lineage(ER.best_bridge(_bridge(T)))
-    return crm.customer_360(T.portfolio, score, best, crm.deal_metrics(T.deals, NOW), NOW)
+    return crm.customer_360(T.portfolio, score, _best(T) if best is None else best, crm.deal_metrics(T.deals, NOW), NOW)
 
 
 @register("customer_360", with_views(C360_SQL, *C360_VIEWS))
@@ -212,8 +215,8 @@ def _alerts_sql():
 ALERTS_SQL = _alerts_sql()
 
 
-def _alerts(T):
-    return crm.alerts(_c360(T))
+def _alerts(T, best=None):
+    return crm.alerts(_c360(T, best))
 
 
 @register("alerts", with_views(ALERTS_SQL, *C360_VIEWS))
@@ -244,8 +247,9 @@ k AS (SELECT upper(trim(p.partner_name)) AS company, TRUE AS in_crm, {_lst('b.or
 SELECT g.*, COALESCE(k.in_crm, FALSE) AS in_crm, k.crm_names FROM g LEFT JOIN k ON k.company = g.company""", *C360_VIEWS, "partner"))
 def q_alert_detail(spark, sf):
     T = _T(spark, sf)
-    best = ER.best_bridge(_bridge(T)).select("partner_code", "org_id", "org_name").join(T.partner.select("partner_code", "partner_name"), "partner_code")
-    return crm.alert_detail(_alerts(T), best, "FORA_DO_RADAR_CRM")
+    best = _best(T)
+    known = best.select("partner_code", "org_id", "org_name").join(T.partner.select("partner_code", "partner_name"), "partner_code")
+    return crm.alert_detail(_alerts(T, best), known, "FORA_DO_RADAR_CRM")
 
 
 # the panel's map: owner k of the portfolio is seller k in the CRM; pipelines by family
