@@ -243,7 +243,7 @@ def match_list(names: DataFrame, master: DataFrame, threshold: float = P.FUZZY_T
     m = master.select("partner_code", F.col("partner_name")).withColumn("name", match_key("partner_name"))
     exact = n.join(m.select("name").distinct(), "name").select("input_name", "name", F.lit(100.0).alias("score"),
                                                                 F.lit("exact").alias("how"))
-    rest = n.join(exact.select("input_name"), "input_name", "left_anti")
+    rest = cut_lineage(n.join(exact.select("input_name"), "input_name", "left_anti"))
     best = best_similar(rest.select("name"), m.select("name"), threshold)
     fz = rest.join(best, rest.name == best.lname).select("input_name", F.col("rname").alias("name"), "score",
                                                          F.lit("fuzzy").alias("how"))

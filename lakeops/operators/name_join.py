@@ -339,7 +339,8 @@ def best_similar(left_names: DataFrame, right_names: DataFrame, threshold: float
     left, right = cut_lineage(_names(left_names)), cut_lineage(_names(right_names))
     same = left.join(right.select("nid", F.col("name").alias("rname")), "nid").where(F.col("name") == F.col("rname"))
     done = [same.select("nid", F.col("name").alias("lname"), "rname", F.lit(100.0).alias("score"))]
-    left = left.join(same.select("nid"), "nid", "left_anti").withColumn("least", F.lit(float(threshold)))
+    # each step's names are written: the plans would hold all the steps before, on the driver
+    left = cut_lineage(left.join(same.select("nid"), "nid", "left_anti").withColumn("least", F.lit(float(threshold))))
     lengths = _lengths(left), _lengths(right)
 
     def step(pairs: DataFrame | None) -> None:
@@ -351,8 +352,8 @@ def best_similar(left_names: DataFrame, right_names: DataFrame, threshold: float
         found = cut_lineage(_scored(_union([pairs]), left, right).groupBy("lid", "lname").agg(best).where(F.col("b.score") >= threshold - TINY)
                             .select(F.col("lid").alias("nid"), "lname", F.col("b.rname").alias("rname"), F.col("b.score").alias("score")))
         done.append(found)
-        left = (left.join(_shuffled(found.select("nid", "score")), "nid", "left")
-                .withColumn("least", F.greatest("least", F.coalesce("score", F.lit(0.0)))).drop("score"))
+        left = cut_lineage(left.join(_shuffled(found.select("nid", "score")), "nid", "left")
+                           .withColumn("least", F.greatest("least", F.coalesce("score", F.lit(0.0)))).drop("score"))
 
     step(_union([_deletion_pairs(left, right, [s for s in STEPS if sum(s) <= 2], lengths), _word_pairs(left, right, min(1.0, t / S.WORD_SCALE))]))
     for lost in (3, 4):
