@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ LOWEST = 100.0 * S.WORD_SCALE * S.PART_SCALE  # one shared word gives names of u
 TINY = 1e-9
 STEPS = [s for s in itertools.product(range(DELETIONS + 1), repeat=2) if sum(s)]  # characters that the left and the right name lose
 TOGETHER, MANY_EDITS = 3, 4  # grams that are joined at a time, for names of so many edits at most
+MANY_ROWS = 1_000_000  # rows of a side from which on those that the other side cannot meet are left out before the shuffle
+SEEN_WORDS = 1 << 19  # of 64 bits that say which keys a side has: 4 MB, whatever the names
 
 
 def _names(df: DataFrame) -> DataFrame:
@@ -48,6 +51,29 @@ def _shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def _seen_only(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows whose ``vh`` falls on a bit that a ``vh`` of ``others`` sets: all that meet one of them, and few others."""
+    def word(of: str) -> str:
+        return f"({of} & {SEEN_WORDS - 1})"
+
+    def bit(of: str) -> str:
+        return f"cast(shiftrightunsigned({of}, 32) & 63 as int)"
+
+    bits = others.select(F.expr(word("vh")).alias("word"), F.expr(f"shiftleft(1L, {bit('vh')})").alias("bits"))
+    none = rows.sparkSession.range(SEEN_WORDS).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = bits.unionByName(none).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    seen = words.agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("all")).select(F.transform("all", lambda x: x["bits"]).alias("seen"))
+    # one row of fixed size
+    return rows.join(F.broadcast(seen), F.expr(f"getbit(get(seen, cast({word('vh')} as int)), {bit('vh')}) = 1"), "left_semi")
+
+
+def _meeting(left: DataFrame, right: DataFrame, n_left: int, n_right: int) -> tuple[DataFrame, DataFrame]:
+    """Two sides that are joined on ``vh``, the larger without most of the rows that meet nothing; of about so many rows."""
+    if max(n_left, n_right) < MANY_ROWS or min(n_left, n_right) > 64 * SEEN_WORDS:
+        return left, right
+    return (_seen_only(left, right), right) if n_left >= n_right else (left, _seen_only(right, left))
+
+
 def _lengths(names: DataFrame) -> list[int]:
     """The lengths of names that deletions may handle: DELETION_LENGTH of them at most."""
     return sorted(r[0] for r in names.where(F.col("len") <= DELETION_LENGTH).select("len").distinct().collect())
@@ -84,10 +110,16 @@ def _deletion_pairs(left: DataFrame, right: DataFrame, steps: list[tuple[int, in
     def variants(names: DataFrame, of: dict[int, Column], nid: str, lost: str) -> DataFrame:
         return functools.reduce(DataFrame.unionByName, [_shortened(names.where(cond), k).select(F.col("nid").alias(nid), "vh", F.lit(k).alias(lost), (F.col("len") - k).alias("common")) for k, cond in of.items()])
 
+    def n_variants(names: DataFrame, of: dict[int, Column]) -> int:
+        n = F.col("len")
+        return names.agg(*[F.sum(F.when(cond, (F.lit(1), n, n * (n - 1) / 2)[k])).cast("long").alias(f"n_{k}") for k, cond in of.items()]).select(
+            functools.reduce(Column.__add__, [F.coalesce(F.col(f"n_{k}"), F.lit(0)) for k in of])).first()[0]
+
     if not sides[0]:
         return None
     near = F.col("i") + F.col("j") <= max(i + j for i, j in steps)
-    lv, rv = variants(left, sides[0], "lid", "i"), variants(right, sides[1], "rid", "j").drop("common")
+    lv, rv = _meeting(variants(left, sides[0], "lid", "i"), variants(right, sides[1], "rid", "j").drop("common"),
+                      n_variants(left, sides[0]), n_variants(right, sides[1]))
     return _shuffled(lv).join(_shuffled(rv), "vh").where(near).select("lid", "rid", "common")
 
 
@@ -216,19 +248,21 @@ def _gram_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         rows = names.select(f"{a}id", f"{a}form", f"{a}len", f"{a}all", F.explode(F.array(*[F.array(*map(F.lit, p)) for p in picks])).alias("pick"))
         grams = [F.get(f"{a}all", F.get("pick", F.lit(k))) for k in range(TOGETHER)]
         return rows.where(F.get("pick", F.lit(TOGETHER - 1)) < F.size(f"{a}all")).select(
-            F.xxhash64(F.lit(edits), *grams).alias("key"), f"{a}id", f"{a}form", f"{a}len")
+            F.xxhash64(F.lit(edits), *grams).alias("vh"), f"{a}id", f"{a}form", f"{a}len")
 
-    parts = []
+    parts, n_right = [], rs.count()
     for edits in levels:
-        lc = chosen(ls.where(many & (F.col("ledits") == edits)), "l", edits).withColumn("ledits", F.lit(edits))
-        parts.append((lc, chosen(rs, "r", edits)))
+        of = ls.where(many & (F.col("ledits") == edits))
+        n = math.comb(GRAM * edits + TOGETHER, TOGETHER)
+        lc, rc = _meeting(chosen(of, "l", edits), chosen(rs, "r", edits), n * of.count(), n * n_right)
+        parts.append((lc.withColumn("ledits", F.lit(edits)), rc))
     few = ls.where(~many)
     if not few.isEmpty():
-        first = lambda df, a, n: df.select(F.explode(F.slice(f"{a}all", F.lit(1), n)).alias("key"), f"{a}id", f"{a}form", f"{a}len")
-        lc = few.select(F.explode(F.slice("lall", F.lit(1), F.col("ledits") * GRAM + 1)).alias("key"), "lid", "lform", "llen", "ledits")
+        first = lambda df, a, n: df.select(F.explode(F.slice(f"{a}all", F.lit(1), n)).alias("vh"), f"{a}id", f"{a}form", f"{a}len")
+        lc = few.select(F.explode(F.slice("lall", F.lit(1), F.col("ledits") * GRAM + 1)).alias("vh"), "lid", "lform", "llen", "ledits")
         parts.append((lc, first(rs, "r", F.lit(plain_most * GRAM + 1))))
     near = functools.reduce(DataFrame.unionByName, [
-        _shuffled(lc).join(_shuffled(rc), "key").where(close).select("lid", "lform", "rid", "rform", "ledits") for lc, rc in parts]).distinct()
+        _shuffled(lc).join(_shuffled(rc), "vh").where(close).select("lid", "lform", "rid", "rform", "ledits") for lc, rc in parts]).distinct()
     # whole gram sets: all but the spoiled ones must be shared
     both = (_shuffled(near).join(_shuffled(ls.select("lid", "lform", "lall")), ["lid", "lform"])
             .join(_shuffled(rs.select("rid", "rform", "rall")), ["rid", "rform"]))

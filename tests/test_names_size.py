@@ -30,3 +30,26 @@ def test_alert_detail_resolves_the_entities_once(spark, monkeypatch):
     monkeypatch.setattr(entity, "resolve_entities", lambda *a, **k: calls.append(1) or real(*a, **k))
     crm_q.q_alert_detail(spark, "/root/testdata/sf0.001")
     assert len(calls) == 1
+
+
+def test_names_that_meet_nothing_are_not_shuffled(spark, monkeypatch):
+    """Of many clients and few organisations, only shortened names and choices of grams that the other side may have are joined."""
+    left = spark.createDataFrame([(f"CUSTOMER {i:09}",) for i in range(0, 60000, 7)], "name string")
+    right = spark.createDataFrame([(f"CUSTMER {i:09}",) for i in range(0, 300, 7)] + [("CLIENT SIX 000042",)], "name string")
+    plain = sorted(name_join.best_similar(left, right, 88.0).collect())
+    kept = []
+    real = name_join._seen_only
+
+    def seen_only(rows, others):
+        few = real(rows, others)
+        met = rows.join(others.select("vh").distinct(), "vh", "left_semi").count()
+        kept.append((met, few.count(), rows.count(), few._jdf.queryExecution().executedPlan().toString()))
+        return few
+
+    monkeypatch.setattr(name_join, "MANY_ROWS", 1000)
+    monkeypatch.setattr(name_join, "_seen_only", seen_only)
+    assert sorted(name_join.best_similar(left, right, 88.0).collect()) == plain and len(plain) > 40
+    assert len(kept) >= 3
+    for met, few, rows, plan in kept:
+        assert met <= few <= met + rows // 20 and "BroadcastHashJoin" not in plan
+    assert sum(k[1] for k in kept) < sum(k[2] for k in kept) / 2
