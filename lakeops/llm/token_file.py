@@ -11,7 +11,7 @@ zero bytes; documents, tokens (u64 each); document ids (i64); which of them are
 first token of each document and the total (u64); then for each level its length (u64),
 chunks (u8 or u16), and, but for the last, padding to 8 bytes, bitmap (u64) and rank directory (u64).
 
-Shards are rows of Parquet files, in ascending order of document id: partition ``part`` in range order,
+Shards are rows of Parquet files, in ascending order of document id: range ``part`` of the ids,
 ``seq`` within it.  ``local_start`` counts the tokens of the part before the shard.
 Null text counts as empty and has the end id alone.
 """
@@ -24,7 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles, TaskContext
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +34,7 @@ from lakeops.llm.words import Hasher, chunks, releasing, text_buffers
 MAGIC = b"DAC1"
 SHARD_TOKENS = 1 << 18
 CHUNK = 1 << 20  # bytes of text coded at a time
+FILE_BYTES = 16 << 20  # text of a task that writes, and so of a file
 
 
 # --- directly addressable codes ---------------------------------------------------
@@ -159,8 +160,8 @@ class WordTokenizer:
     def _learn(self, data: np.ndarray, n_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw, ends = data.tobytes(), np.cumsum(n_bytes).tolist()
         texts = [raw[a:b].decode("utf-8") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        alpha = [i for i, t in enumerate(texts) if t.isalpha()]
-        other = [i for i, t in enumerate(texts) if not t.isalpha()]
+        letters = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        alpha, other = np.flatnonzero(letters).tolist(), np.flatnonzero(~letters).tolist()
         parts, sizes, owners = [], [], []
         groups = [alpha[a : a + self.JOINED] for a in range(0, len(alpha), self.JOINED)]
         for group, ids in zip(groups, self._each(["\n".join(texts[i] for i in g) for g in groups]), strict=True):
@@ -216,17 +217,28 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, chu
     """Encode every text and write the shards under ``path`` in ascending document id.
 
     Texts are dealt by ranges of the id and sorted within; rows of one id are ordered by a hash of their text.
-    A shard ends after the document that fills it.  Spark's committer makes each part appear once and whole.
+    A shard ends after the document that fills it, and with its range.  A task writes ranges of some FILE_BYTES of text one after
+    the other, so files are as many as the texts ask for, and not as the shuffle has partitions: an executor that makes a file forks.
+    Spark's committer makes each file appear once and whole.
     """
     spark = docs.sparkSession
     spark.sparkContext.addFile(tokenizer)
     name = tokenizer.rsplit("/", 1)[-1]
     part = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = part.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    total = part.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # numbered before they are put together: a task's ranges need not be neighbours
+    ordered = part.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
+    ordered = ordered.coalesce(max(1, -(-total // FILE_BYTES)))
+
+    def of_one_range(batches):
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            yield from (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a)
 
     def shards(batches):
         tok = kept_in_worker(f"tokens {name}", lambda: WordTokenizer(SparkFiles.get(name)))
-        number, seq, start = TaskContext.get().partitionId(), 0, 0
+        number, seq, start = None, 0, 0
         ids, flats, sizes, held = [], [], [], 0
 
         def flush():
@@ -237,7 +249,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int, chu
             return pa.RecordBatch.from_arrays([pa.array([v]) if i < 5 else pa.array([v], pa.binary()) for i, v in enumerate(row)],
                                               names=["part", "seq", "local_start", "n_tokens", "n_docs", "shard"])
 
-        for batch in batches:
+        for batch in of_one_range(batches):
+            if batch.column("part")[0].as_py() != number:
+                if ids:
+                    yield flush()
+                number, seq, start = batch.column("part")[0].as_py(), 0, 0
             all_ids, at = batch.column("doc_id").to_pylist(), 0
             for flat, firsts in tok.encode(batch.column("text")):
                 flat, firsts = with_end(flat, firsts, end_id)

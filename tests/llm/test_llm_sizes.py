@@ -30,3 +30,33 @@ def test_suffixes_of_a_repeated_passage(spark):
     assert {r.doc_id: r.n_removed for r in got.collect()} == {1: 40, 2: 40, 3: 0}
     (_, _, _, _, w), = word_chunks(Hasher(), pa.array([passage]))
     assert len(substring_dedup.Anchors(Hasher(), w).keys)
+
+
+def test_token_files_are_as_many_as_the_texts_ask_for(spark, tmp_path, monkeypatch):
+    """Many shuffle partitions make many ranges, but few files; all ids follow each other in order."""
+    import public_tokenizers
+
+    from lakeops.llm import token_file
+
+    docs = spark.createDataFrame([(i * 37 % 401, f"text number {i} " * (i % 5)) for i in range(401)], "doc_id long, text string").repartition(7)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    reports = []
+    for bytes_, partitions in ((1 << 24, "40"), (1 << 11, "40"), (1 << 24, "1")):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        monkeypatch.setattr(token_file, "FILE_BYTES", bytes_)
+        path = tmp_path / f"{bytes_}-{partitions}"
+        try:
+            token_file.write_tokens(docs, str(path), tokenizer, end_id=2, shard_tokens=64)
+            n = len(list(path.glob("*.parquet")))
+            assert n == 1 if bytes_ == 1 << 24 else 1 < n <= 8
+            assert spark.read.parquet(str(path)).select("part").distinct().count() > (30 if partitions == "40" else 0)
+            reports.append(sorted(token_file.document_report(spark, str(path)).collect()))
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert reports[0] == reports[1] == reports[2] and [r.doc_id for r in reports[0]] == list(range(401))
+    at = 0
+    for r in reports[0]:
+        assert r.start == at
+        at += r.n_tokens
