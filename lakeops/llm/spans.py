@@ -26,6 +26,18 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, a place of each one, and which one each value is; ``np.unique`` pays for a stable sort to name the first place."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.empty(len(values), bool)
+    new[:1] = True
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    where = np.empty(len(values), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], where
+
+
 class SpanCoder:
     """learn(bytes of the new spans, their sizes) -> (flat codes, number of codes of each span).
 
@@ -86,7 +98,7 @@ class SpanCoder:
                 own = np.unique(np.searchsorted(starts, np.flatnonzero(found), "right") - 1)
                 plain = self.plain.prefix(self.plain.table[data], MULT)
                 hashes[own] = self.plain.spans(plain, starts[own], ends[own], MULT) + np.uint64(0x632BE59BD9B4E019)
-        keys, first, where = np.unique(mix(hashes), return_index=True, return_inverse=True)
+        keys, first, where = _distinct(mix(hashes))
         known, start, size = self._find(keys)
         if not known.all():
             if sum(len(t[0]) for t in self.tables) + np.count_nonzero(~known) > MAX_SPANS:

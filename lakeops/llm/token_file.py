@@ -134,7 +134,7 @@ class WordTokenizer:
     """Ids of whole texts by the tokenizers library, word by word.
 
     Right for tokenizers that lower-case, drop white space and split letters from what follows them.  A word is cut
-    before one of ``.,;:!?`` that follows a-z.  Each distinct word goes through the library once while the coder holds
+    before an ASCII sign that follows a-z, but for ``|``, which ends special tokens.  Each distinct word goes through the library once while the coder holds
     it; words of letters alone go many to a call, as their ids part where a token ends a word.
     """
 
@@ -152,7 +152,7 @@ class WordTokenizer:
         self.words = Hasher()
         self.letter, self.point = np.zeros(256, bool), np.zeros(256, bool)
         self.letter[[*range(65, 91), *range(97, 123)]] = True
-        self.point[list(b".,;:!?")] = True
+        self.point[[i for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "|"]] = True
 
     def _each(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

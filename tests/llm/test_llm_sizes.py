@@ -60,3 +60,26 @@ def test_token_files_are_as_many_as_the_texts_ask_for(spark, tmp_path, monkeypat
     for r in reports[0]:
         assert r.start == at
         at += r.n_tokens
+
+
+def test_signs_after_letters_are_coded_apart():
+    """``word$$$`` is ``word`` and ``$$$``: no spelling of its own to learn; ids are the library's, special tokens too."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from lakeops.llm import token_file
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, plain = token_file.WordTokenizer(path), Tokenizer.from_file(path)
+    learned = []
+    real = tok.coder.learn
+    tok.coder.learn = lambda data, sizes: learned.append(len(sizes)) or real(data, sizes)
+    words = ["zorp", "glim", "trask"]
+    texts = [f"{w}{s}" for w in words for s in ("", "$$$", "###", "***", "%", "@", "&&&", "_", "(", ">")]
+    assert [len(i) for i in (plain.encode(t, add_special_tokens=False).ids for t in texts)] == tok.counts(pa.array(texts)).tolist()
+    assert sum(learned) == len(words) + 9
+    odd = ["don't we'll I'M 'tis o'clock's", "a<|endoftext|>b c<|EndOfText|>d x<|startoftext|>", "a|b a||b|c <|endoftext|<|endoftext|>", "e$́ é$ a≮b á*b",
+           "É$$$ ß% ç_ x_y__z a@b.c-d/e\\f", "x'S'T y'' z'3 a\"b\"c [a]{b}(c) a~b`c^d", "A#b#C+=d", "don’t a…. İ* kK#"]
+    ids = [list(flat[firsts[i] : firsts[i + 1]]) for flat, firsts in tok.encode(pa.array(odd)) for i in range(len(firsts) - 1)]
+    assert ids == [plain.encode(t, add_special_tokens=False).ids for t in odd]
