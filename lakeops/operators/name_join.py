@@ -35,6 +35,7 @@ PART_GRAM = 3
 LOWEST = 100.0 * S.WORD_SCALE * S.PART_SCALE  # one shared word gives names of unlike lengths that much
 TINY = 1e-9
 STEPS = [s for s in itertools.product(range(DELETIONS + 1), repeat=2) if sum(s)]  # characters that the left and the right name lose
+GRAM_SLOTS = 1 << 16  # that grams are counted by, whatever the names
 TOGETHER, MANY_EDITS = 3, 4  # grams that are joined at a time, for names of so many edits at most
 MANY_ROWS = 1_000_000  # rows of a side from which on those that the other side cannot meet are left out before the shuffle
 SEEN_WORDS = 1 << 19  # of 64 bits that say which keys a side has: 4 MB, whatever the names
@@ -164,29 +165,47 @@ def _word_pairs(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
     return one.select("lid", "rid").unionByName(other.select("lid", "rid"))
 
 
+def _slot(*gram: Column) -> Column:
+    return F.xxhash64(*gram).bitwiseAND(GRAM_SLOTS - 1).cast("int")
+
+
+def _gram_counts(slot, *indexes: DataFrame) -> DataFrame:
+    """One row of fixed size: how many of the names' ``grams`` fall in each of GRAM_SLOTS slots; an order for which nothing is shuffled but these."""
+    slots = functools.reduce(DataFrame.unionByName, [x.select(F.explode("grams").alias("x")) for x in indexes]).select(slot(F.col("x")).alias("slot"), F.lit(1).alias("n"))
+    none = indexes[0].sparkSession.range(GRAM_SLOTS).select(F.col("id").cast("int").alias("slot"), F.lit(0).alias("n"))
+    counts = slots.unionByName(none).groupBy("slot").agg(F.sum("n").alias("n"))
+    return cut_lineage(counts.agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("all")).select(F.transform("all", lambda x: x["n"]).alias("counts")))
+
+
 def _part_index(names: DataFrame) -> DataFrame:
     """Distinct 3-grams; a shorter name is its own only one."""
     n = F.col("len") - PART_GRAM + 1
     grams = F.when(n >= 1, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(F.col("name"), i, PART_GRAM)))
-    return names.where(n >= 1).select("nid", "len", F.explode(F.array_distinct(grams)).alias("gram"))
+    return names.where(n >= 1).select("nid", "len", F.array_distinct(grams).alias("grams"))
 
 
 def _part_pairs(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
     """Pairs of which one is over 1.5 times as long as the other, and holds a part with a ratio of ``share`` to it."""
     li, ri = _part_index(left), _part_index(right)
-    seen = li.select("gram").unionByName(ri.select("gram")).groupBy("gram").agg(F.count("*").alias("f"))
-    spoiled = PART_GRAM * F.floor(2 * (1 - share) * F.col("len") / share + TINY)
-    rank = F.row_number().over(Window.partitionBy("nid").orderBy("f", "gram"))
+    counts = _gram_counts(_slot, li, ri)
+    first = (PART_GRAM * F.floor(2 * (1 - share) * F.col("len") / share + TINY) + 1).cast("int")
 
     def prefix(index: DataFrame) -> DataFrame:
-        return _shuffled(index).join(seen, "gram").withColumn("rank", rank).where(F.col("rank") <= spoiled + 1)
+        order = F.array_sort(F.transform("grams", lambda x: F.struct(F.get("counts", _slot(x)).alias("f"), x.alias("gram"))))
+        return index.crossJoin(F.broadcast(counts)).select("nid", "len", F.explode(F.slice(order, F.lit(1), first)).alias("x")).select("nid", "len", F.xxhash64("x.gram").alias("vh"))
+
+    def whole(index: DataFrame) -> DataFrame:
+        return index.select("nid", "len", F.explode("grams").alias("x")).select("nid", "len", F.xxhash64("x").alias("vh"))
+
+    def rows(index: DataFrame, most: Column) -> int:
+        return index.agg(F.sum(F.least(F.size("grams"), most))).first()[0] or 0
 
-    def apart(short: str, long: str) -> Column:
-        return F.col(f"{long}.len") >= F.col(f"{short}.len") * S.LONGER
+    def pairs(short: DataFrame, long: DataFrame, short_id: str, long_id: str) -> DataFrame:
+        s, o = _meeting(prefix(short), whole(long), rows(short, first), rows(long, F.size("grams")))
+        met = _shuffled(s).alias("s").join(_shuffled(o).alias("l"), (F.col("s.vh") == F.col("l.vh")) & (F.col("l.len") >= F.col("s.len") * S.LONGER))
+        return met.select(F.col("s.nid").alias(short_id), F.col("l.nid").alias(long_id))
 
-    one = _shuffled(prefix(li)).alias("s").join(_shuffled(ri).alias("l"), (F.col("s.gram") == F.col("l.gram")) & apart("s", "l")).select(F.col("s.nid").alias("lid"), F.col("l.nid").alias("rid"))
-    other = _shuffled(prefix(ri)).alias("s").join(_shuffled(li).alias("l"), (F.col("s.gram") == F.col("l.gram")) & apart("s", "l")).select(F.col("l.nid").alias("lid"), F.col("s.nid").alias("rid"))
-    return one.unionByName(other)
+    return pairs(li, ri, "lid", "rid").unionByName(pairs(ri, li, "rid", "lid").select("lid", "rid"))
 
 
 def _short_part_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -208,14 +227,14 @@ def _short_part_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 # --- candidates by grams ----------------------------------------------------------------------------
 def _grams(names: DataFrame, *keep: str) -> DataFrame:
-    """(nid, form, gram, occ): padded 2-grams of the words, numbered where they repeat; names with repeated words also without these (form 1)."""
+    """(nid, form, grams): padded 2-grams of the words, numbered where they repeat; names with repeated words also without these (form 1)."""
     w = S.words(F.col("name"))
     forms = F.when(F.size(w) == F.size(F.array_distinct(w)), F.array(w)).otherwise(F.array(w, F.array_distinct(w)))
     by_form = names.select("nid", *keep, F.posexplode(forms).alias("form", "words"))
-    by_word = by_form.select("nid", *keep, "form", F.explode("words").alias("w")).withColumn("w", F.concat(F.lit(" "), F.col("w"), F.lit(" ")))
-    grams = F.transform(F.sequence(F.lit(1), F.length("w") - GRAM + 1), lambda i: F.substring(F.col("w"), i, GRAM))
-    counted = by_word.select("nid", *keep, "form", F.explode(grams).alias("gram")).groupBy("nid", *keep, "form", "gram").agg(F.count("*").cast("int").alias("n"))
-    return counted.select("nid", *keep, "form", "gram", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("occ"))
+    of_word = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 3 - GRAM), lambda i: F.substring(F.concat(F.lit(" "), w, F.lit(" ")), i, GRAM))
+    in_order = by_form.select("nid", *keep, "form", F.array_sort(F.flatten(F.transform("words", of_word))).alias("g"))
+    number = lambda x, i: F.struct(x.alias("gram"), (i + 2 - F.array_position("g", x)).cast("int").alias("occ"))
+    return in_order.where(F.size("g") > 0).select("nid", *keep, "form", F.transform("g", number).alias("grams"))
 
 
 def _gram_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -230,12 +249,13 @@ def _gram_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     plain_most = left.agg(F.max("edits")).first()[0]
     right = right.where(F.col("len").between(low, high))
     lg, rg = _grams(left, "len", "edits"), _grams(right.withColumn("edits", F.lit(0)), "len", "edits")
-    seen = lg.select("gram", "occ").unionByName(rg.select("gram", "occ")).groupBy("gram", "occ").agg(F.count("*").alias("f"))
+    of_gram = lambda x: _slot(x["gram"], x["occ"])
+    counts = _gram_counts(of_gram, lg, rg)
 
     def ranked(index: DataFrame, a: str) -> DataFrame:
-        """The grams of each name, rarest first, as hashes."""
-        all_of = F.transform(F.array_sort(F.collect_list(F.struct("f", "gram", "occ"))), lambda x: F.xxhash64(x["gram"], x["occ"]))
-        rows = _shuffled(index).join(seen, ["gram", "occ"]).groupBy("nid", "form", "len", "edits").agg(all_of.alias("all"))
+        """The grams of each name, those of the rarest slots first, as hashes: each name by itself, nothing is shuffled."""
+        order = F.array_sort(F.transform("grams", lambda x: F.struct(F.get("counts", of_gram(x)).alias("f"), x["gram"].alias("gram"), x["occ"].alias("occ"))))
+        rows = index.crossJoin(F.broadcast(counts)).select("nid", "form", "len", "edits", F.transform(order, lambda x: F.xxhash64(x["gram"], x["occ"])).alias("all"))
         return cut_lineage(rows.select(*[F.col(c).alias(a + c.replace("nid", "id")) for c in ("nid", "form", "len", "edits", "all")]))
 
     ls, rs = ranked(lg, "l"), ranked(rg, "r")
