@@ -93,11 +93,11 @@ def _shortened(names: DataFrame, k: int) -> DataFrame:
         "nid", "len", F.xxhash64(F.expr("concat(substr(name, 1, i - 1), substr(name, i + 1, j - i - 1), substr(name, j + 1))")).alias("vh"))
 
 
-def _deletion_pairs(left: DataFrame, right: DataFrame, steps: list[tuple[int, int]], lengths: tuple[list[int], list[int]]) -> DataFrame | None:
-    """Pairs of which the left name loses i characters and the right one j, for (i, j) in ``steps``, and a common text is left.
+def _variants(left: DataFrame, right: DataFrame, steps: list[tuple[int, int]], lengths: tuple[list[int], list[int]]) -> tuple[DataFrame, DataFrame] | None:
+    """Texts (vh) that the left names (lid, len) lead to by losing i characters and the right ones (rid) by losing j, for (i, j) in ``steps``.
 
     Names are shortened only where the other side has names of the length that a step asks for, and where the
-    step's ratio reaches the left name's ``least``.  ``common``: length of that text.
+    step's ratio reaches the left name's ``least``.
     """
     sides: list[dict[int, Column]] = [{}, {}]
     for i, j in steps:
@@ -109,7 +109,7 @@ def _deletion_pairs(left: DataFrame, right: DataFrame, steps: list[tuple[int, in
             sides[side][k] = sides[side][k] | cond if k in sides[side] else cond
 
     def variants(names: DataFrame, of: dict[int, Column], nid: str, lost: str) -> DataFrame:
-        return functools.reduce(DataFrame.unionByName, [_shortened(names.where(cond), k).select(F.col("nid").alias(nid), "vh", F.lit(k).alias(lost), (F.col("len") - k).alias("common")) for k, cond in of.items()])
+        return functools.reduce(DataFrame.unionByName, [_shortened(names.where(cond), k).select(F.col("nid").alias(nid), "len", "vh", F.lit(k).alias(lost)) for k, cond in of.items()])
 
     def n_variants(names: DataFrame, of: dict[int, Column]) -> int:
         n = F.col("len")
@@ -118,10 +118,45 @@ def _deletion_pairs(left: DataFrame, right: DataFrame, steps: list[tuple[int, in
 
     if not sides[0]:
         return None
+    return _meeting(variants(left, sides[0], "lid", "i"), variants(right, sides[1], "rid", "j").drop("len"),
+                    n_variants(left, sides[0]), n_variants(right, sides[1]))
+
+
+def _deletion_pairs(left: DataFrame, right: DataFrame, steps: list[tuple[int, int]], lengths: tuple[list[int], list[int]]) -> DataFrame | None:
+    """Pairs of which the left name loses i characters and the right one j, for (i, j) in ``steps``, and a common text is left; ``common``: its length."""
+    sides = _variants(left, right, steps, lengths)
+    if sides is None:
+        return None
+    lv, rv = sides
     near = F.col("i") + F.col("j") <= max(i + j for i, j in steps)
-    lv, rv = _meeting(variants(left, sides[0], "lid", "i"), variants(right, sides[1], "rid", "j").drop("common"),
-                      n_variants(left, sides[0]), n_variants(right, sides[1]))
-    return _shuffled(lv).join(_shuffled(rv), "vh").where(near).select("lid", "rid", "common")
+    return _shuffled(lv).join(_shuffled(rv), "vh").where(near).select("lid", "rid", (F.col("len") - F.col("i")).alias("common"))
+
+
+def _deletion_best(left: DataFrame, right: DataFrame, steps: list[tuple[int, int]], lengths: tuple[list[int], list[int]]) -> DataFrame | None:
+    """(lid, lname, rname, score): of the pairs by deletions the one with the best plain ratio, for each left name; right: also ``rank``.
+
+    Of the right names that lose j characters for a text, all give a left name the same ratio, so the first by ``rank`` stands for them.
+    Where another form gives a pair more than its plain ratio, the pair comes from that form's own index.  Texts are told by
+    64-bit hashes, as names are.
+    """
+    sides = _variants(left, right.withColumn("nid", F.col("rank")), steps, lengths)
+    if sides is None:
+        return None
+    lv, rv = sides
+    most = max(i + j for i, j in steps)
+    lost = [s for s in itertools.product(range(DELETIONS + 1), repeat=2) if sum(s) <= most]
+    texts = _shuffled(rv).groupBy("vh").agg(*[F.max(F.when(F.col("j") == j, F.col("rid"))).alias(f"r{j}") for j in range(DELETIONS + 1)])
+    best = _shuffled(lv).join(_shuffled(texts), "vh").groupBy("lid").agg(
+        *[F.max(F.when(F.col("i") == i, F.col(f"r{j}"))).alias(f"r{i}{j}") for i, j in lost])
+    n = F.col("len")
+    found = [F.when(F.col(f"r{i}{j}").isNotNull(), F.struct((F.lit(200.0) * (n - i).cast("double") / (2 * n - i + j).cast("double")).alias("score"),
+                                                            F.col(f"r{i}{j}").alias("rank"), (n - i).alias("common"))) for i, j in lost]
+    named = (best.join(_shuffled(left.select(F.col("nid").alias("lid"), F.col("name").alias("lname"), "len")), "lid")
+             .select("lid", "lname", F.array_max(F.array(*found)).alias("b")).where(F.col("b").isNotNull())
+             .select("lid", "lname", "b.score", "b.rank", "b.common"))
+    both = _shuffled(named).join(_shuffled(right.select("rank", F.col("name").alias("rname"))), "rank")
+    # equal hashes of unlike texts: the names are too far apart
+    return both.where(F.levenshtein("lname", "rname") <= F.length("lname") + F.length("rname") - 2 * F.col("common")).select("lid", "lname", "rname", "score")
 
 
 def _best_missed(length: Column, lengths: list[int], t: float) -> Column:
@@ -169,12 +204,19 @@ def _slot(*gram: Column) -> Column:
     return F.xxhash64(*gram).bitwiseAND(GRAM_SLOTS - 1).cast("int")
 
 
-def _gram_counts(slot, *indexes: DataFrame) -> DataFrame:
-    """One row of fixed size: how many of the names' ``grams`` fall in each of GRAM_SLOTS slots; an order for which nothing is shuffled but these."""
+def _gram_counts(slot, *indexes: DataFrame) -> Column:
+    """A byte for each of GRAM_SLOTS slots, larger where more of the names' ``grams`` fall in it; an order for which nothing is shuffled but the slots' counts.
+
+    A literal: joined to the names, it would be copied for every name.
+    """
     slots = functools.reduce(DataFrame.unionByName, [x.select(F.explode("grams").alias("x")) for x in indexes]).select(slot(F.col("x")).alias("slot"), F.lit(1).alias("n"))
     none = indexes[0].sparkSession.range(GRAM_SLOTS).select(F.col("id").cast("int").alias("slot"), F.lit(0).alias("n"))
-    counts = slots.unionByName(none).groupBy("slot").agg(F.sum("n").alias("n"))
-    return cut_lineage(counts.agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("all")).select(F.transform("all", lambda x: x["n"]).alias("counts")))
+    sizes = slots.unionByName(none).groupBy("slot").agg(F.least(F.floor(8 * F.log2(F.sum("n") + 1)), F.lit(255)).cast("int").alias("n"))
+    return F.lit(bytearray(sizes.agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("all")).select(F.transform("all", lambda x: x["n"])).first()[0]))
+
+
+def _often(counts: Column, slot: Column) -> Column:
+    return F.substr(counts, slot + 1, F.lit(1))
 
 
 def _part_index(names: DataFrame) -> DataFrame:
@@ -191,8 +233,8 @@ def _part_pairs(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
     first = (PART_GRAM * F.floor(2 * (1 - share) * F.col("len") / share + TINY) + 1).cast("int")
 
     def prefix(index: DataFrame) -> DataFrame:
-        order = F.array_sort(F.transform("grams", lambda x: F.struct(F.get("counts", _slot(x)).alias("f"), x.alias("gram"))))
-        return index.crossJoin(F.broadcast(counts)).select("nid", "len", F.explode(F.slice(order, F.lit(1), first)).alias("x")).select("nid", "len", F.xxhash64("x.gram").alias("vh"))
+        order = F.array_sort(F.transform("grams", lambda x: F.struct(_often(counts, _slot(x)).alias("f"), x.alias("gram"))))
+        return index.select("nid", "len", F.explode(F.slice(order, F.lit(1), first)).alias("x")).select("nid", "len", F.xxhash64("x.gram").alias("vh"))
 
     def whole(index: DataFrame) -> DataFrame:
         return index.select("nid", "len", F.explode("grams").alias("x")).select("nid", "len", F.xxhash64("x").alias("vh"))
@@ -254,8 +296,8 @@ def _gram_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
     def ranked(index: DataFrame, a: str) -> DataFrame:
         """The grams of each name, those of the rarest slots first, as hashes: each name by itself, nothing is shuffled."""
-        order = F.array_sort(F.transform("grams", lambda x: F.struct(F.get("counts", of_gram(x)).alias("f"), x["gram"].alias("gram"), x["occ"].alias("occ"))))
-        rows = index.crossJoin(F.broadcast(counts)).select("nid", "form", "len", "edits", F.transform(order, lambda x: F.xxhash64(x["gram"], x["occ"])).alias("all"))
+        order = F.array_sort(F.transform("grams", lambda x: F.struct(_often(counts, of_gram(x)).alias("f"), x["gram"].alias("gram"), x["occ"].alias("occ"))))
+        rows = index.select("nid", "form", "len", "edits", F.transform(order, lambda x: F.xxhash64(x["gram"], x["occ"])).alias("all"))
         return cut_lineage(rows.select(*[F.col(c).alias(a + c.replace("nid", "id")) for c in ("nid", "form", "len", "edits", "all")]))
 
     ls, rs = ranked(lg, "l"), ranked(rg, "r")
@@ -390,33 +432,40 @@ def best_similar(left_names: DataFrame, right_names: DataFrame, threshold: float
     then the parts, then the grams.  After each step only the names go on that the next one may give a partner as good as theirs.
     """
     t = _checked(threshold)
-    left, right = cut_lineage(_names(left_names)), cut_lineage(_names(right_names))
+    # the better one of equally good partners has the higher rank
+    ranked = _names(right_names).orderBy(F.desc("len"), "name").withColumn("rank", F.monotonically_increasing_id())
+    left, right = cut_lineage(_names(left_names)), cut_lineage(ranked)
     same = left.join(right.select("nid", F.col("name").alias("rname")), "nid").where(F.col("name") == F.col("rname"))
     done = [same.select("nid", F.col("name").alias("lname"), "rname", F.lit(100.0).alias("score"))]
     # each step's names are written: the plans would hold all the steps before, on the driver
     left = cut_lineage(left.join(same.select("nid"), "nid", "left_anti").withColumn("least", F.lit(float(threshold))))
     lengths = _lengths(left), _lengths(right)
 
-    def step(pairs: DataFrame | None) -> None:
-        """Takes the best of the pairs; from here on a name's partner must be as good as that."""
+    def step(*parts: DataFrame | None) -> None:
+        """Takes the best of the scored pairs; from here on a name's partner must be as good as that."""
         nonlocal left
-        if pairs is None:
+        parts = [p.select("lid", "lname", "rname", "score") for p in parts if p is not None]
+        if not parts:
             return
         best = F.max(F.struct("score", (-F.length("rname")).alias("l"), "rname")).alias("b")
-        found = cut_lineage(_scored(_union([pairs]), left, right).groupBy("lid", "lname").agg(best).where(F.col("b.score") >= threshold - TINY)
+        found = cut_lineage(functools.reduce(DataFrame.unionByName, parts).groupBy("lid", "lname").agg(best).where(F.col("b.score") >= threshold - TINY)
                             .select(F.col("lid").alias("nid"), "lname", F.col("b.rname").alias("rname"), F.col("b.score").alias("score")))
         done.append(found)
         left = cut_lineage(left.join(_shuffled(found.select("nid", "score")), "nid", "left")
                            .withColumn("least", F.greatest("least", F.coalesce("score", F.lit(0.0)))).drop("score"))
 
-    step(_union([_deletion_pairs(left, right, [s for s in STEPS if sum(s) <= 2], lengths), _word_pairs(left, right, min(1.0, t / S.WORD_SCALE))]))
+    def scored(*pairs: DataFrame | None) -> DataFrame | None:
+        some = _union(list(pairs))
+        return None if some is None else _scored(some, left, right)
+
+    step(_deletion_best(left, right, [s for s in STEPS if sum(s) <= 2], lengths), scored(_word_pairs(left, right, min(1.0, t / S.WORD_SCALE))))
     for lost in (3, 4):
-        step(_deletion_pairs(left, right, [s for s in STEPS if sum(s) == lost], lengths))
+        step(_deletion_best(left, right, [s for s in STEPS if sum(s) == lost], lengths))
     if t <= S.PART_SCALE:
         # all that parts can give
         open_ = left.where(F.col("least") <= 100.0 * S.PART_SCALE + TINY)
-        step(_union([_part_pairs(open_, right, min(1.0, t / S.PART_SCALE)), _short_part_pairs(open_, right)]))
-    step(_by_grams(left, right, lengths[1], t))
+        step(scored(_part_pairs(open_, right, min(1.0, t / S.PART_SCALE)), _short_part_pairs(open_, right)))
+    step(scored(_by_grams(left, right, lengths[1], t)))
     rows = functools.reduce(DataFrame.unionByName, done)
     best = rows.groupBy("lname").agg(F.max(F.struct("score", (-F.length("rname")).alias("l"), "rname")).alias("b"))
     return best.select("lname", F.col("b.rname").alias("rname"), F.col("b.score").alias("score"))

@@ -25,6 +25,8 @@ DEFAULTS = {
 }
 
 
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # scratch folders of local sessions, by application
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -60,6 +62,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never localCheckpoint)."""
+    """Reliable checkpoint into the shared checkpoint folder (never localCheckpoint).
+
+    What was shuffled for it goes from the disk once it is written: nothing reads it again.  Spark takes the setting when a
+    DataFrame is made, so a new one is made under it; ``df`` keeps its own plan and may be run again.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_SHUFFLES, None)
+    conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            conf.unset(CLEAN_SHUFFLES)
+        else:
+            conf.set(CLEAN_SHUFFLES, before)

@@ -71,3 +71,50 @@ def test_grams_are_ranked_name_by_name(spark, monkeypatch):
     assert pairs
     ranked = [plan for columns, plan in plans if any(c.endswith("all") and c != "all" for c in columns)]
     assert len(ranked) == 2 and not any("hashpartitioning" in plan for plan in ranked)
+
+
+def test_what_a_checkpoint_shuffled_goes_from_the_disk(spark):
+    """A query of many steps must not keep the shuffle files of all of them."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from lakeops.session import CLEAN_SHUFFLES, cut_lineage
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f and f.endswith(".data")}
+
+    before, setting = shuffles(), spark.conf.get(CLEAN_SHUFFLES, None)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    got = cut_lineage(rows)
+    for _ in range(100):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert sorted(got.collect()) == sorted(rows.collect()) and got.count() == 7
+    assert spark.conf.get(CLEAN_SHUFFLES, None) == setting
+
+
+def test_pairs_by_deletions_are_not_all_scored(spark, monkeypatch):
+    """Of the names that are equally near by deletions one stands for all: their pairs are neither shuffled with the names nor scored one by one."""
+    seen = []
+    real = name_join._scored
+    monkeypatch.setattr(name_join, "_scored", lambda pairs, left, right: seen.append(pairs.count()) or real(pairs, left, right))
+    left = spark.createDataFrame([(f"CUSTOMER 0000000{i:02}",) for i in range(0, 20)], "name string")
+    right = spark.createDataFrame([(f"CUSTOMER 0000001{i:02}",) for i in range(0, 20)] + [("CUSTMER 000000007",)], "name string")
+    got = {r.lname: (r.rname, round(r.score, 6)) for r in name_join.best_similar(left, right, 88.0).collect()}
+    assert len(got) == 20 and sum(seen) <= 20
+    assert got["CUSTOMER 000000007"] == ("CUSTMER 000000007", round(3400 / 35, 6))
+    # of the partners with 17 characters in common the last by name; 01 and 10 change places
+    assert got["CUSTOMER 000000013"] == ("CUSTOMER 000000113", round(3400 / 36, 6))
+
+
+def test_gram_counts_are_not_joined_to_the_names(spark):
+    """A row of 65,536 counts beside each name is copied for each name."""
+    rows = spark.createDataFrame([(f"CUSTOMER {i:09}",) for i in range(40)], "name string")
+    names = name_join._names(rows)
+    assert "Join" not in name_join._part_index(names).select("nid", name_join._gram_counts(name_join._slot, name_join._part_index(names)).alias("c"))._jdf.queryExecution().executedPlan().toString()
+    plan = name_join._part_pairs(names, names, 0.97)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
